@@ -1,0 +1,36 @@
+"""Compare a Spark result with the SQL answer, rows in any order, values bit for bit."""
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value.hex()
+    return value if value is None or isinstance(value, (int, bool, str)) else str(value)
+
+
+def rows_of_spark(df):
+    names = sorted(df.columns)
+    return names, sorted((tuple(_cell(v) for v in r) for r in df.select(*names).collect()), key=repr)
+
+
+def rows_of_sql(con, text):
+    answer = con.execute(text)
+    found = [d[0] for d in answer.description]
+    names = sorted(found)
+    at = [found.index(n) for n in names]
+    return names, sorted((tuple(_cell(r[i]) for i in at) for r in answer.fetchall()), key=repr)

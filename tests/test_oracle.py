@@ -1,0 +1,27 @@
+import pytest
+
+from barloom.catalog.oracle import ORACLE
+from barloom.catalog.queries import QUERIES
+from compare import connect, rows_of_spark, rows_of_sql
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_sql(spark, con, name):
+    names, rows = rows_of_spark(QUERIES[name](spark, FOLDER))
+    expected_names, expected = rows_of_sql(con, ORACLE[name])
+    assert names == expected_names
+    assert len(rows) == len(expected)
+    different = [(a, b) for a, b in zip(rows, expected) if a != b]
+    assert not different, (len(different), different[:3])
+    assert rows
