@@ -298,7 +298,7 @@ def fx_json_extract(spark, folder):
 
 @query
 def fx_rate_table(spark, folder):
-    return testbed.fx(spark, folder)
+    return fx.fx_monthly(testbed.fx_payloads(spark, folder), testbed.years(spark, folder))
 
 
 @query

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from barloom.plans.fx import fx_monthly
 from barloom.schemas import SECTOR, TICKER
+from barloom.sinks.tables import write_parquet
+from barloom.sources.files import scan_parquet
+from barloom.sources.workspace import work_folder
 
 VALUE_SPAN = 1 << 24
 LISTING_BALANCE = 1000
@@ -96,7 +99,10 @@ def fx_payloads(spark, folder) -> DataFrame:
 
 
 def fx(spark, folder) -> DataFrame:
-    return fx_monthly(fx_payloads(spark, folder), years(spark, folder))
+    """The monthly rates as a landed table, so that readers do not derive them again."""
+    path = work_folder(spark)
+    write_parquet(fx_monthly(fx_payloads(spark, folder), years(spark, folder)), path)
+    return scan_parquet(spark, path)
 
 
 def fundamentals(spark, folder) -> DataFrame:

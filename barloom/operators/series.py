@@ -44,13 +44,13 @@ def in_blocks(df: DataFrame, keys, date, lookback, block_rows) -> DataFrame:
     inside = F.coalesce(F.sum("_copies").over(cell.rowsBetween(*before)), F.lit(0))
     placed = rows.join(starts, "_cell").withColumn("_first", F.col("_start") + inside)
 
-    size, back = F.lit(block_rows), F.lit(lookback)
-    first, last = F.col("_first"), F.col("_first") + F.col("_copies") - 1
-    block_start = F.col("_block") * size
-    blocks = F.sequence(F.floor(first / size), F.floor((last + back) / size))
+    placed = placed.withColumn("_last", F.col("_first") + F.col("_copies") - 1)
+
+    block_start = F.col("_block") * block_rows
+    blocks = F.expr(f"sequence(_first div {block_rows}, (_last + {lookback}) div {block_rows})")
     positions = F.sequence(
-        F.greatest(first, block_start - back),
-        F.least(last, block_start + size - 1),
+        F.greatest(F.col("_first"), block_start - lookback),
+        F.least(F.col("_last"), block_start + block_rows - 1),
     )
     return (
         placed.withColumn("_block", F.explode(blocks))
