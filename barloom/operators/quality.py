@@ -41,6 +41,17 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def key_report(df: DataFrame, keys, date) -> DataFrame:
+    """One row: rows, rows without a date, and dated keys held by more than one row."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    undated = F.col(date).isNull()
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(undated, F.col("_n"))), F.lit(0)).alias("undated"),
+        F.count_if((F.col("_n") > 1) & ~undated).alias("repeated_keys"),
+    )
+
+
 def rejected_count(df: DataFrame, flag) -> DataFrame:
     """Rows read and rows whose date could not be read."""
     return df.agg(
