@@ -72,7 +72,7 @@ def price_metrics_as_published(spark, folder):
 
 @query
 def price_metrics_blocked(spark, folder):
-    return metrics(spark, folder, continuous=True, block_rows=128)
+    return metrics(spark, folder, continuous=True, block_rows=533)
 
 
 @query

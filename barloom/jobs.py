@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from barloom.functions.calendar import replay_year
 from barloom.operators.columns import conform
 from barloom.operators.quality import duplicate_keys, key_report
-from barloom.operators.series import longest_series
 from barloom.plans import fundamentals, prices
 from barloom.plans.fx import fx_monthly
 from barloom.schemas import RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES
@@ -78,11 +77,10 @@ def run_prices(spark: SparkSession, args) -> dict:
     checked = key_report(asked, ["symbol", "date"], "date").first().asDict()
     block_rows = None
     if checked["repeated_keys"]:
-        # Unique keys bound a series by the calendar; without them its length is measured.
+        # Unique keys bound a series by the calendar; without them, long series are cut.
         if not args.allow_duplicates:
             raise ValueError(f"{checked['repeated_keys']} keys (symbol, date) have several rows")
-        keys = ["symbol"] if args.continuous else ["symbol", "run_year"]
-        block_rows = BLOCK_ROWS if longest_series(bars, keys) > BLOCK_ROWS else None
+        block_rows = BLOCK_ROWS
 
     published = prices.price_metrics(
         bars, securities, fx, strict=args.strict, continuous=args.continuous,

@@ -7,16 +7,26 @@ its rows and cuts them into blocks, giving each block the rows before it that it
 windows look back on.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.operators.joins import lookup_side
+
 TIE_CELLS = 64
 
 
-def longest_series(df: DataFrame, keys) -> int:
-    """Rows of the longest series, by one aggregation with map-side combine."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame]:
+    """The rows of series of up to ``limit`` rows, and the rows of the longer ones.
+
+    Series are counted with map-side combine, and only the keys of long ones are joined back.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    long_keys = lookup_side(counted.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(long_keys, same, "left_anti"), df.join(long_keys, same, "left_semi")
 
 
 def in_blocks(df: DataFrame, keys, date, lookback, block_rows) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barloom.functions import rolling
 from barloom.operators.columns import clean_dates, project
 from barloom.operators.joins import attach_rate, attach_sector, fits_broadcast
-from barloom.operators.series import in_blocks
+from barloom.operators.series import in_blocks, split_long
 from barloom.schemas import PRICE_NAMES, RAW_PRICES, SECTOR, TICKER
 
 SHORT, LONG, STRENGTH = 10, 50, 14
@@ -50,16 +50,19 @@ def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
 
     Windows restart each calendar year; ``continuous`` runs them over the whole history.
     ``literal`` publishes the 14-row mean of the close under the name ``rsi``.
-    ``block_rows`` cuts series into blocks of that many rows, for series too long for a task.
+    ``block_rows`` cuts series longer than that into blocks, so that none fills a task.
     """
     bars = with_run_year(prices)
     keys = ["symbol"] if continuous else ["symbol", "run_year"]
     small = fits_broadcast(project(securities, [TICKER, *SECTOR]))
 
     if block_rows:
-        blocks = in_blocks(bars, keys, "date", LOOKBACK, block_rows)
-        measured = add_indicators(blocks, [*keys, "_block"], ["_pos"], strict)
-        measured = measured.where("_own").drop("_block", "_pos", "_own")
+        short, long = split_long(bars, keys, block_rows)
+        blocks = in_blocks(long, keys, "date", LOOKBACK, block_rows)
+        pieces = add_indicators(blocks, [*keys, "_block"], ["_pos"], strict).where("_own")
+        measured = add_indicators(short, keys, strict=strict).unionByName(
+            pieces.drop("_block", "_pos", "_own")
+        )
     else:
         # With a shuffled sector join, windows and join share one exchange on symbol.
         series = bars if small else bars.repartition("symbol")

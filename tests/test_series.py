@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 
 from barloom.functions.rolling import rolling_mean
-from barloom.operators.series import in_blocks, longest_series
+from barloom.operators.series import in_blocks, split_long
 from barloom.plans.prices import LOOKBACK, price_metrics
 from barloom.schemas import RAW_FX, RAW_PRICES, RAW_SECURITIES
 
@@ -57,14 +57,21 @@ def test_no_block_exceeds_its_bound(spark):
     df = spark.createDataFrame(data, "symbol string, date date, close double")
     sizes = in_blocks(df, ["symbol"], "date", 49, 100).groupBy("symbol", "_block").count()
     assert max(r["count"] for r in sizes.collect()) <= 149
-    assert longest_series(df, ["symbol"]) == 4000
+
+
+def test_long_series_are_split_off(spark):
+    data = [("HOT", 1)] * 30 + [(None, 2)] * 25 + [(None, 3)] * 5 + [("A", 1)] * 20
+    df = spark.createDataFrame(data, "symbol string, run_year int")
+    rest, cut = split_long(df, ["symbol", "run_year"], 20)
+    assert {tuple(r) for r in cut.collect()} == {("HOT", 1), (None, 2)} and cut.count() == 55
+    assert {tuple(r) for r in rest.collect()} == {(None, 3), ("A", 1)} and rest.count() == 25
 
 
 def test_pipeline_is_the_same_in_blocks(spark):
     rng = random.Random(5)
     rows = []
-    for symbol in ("A", "B"):
-        for i in range(260):
+    for symbol, days in (("A", 260), ("B", 120)):
+        for i in range(days):
             c = None if i == 100 else rng.randrange(1000) / 100
             rows.append((DAY + timedelta(days=2 * i), symbol, c, c, c, c, i))
     prices = spark.createDataFrame(rows, RAW_PRICES)
@@ -72,7 +79,7 @@ def test_pipeline_is_the_same_in_blocks(spark):
     fx = spark.createDataFrame([(date(2012, 3, 1), "USD", 1, "THB", 31.5)], RAW_FX)
     for options in ({}, {"strict": True}, {"continuous": True}):
         plain = price_metrics(prices, securities, fx, **options)
-        for block_rows in (20, LOOKBACK + 1, 100):
+        for block_rows in (20, LOOKBACK + 1, 100, 170, 1000):
             blocked = price_metrics(prices, securities, fx, block_rows=block_rows, **options)
             assert plain.exceptAll(blocked).count() == 0
             assert blocked.exceptAll(plain).count() == 0
