@@ -303,9 +303,8 @@ def fx_rate_table(spark, folder):
 
 @query
 def replay_year_bounds(spark, folder):
-    start = F.lit(REPLAY_START).cast("timestamp_ntz")
     runs = testbed.table(spark, folder, "events").select("event_id", "ts")
-    return replay_calendar(runs, "ts", start).drop("ts")
+    return replay_calendar(runs, "ts", REPLAY_START).drop("ts")
 
 
 # Windows

@@ -1,5 +1,7 @@
 """Calendar keys, the monthly request spine and the replay calendar."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,17 +37,20 @@ def elapsed_days(start: Column, instant: Column) -> Column:
     return whole - F.when(span < F.make_dt_interval(whole), 1).otherwise(0)
 
 
-def replay_calendar(runs: DataFrame, run_at, start_at: Column, base_year=REPLAY_BASE_YEAR,
+def replay_calendar(runs: DataFrame, run_at, start_at: datetime, base_year=REPLAY_BASE_YEAR,
                     zone=REPORTING_ZONE) -> DataFrame:
     """Add the data year that each run loads: ``base_year`` plus whole days since the start.
 
-    ``run_at`` and ``start_at`` are zone-less UTC timestamps. Adds ``run_date`` (local date),
-    ``run_count``, ``run_year`` and the half-open bounds ``slice_start`` and ``slice_end``.
+    The column ``run_at`` and the instant ``start_at`` are zone-less and in UTC. Adds ``run_date``
+    (local date), ``run_count``, ``run_year`` and the half-open bounds ``slice_start`` and
+    ``slice_end``.
     """
+    # Through text, as a datetime literal would be shifted by the session's time zone.
+    start = F.lit(start_at.isoformat(sep=" ")).cast("timestamp_ntz")
     return (
         runs.withColumns({
             "run_date": F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(run_at)).cast("date"),
-            "run_count": elapsed_days(start_at, F.col(run_at)).cast("int"),
+            "run_count": elapsed_days(start, F.col(run_at)).cast("int"),
         })
         .withColumn("run_year", F.lit(base_year) + F.col("run_count"))
         .withColumns({
@@ -55,6 +60,6 @@ def replay_calendar(runs: DataFrame, run_at, start_at: Column, base_year=REPLAY_
     )
 
 
-def replay_year(run_at, start_at, base_year=REPLAY_BASE_YEAR) -> int:
+def replay_year(run_at: datetime, start_at: datetime, base_year=REPLAY_BASE_YEAR) -> int:
     """The same rule for one run, as a job parameter."""
     return base_year + (run_at - start_at).days

@@ -1,7 +1,6 @@
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from barloom.functions.calendar import month_spine, replay_calendar, replay_year, year_month
 from barloom.operators import columns, joins, quality
@@ -64,7 +63,7 @@ def test_replay_counts_whole_days(spark):
     start = datetime(2025, 1, 18)
     instants = [start, datetime(2025, 1, 18, 23, 59, 59), datetime(2025, 1, 19), datetime(2025, 1, 17, 23, 59, 59)]
     runs = spark.createDataFrame([(i,) for i in instants], "at timestamp_ntz")
-    got = replay_calendar(runs, "at", F.lit(start).cast("timestamp_ntz")).collect()
+    got = replay_calendar(runs, "at", start).collect()
     assert [r.run_year for r in got] == [replay_year(i, start) for i in instants] == [2012, 2012, 2013, 2011]
     assert got[0].slice_start == date(2012, 1, 1) and got[0].slice_end == date(2013, 1, 1)
     assert got[1].run_date == date(2025, 1, 19)
