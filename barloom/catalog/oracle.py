@@ -30,7 +30,7 @@ BLOCKS = {
         FROM orders GROUP BY 1""",
     "spine": """
         SELECT DISTINCT cast(make_date(y, 1, 1) + to_months(cast(m AS integer)) AS date) AS exchange_date
-        FROM (SELECT DISTINCT cast(year(l_shipdate) AS bigint) AS y FROM lineitem), range(13) months(m)""",
+        FROM (SELECT DISTINCT cast(year(o_orderdate) AS bigint) AS y FROM orders), range(13) months(m)""",
     "fx": """
         SELECT exchange_date, 'USD' AS curency_base, cast(1 AS integer) AS usd_value,
                'THB' AS curency_target, rate AS exchange_rate

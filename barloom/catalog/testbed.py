@@ -78,8 +78,8 @@ def securities(spark, folder) -> DataFrame:
 
 
 def years(spark, folder) -> DataFrame:
-    """Calendar years in which anything shipped."""
-    return table(spark, folder, "lineitem").select(F.year("l_shipdate").alias("run_year")).distinct()
+    """Calendar years in which anything was ordered."""
+    return table(spark, folder, "orders").select(F.year("o_orderdate").alias("run_year")).distinct()
 
 
 def fx_payloads(spark, folder) -> DataFrame:

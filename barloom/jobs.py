@@ -68,13 +68,13 @@ def require_unique(df: DataFrame, keys):
 def run_prices(spark: SparkSession, args) -> dict:
     first, last = years_of(args)
     raw = prices.with_run_year(read(spark, args.source, args.prices, RAW_PRICES))
-    bars = files.slice_years(raw, "date", first, last)
     securities = read(spark, args.lookup_source, args.securities, RAW_SECURITIES)
     fx = read(spark, args.lookup_source, args.fx, RAW_FX)
 
     require_unique(securities, ["Ticker symbol"])
-    asked = raw.where(F.col("date").isNull() | F.col("run_year").between(first, last))
-    checked = key_report(asked, ["symbol", "date"], "date").first().asDict()
+    day = F.col("date")
+    asked = (day >= F.lit(date(first, 1, 1))) & (day < F.lit(date(last + 1, 1, 1)))
+    checked = key_report(raw.where(asked | day.isNull()), ["symbol", "date"], "date").first().asDict()
     block_rows = None
     if checked["repeated_keys"]:
         # Unique keys bound a series by the calendar; without them, long series are cut.
@@ -83,7 +83,7 @@ def run_prices(spark: SparkSession, args) -> dict:
         block_rows = BLOCK_ROWS
 
     published = prices.price_metrics(
-        bars, securities, fx, strict=args.strict, continuous=args.continuous,
+        raw.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
         literal=args.literal, block_rows=block_rows,
     )
     seen = Observation("prices")

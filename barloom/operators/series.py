@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.joins import lookup_side
+from barloom.sources.workspace import work_folder
 
 TIE_CELLS = 64
 
@@ -21,10 +21,13 @@ TIE_CELLS = 64
 def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame]:
     """The rows of series of up to ``limit`` rows, and the rows of the longer ones.
 
-    Series are counted with map-side combine, and only the keys of long ones are joined back.
+    Series are counted once, with map-side combine; the keys of long ones are joined back.
     """
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
-    long_keys = lookup_side(counted.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    # As a stored table, its size is known when the joins below are planned.
+    path = work_folder(df.sparkSession)
+    counted.select(*[F.col(k).alias(f"_{k}") for k in keys]).write.parquet(path)
+    long_keys = df.sparkSession.read.parquet(path)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return df.join(long_keys, same, "left_anti"), df.join(long_keys, same, "left_semi")
 

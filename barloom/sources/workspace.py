@@ -10,9 +10,5 @@ SHARED = "spark.checkpoint.dir"
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder under the session's shared folder; a local one only where none is set."""
-    shared = spark.conf.get(SHARED, None)
-    if not shared:
-        shared = spark.sparkContext.getConf().get(SHARED)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="barloom-")
+    shared = spark.conf.get(SHARED, None) or tempfile.mkdtemp(prefix="barloom-")
     return f"{shared.rstrip('/')}/barloom/{uuid4().hex}"

@@ -8,22 +8,22 @@ from barloom.plans.prices import price_metrics, with_run_year
 from barloom.schemas import RAW_PRICES
 from barloom.sinks.tables import idempotent_load
 
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
-def _store(batch: DataFrame, batch_id, history):
+
+def _store(rows: DataFrame, batch_id, history):
     """Keep the batch under its own id, so that a repeated batch replaces itself."""
-    rows = with_run_year(batch).withColumn("batch", F.lit(batch_id).cast("bigint"))
     (
-        rows.hint("rebalance", "run_year").write.partitionBy("batch", "run_year")
+        rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        .hint("rebalance", "run_year").write.partitionBy("run_year", "batch")
         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(history)
     )
 
 
-def _of_years(stored: DataFrame, years) -> DataFrame:
-    known = [y for y in years if y is not None]
-    wanted = F.col("run_year").isin(known) if known else F.lit(False)
-    if None in years:
-        wanted = wanted | F.col("run_year").isNull()
-    return stored.where(wanted)
+def _stored(spark: SparkSession, history, years) -> DataFrame:
+    """The stored rows of the given years; folders of other years are not even listed."""
+    names = [UNDATED if y is None else y for y in years]
+    return spark.read.option("basePath", history).parquet(*[f"{history}/run_year={n}" for n in names])
 
 
 def publish_new_files(spark: SparkSession, landing, history, published, checkpoint,
@@ -37,14 +37,12 @@ def publish_new_files(spark: SparkSession, landing, history, published, checkpoi
     arriving = spark.readStream.format(source).schema(RAW_PRICES).options(**(reader or {})).load(landing)
 
     def load(batch: DataFrame, batch_id: int):
-        session = batch.sparkSession
-        _store(batch, batch_id, history)
-        stored = session.read.parquet(history)
-        touched = stored.where(F.col("batch") == batch_id).select("run_year").distinct()
-        years = [row.run_year for row in touched.collect()]
+        rows = with_run_year(batch)
+        years = [row.run_year for row in rows.select("run_year").distinct().collect()]
         if years:
-            republished = price_metrics(_of_years(stored, years), securities, fx, **metrics)
-            idempotent_load(republished, published)
+            _store(rows, batch_id, history)
+            affected = _stored(batch.sparkSession, history, years)
+            idempotent_load(price_metrics(affected, securities, fx, **metrics), published)
 
     return (
         arriving.writeStream.trigger(availableNow=True)
