@@ -38,9 +38,14 @@ def bars(spark, folder) -> DataFrame:
     return prices.with_run_year(testbed.prices(spark, folder))
 
 
-def metrics(spark, folder, **options) -> DataFrame:
+def lookups(spark, folder):
+    return testbed.securities(spark, folder), testbed.fx(spark, folder)
+
+
+def metrics(spark, folder, block_rows=None, **options) -> DataFrame:
+    """Bars are grouped by symbol and date, hence unique, so no series needs cutting."""
     return prices.price_metrics(
-        testbed.prices(spark, folder), testbed.securities(spark, folder), testbed.fx(spark, folder), **options
+        testbed.prices(spark, folder), *lookups(spark, folder), block_rows=block_rows, **options
     )
 
 
@@ -175,10 +180,10 @@ def parquet_roundtrip(spark, folder):
 def append_load(spark, folder):
     path = work_folder(spark)
     everything = testbed.prices(spark, folder)
-    lookups = testbed.securities(spark, folder), testbed.fx(spark, folder)
+    sector_and_rate = lookups(spark, folder)
     for start, end in ((None, SPLIT), (SPLIT, None)):
         part = files.slice_range(everything, "date", start, end)
-        tables.append_load(prices.price_metrics(part, *lookups), path)
+        tables.append_load(prices.price_metrics(part, *sector_and_rate, block_rows=None), path)
     return files.scan_parquet(spark, path)
 
 
@@ -186,10 +191,10 @@ def append_load(spark, folder):
 def idempotent_load(spark, folder):
     path = work_folder(spark)
     everything = testbed.prices(spark, folder)
-    lookups = testbed.securities(spark, folder), testbed.fx(spark, folder)
+    sector_and_rate = lookups(spark, folder)
     again = files.slice_range(everything, "date", start=SPLIT)
     for part in (everything, again):
-        tables.idempotent_load(prices.price_metrics(part, *lookups), path)
+        tables.idempotent_load(prices.price_metrics(part, *sector_and_rate, block_rows=None), path)
     return files.scan_parquet(spark, path)
 
 
@@ -198,10 +203,10 @@ def incremental_load(spark, folder):
     path = work_folder(spark)
     landing, history, published = f"{path}/landing", f"{path}/history", f"{path}/published"
     everything = testbed.prices(spark, folder)
-    lookups = testbed.securities(spark, folder), testbed.fx(spark, folder)
+    sector_and_rate = lookups(spark, folder)
     for start, end in ((None, SPLIT), (SPLIT, None)):
         files.slice_range(everything, "date", start, end).write.mode("append").parquet(landing)
-        publish_new_files(spark, landing, history, published, f"{path}/progress", *lookups).awaitTermination()
+        publish_new_files(spark, landing, history, published, f"{path}/progress", *sector_and_rate).awaitTermination()
     return files.scan_parquet(spark, published)
 
 

@@ -23,8 +23,6 @@ from barloom.schemas import RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES
 from barloom.sinks import tables
 from barloom.sources import files
 
-BLOCK_ROWS = 100_000
-
 
 def years_of(args) -> tuple[int, int]:
     """The inclusive year range asked for. Incomplete parameters stop the job before any work."""
@@ -75,16 +73,13 @@ def run_prices(spark: SparkSession, args) -> dict:
     day = F.col("date")
     asked = (day >= F.lit(date(first, 1, 1))) & (day < F.lit(date(last + 1, 1, 1)))
     checked = key_report(raw.where(asked | day.isNull()), ["symbol", "date"], "date").first().asDict()
-    block_rows = None
-    if checked["repeated_keys"]:
-        # Unique keys bound a series by the calendar; without them, long series are cut.
-        if not args.allow_duplicates:
-            raise ValueError(f"{checked['repeated_keys']} keys (symbol, date) have several rows")
-        block_rows = BLOCK_ROWS
+    repeated = checked["repeated_keys"]
+    if repeated and not args.allow_duplicates:
+        raise ValueError(f"{repeated} keys (symbol, date) have several rows")
 
     published = prices.price_metrics(
         raw.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
-        literal=args.literal, block_rows=block_rows,
+        literal=args.literal, block_rows=prices.BLOCK_ROWS if repeated else None,
     )
     seen = Observation("prices")
     save(published.observe(

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from barloom.sources.workspace import work_folder
 
-TIE_CELLS = 64
+DAY_CELLS = 1024
 
 
-def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame]:
-    """The rows of series of up to ``limit`` rows, and the rows of the longer ones.
+def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of series of up to ``limit`` rows, and those of longer ones, None if there are none.
 
     Series are counted once, with map-side combine; the keys of long ones are joined back.
     """
@@ -28,6 +28,8 @@ def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame]:
     path = work_folder(df.sparkSession)
     counted.select(*[F.col(k).alias(f"_{k}") for k in keys]).write.parquet(path)
     long_keys = df.sparkSession.read.parquet(path)
+    if long_keys.isEmpty():
+        return df, None
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return df.join(long_keys, same, "left_anti"), df.join(long_keys, same, "left_semi")
 
@@ -38,13 +40,14 @@ def in_blocks(df: DataFrame, keys, date, lookback, block_rows) -> DataFrame:
     Adds ``_block``, ``_pos`` (row number in the series) and ``_own``. Evaluate windows over
     ``keys + ["_block"]`` ordered by ``_pos``, then keep the rows with ``_own``. Rows sharing
     a date take an arbitrary but repeatable order. Equal rows are counted, not shuffled one
-    by one, until their block is known; no task holds more than a block of one series.
+    by one, until their block is known. A task holds one block, or in the numbering the
+    distinct rows of one of the cells into which the rows of each day are hashed.
     """
     rest = [c for c in df.columns if c not in keys and c != date]
     before = (Window.unboundedPreceding, -1)
 
     rows = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    part = F.pmod(F.xxhash64(date, *rest), F.lit(TIE_CELLS))
+    part = F.pmod(F.xxhash64(date, *rest), F.lit(DAY_CELLS))
     # A struct key compares NULL parts as equal, so series with a NULL key are joined too.
     rows = rows.withColumn("_cell", F.struct(*keys, date, part.alias("_part")))
 
@@ -55,9 +58,11 @@ def in_blocks(df: DataFrame, keys, date, lookback, block_rows) -> DataFrame:
     )
     cell = Window.partitionBy("_cell").orderBy(date, *rest)
     inside = F.coalesce(F.sum("_copies").over(cell.rowsBetween(*before)), F.lit(0))
-    placed = rows.join(starts, "_cell").withColumn("_first", F.col("_start") + inside)
-
-    placed = placed.withColumn("_last", F.col("_first") + F.col("_copies") - 1)
+    placed = (
+        rows.join(starts, "_cell")
+        .withColumn("_first", F.col("_start") + inside)
+        .withColumn("_last", F.col("_first") + F.col("_copies") - 1)
+    )
 
     block_start = F.col("_block") * block_rows
     blocks = F.expr(f"sequence(_first div {block_rows}, (_last + {lookback}) div {block_rows})")

@@ -9,6 +9,7 @@ from barloom.operators.joins import attach_rate, attach_sector, fits_broadcast
 from barloom.operators.series import in_blocks, split_long
 from barloom.schemas import PRICE_NAMES, RAW_PRICES, SECTOR, TICKER
 
+BLOCK_ROWS = 100_000
 SHORT, LONG, STRENGTH = 10, 50, 14
 LOOKBACK = max(SHORT, LONG, STRENGTH + 1) - 1
 
@@ -45,28 +46,29 @@ def add_indicators(bars: DataFrame, keys, order=("date",), strict=False) -> Data
 
 
 def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
-                  strict=False, continuous=False, literal=False, block_rows=None) -> DataFrame:
+                  strict=False, continuous=False, literal=False, block_rows=BLOCK_ROWS) -> DataFrame:
     """The published price table, every input row kept.
 
     Windows restart each calendar year; ``continuous`` runs them over the whole history.
     ``literal`` publishes the 14-row mean of the close under the name ``rsi``.
-    ``block_rows`` cuts series longer than that into blocks, so that none fills a task.
+    Series longer than ``block_rows`` are cut into blocks, so that none fills a task. Finding
+    them is one pass over symbol and date; None skips it, where (symbol, date) is known to be
+    unique and the calendar bounds every series.
     """
     bars = with_run_year(prices)
     keys = ["symbol"] if continuous else ["symbol", "run_year"]
     small = fits_broadcast(project(securities, [TICKER, *SECTOR]))
 
-    if block_rows:
-        short, long = split_long(bars, keys, block_rows)
+    series, long = split_long(bars, keys, block_rows) if block_rows else (bars, None)
+
+    if long is None and not small:
+        # With a shuffled sector join, windows and join share one exchange on symbol.
+        series = series.repartition("symbol")
+    measured = add_indicators(series, keys, strict=strict)
+    if long is not None:
         blocks = in_blocks(long, keys, "date", LOOKBACK, block_rows)
         pieces = add_indicators(blocks, [*keys, "_block"], ["_pos"], strict).where("_own")
-        measured = add_indicators(short, keys, strict=strict).unionByName(
-            pieces.drop("_block", "_pos", "_own")
-        )
-    else:
-        # With a shuffled sector join, windows and join share one exchange on symbol.
-        series = bars if small else bars.repartition("symbol")
-        measured = add_indicators(series, keys, strict=strict)
+        measured = measured.unionByName(pieces.drop("_block", "_pos", "_own"))
 
     enriched = attach_rate(attach_sector(measured, securities, "symbol", broadcast=small), fx)
     enriched = enriched.withColumn("close_thb", F.col("exchange_rate") * F.col("close"))

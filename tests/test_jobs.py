@@ -54,7 +54,7 @@ def test_repeated_keys_stop_the_job_unless_allowed(spark, raw, monkeypatch):
         f.write("2012-01-05,A,1,5,1,5,500\n")
     with pytest.raises(ValueError, match="1 keys"):
         jobs.main(prices_args(raw, "--first-year", "2012"))
-    monkeypatch.setattr(jobs, "BLOCK_ROWS", 15)
+    monkeypatch.setattr(jobs.prices, "BLOCK_ROWS", 15)
     got = jobs.main(prices_args(raw, "--first-year", "2012", "--allow-duplicates"))
     assert got["rows"] == 41
 

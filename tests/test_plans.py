@@ -30,18 +30,18 @@ def landed(spark, tmp_path_factory):
 
 
 def test_one_shuffle_and_one_sort_for_all_indicators(landed):
-    text = plan(prices.price_metrics(*landed))
+    text = plan(prices.price_metrics(*landed, block_rows=None))
     assert len(re.findall(r"\bExchange hashpartitioning", text)) == 1
     assert len(re.findall(r"[-+:] ?Sort \[", text)) == 1
     assert len(re.findall(r"BroadcastHashJoin", text)) == 2
 
 
 def test_large_securities_share_the_shuffle_of_the_windows(landed, spark, monkeypatch):
-    expected = prices.price_metrics(*landed)
+    expected = prices.price_metrics(*landed, block_rows=None)
     monkeypatch.setattr(prices, "fits_broadcast", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = prices.price_metrics(*landed)
+        shuffled = prices.price_metrics(*landed, block_rows=None)
         text = plan(shuffled)
         on_symbol = re.findall(r"Exchange hashpartitioning\(symbol#\d+, \d+\)", text)
         assert len(on_symbol) == 1 and "SortMergeJoin [symbol" in text
@@ -63,7 +63,7 @@ def test_large_rates_fall_back_to_a_shuffle_join(landed, spark, monkeypatch):
 
 
 def test_unused_indicators_cost_nothing(landed):
-    text = plan(prices.price_metrics(*landed).select("symbol", "date", "sma10"))
+    text = plan(prices.price_metrics(*landed, block_rows=None).select("symbol", "date", "sma10"))
     assert "lag(" not in text and "-49" not in text
     assert re.search(r"ReadSchema: struct<date:date,symbol:string,close:double>", text)
 
@@ -71,7 +71,7 @@ def test_unused_indicators_cost_nothing(landed):
 def test_year_filters_reach_the_scan(spark, landed):
     sliced = plan(QUERIES["slice_prices_year"](spark, SMALL))
     assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(l_shipdate", sliced)
-    after = plan(prices.price_metrics(*landed).where(F.col("run_year") == 1998))
+    after = plan(prices.price_metrics(*landed, block_rows=None).where(F.col("run_year") == 1998))
     assert after.index("Window") < after.index("(year(date") < after.index("FileScan")
 
 
