@@ -43,15 +43,28 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick the schema's columns by name and give them its types; bad values become NULL."""
     picked = []
     for field in schema.fields:
-        raw = column(df, field.name)
         if field.dataType == T.DateType():
-            raw = as_date(df, field.name)
+            typed = as_date(df, field.name)
+        elif isinstance(field.dataType, T.IntegralType):
+            typed = as_integer(df, field.name, field.dataType)
         else:
-            raw = raw.try_cast(field.dataType)
-        picked.append(raw.alias(field.name))
+            typed = column(df, field.name).try_cast(field.dataType)
+        picked.append(typed.alias(field.name))
     return df.select(*picked)
 
 
+def as_integer(df: DataFrame, name: str, integral: T.IntegralType):
+    """An integer from any column; whole numbers written with a fraction (12.0) count as such."""
+    raw = column(df, name)
+    if isinstance(df.schema[resolve(df, name)].dataType, T.IntegralType):
+        return raw.try_cast(integral)
+    number = raw.try_cast("double")
+    whole = F.when(number == F.floor(number), number).try_cast(integral)
+    if isinstance(df.schema[resolve(df, name)].dataType, T.StringType):
+        return F.coalesce(raw.try_cast(integral), whole)
+    return whole
+
+
 def as_date(df: DataFrame, name: str, formats=(DATE_FORMAT,)):
     """A DATE from a date, timestamp or text column; text that fits no format gives NULL."""
     raw = column(df, name)

@@ -4,19 +4,29 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators.columns import column, conform, project
 
 
-def scan_csv(spark: SparkSession, path, schema, infer=False, **options) -> DataFrame:
+def scan_csv(spark: SparkSession, path, schema: T.StructType, infer=False, **options) -> DataFrame:
     """Read CSV with a header. Columns are found by name and given the schema's types.
 
     ``infer`` keeps the types Spark infers instead (one more pass over the file).
     """
-    raw = spark.read.options(header=True, inferSchema=infer, **options).csv(path)
+    reader = spark.read.options(header=True, inferSchema=infer, **options)
+    raw = reader.csv(path)
     if not raw.columns:
         return spark.createDataFrame([], schema)
-    return project(raw, schema.names) if infer else conform(raw, schema)
+    if infer:
+        return project(raw, schema.names)
+    # The file's own columns in its own order; fractions are parsed by the reader, while text
+    # is kept where the schema wants a date or an integer, whose spelling may vary.
+    fractions = {f.name.lower() for f in schema.fields if isinstance(f.dataType, T.FractionalType)}
+    landed = T.StructType([
+        T.StructField(c, T.DoubleType() if c.lower() in fractions else T.StringType()) for c in raw.columns
+    ])
+    return conform(reader.schema(landed).csv(path), schema)
 
 
 def scan_documents(spark: SparkSession, path, schema=None) -> DataFrame:

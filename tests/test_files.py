@@ -20,11 +20,14 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         "_id,symbol,Date,volume,open,close,low,high,note\n"
         "1,A,2012-01-03,12,1.5,2.5,1.0,3.0,\"x, y\"\n"
         "2,B,2012-01-03 00:00:00,many,,2,1,3,\n"
+        "3,C,2012-01-04,2163600.0,x,2,1,3,\n"
+        "4,D,2012-01-05,0.5,1,2,1,3,\n"
     ))
     df = files.scan_csv(spark, path, RAW_PRICES)
     assert df.schema == RAW_PRICES
     assert [tuple(r) for r in df.collect()] == [
-        (date(2012, 1, 3), "A", 1.5, 2.5, 1.0, 3.0, 12), (None, "B", None, 2.0, 1.0, 3.0, None)
+        (date(2012, 1, 3), "A", 1.5, 2.5, 1.0, 3.0, 12), (None, "B", None, 2.0, 1.0, 3.0, None),
+        (date(2012, 1, 4), "C", None, 2.0, 1.0, 3.0, 2163600), (date(2012, 1, 5), "D", 1.0, 2.0, 1.0, 3.0, None),
     ]
 
 
