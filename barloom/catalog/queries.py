@@ -83,7 +83,7 @@ def price_metrics_blocked(spark, folder):
 @query
 def price_metrics_backfill(spark, folder):
     path = work_folder(spark)
-    tables.idempotent_load(metrics(spark, folder), path)
+    tables.idempotent_load(metrics(spark, folder, by_year=True), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 

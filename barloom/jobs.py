@@ -50,11 +50,9 @@ def read(spark: SparkSession, source, path, schema) -> DataFrame:
     return conform(files.scan_collection(spark, collection=path), schema)
 
 
-def save(df: DataFrame, args):
-    if args.mode == "append":
-        tables.append_load(df, args.out)
-    else:
-        tables.idempotent_load(df, args.out)
+def save(df: DataFrame, args, **layout):
+    load = tables.append_load if args.mode == "append" else tables.idempotent_load
+    load(df, args.out, **layout)
 
 
 def require_unique(df: DataFrame, keys):
@@ -80,13 +78,14 @@ def run_prices(spark: SparkSession, args) -> dict:
     published = prices.price_metrics(
         raw.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
         literal=args.literal, block_rows=prices.BLOCK_ROWS if repeated else None,
+        by_year=True,
     )
     seen = Observation("prices")
     save(published.observe(
         seen, F.count("*").alias("rows"),
         F.count_if(F.col("gics_sector").isNull()).alias("without_sector"),
         F.count_if(F.col("close_price_thb").isNull()).alias("without_rate"),
-    ), args)
+    ), args, clustered=True)
     return {"undated": checked["undated"], **seen.get}
 
 

@@ -8,6 +8,7 @@ from barloom.operators.columns import clean_dates, project
 from barloom.operators.joins import attach_rate, attach_sector, fits_broadcast
 from barloom.operators.series import in_blocks, split_long
 from barloom.schemas import PRICE_NAMES, RAW_PRICES, SECTOR, TICKER
+from barloom.sinks.tables import rebalanced
 
 BLOCK_ROWS = 100_000
 SHORT, LONG, STRENGTH = 10, 50, 14
@@ -46,7 +47,8 @@ def add_indicators(bars: DataFrame, keys, order=("date",), strict=False) -> Data
 
 
 def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
-                  strict=False, continuous=False, literal=False, block_rows=BLOCK_ROWS) -> DataFrame:
+                  strict=False, continuous=False, literal=False, block_rows=BLOCK_ROWS,
+                  by_year=False) -> DataFrame:
     """The published price table, every input row kept.
 
     Windows restart each calendar year; ``continuous`` runs them over the whole history.
@@ -54,14 +56,20 @@ def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
     Series longer than ``block_rows`` are cut into blocks, so that none fills a task. Finding
     them is one pass over symbol and date; None skips it, where (symbol, date) is known to be
     unique and the calendar bounds every series.
+    ``by_year`` returns rows ready to be stored by year. The windows then use a range exchange
+    on (year, symbol), which saves the store another shuffle, at the price of sampling the
+    input; where that cannot serve, the result is rebalanced.
     """
     bars = with_run_year(prices)
-    keys = ["symbol"] if continuous else ["symbol", "run_year"]
+    keys = ["symbol"] if continuous else ["run_year", "symbol"]
     small = fits_broadcast(project(securities, [TICKER, *SECTOR]))
 
     series, long = split_long(bars, keys, block_rows) if block_rows else (bars, None)
 
-    if long is None and not small:
+    ranged = by_year and small and long is None and not continuous
+    if ranged:
+        series = series.repartitionByRange(*keys)
+    elif long is None and not small:
         # With a shuffled sector join, windows and join share one exchange on symbol.
         series = series.repartition("symbol")
     measured = add_indicators(series, keys, strict=strict)
@@ -75,4 +83,5 @@ def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
     if literal:
         enriched = enriched.withColumn("rsi", F.col("sma14"))
     extra = ["run_year"] if literal else ["sma14", "run_year"]
-    return enriched.select(*[F.col(old).alias(new) for old, new in PRICE_NAMES.items()], *extra)
+    published = enriched.select(*[F.col(old).alias(new) for old, new in PRICE_NAMES.items()], *extra)
+    return rebalanced(published) if by_year and not ranged else published

@@ -20,20 +20,25 @@ def write_parquet(df: DataFrame, path):
     df.write.mode("overwrite").parquet(path)
 
 
-def _by_year(df: DataFrame, by):
-    # Rows of a year go to few tasks, and adaptive execution splits the large years, so that
-    # files come out near the advisory size instead of one per task and year.
-    return df.hint("rebalance", by).write.partitionBy(by)
+def rebalanced(df: DataFrame, by=PARTITION) -> DataFrame:
+    """The rows of a year in few tasks, large years split by adaptive execution, so that files
+    come out near the advisory size instead of one per task and year."""
+    return df.hint("rebalance", by)
 
 
-def append_load(df: DataFrame, path, by=PARTITION):
-    """Add the rows to the table, creating it if missing. Loading twice doubles the rows."""
-    _by_year(df, by).mode("append").parquet(path)
+def append_load(df: DataFrame, path, by=PARTITION, clustered=False):
+    """Add the rows to the table, creating it if missing. Loading twice doubles the rows.
 
+    ``clustered`` tells that the rows of a year already are together.
+    """
+    rows = df if clustered else rebalanced(df, by)
+    rows.write.partitionBy(by).mode("append").parquet(path)
 
-def idempotent_load(df: DataFrame, path, by=PARTITION):
+
+def idempotent_load(df: DataFrame, path, by=PARTITION, clustered=False):
     """Replace the years present in the rows and leave all others. Loading twice is harmless."""
-    _by_year(df, by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    rows = df if clustered else rebalanced(df, by)
+    rows.write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_to_warehouse(df: DataFrame, source, **options):

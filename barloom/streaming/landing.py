@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barloom.plans.prices import price_metrics, with_run_year
 from barloom.schemas import RAW_PRICES
-from barloom.sinks.tables import idempotent_load
+from barloom.sinks.tables import idempotent_load, rebalanced
 
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
@@ -14,8 +14,8 @@ UNDATED = "__HIVE_DEFAULT_PARTITION__"
 def _store(rows: DataFrame, batch_id, history):
     """Keep the batch under its own id, so that a repeated batch replaces itself."""
     (
-        rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        .hint("rebalance", "run_year").write.partitionBy("run_year", "batch")
+        rebalanced(rows.withColumn("batch", F.lit(batch_id).cast("bigint")))
+        .write.partitionBy("run_year", "batch")
         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(history)
     )
 
@@ -42,7 +42,8 @@ def publish_new_files(spark: SparkSession, landing, history, published, checkpoi
         if years:
             _store(rows, batch_id, history)
             affected = _stored(batch.sparkSession, history, years)
-            idempotent_load(price_metrics(affected, securities, fx, **metrics), published)
+            republished = price_metrics(affected, securities, fx, by_year=True, **metrics)
+            idempotent_load(republished, published, clustered=True)
 
     return (
         arriving.writeStream.trigger(availableNow=True)

@@ -43,6 +43,12 @@ def test_prices_by_range_and_replay(spark, raw):
     assert spark.read.parquet(f"{raw}/out").count() == 120
 
 
+def test_whole_history_windows(spark, raw):
+    jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013", "--continuous"))
+    seen = spark.read.parquet(f"{raw}/out").where("sma10 IS NOT NULL").count()
+    assert seen == 2 * (40 - 9)
+
+
 def test_missing_parameters_stop_before_any_work(raw):
     for more in ((), ("--run-at", "2025-01-18"), ("--first-year", "2013", "--last-year", "2012")):
         with pytest.raises(ValueError):

@@ -36,6 +36,14 @@ def test_one_shuffle_and_one_sort_for_all_indicators(landed):
     assert len(re.findall(r"BroadcastHashJoin", text)) == 2
 
 
+def test_stored_years_need_no_second_shuffle(landed):
+    text = plan(prices.price_metrics(*landed, block_rows=None, by_year=True))
+    assert len(re.findall(r"\bExchange rangepartitioning\(run_year", text)) == 1
+    assert "Exchange hashpartitioning" not in text
+    whole = plan(prices.price_metrics(*landed, block_rows=None, by_year=True, continuous=True))
+    assert "REBALANCE_PARTITIONS_BY_COL" in whole
+
+
 def test_large_securities_share_the_shuffle_of_the_windows(landed, spark, monkeypatch):
     expected = prices.price_metrics(*landed, block_rows=None)
     monkeypatch.setattr(prices, "fits_broadcast", lambda df: False)
