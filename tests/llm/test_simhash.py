@@ -1,0 +1,98 @@
+import itertools
+import random
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from barloom.llm import simhash
+from barloom.llm.components import components
+
+
+def plain_fingerprint(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in words.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\v", " ")
+             .replace("\f", " ").split(" ") if w]
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def plain_components(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for a, b in linked:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_fingerprint_matches_plain_version():
+    for text in ["", None, " \t", "One", "one two three four", "A b\nc\x0bd e É é", "x " * 50, " a b"]:
+        assert simhash.fingerprint(None if text is None else text.encode()) == plain_fingerprint(text)
+
+
+def test_masks_cover_every_pair_within_the_radius():
+    for radius, bits in ((1, 12), (2, 16), (3, 14)):
+        masks = simhash.covering_masks(radius, bits)
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for where in itertools.combinations(range(bits), radius):
+            flipped = sum(1 << i for i in where)
+            assert any(not m & flipped for m in masks)
+    masks, rng = simhash.covering_masks(4), random.Random(1)
+    assert len(masks) == 31 and all(24 <= m.bit_count() <= 40 for m in masks)
+    for _ in range(20_000):
+        flipped = sum(1 << i for i in rng.sample(range(64), 4))
+        assert any(not m & flipped for m in masks)
+
+
+def test_links_with_split_buckets_match_brute_force(spark):
+    rng = random.Random(5)
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    values = set(centres)
+    while len(values) < 300:
+        values.add(rng.choice(centres) ^ sum(1 << i for i in set(rng.choices(range(64), k=rng.randint(1, 6)))))
+    values = [simhash._signed(v) for v in values]
+    mask = (1 << 64) - 1
+    near = [(a, b) for a, b in itertools.combinations(values, 2) if ((a ^ b) & mask).bit_count() <= 4]
+    expected = plain_components(values, near)
+    prints = spark.createDataFrame([(v,) for v in values], "fingerprint BIGINT")
+    for split in (8, 1 << 15):
+        edges = [tuple(r) for r in simhash.links(prints, 4, split).collect()]
+        assert plain_components(values, edges) == expected
+
+
+def test_two_sided_stars_link_across_only():
+    left, right = np.array([0, 1], np.int64), np.array([3, 7 << 40], np.int64)
+    nodes, roots = simhash.local_stars(left, right, 1)
+    assert plain_components([0, 1, 3, 7 << 40], zip(nodes.tolist(), roots.tolist())) == {0: 0, 1: 1, 3: 1, 7 << 40: 7 << 40}
+
+
+def test_documents(spark, docs):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(5000)]
+    base = " ".join(rng.choices(words, k=3000))
+    near = base.replace(base.split()[1500], "other", 1)
+    rows = [(9, base), (4, near), (7, base), (5, None), (3, ""), (8, " \n"), (1, "alone here"), (1, "alone here"),
+            (None, "no key"), (6, "long " * 200_000), (2, "ALONE\there")]
+    found = simhash.near_duplicates(docs(rows)).collect()
+    assert len(found) == len(rows)
+    prints = {r.doc_id: r.fingerprint & (1 << 64) - 1 for r in found}
+    assert all(prints[d] == plain_fingerprint(t) for d, t in rows if d is not None)
+    assert (prints[9] ^ prints[4]).bit_count() <= 4
+    assert {(r.doc_id, r.component_id) for r in found} == {
+        (9, 4), (4, 4), (7, 4), (5, 3), (3, 3), (8, 3), (1, 1), (None, None), (6, 6), (2, 1)}
+    empty = simhash.near_duplicates(docs([]))
+    assert empty.columns == ["doc_id", "fingerprint", "component_id"] and empty.count() == 0
+    assert [r.h for r in spark.range(1).select(simhash.hexadecimal(F.lit(-1).cast("bigint")).alias("h")).collect()] == ["f" * 16]
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    chain = [(i + 1, i) for i in range(100, 140)] + [(200, 300 + i) for i in range(50)] + [(5, 5), (None, 1), (7, 6), (6, 7)]
+    found = dict(components(spark.createDataFrame(chain, "a BIGINT, b BIGINT")).collect())
+    assert found == plain_components({n for e in chain if None not in e and e[0] != e[1] for n in e},
+                                     [e for e in chain if None not in e])
