@@ -95,4 +95,4 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i + 1, i) for i in range(100, 140)] + [(200, 300 + i) for i in range(50)] + [(5, 5), (None, 1), (7, 6), (6, 7)]
     found = dict(components(spark.createDataFrame(chain, "a BIGINT, b BIGINT")).collect())
     assert found == plain_components({n for e in chain if None not in e and e[0] != e[1] for n in e},
-                                     [e for e in chain if None not in e])
+                                     [e for e in chain if None not in e and e[0] != e[1]])
