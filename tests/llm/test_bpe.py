@@ -1,0 +1,52 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from barloom.llm import bpe
+from barloom.llm.queries import bpe_digests
+
+TOKENS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+VOCABULARY = bpe.Vocabulary(TOKENS)
+OTHER = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
+                          mergeable_ranks={t: i for i, t in enumerate(TOKENS)}, special_tokens={})
+
+
+def test_the_hash_is_perfect_and_minimal():
+    slots = [VOCABULARY.whole.candidate(t) for t in TOKENS]
+    assert slots == list(range(len(TOKENS)))
+    assert sorted(VOCABULARY.whole.order) == list(range(len(TOKENS)))
+    assert VOCABULARY.whole.candidate(b"not a token at all") in range(len(TOKENS))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_pieces_match_the_library(text):
+    import regex
+    ids = [i for p in regex.findall(public_tokenizers.PATTERN, text) for i in VOCABULARY.encode(p.encode())]
+    assert ids == OTHER.encode_ordinary(text)
+
+
+def test_runs_and_long_pieces_match_the_library():
+    rng = random.Random(3)
+    for piece in ["a" * 1000, "ab" * 700, "thethe" * 99, "".join(rng.choices("abcde", k=3000)), "é" * 501, "x"]:
+        assert VOCABULARY.merge(piece.encode()) == OTHER.encode_ordinary(piece)
+
+
+@pytest.mark.parametrize("memo", [2, 1000])
+def test_documents(spark, docs, memo):
+    texts = ["Hello  world\n\n it's 12345!", None, "", "  ", "é ñ 漢字 😀 <|endoftext|>", "same", "same", "word " * 50_000]
+    rows = [*enumerate(texts), (None, "no key"), (5, "same")]
+    coded = bpe.encode(docs(rows), TOKENS, public_tokenizers.PATTERN, memo=memo)
+    found = sorted(map(tuple, bpe_digests(coded, TOKENS).collect()), key=str)
+    expected = []
+    for d, t in rows:
+        ids = OTHER.encode_ordinary(t or "")
+        listed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        expected.append((d, len(ids), listed, hashlib.sha256((t or "").encode()).hexdigest()))
+    assert found == sorted(expected, key=str)
+    assert bpe_digests(bpe.encode(docs([]), TOKENS, public_tokenizers.PATTERN), TOKENS).count() == 0
