@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from barloom.llm.texts import map_texts
 
-MEMO_TOKENS = 400_000
+MEMO_TOKENS = 300_000
 MIX = 0x9E3779B97F4A7C15
 FULL = (1 << 64) - 1
 

@@ -1,3 +1,89 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others rest on learned models, SimHash hashes, tokenizers or suffix automata; their tests
+compare them with brute-force versions, exact round trips or held-out labels.
+"""
+
+from barloom.llm import decontaminate, secrets
 
 ORACLE = {}
+
+WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLE["op3_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+     b AS (SELECT item_id::VARCHAR AS item, {WORDS} AS w FROM benchmark),
+     grams AS (
+         SELECT DISTINCT item, least(10, len(w)) AS size, w[i:i + least(10, len(w)) - 1] AS gram
+         FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS r(i) WHERE len(w) > 0),
+     sizes AS (SELECT DISTINCT size FROM grams),
+     spots AS (
+         SELECT doc_id, size, i, w[i:i + size - 1] AS gram
+         FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS r(i)),
+     hit AS (SELECT doc_id, s.size, i, item FROM spots s JOIN grams g ON s.gram = g.gram),
+     covered AS (
+         SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + size)) AS r(p) GROUP BY doc_id),
+     named AS (
+         SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+         FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE["op4_cover_tree"] = """
+WITH RECURSIVE v AS (
+         SELECT vec_id, label, embedding::DOUBLE[] AS x,
+                embedding IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+                AND len(list_filter(embedding, lambda e: e <> 0)) > 0 AND label IS NOT NULL AS fine
+         FROM embeddings),
+     near AS (
+         SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+         ON a.label = b.label AND a.fine AND b.fine AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+         WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+     reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a),
+     least_of AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+     counted AS (SELECT a AS vec_id, count(*) AS n_links FROM near GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least_of USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets() -> str:
+    """Each rule over every text: where its matches stand between the pieces that they part."""
+    parts = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = _quoted(rule.pattern)
+        parts.append(f"""
+         SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind,
+                list_sum(list_transform(gaps[1:i], lambda x: len(x)))
+                + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: len(x))), 0) AS start, hits[i] AS hit
+         FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS hits, regexp_extract_all(text, {pattern}, {rule.group}) AS own,
+                      string_split_regex(text, {pattern}) AS gaps FROM d WHERE regexp_matches(text, {pattern})),
+              unnest(range(1, len(hits) + 1)) AS r(i) WHERE len(own[i]) >= {rule.least}""")
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in kinds)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+     spans AS ({' UNION ALL '.join(parts)}),
+     put AS (SELECT *, concat_ws(':', kind, start::BIGINT, (start + len(hit))::BIGINT) AS span FROM spans),
+     per_doc AS (
+         SELECT doc_id, {counts},
+                string_agg(span, ',' ORDER BY start, rank) FILTER (rank < {len(kinds)}) AS base,
+                string_agg(span, ',' ORDER BY start, rank) AS spans
+         FROM put GROUP BY doc_id)
+SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in kinds)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc USING (doc_id)
+"""
+
+
+ORACLE["op8_secrets"] = _secrets()

@@ -22,17 +22,19 @@ EPOCHS = 60
 BATCH = 128
 RATE = 0.01
 CALIBRATION = 5
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
+PIECE_WORDS = 1 << 16
 #: A word, a number's digits or a run of marks; a word in capitals differs from one in small letters.
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
 
 def index_vectors(buckets=BUCKETS, dimensions=DIMENSIONS, ones=ONES) -> np.ndarray:
-    """A fixed sparse vector of ``ones`` entries of 1 or -1 for each bucket of words."""
+    """A fixed sparse vector of ``ones`` entries of 1 or -1 for each bucket of words, and a zero one
+    for the blanks between texts."""
     random = np.random.default_rng(7)
-    rows = np.zeros((buckets, dimensions), np.int32)
-    for row in rows:
-        row[random.choice(dimensions, ones, replace=False)] = random.choice([-1, 1], ones)
+    rows = np.zeros((buckets + 1, dimensions), np.int32)
+    places = np.argsort(random.random((buckets, dimensions)), axis=1)[:, :ones]
+    rows[np.arange(buckets)[:, None], places] = random.choice([-1, 1], (buckets, ones))
     return rows
 
 
@@ -57,17 +59,18 @@ def context_sums(df: DataFrame, text="text") -> DataFrame:
     chosen = df.select(F.col(text).cast("string").cast("binary"))
 
     def run(batches):
-        index, buckets = index_vectors().astype(np.float64), _Buckets()
-        sums, counts = np.zeros((BUCKETS, DIMENSIONS)), np.zeros(BUCKETS, np.int64)
+        index, buckets = index_vectors(), _Buckets()
+        sums, counts = np.zeros((BUCKETS, DIMENSIONS), np.int64), np.zeros(BUCKETS, np.int64)
+        blank = np.full(NEIGHBOURS, BUCKETS)
         for batch in batches:
             for piece in cut(batch):
-                blank = np.full(NEIGHBOURS, BUCKETS)
                 parts = [p for t in piece.column(0).to_pylist() for p in (_coded(t, buckets), blank)]
                 words = np.concatenate([blank, *parts])
                 counts += np.bincount(words, minlength=BUCKETS + 1)[:BUCKETS]
-                _add_pairs(words, index, sums)
+                for at in range(NEIGHBOURS, len(words) - NEIGHBOURS, PIECE_WORDS):
+                    _add_contexts(words[at - NEIGHBOURS:at + PIECE_WORDS + NEIGHBOURS], index, sums)
         seen = np.flatnonzero(counts)
-        flat = pa.array(sums[seen].astype(np.int64).reshape(-1))
+        flat = pa.array(sums[seen].reshape(-1))
         edges = pa.array(np.arange(0, len(flat) + 1, DIMENSIONS, dtype=np.int32))
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(counts[seen]), pa.ListArray.from_arrays(edges, flat)], names=["bucket", "n", "sums"])
@@ -78,20 +81,20 @@ def context_sums(df: DataFrame, text="text") -> DataFrame:
     return summed.select("bucket", "n", F.array(*[f"s{i}" for i in range(DIMENSIONS)]).alias("sums"))
 
 
-def _add_pairs(words, index, sums):
-    """Add to each word the index vectors of its neighbours; blanks part the texts."""
-    padded = np.concatenate([index, np.zeros((1, DIMENSIONS))])
-    around = np.zeros((len(words), DIMENSIONS))
-    vectors = padded[words]
-    for step in range(1, NEIGHBOURS + 1):
-        around[step:] += vectors[:-step]
-        around[:-step] += vectors[step:]
-    real = np.flatnonzero(words < BUCKETS)
+def _add_contexts(words, index, sums):
+    """Add to each word but the outermost the index vectors of its neighbours; blanks part the texts."""
+    vectors = index[words]
+    inner = words[NEIGHBOURS:-NEIGHBOURS]
+    around = np.zeros((len(inner), DIMENSIONS), np.int32)
+    for step in range(2 * NEIGHBOURS + 1):
+        if step != NEIGHBOURS:
+            around += vectors[step:step + len(inner)]
+    real = np.flatnonzero(inner < BUCKETS)
     # Sorted by word, so that each word's rows are added in one go.
-    real = real[np.argsort(words[real], kind="stable")]
+    real = real[np.argsort(inner[real], kind="stable")]
     if len(real):
-        starts = np.flatnonzero(np.diff(words[real], prepend=-1))
-        sums[words[real[starts]]] += np.add.reduceat(around[real], starts, axis=0)
+        starts = np.flatnonzero(np.diff(inner[real], prepend=-1))
+        sums[inner[real[starts]]] += np.add.reduceat(around[real], starts, axis=0)
 
 
 @dataclass

@@ -33,11 +33,12 @@ def op10_bpe(spark, folder):
     return bpe_digests(coded, tokens)
 
 
-def bpe_digests(coded: DataFrame, tokens) -> DataFrame:
+def bpe_digests(coded: DataFrame, tokens, *keep) -> DataFrame:
+    """Number and checksum of the ids of each document, and checksum of the bytes decoded from them."""
     listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     decoded = bpe.decode(coded, tokens, ["doc_id", "ids"])
     return decoded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        "doc_id", *keep, F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.storage import shared_folder, stored
-from barloom.llm.texts import cut, map_texts
+from barloom.llm.storage import stored
+from barloom.llm.texts import cut
+from barloom.sources.workspace import work_folder
 
 MAGIC = b"BTK1"
 FILE_TOKENS = 4 << 20
@@ -200,4 +201,4 @@ def read(files: DataFrame, by_rank: list[int], key="doc_id") -> DataFrame:
 
 def round_trip(df: DataFrame, path: str, end: int, key="doc_id", text="text", **options) -> DataFrame:
     """``read`` of ``write`` in a new shared folder."""
-    return read(*write(df, shared_folder(df.sparkSession), path, end, key, text, **options), key)
+    return read(*write(df, work_folder(df.sparkSession), path, end, key, text, **options), key)

@@ -1,0 +1,69 @@
+import random
+import re
+
+import pytest
+
+from barloom.llm import decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain(rows, items, window):
+    grams = {}
+    for item, text in items:
+        found = split(text)
+        size = min(window, len(found))
+        for i in range(len(found) - size + 1 if found else 0):
+            grams.setdefault(tuple(found[i:i + size]), set()).add(item)
+    out = []
+    for key, text in rows:
+        found, hit, named = split(text), set(), set()
+        for size in {len(g) for g in grams}:
+            for i in range(len(found) - size + 1):
+                if tuple(found[i:i + size]) in grams:
+                    hit |= set(range(i, i + size))
+                    named |= grams[tuple(found[i:i + size])]
+        out.append((key, len(found), len(hit), sorted(map(str, named)), bool(hit)))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, docs):
+    rng = random.Random(4)
+    vocabulary = ["Ab", "cÉ", "d2", "e", "ñ", "É", "f_g"]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 40)))) for i in range(60)]
+    items = [(i, " - ".join(rng.choices(vocabulary, k=rng.randint(3, 7)))) for i in range(12)]
+    rows += [(None, "ab ab"), (3, rows[4][1]), (5, rows[5][1]), (70, None), (71, ""), (72, " ... "),
+             (73, "x " * 30_000 + items[0][1])]
+    items += [(20, None), (21, "!"), (0, items[1][1]), (22, "e")]
+    return rows, items, docs(rows), spark.createDataFrame(items, "item_id BIGINT, text STRING")
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_report_matches_brute_force(tables, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    rows, items, df, benchmark = tables
+    found = sorted(map(tuple, decontaminate.report(df, benchmark, window=4).collect()), key=str)
+    assert found == plain(rows, items, 4)
+
+
+def test_removal(tables):
+    rows, items, df, benchmark = tables
+    wanted = sorted((r[0] for r in plain(rows, items, 4) if not r[-1]), key=str)
+    kept = decontaminate.drop_contaminated(df, benchmark, window=4)
+    assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=str) == wanted
+    spans = decontaminate.remove_spans(df, benchmark, window=4).collect()
+    left = {(k, n - h) for k, n, h, _, _ in plain(rows, items, 4)}
+    assert {(r.doc_id, len(r.words)) for r in spans} == left
+
+
+def test_empty_tables(tables, spark, docs):
+    rows, _, df, benchmark = tables
+    none = spark.createDataFrame([], "item_id BIGINT, text STRING")
+    assert not any(r.contaminated for r in decontaminate.report(df, none).collect())
+    assert decontaminate.drop_contaminated(df, none).count() == len(rows)
+    assert decontaminate.report(docs([]), benchmark).count() == 0

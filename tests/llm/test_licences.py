@@ -1,0 +1,71 @@
+import random
+import re
+
+from barloom.llm import licences
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain_places(text):
+    found = split(text)
+    return sorted((i, label) for label, phrase in licences.PHRASES for i in range(len(found))
+                  if found[i:i + len(phrase.split())] == phrase.split())
+
+
+def test_words_match_the_contract():
+    text = "Ünï-cödé CC BY_4.0 漢字\t😀x"
+    assert [w.decode() for w in licences.words(text.encode())] == split(text)
+
+
+def test_matching_statistics_match_brute_force():
+    rng = random.Random(1)
+    for _ in range(60):
+        sequences = [rng.choices(range(3), k=rng.randint(1, 8)) for _ in range(3)]
+        automaton = licences.Automaton(sequences)
+        asked = rng.choices(range(4), k=40)
+        for at, (state, length) in enumerate(automaton.statistics(asked)):
+            def held(n):
+                piece = asked[at - n + 1:at + 1]
+                return [(k, i + n - 1) for k, s in enumerate(sequences) for i in range(len(s)) if n and s[i:i + n] == piece]
+            longest = max((n for n in range(at + 2) if held(n)), default=0)
+            assert length == longest
+            if length:
+                assert automaton.ends[state] == sorted(held(length))
+
+
+def test_places_match_brute_force():
+    rng = random.Random(2)
+    pool = "cc by all rights reserved general public license the gnu released under mit x nc 4".split()
+    scanner = licences.Scanner()
+    for _ in range(300):
+        text = " ".join(rng.choices(pool, k=rng.randint(0, 60)))
+        count, places, _ = scanner.scan(text.encode())
+        assert count == len(split(text))
+        assert sorted((w, scanner.labels[n]) for w, n in places) == plain_places(text)
+
+
+def test_templates_are_found_whole_changed_and_repeated():
+    scanner = licences.Scanner()
+    for label, notice in licences.TEMPLATES:
+        found = [(f, e, scanner.labels[n]) for f, e, n, c in scanner.scan(f"some words. {notice} more words".encode())[2] if c == 1]
+        assert (2, 1 + len(split(notice)), label) in found
+    long_mit = next(t for label, t in licences.TEMPLATES if label == "mit" and len(t) > 100)
+    changed = long_mit.replace("free of charge", "free of any charge").replace("publish", "print")
+    assert any(scanner.labels[n] == "mit" and .75 <= c < 1 for _, _, n, c in scanner.scan(changed.encode())[2])
+    spans = scanner.scan("\n".join(["Released under the MIT License."] * 3000).encode())[2]
+    assert len([s for s in spans if scanner.labels[s[2]] == "mit"]) == 3000
+    assert scanner.scan(b"released the license under mit a work is in the")[2] == []
+
+
+def test_documents(docs):
+    rows = [(1, "Licensed under CC BY-NC 4.0, all rights reserved."), (2, None), (3, ""), (None, "cc by"), (1, "x"), (1, "x"),
+            (4, "word " * 100_000 + "GNU General Public License")]
+    found = licences.scan(docs(rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_words, [tuple(p) for p in r.places]) for r in found) == sorted(
+        (d or 0, len(split(t)), plain_places(t)) for d, t in rows)
+    assert {s.label for r in found if r.doc_id == 1 for s in r.spans} == {"cc-by-nc"}
+    assert licences.scan(docs([])).count() == 0

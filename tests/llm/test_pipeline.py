@@ -1,0 +1,67 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from barloom.llm import bpe
+from test_decontaminate import plain as plain_hits
+from test_secrets import plain as plain_secrets
+from test_simhash import plain_components, plain_fingerprint
+
+FOLDER = "/root/testdata/sf0.001"
+BY_NAME = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+def test_language_stage_keeps_languages(spark, docs, documents):
+    more = docs([(10**6, None), (10**6 + 1, "12 !"), (10**6 + 2, "漢字仮名交じり文 " * 9)]).select(*documents.columns).withColumn("lang", F.lit(None).cast("string"))
+    kept = BY_NAME["language_id"](spark, documents.union(more), FOLDER)
+    assert kept.columns == documents.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in documents.select("doc_id").collect()}
+
+
+def test_near_dedup_stage_keeps_one_of_each_group(spark, documents):
+    again = documents.limit(3).union(documents.limit(3)).union(documents.limit(2).withColumn("doc_id", F.lit(None).cast("bigint")))
+    asked = documents.union(again)
+    kept = BY_NAME["simhash_near_dedup"](spark, asked, FOLDER)
+    rows = documents.collect()
+    prints = {r.doc_id: plain_fingerprint(r.text) for r in rows}
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    expected = sorted(set(plain_components(prints, near).values()))
+    assert kept.columns == documents.columns and sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def test_whole_pipeline_matches_a_plain_version(spark, documents):
+    found = {r.doc_id: r for r in corpus_pipeline.run(spark, FOLDER).collect()}
+    rows = {r.doc_id: r.text for r in documents.collect()}
+    prints = {d: plain_fingerprint(t) for d, t in rows.items()}
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    first = set(plain_components(prints, near).values())
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = {r[0] for r in plain_hits([(d, rows[d]) for d in first], items, 10) if not r[-1]}
+    assert set(found) == clean
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    for d in clean:
+        text, out, at = rows[d], "", 0
+        for start, _, end, _ in plain_secrets(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        out += text[at:]
+        ids = [i for p in regex.findall(public_tokenizers.PATTERN, out) for i in vocabulary.encode(p.encode())]
+        assert found[d].ids == ids and found[d].n_tokens == len(ids)
+        assert found[d].decoded_sha256 == hashlib.sha256(out.encode()).hexdigest()
+
+
+def test_empty_tables(spark, documents):
+    docs = documents.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+    assert docs.count() == 0

@@ -1,0 +1,20 @@
+import pytest
+
+from barloom.llm.oracle import ORACLE
+from barloom.llm.queries import QUERIES
+from compare import connect, rows_of_spark, rows_of_sql
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_names():
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert set(ORACLE) < set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    names, rows = rows_of_spark(QUERIES[name](spark, FOLDER))
+    expected_names, expected = rows_of_sql(connect(FOLDER), ORACLE[name])
+    assert names == expected_names and len(rows) == len(expected)
+    assert [p for p in zip(rows, expected) if p[0] != p[1]][:3] == []
