@@ -1,32 +1,67 @@
 """Readers for landed files and the document store."""
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.columns import column, conform, project
+from barloom.operators.columns import column, conform, project, resolve
 
 
-def scan_csv(spark: SparkSession, path, schema: T.StructType, infer=False, **options) -> DataFrame:
+def _landed(columns, schema: T.StructType) -> T.StructType:
+    """The reading types of named columns: fractions as such; text where the schema wants a date or an
+    integer, whose spelling may vary."""
+    fractions = {f.name.lower() for f in schema.fields if isinstance(f.dataType, T.FractionalType)}
+    return T.StructType([
+        T.StructField(c, T.DoubleType() if c.lower() in fractions else T.StringType()) for c in columns
+    ])
+
+
+def scan_csv(spark: SparkSession, path, schema: T.StructType, infer=False, formats=(), zone="UTC",
+             **options) -> DataFrame:
     """Read CSV with a header. Columns are found by name and given the schema's types.
 
-    ``infer`` keeps the types Spark infers instead (one more pass over the file).
+    Files with other columns, or in another order, than the first stop the reading with an
+    error; ``scan_csv_parts`` reads them. ``infer`` keeps the types Spark infers instead (one
+    more pass over the file). ``formats`` and ``zone`` are those of ``conform``.
     """
-    reader = spark.read.options(header=True, inferSchema=infer, **options)
+    reader = spark.read.options(header=True, inferSchema=infer, enforceSchema=False, **options)
     raw = reader.csv(path)
     if not raw.columns:
         return spark.createDataFrame([], schema)
     if infer:
         return project(raw, schema.names)
-    # The file's own columns in its own order; fractions are parsed by the reader, while text
-    # is kept where the schema wants a date or an integer, whose spelling may vary.
-    fractions = {f.name.lower() for f in schema.fields if isinstance(f.dataType, T.FractionalType)}
-    landed = T.StructType([
-        T.StructField(c, T.DoubleType() if c.lower() in fractions else T.StringType()) for c in raw.columns
-    ])
-    return conform(reader.schema(landed).csv(path), schema)
+    return conform(reader.schema(_landed(raw.columns, schema)).csv(path), schema, formats, zone)
+
+
+def scan_csv_parts(spark: SparkSession, path, schema: T.StructType, formats=(), zone="UTC", **options) -> DataFrame:
+    """Read CSV files whose headers differ in order or in further columns.
+
+    The header of every file is read first, one line each; files of one header are read together and
+    all are joined by column name. A missing column of the schema is an error.
+    """
+    reader = spark.read.options(header=True, enforceSchema=False, **options)
+    headers = {}
+    for file in reader.text(path).inputFiles():
+        columns = tuple(reader.csv(file).columns)
+        if columns:
+            headers.setdefault(columns, []).append(file)
+    parts = [
+        conform(reader.schema(_landed(columns, schema)).csv(found), schema, formats, zone)
+        for columns, found in sorted(headers.items())
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The columns of a contract as text, for documents, whose values are spelled in many ways."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
 def scan_documents(spark: SparkSession, path, schema=None) -> DataFrame:
@@ -46,11 +81,22 @@ def scan_parquet(spark: SparkSession, path) -> DataFrame:
 
 
 def slice_range(df: DataFrame, name, start=None, end=None) -> DataFrame:
-    """Rows with ``start <= name < end``, a filter that sources can prune by; None is open."""
+    """Rows with ``start <= name < end``, a filter that sources can prune by; None is open.
+
+    Bounds that are dates begin at midnight in UTC where the column is a TIMESTAMP, whatever the
+    session's time zone is.
+    """
     c = column(df, name)
+    instants = isinstance(df.schema[resolve(df, name)].dataType, T.TimestampType)
+
+    def bound(value):
+        if instants and isinstance(value, date) and not isinstance(value, datetime):
+            return F.lit(datetime(value.year, value.month, value.day, tzinfo=timezone.utc))
+        return F.lit(value)
+
     if start is not None:
-        df = df.where(c >= F.lit(start))
-    return df if end is None else df.where(c < F.lit(end))
+        df = df.where(c >= bound(start))
+    return df if end is None else df.where(c < bound(end))
 
 
 def slice_years(df: DataFrame, name, first_year, last_year=None) -> DataFrame:

@@ -1,12 +1,15 @@
 """Spark data source for a REST service of historical exchange rates.
 
-One request per month start, one input partition per request; a lost task simply asks
-again. The service address is an option with a ``{date}`` placeholder:
+One request per month start. ``parallel`` (4) input partitions ask at once, each one request after the
+other with ``pause`` seconds (0) between them, and a failed request is repeated up to
+``retries`` (2) times; a lost task simply asks again. The service address is an option with a
+``{date}`` placeholder:
 
     spark.dataSource.register(FxHistory)
     spark.read.format("fx_history").options(url=..., first="2012-01-01", last="2013-01-01").load()
 """
 
+import time
 from datetime import date
 from urllib.request import urlopen
 
@@ -19,10 +22,10 @@ def month_starts(first: date, last: date) -> list[date]:
     return [date(m // 12, m % 12 + 1, 1) for m in range(start, end + 1)]
 
 
-class Month(InputPartition):
-    def __init__(self, day: str):
-        super().__init__(day)
-        self.day = day
+class Months(InputPartition):
+    def __init__(self, days: list[str]):
+        super().__init__(days)
+        self.days = days
 
 
 class FxHistory(DataSource):
@@ -41,13 +44,29 @@ class FxHistoryReader(DataSourceReader):
     def __init__(self, options):
         self.url = options["url"]
         self.timeout = float(options.get("timeout", "30"))
+        self.parallel = int(options.get("parallel", "4"))
+        self.pause = float(options.get("pause", "0"))
+        self.retries = int(options.get("retries", "2"))
         self.months = month_starts(
             date.fromisoformat(options["first"]), date.fromisoformat(options["last"])
         )
 
     def partitions(self):
-        return [Month(m.isoformat()) for m in self.months]
+        days = [m.isoformat() for m in self.months]
+        return [Months(days[i::self.parallel]) for i in range(min(self.parallel, len(days)))]
 
     def read(self, partition):
-        with urlopen(self.url.replace("{date}", partition.day), timeout=self.timeout) as answer:
-            yield partition.day, answer.read().decode("utf-8")
+        for at, day in enumerate(partition.days):
+            if at:
+                time.sleep(self.pause)
+            yield day, self._ask(day)
+
+    def _ask(self, day):
+        for attempt in range(self.retries + 1):
+            try:
+                with urlopen(self.url.replace("{date}", day), timeout=self.timeout) as answer:
+                    return answer.read().decode("utf-8")
+            except OSError:
+                if attempt == self.retries:
+                    raise
+                time.sleep(self.pause)

@@ -2,7 +2,9 @@ import tempfile
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import types as T
 
+from barloom.operators import columns
 from barloom.schemas import RAW_FX, RAW_PRICES
 from barloom.sinks import tables
 from barloom.sources import files
@@ -26,7 +28,7 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     df = files.scan_csv(spark, path, RAW_PRICES)
     assert df.schema == RAW_PRICES
     assert [tuple(r) for r in df.collect()] == [
-        (date(2012, 1, 3), "A", 1.5, 2.5, 1.0, 3.0, 12), (None, "B", None, 2.0, 1.0, 3.0, None),
+        (date(2012, 1, 3), "A", 1.5, 2.5, 1.0, 3.0, 12), (date(2012, 1, 3), "B", None, 2.0, 1.0, 3.0, None),
         (date(2012, 1, 4), "C", None, 2.0, 1.0, 3.0, 2163600), (date(2012, 1, 5), "D", 1.0, 2.0, 1.0, 3.0, None),
     ]
 
@@ -94,11 +96,40 @@ def fx_files(tmp_path):
     return f"file://{tmp_path}/{{date}}.json"
 
 
+def test_csv_parts_with_other_headers(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    write(tmp_path / "p" / "a.csv", "date,symbol,open,close,low,high,volume\n2012-01-03,A,1,2,3,4,5\n")
+    write(tmp_path / "p" / "b.csv", "date,symbol,close,open,low,high,volume,note\n2012-01-04,A,2,1,3,4,5,x\n")
+    write(tmp_path / "p" / "c.csv", "")
+    expected = [(date(2012, 1, d), "A", 1.0, 2.0, 3.0, 4.0, 5) for d in (3, 4)]
+    assert sorted(map(tuple, files.scan_csv_parts(spark, f"{tmp_path}/p", RAW_PRICES).collect())) == expected
+    with pytest.raises(Exception, match="(?i)header"):
+        files.scan_csv(spark, f"{tmp_path}/p/[ab].csv", RAW_PRICES).collect()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Bangkok"])
+def test_days_do_not_depend_on_the_session(spark, zone):
+    texts = ["2012-01-03", "2012-01-03 00:00:00", "2012-01-03T00:00:00.000Z", "2012-01-03T23:59:59Z", "2012-01-04T02:00:00+07:00",
+             "2012", "10:30", "junk", "2012-13-01", None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "date string")
+        day = T.StructType([T.StructField("date", T.DateType())])
+        assert [r.date for r in columns.conform(df, day).collect()] == [date(2012, 1, 3)] * 5 + [None] * 5
+        instants = spark.sql("select timestamp_seconds(1325548800) date union all select timestamp_seconds(1325635199)")
+        assert {r.date for r in columns.conform(instants, day).collect()} == {date(2012, 1, 3)}
+        assert columns.conform(instants, day, zone="Asia/Bangkok").distinct().count() == 2
+        assert files.slice_range(instants, "date", date(2012, 1, 3), date(2012, 1, 4)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_rate_service_asks_once_per_month(spark, fx_files):
     spark.dataSource.register(FxHistory)
     df = spark.read.format("fx_history").options(url=fx_files, first="2012-01-01", last="2013-01-01").load()
     rows = df.collect()
-    assert df.rdd.getNumPartitions() == 13 and len(rows) == 13
+    assert df.rdd.getNumPartitions() == 4 and len(rows) == 13
     assert dict(rows)["2012-02-01"] == '{"data": {"THB": {"value": 30.5}}}'
 
 
