@@ -6,6 +6,12 @@ from pyspark.sql import types as T
 
 from barloom.schemas import DATE_FORMAT
 
+#: ISO dates, with or without a time; those with an offset; and a document's extended date.
+_TIME = r"[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?"
+_ISO = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?:{_TIME})?$"
+_ZONED = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_TIME} ?(?:Z|[+-][0-9]{{2}}:?[0-9]{{2}})$"
+_DOCUMENT_DATE = r'"\$date"\s*:\s*(?:\{\s*"\$numberLong"\s*:\s*)?"?([^"}]+)"?'
+
 
 def resolve(df: DataFrame, name: str) -> str:
     """The frame's own spelling of a column name."""
@@ -39,12 +45,15 @@ def rename_columns(df: DataFrame, mapping, strict=True) -> DataFrame:
     return df.select(*[column(df, c).alias(by_lower.get(c.lower(), c)) for c in df.columns])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Pick the schema's columns by name and give them its types; bad values become NULL."""
+def conform(df: DataFrame, schema: T.StructType, formats=(), zone="UTC") -> DataFrame:
+    """Pick the schema's columns by name and give them its types; bad values become NULL.
+
+    ``formats`` are tried for dates before ISO ones; instants become dates of ``zone``.
+    """
     picked = []
     for field in schema.fields:
         if field.dataType == T.DateType():
-            typed = as_date(df, field.name)
+            typed = landed_date(df, field.name, formats, zone)
         elif isinstance(field.dataType, T.IntegralType):
             typed = as_integer(df, field.name, field.dataType)
         else:
@@ -65,10 +74,48 @@ def as_integer(df: DataFrame, name: str, integral: T.IntegralType):
     return whole
 
 
+def day_of(instant, zone="UTC"):
+    """The date of a TIMESTAMP in a zone, whatever the session's time zone is."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), epoch + F.make_dt_interval(secs=seconds))
+    return local.cast("date")
+
+
+def landed_date(df: DataFrame, name: str, formats=(), zone="UTC"):
+    """A DATE from what sources land: dates, timestamps, ISO text with or without a time, documents'
+    ``{"$date": ...}``, or text in one of ``formats``. Anything else gives NULL.
+
+    The time part is dropped; text with an offset, and TIMESTAMP, are instants and give the day in
+    ``zone``.
+    """
+    raw = column(df, name)
+    kind = df.schema[resolve(df, name)].dataType
+    if isinstance(kind, T.StructType):
+        return _text_date(F.to_json(raw), formats, zone)
+    if isinstance(kind, T.TimestampType):
+        return day_of(raw, zone)
+    if isinstance(kind, T.StringType):
+        return _text_date(raw, formats, zone)
+    return raw.cast("date")
+
+
+def _text_date(raw, formats, zone):
+    wrapped = F.regexp_extract(raw, _DOCUMENT_DATE, 1)
+    text = F.trim(F.when(wrapped != "", wrapped).otherwise(raw))
+    millis = F.when(wrapped.rlike("^-?[0-9]{1,15}$"), F.timestamp_millis(wrapped.try_cast("bigint")))
+    instant = F.when(text.rlike(_ZONED), text.try_cast("timestamp"))
+    plain = F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz").cast("date"))
+    return F.coalesce(*[F.try_to_date(raw, f) for f in formats], day_of(millis, zone), day_of(instant, zone), plain)
+
+
 def as_date(df: DataFrame, name: str, formats=(DATE_FORMAT,)):
     """A DATE from a date, timestamp or text column; text that fits no format gives NULL."""
     raw = column(df, name)
-    if not isinstance(df.schema[resolve(df, name)].dataType, T.StringType):
+    kind = df.schema[resolve(df, name)].dataType
+    if isinstance(kind, T.TimestampType):
+        return day_of(raw)
+    if not isinstance(kind, T.StringType):
         return raw.cast("date")
     return F.coalesce(*[F.try_to_date(raw, f) for f in formats])
 

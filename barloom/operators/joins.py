@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from barloom.functions.calendar import year_month
 from barloom.operators.columns import column
-from barloom.schemas import SECTOR, TICKER
+from barloom.schemas import SECTOR, TARGET_CURRENCY, TICKER
 
 BROADCAST_BYTES = 64 << 20
 
@@ -25,35 +25,50 @@ def payload_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit=BROADCAST_BYTES) -> bool:
+    """Whether a lookup table is small enough to broadcast: one pass over it, now."""
     return payload_bytes(df) <= limit
 
 
-def lookup_side(df: DataFrame, limit=BROADCAST_BYTES) -> DataFrame:
-    """Broadcast a lookup table if its measured size allows; else leave it to a shuffle join,
-    where adaptive execution splits skewed partitions."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+def sectors(securities: DataFrame) -> DataFrame:
+    """The columns of the securities that the sector join needs."""
+    return securities.select(
+        column(securities, TICKER).alias("_ticker"),
+        *[column(securities, c).alias(c) for c in SECTOR],
+    )
 
 
-def attach_sector(df: DataFrame, securities: DataFrame, key: str, broadcast=None) -> DataFrame:
+def attach_sector(df: DataFrame, securities: DataFrame, key: str, broadcast=False) -> DataFrame:
     """Add sector columns by ticker. Every row stays; unknown and NULL tickers get NULL.
 
-    ``broadcast`` takes the answer of an earlier size check; None checks here.
+    ``broadcast`` is for callers that have measured the securities. Without it Spark decides from
+    its statistics, and adaptive execution splits skewed partitions of a shuffled join.
     """
-    sectors = securities.select(
-        column(securities, TICKER).alias("_ticker"),
-        *[column(securities, c).alias(c) for c in SECTOR],
-    )
-    if broadcast is None:
-        broadcast = fits_broadcast(sectors)
-    sectors = F.broadcast(sectors) if broadcast else sectors
-    return df.join(sectors, column(df, key) == F.col("_ticker"), "left").drop("_ticker")
+    lookup = F.broadcast(sectors(securities)) if broadcast else sectors(securities)
+    return df.join(lookup, column(df, key) == F.col("_ticker"), "left").drop("_ticker")
+
+
+def monthly_rates(fx: DataFrame, date="exchange_date", rate="exchange_rate", target="curency_target") -> DataFrame:
+    """One rate of the target currency per month: ``(e_year, e_month, exchange_rate)``.
+
+    Rates of other currencies are left out where the table names a target. A month quoted
+    several times at one rate, as by neighbouring years landed apart, counts once; differing rates stop
+    the job with the month named. At most twelve rows a year, so it may always be broadcast.
+    """
+    if target.lower() in [c.lower() for c in fx.columns]:
+        named = column(fx, target)
+        fx = fx.where(named.isNull() | (named == TARGET_CURRENCY))
+    months = {n: c for n, c in year_month(column(fx, date), "e").items()}
+    quoted = fx.select(*[c.alias(n) for n, c in months.items()], column(fx, rate).alias("rate")).where("e_year IS NOT NULL")
+    spread = quoted.groupBy("e_year", "e_month").agg(F.min("rate").alias("low"), F.max("rate").alias("high"))
+    named = F.format_string("exchange rates differ in %04d-%02d", "e_year", "e_month")
+    return spread.select(
+        "e_year", "e_month", F.when(F.col("low") == F.col("high"), F.col("low"))
+        .when(F.col("low").isNotNull(), F.raise_error(named)).alias("exchange_rate"))
 
 
 def attach_rate(df: DataFrame, fx: DataFrame, date="date") -> DataFrame:
-    """Add the rate quoted for the row's month (one quote per month start), else NULL."""
-    rates = lookup_side(
-        fx.select(*[c.alias(n) for n, c in year_month("exchange_date", "e").items()], "exchange_rate")
-    )
+    """Add the rate quoted for the row's month, else NULL. Every row stays, and stays one row."""
+    rates = F.broadcast(monthly_rates(fx))
     keyed = df.withColumns(year_month(date, "p"))
     same_month = (keyed.p_year == rates.e_year) & (keyed.p_month == rates.e_month)
     return keyed.join(rates, same_month, "left").drop("e_year", "e_month")

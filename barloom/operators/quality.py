@@ -23,17 +23,23 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
+def schema_columns(df: DataFrame) -> DataFrame:
+    """Position, name, type and nullability of every column; no row is read."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(
+        rows, "position INT, column_name STRING, data_type STRING, nullable BOOLEAN")
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
-    """Name, type and position of every column, with the number of values seen in it."""
-    types = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)}
-    position = F.create_map(*[F.lit(x) for n, (i, _) in types.items() for x in (n, i)])
-    type_name = F.create_map(*[F.lit(x) for n, (_, t) in types.items() for x in (n, t)])
-    return null_profile(df).select(
-        position[F.col("column_name")].alias("position"),
-        "column_name",
-        type_name[F.col("column_name")].alias("data_type"),
-        "non_null",
-    )
+    """The columns of the schema with the number of values seen in each: one pass over the rows."""
+    counted = null_profile(df).select("column_name", "non_null")
+    return counted.join(F.broadcast(schema_columns(df)), "column_name").select(
+        "position", "column_name", "data_type", "nullable", "non_null")
+
+
+def nulls_observed(df: DataFrame) -> list:
+    """NULL counts of all columns as metrics to ``observe`` while the rows are written."""
+    return [F.count_if(column(df, c).isNull()).alias(f"null_{c}") for c in df.columns]
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:

@@ -7,60 +7,45 @@ its rows and cuts them into blocks, giving each block the rows before it that it
 windows look back on.
 """
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.sources.workspace import work_folder
-
-DAY_CELLS = 1024
-
 
-def split_long(df: DataFrame, keys, limit) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of series of up to ``limit`` rows, and those of longer ones, None if there are none.
-
-    Series are counted once, with map-side combine; the keys of long ones are joined back.
-    """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
-    # As a stored table, its size is known when the joins below are planned.
-    path = work_folder(df.sparkSession)
-    counted.select(*[F.col(k).alias(f"_{k}") for k in keys]).write.parquet(path)
-    long_keys = df.sparkSession.read.parquet(path)
-    if long_keys.isEmpty():
-        return df, None
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return df.join(long_keys, same, "left_anti"), df.join(long_keys, same, "left_semi")
-
-
-def in_blocks(df: DataFrame, keys, date, lookback, block_rows) -> DataFrame:
+def in_blocks(df: DataFrame, keys, order, lookback, block_rows) -> DataFrame:
     """Cut each series into blocks of ``block_rows`` rows, led by ``lookback`` earlier rows.
 
-    Adds ``_block``, ``_pos`` (row number in the series) and ``_own``. Evaluate windows over
-    ``keys + ["_block"]`` ordered by ``_pos``, then keep the rows with ``_own``. Rows sharing
-    a date take an arbitrary but repeatable order. Equal rows are counted, not shuffled one
-    by one, until their block is known. A task holds one block, or in the numbering the
-    distinct rows of one of the cells into which the rows of each day are hashed.
+    Rows follow each other by ``order``, whose first column is the date, then by the remaining columns:
+    the order of a plain window over all of them. Adds ``_block``, ``_pos`` (row number in the
+    series) and ``_own``. Evaluate windows over ``keys + ["_block"]`` ordered by ``_pos``, then
+    keep the rows with ``_own``. Equal rows are counted, not shuffled one by one, until their
+    block is known. Days are numbered by their sums. A day is cut at some of its own rows, one in
+    about ``block_rows`` by a hash, so the number of its cells follows from its size. A task
+    holds one block, one cell, or the days of one series.
     """
-    rest = [c for c in df.columns if c not in keys and c != date]
+    date, ties = order[0], [*order[1:], *[c for c in df.columns if c not in [*keys, *order]]]
     before = (Window.unboundedPreceding, -1)
+    none_before = F.lit(0).cast("bigint")
 
     rows = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    part = F.pmod(F.xxhash64(date, *rest), F.lit(DAY_CELLS))
     # A struct key compares NULL parts as equal, so series with a NULL key are joined too.
-    rows = rows.withColumn("_cell", F.struct(*keys, date, part.alias("_part")))
+    rows = rows.withColumns({"_day": F.struct(*keys, date), "_tie": F.struct(*ties)})
+    picked = F.pmod(F.xxhash64(*df.columns), F.lit(block_rows)) == 0
+    cuts = rows.where(picked).groupBy("_day").agg(F.sort_array(F.collect_list("_tie")).alias("_cuts"))
+    cell = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_tie"))), F.lit(0))
+    rows = rows.join(cuts, "_day", "left").withColumn("_cell", F.when(F.col("_cuts").isNull(), 0).otherwise(cell)).drop("_cuts")
 
-    series = Window.partitionBy(*[f"_cell.{k}" for k in keys]).orderBy(f"_cell.{date}", "_cell._part")
-    starts = (
-        rows.groupBy("_cell").agg(F.sum("_copies").alias("_size"))
-        .select("_cell", F.coalesce(F.sum("_size").over(series.rowsBetween(*before)), F.lit(0)).alias("_start"))
-    )
-    cell = Window.partitionBy("_cell").orderBy(date, *rest)
-    inside = F.coalesce(F.sum("_copies").over(cell.rowsBetween(*before)), F.lit(0))
+    in_day = Window.partitionBy("_day").orderBy("_cell").rowsBetween(*before)
+    cells = rows.groupBy("_day", "_cell").agg(F.sum("_copies").alias("_size"))
+    series = Window.partitionBy(*[f"_day.{k}" for k in keys]).orderBy(f"_day.{date}").rowsBetween(*before)
+    days = cells.groupBy("_day").agg(F.sum("_size").alias("_size"))
+    days = days.select("_day", F.coalesce(F.sum("_size").over(series), none_before).alias("_day_start"))
+    starts = cells.select("_day", "_cell", F.coalesce(F.sum("_size").over(in_day), none_before).alias("_cell_start"))
+    starts = starts.join(days, "_day").select("_day", "_cell", (F.col("_day_start") + F.col("_cell_start")).alias("_start"))
+
+    inside = F.sum("_copies").over(Window.partitionBy("_day", "_cell").orderBy(*ties).rowsBetween(*before))
     placed = (
-        rows.join(starts, "_cell")
-        .withColumn("_first", F.col("_start") + inside)
+        rows.join(starts, ["_day", "_cell"])
+        .withColumn("_first", F.col("_start") + F.coalesce(inside, none_before))
         .withColumn("_last", F.col("_first") + F.col("_copies") - 1)
     )
 

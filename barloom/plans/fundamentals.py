@@ -8,10 +8,11 @@ from barloom.operators.joins import attach_sector
 from barloom.schemas import FUNDAMENTAL_NAMES, RAW_FUNDAMENTALS
 
 
-def fundamental_metrics(fundamentals: DataFrame, securities: DataFrame) -> DataFrame:
+def fundamental_metrics(fundamentals: DataFrame, securities: DataFrame, broadcast=False) -> DataFrame:
     """The published fundamentals table, every input row kept."""
     cleaned = clean_dates(project(fundamentals, RAW_FUNDAMENTALS.names), "Period Ending")
-    return rename_columns(attach_sector(cleaned, securities, "Ticker Symbol"), FUNDAMENTAL_NAMES, strict=False)
+    sectored = attach_sector(cleaned, securities, "Ticker Symbol", broadcast)
+    return rename_columns(sectored, FUNDAMENTAL_NAMES, strict=False)
 
 
 def with_run_year(published: DataFrame) -> DataFrame:

@@ -1,18 +1,22 @@
 """Daily prices with moving averages, strength index, sector and local-currency close."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import rolling
 from barloom.operators.columns import clean_dates, project
-from barloom.operators.joins import attach_rate, attach_sector, fits_broadcast
-from barloom.operators.series import in_blocks, split_long
-from barloom.schemas import PRICE_NAMES, RAW_PRICES, SECTOR, TICKER
+from barloom.operators.joins import attach_rate, attach_sector
+from barloom.operators.series import in_blocks
+from barloom.schemas import PRICE_NAMES, RAW_PRICES
 from barloom.sinks.tables import rebalanced
 
 BLOCK_ROWS = 100_000
 SHORT, LONG, STRENGTH = 10, 50, 14
 LOOKBACK = max(SHORT, LONG, STRENGTH + 1) - 1
+#: Rows of one symbol and date follow each other by their values, so that no answer depends on
+#: the order in which they arrive.
+ORDER = ("date", "open", "close", "low", "high", "volume")
+REPEATED = "several rows share (symbol, date)"
 
 
 def with_run_year(prices: DataFrame) -> DataFrame:
@@ -46,42 +50,45 @@ def add_indicators(bars: DataFrame, keys, order=("date",), strict=False) -> Data
     )
 
 
+def stop_on_repeats(bars: DataFrame, keys, order) -> DataFrame:
+    """Fail while computing if two rows of a series share a date: the windows have them adjacent."""
+    previous = F.lag("date").over(Window.partitionBy(*keys).orderBy(*order))
+    message = F.concat(F.lit(f"{REPEATED}: "), F.coalesce("symbol", F.lit("NULL")), F.lit(" "), F.col("date").cast("string"))
+    return bars.withColumn("date", F.when(previous == F.col("date"), F.raise_error(message)).otherwise(F.col("date")))
+
+
 def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
-                  strict=False, continuous=False, literal=False, block_rows=BLOCK_ROWS,
-                  by_year=False) -> DataFrame:
-    """The published price table, every input row kept.
+                  strict=False, continuous=False, literal=False, block_rows=None,
+                  by_year=False, repeats="ordered", broadcast=False) -> DataFrame:
+    """The published price table, every input row kept. Nothing is run or written meanwhile.
 
     Windows restart each calendar year; ``continuous`` runs them over the whole history.
     ``literal`` publishes the 14-row mean of the close under the name ``rsi``.
-    Series longer than ``block_rows`` are cut into blocks, so that none fills a task. Finding
-    them is one pass over symbol and date; None skips it, where (symbol, date) is known to be
-    unique and the calendar bounds every series.
-    ``by_year`` returns rows ready to be stored by year. The windows then use a range exchange
-    on (year, symbol), which saves the store another shuffle, at the price of sampling the
-    input; where that cannot serve, the result is rebalanced.
+    ``repeats`` tells what rows of one symbol and date mean: ``ordered`` by their values, ``stop``
+    to fail on them inside the window stage, or ``trusted`` not to exist.
+    ``block_rows`` cuts series into blocks of that many rows, for tables where one symbol and
+    year may outgrow a task; it changes the plan, not the answers.
+    ``by_year`` rebalances the result by year, ready to be stored. ``broadcast`` is for callers
+    that have measured the securities.
     """
     bars = with_run_year(prices)
     keys = ["symbol"] if continuous else ["run_year", "symbol"]
-    small = fits_broadcast(project(securities, [TICKER, *SECTOR]))
-
-    series, long = split_long(bars, keys, block_rows) if block_rows else (bars, None)
-
-    ranged = by_year and small and long is None and not continuous
-    if ranged:
-        series = series.repartitionByRange(*keys)
-    elif long is None and not small:
-        # With a shuffled sector join, windows and join share one exchange on symbol.
-        series = series.repartition("symbol")
-    measured = add_indicators(series, keys, strict=strict)
-    if long is not None:
-        blocks = in_blocks(long, keys, "date", LOOKBACK, block_rows)
+    order = ORDER if repeats == "ordered" else ORDER[:1]
+    if block_rows is None:
+        measured = add_indicators(bars, keys, order, strict)
+        if repeats == "stop":
+            measured = stop_on_repeats(measured, keys, order)
+    else:
+        if repeats == "stop":
+            raise ValueError("repeated dates are looked for in whole series only")
+        blocks = in_blocks(bars, keys, list(ORDER), LOOKBACK, block_rows)
         pieces = add_indicators(blocks, [*keys, "_block"], ["_pos"], strict).where("_own")
-        measured = measured.unionByName(pieces.drop("_block", "_pos", "_own"))
+        measured = pieces.drop("_block", "_pos", "_own")
 
-    enriched = attach_rate(attach_sector(measured, securities, "symbol", broadcast=small), fx)
+    enriched = attach_rate(attach_sector(measured, securities, "symbol", broadcast=broadcast), fx)
     enriched = enriched.withColumn("close_thb", F.col("exchange_rate") * F.col("close"))
     if literal:
         enriched = enriched.withColumn("rsi", F.col("sma14"))
     extra = ["run_year"] if literal else ["sma14", "run_year"]
     published = enriched.select(*[F.col(old).alias(new) for old, new in PRICE_NAMES.items()], *extra)
-    return rebalanced(published) if by_year and not ranged else published
+    return rebalanced(published) if by_year else published

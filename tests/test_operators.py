@@ -96,8 +96,11 @@ def test_duplicates_and_key_report(spark):
 def test_profiles_cover_dates(spark):
     df = spark.createDataFrame([("A", date(2012, 1, 1)), (None, None)], "symbol string, day date")
     assert [tuple(r) for r in quality.null_profile(df).collect()] == [("symbol", 1, 1), ("day", 1, 1)]
-    assert [tuple(r) for r in quality.schema_profile(df).collect()] == [
-        (1, "symbol", "string", 1), (2, "day", "date", 1)
+    assert sorted(map(tuple, quality.schema_profile(df).collect())) == [
+        (1, "symbol", "string", True, 1), (2, "day", "date", True, 1)
+    ]
+    assert [tuple(r) for r in quality.schema_columns(df).collect()] == [
+        (1, "symbol", "string", True), (2, "day", "date", True)
     ]
 
 
@@ -122,6 +125,26 @@ def test_duplicate_security_fans_out_after_the_windows(spark):
     assert {r.sma10 for r in got.collect()} == {None, 5.5}
 
 
+def test_rates_are_one_per_month(spark):
+    day = date(2013, 1, 1)
+    rows = [(day, "USD", 1, "THB", 31.5)] * 2 + [(day, "USD", 1, "EUR", 0.9), (date(2013, 2, 1), "USD", 1, "THB", None),
+            (date(2013, 2, 1), "USD", 1, None, 30.0), (None, "USD", 1, "THB", 9.0), (date(2013, 3, 1), "USD", 1, "THB", None)]
+    found = joins.monthly_rates(spark.createDataFrame(rows, RAW_FX)).collect()
+    assert sorted(map(tuple, found)) == [(2013, 1, 31.5), (2013, 2, 30.0), (2013, 3, None)]
+    bad = spark.createDataFrame([(day, "USD", 1, "THB", 31.5), (date(2013, 1, 2), "USD", 1, "THB", 31.6)], RAW_FX)
+    with pytest.raises(Exception, match="differ in 2013-01"):
+        joins.monthly_rates(bad).collect()
+
+
+def test_repeated_dates_stop_where_asked(spark):
+    days = [(date(2012, 1, d), "A", 1.0 * d, 1.0 * d, 1.0, 1.0, 1) for d in (1, 2, 2)]
+    securities, fx = spark.createDataFrame([], RAW_SECURITIES), spark.createDataFrame([], RAW_FX)
+    df = spark.createDataFrame(days, RAW_PRICES)
+    with pytest.raises(Exception, match="A 2012-01-02"):
+        prices.price_metrics(df, securities, fx, repeats="stop").collect()
+    assert prices.price_metrics(df, securities, fx).count() == 3
+
+
 def test_size_check_measures_text(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 50, "t string")
     assert joins.payload_bytes(df) > 50_000

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 
 from barloom.functions.rolling import rolling_mean
-from barloom.operators.series import in_blocks, split_long
+from barloom.operators.series import in_blocks
 from barloom.plans.prices import LOOKBACK, price_metrics
 from barloom.schemas import RAW_FX, RAW_PRICES, RAW_SECURITIES
 
@@ -15,7 +15,7 @@ DAY = date(2012, 1, 1)
 
 def blocked_means(df, rows, block_rows, lookback=None):
     keys = ["symbol", "_block"]
-    blocks = in_blocks(df, ["symbol"], "date", rows - 1 if lookback is None else lookback, block_rows)
+    blocks = in_blocks(df, ["symbol"], ["date"], rows - 1 if lookback is None else lookback, block_rows)
     mean = rolling_mean("close", rows, keys, ["_pos"])
     return blocks.withColumn("mean", mean).where("_own")
 
@@ -46,7 +46,7 @@ def test_repeated_dates_and_copies_are_all_kept_in_one_order(spark):
     for symbol in ("HOT", "COLD"):
         series = sorted((r for r in found if r.symbol == symbol), key=lambda r: r._pos)
         assert [r._pos for r in series] == list(range(len(series)))
-        assert [r.date for r in series] == sorted(r.date for r in series)
+        assert [(r.date, r.close) for r in series] == sorted((r.date, r.close) for r in series)
         for i, row in enumerate(series):
             window = [r.close for r in series[i - 9:i + 1]] if i >= 9 else None
             assert row.mean == (sum(window) / 10 if window else None)
@@ -55,17 +55,35 @@ def test_repeated_dates_and_copies_are_all_kept_in_one_order(spark):
 def test_no_block_exceeds_its_bound(spark):
     data = [("HOT", DAY + timedelta(days=i % 5), float(i % 3)) for i in range(4000)]
     df = spark.createDataFrame(data, "symbol string, date date, close double")
-    sizes = in_blocks(df, ["symbol"], "date", 49, 100).groupBy("symbol", "_block").count()
+    sizes = in_blocks(df, ["symbol"], ["date"], 49, 100).groupBy("symbol", "_block").count()
     assert max(r["count"] for r in sizes.collect()) <= 149
 
 
-def test_long_series_are_split_off(spark):
-    data = [("HOT", 1)] * 30 + [(None, 2)] * 25 + [(None, 3)] * 5 + [("A", 1)] * 20
-    df = spark.createDataFrame(data, "symbol string, run_year int")
-    rest, cut = split_long(df, ["symbol", "run_year"], 20)
-    assert {tuple(r) for r in cut.collect()} == {("HOT", 1), (None, 2)} and cut.count() == 55
-    assert {tuple(r) for r in rest.collect()} == {(None, 3), ("A", 1)} and rest.count() == 25
-    assert split_long(df, ["symbol", "run_year"], 30) == (df, None)
+def test_a_large_day_is_numbered_in_cells_that_follow_its_size(spark):
+    data = [("HOT", DAY, float(i)) for i in range(5000)]
+    df = spark.createDataFrame(data, "symbol string, date date, close double")
+    found = in_blocks(df, ["symbol"], ["date"], 0, 50).where("_own").collect()
+    assert sorted((r._pos, r.close) for r in found) == [(i, float(i)) for i in range(5000)]
+
+
+@pytest.mark.parametrize("options", [{}, {"continuous": True}, {"strict": True}])
+def test_plain_blocked_and_shuffled_input_agree_on_repeated_dates(spark, options):
+    rng = random.Random(11)
+    rows = []
+    for symbol, count in (("A", 300), ("B", 40), (None, 60)):
+        for _ in range(count):
+            values = [rng.choice([None, 1.0, 2.0, 3.5]) for _ in range(4)]
+            rows.append((DAY + timedelta(days=rng.randrange(700)) if rng.random() < .5 else DAY, symbol, *values, rng.randrange(3)))
+    rows += rows[:25]
+    securities = spark.createDataFrame([("A", "Energy", "Drilling")], RAW_SECURITIES)
+    fx = spark.createDataFrame([(date(2012, 1, 1), "USD", 1, "THB", 31.5)], RAW_FX)
+    answers = []
+    for block_rows in (None, 7, 60, 100_000):
+        rng.shuffle(rows)
+        prices = spark.createDataFrame(rows, RAW_PRICES).repartition(5)
+        found = price_metrics(prices, securities, fx, block_rows=block_rows, **options)
+        answers.append(sorted(map(repr, found.collect())))
+    assert all(a == answers[0] for a in answers) and len(answers[0]) == len(rows)
 
 
 @pytest.mark.parametrize("options, block_rows", [
