@@ -9,14 +9,16 @@ A run takes a year range, or a run and a start instant from which the replay yea
 """
 
 import argparse
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import replay_year
 from barloom.operators.columns import conform
-from barloom.operators.quality import duplicate_keys, key_report
+from barloom.operators.joins import fits_broadcast, sectors
+from barloom.operators.quality import duplicate_keys, nulls_observed
 from barloom.plans import fundamentals, prices
 from barloom.plans.fx import fx_monthly
 from barloom.schemas import RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES
@@ -39,20 +41,49 @@ def years_of(args) -> tuple[int, int]:
     return args.first_year, last
 
 
-def read(spark: SparkSession, source, path, schema) -> DataFrame:
+def read(spark: SparkSession, source, path, schema, formats=()) -> DataFrame:
     """A raw table in its contract's columns and types, from any of its sources."""
     if source == "csv":
-        return files.scan_csv(spark, path, schema)
+        return files.scan_csv(spark, path, schema, formats=formats)
     if source == "parquet":
-        return conform(files.scan_parquet(spark, path), schema)
+        return conform(files.scan_parquet(spark, path), schema, formats)
+    # Documents are read as text by the contract: no pass to infer types, absent fields are
+    # NULL, and a slice without documents is an empty table.
+    landed = files.text_schema(schema)
     if source == "json":
-        return conform(files.scan_documents(spark, path), schema)
-    return conform(files.scan_collection(spark, collection=path), schema)
+        return conform(files.scan_documents(spark, path, landed), schema, formats)
+    return conform(files.scan_collection(spark, landed, collection=path), schema, formats)
 
 
-def save(df: DataFrame, args, **layout):
-    load = tables.append_load if args.mode == "append" else tables.idempotent_load
-    load(df, args.out, **layout)
+def target(args, name) -> str:
+    """Where the job publishes: ``--out``, or its dataset's folder for the day of the run."""
+    if not args.dated:
+        return args.out
+    run_date = (args.run_at or datetime.now(timezone.utc)).date()
+    return tables.dataset_path(args.out, "published", name, run_date)
+
+
+def save(df: DataFrame, args, name, years):
+    """Store the rows; years asked for that have none left lose their old rows when replaced."""
+    if args.sink != "parquet":
+        tables.append_to_warehouse(df, args.sink, **dict(o.split("=", 1) for o in args.sink_option))
+        return
+    path = target(args, name)
+    if args.mode == "append":
+        tables.append_load(df, path, clustered=True)
+        return
+    present = Observation("years")
+    tables.idempotent_load(df.observe(present, F.collect_set(tables.PARTITION).alias("years")), path, clustered=True)
+    tables.empty_partitions(df, path, set(years) - set(observed(present, years=[])["years"]))
+
+
+def observed(observation: Observation, **empty) -> dict:
+    """What was observed. A result that turns out empty while running takes its observation along;
+    ``empty`` names what then holds."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return empty
 
 
 def require_unique(df: DataFrame, keys):
@@ -61,52 +92,86 @@ def require_unique(df: DataFrame, keys):
         raise ValueError(f"rows share {keys}, for example {[tuple(r) for r in repeated]}")
 
 
+def range_of(name, first, last, history=False):
+    """The rows of the years asked for, or up to their end; undated rows come along to be counted."""
+    day = F.col(f"`{name}`")
+    within = day < F.lit(date(last + 1, 1, 1))
+    return within if history else within & (day >= F.lit(date(first, 1, 1)))
+
+
+def checked(report, args, rejected: DataFrame, name) -> dict:
+    """Stop a job that lost more than the allowed share of its rows; keep the lost ones for a look."""
+    if report["undated"]:
+        # Only now is the input read again, for the rows that were left out.
+        tables.write_parquet(rejected, f"{target(args, name).rstrip('/')}_rejected")
+    if report["undated"] > args.max_undated * report["read"]:
+        raise ValueError(f"{report['undated']} of {report['read']} rows have no date that can be read")
+    return report
+
+
 def run_prices(spark: SparkSession, args) -> dict:
+    """Read once, with keys checked inside the window stage; repeated keys fail before the commit."""
     first, last = years_of(args)
-    raw = prices.with_run_year(read(spark, args.source, args.prices, RAW_PRICES))
+    raw = prices.with_run_year(read(spark, args.source, args.prices, RAW_PRICES, args.date_format))
     securities = read(spark, args.lookup_source, args.securities, RAW_SECURITIES)
     fx = read(spark, args.lookup_source, args.fx, RAW_FX)
-
     require_unique(securities, ["Ticker symbol"])
-    day = F.col("date")
-    asked = (day >= F.lit(date(first, 1, 1))) & (day < F.lit(date(last + 1, 1, 1)))
-    checked = key_report(raw.where(asked | day.isNull()), ["symbol", "date"], "date").first().asDict()
-    repeated = checked["repeated_keys"]
-    if repeated and not args.allow_duplicates:
-        raise ValueError(f"{repeated} keys (symbol, date) have several rows")
 
+    asked, undated = range_of("date", first, last, args.continuous), F.col("date").isNull()
+    arrived, seen = Observation("read"), Observation("prices")
+    in_range = range_of("date", first, last)
+    taken = raw.where(asked | undated).observe(
+        arrived, F.count_if(in_range | undated).alias("read"), F.count_if(undated).alias("undated"))
     published = prices.price_metrics(
-        raw.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
-        literal=args.literal, block_rows=prices.BLOCK_ROWS if repeated else None,
-        by_year=True,
-    )
-    seen = Observation("prices")
-    save(published.observe(
-        seen, F.count("*").alias("rows"),
-        F.count_if(F.col("gics_sector").isNull()).alias("without_sector"),
-        F.count_if(F.col("close_price_thb").isNull()).alias("without_rate"),
-    ), args, clustered=True)
-    return {"undated": checked["undated"], **seen.get}
+        taken.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
+        literal=args.literal, by_year=True, broadcast=fits_broadcast(sectors(securities)),
+        repeats="ordered" if args.allow_duplicates else "stop",
+        block_rows=prices.BLOCK_ROWS if args.allow_duplicates else None,
+    ).where(in_range)
+    try:
+        save(published.observe(
+            seen, F.count("*").alias("rows"),
+            F.count_if(F.col("gics_sector").isNull()).alias("without_sector"),
+            F.count_if(F.col("close_price_thb").isNull()).alias("without_rate"), *nulls_observed(published),
+        ), args, "prices", range(first, last + 1))
+    except Exception as failure:
+        if prices.REPEATED in str(failure):
+            raise ValueError(f"{prices.REPEATED}; --allow-duplicates publishes them") from failure
+        raise
+    report = {**observed(arrived, read=0, undated=0), **observed(seen, rows=0)}
+    if report["rows"] != report["read"] - report["undated"]:
+        raise ValueError(f"{report['rows']} rows published for {report['read']} read")
+    return checked(report, args, raw.where(undated), "prices")
 
 
 def run_fundamentals(spark: SparkSession, args) -> dict:
     first, last = years_of(args)
-    raw = read(spark, args.source, args.fundamentals, RAW_FUNDAMENTALS)
-    rows = files.slice_years(raw, "Period Ending", first, last)
+    raw = read(spark, args.source, args.fundamentals, RAW_FUNDAMENTALS, args.date_format)
     securities = read(spark, args.lookup_source, args.securities, RAW_SECURITIES)
     require_unique(securities, ["Ticker symbol"])
-
-    published = fundamentals.with_run_year(fundamentals.fundamental_metrics(rows, securities))
-    seen = Observation("fundamentals")
-    save(published.observe(
+    asked, undated = range_of("Period Ending", first, last), F.col("`Period Ending`").isNull()
+    if not args.allow_duplicates:
+        require_unique(raw.where(asked), ["Ticker Symbol", "Period Ending"])
+
+    arrived, seen = Observation("read"), Observation("fundamentals")
+    taken = raw.where(asked | undated).observe(
+        arrived, F.count("*").alias("read"), F.count_if(undated).alias("undated"))
+    small = fits_broadcast(sectors(securities))
+    published = fundamentals.with_run_year(fundamentals.fundamental_metrics(taken.where(asked), securities, small))
+    save(tables.rebalanced(published.observe(
         seen, F.count("*").alias("rows"),
-        F.count_if(F.col("gics_sector").isNull()).alias("without_sector"),
-    ), args)
-    return seen.get
+        F.count_if(F.col("gics_sector").isNull()).alias("without_sector"), *nulls_observed(published),
+    )), args, "fundamentals", range(first, last + 1))
+    report = {**observed(arrived, read=0, undated=0), **observed(seen, rows=0)}
+    return checked(report, args, raw.where(undated), "fundamentals")
 
 
 def run_fx(spark: SparkSession, args) -> dict:
-    """Land the monthly rates of the years, from payloads landed as JSON lines or asked live."""
+    """Land the monthly rates of the years, from payloads landed as JSON lines or asked live.
+
+    Months without an answer, or with one that holds no rate, are reported and stop the job
+    unless ``--allow-missing`` is given.
+    """
     first, last = years_of(args)
     years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("run_year"))
     if args.url:
@@ -114,13 +179,19 @@ def run_fx(spark: SparkSession, args) -> dict:
 
         spark.dataSource.register(FxHistory)
         payloads = spark.read.format("fx_history").options(
-            url=args.url, first=date(first, 1, 1).isoformat(), last=date(last + 1, 1, 1).isoformat()
+            url=args.url, first=date(first, 1, 1).isoformat(), last=date(last + 1, 1, 1).isoformat(),
+            parallel=str(args.parallel), pause=str(args.pause),
         ).load()
     else:
         payloads = files.scan_documents(spark, args.payloads, "request_date STRING, payload STRING")
     seen = Observation("fx")
-    tables.write_csv(fx_monthly(payloads, years).observe(seen, F.count("*").alias("rows")), args.out)
-    return seen.get
+    rates = fx_monthly(payloads, years).observe(
+        seen, F.count("*").alias("received"), F.count_if(F.col("exchange_rate").isNull()).alias("unreadable"))
+    tables.write_csv(rates, args.out)
+    report = {"asked": 12 * (last - first + 1) + 1, **observed(seen, received=0, unreadable=0)}
+    if not args.allow_missing and (report["received"] < report["asked"] or report["unreadable"]):
+        raise ValueError(f"rates are missing: {report}; the table in {args.out} is incomplete")
+    return report
 
 
 def parser() -> argparse.ArgumentParser:
@@ -144,11 +215,17 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--source", choices=["csv", "parquet", "json", "collection"], default="csv")
         one.add_argument("--lookup-source", choices=["csv", "parquet", "json"], default="csv")
         one.add_argument("--mode", choices=["replace", "append"], default="replace")
+        one.add_argument("--dated", action="store_true", help="publish under the dataset and the day of the run")
+        one.add_argument("--sink", default="parquet", help="a warehouse's Spark format, to which rows are appended")
+        one.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
+        one.add_argument("--date-format", action="append", default=[], help="tried before ISO dates")
+        one.add_argument("--max-undated", type=float, default=0.05, help="share of rows that may lack a date")
+        one.add_argument("--allow-duplicates", action="store_true")
         return one
 
     price = table_job("prices", run_prices)
     price.add_argument("--fx", required=True)
-    for flag in ("strict", "continuous", "literal", "allow-duplicates"):
+    for flag in ("strict", "continuous", "literal"):
         price.add_argument(f"--{flag}", action="store_true")
     table_job("fundamentals", run_fundamentals)
 
@@ -156,13 +233,16 @@ def parser() -> argparse.ArgumentParser:
     given = rates.add_mutually_exclusive_group(required=True)
     given.add_argument("--url")
     given.add_argument("--payloads")
+    rates.add_argument("--parallel", type=int, default=4)
+    rates.add_argument("--pause", type=float, default=2.0, help="seconds between the requests of one task")
+    rates.add_argument("--allow-missing", action="store_true")
     return top
 
 
 def main(argv=None) -> dict:
     args = parser().parse_args(argv)
     years_of(args)
-    spark = SparkSession.builder.getOrCreate()
+    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     return args.run(spark, args)
 
 

@@ -1,6 +1,6 @@
 """Incremental daily load: new price files in, affected years republished."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -8,8 +8,6 @@ from barloom.plans.prices import price_metrics, with_run_year
 from barloom.schemas import RAW_PRICES
 from barloom.sinks.tables import idempotent_load, rebalanced
 
-UNDATED = "__HIVE_DEFAULT_PARTITION__"
-
 
 def _store(rows: DataFrame, batch_id, history):
     """Keep the batch under its own id, so that a repeated batch replaces itself."""
@@ -20,30 +18,49 @@ def _store(rows: DataFrame, batch_id, history):
     )
 
 
-def _stored(spark: SparkSession, history, years) -> DataFrame:
-    """The stored rows of the given years; folders of other years are not even listed."""
-    names = [UNDATED if y is None else y for y in years]
-    return spark.read.option("basePath", history).parquet(*[f"{history}/run_year={n}" for n in names])
+def _stored(spark: SparkSession, history) -> DataFrame:
+    """The stored rows; filters on ``run_year`` and ``batch`` choose folders."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_PRICES.fields)
+    return spark.read.schema(f"{fields}, run_year INT, batch BIGINT").parquet(history)
+
+
+def newest(history: DataFrame) -> DataFrame:
+    """For each symbol and date, the rows of the newest batch that has any: later batches correct."""
+    series = Window.partitionBy("symbol", "date")
+    return history.withColumn("_newest", F.max("batch").over(series)).where("batch = _newest").drop("_newest")
 
 
 def publish_new_files(spark: SparkSession, landing, history, published, checkpoint,
                       securities: DataFrame, fx: DataFrame, source="parquet",
-                      reader=None, **metrics) -> StreamingQuery:
+                      reader=None, continuous=False, repeats="stop", **metrics) -> StreamingQuery:
     """Load every file not loaded before, then stop.
 
     Row windows need whole years, so each batch joins the stored history and the years it
-    touches are computed anew and replaced. ``reader`` holds options of the file source.
+    touches are computed anew and replaced. With ``continuous`` windows, all years from the first one
+    touched are, from the whole history. A row for a symbol and date that is already stored replaces the
+    older one; rows that share both within a batch stop the load unless ``repeats`` is
+    ``ordered``. Rows without a date stay in the history and are not published, as in the batch
+    job. ``reader`` holds options of the file source.
     """
     arriving = spark.readStream.format(source).schema(RAW_PRICES).options(**(reader or {})).load(landing)
 
     def load(batch: DataFrame, batch_id: int):
-        rows = with_run_year(batch)
-        years = [row.run_year for row in rows.select("run_year").distinct().collect()]
-        if years:
-            _store(rows, batch_id, history)
-            affected = _stored(batch.sparkSession, history, years)
-            republished = price_metrics(affected, securities, fx, by_year=True, **metrics)
-            idempotent_load(republished, published, clustered=True)
+        session = batch.sparkSession
+        if batch.isEmpty():
+            return
+        _store(with_run_year(batch), batch_id, history)
+        stored = _stored(session, history)
+        # Partition values only: one row per calendar year of the batch.
+        landed = stored.where((F.col("batch") == batch_id) & F.col("run_year").isNotNull())
+        years = sorted(r[0] for r in landed.select("run_year").distinct().collect())
+        if not years:
+            return
+        dated = stored.where(F.col("run_year").isNotNull() if continuous else F.col("run_year").isin(years))
+        republished = price_metrics(
+            newest(dated), securities, fx, by_year=True, continuous=continuous, repeats=repeats, **metrics)
+        if continuous:
+            republished = republished.where(F.col("run_year") >= years[0])
+        idempotent_load(republished, published, clustered=True)
 
     return (
         arriving.writeStream.trigger(availableNow=True)

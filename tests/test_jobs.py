@@ -32,7 +32,10 @@ def prices_args(raw, *more, out="out"):
 
 def test_prices_by_range_and_replay(spark, raw):
     ranged = jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013"))
-    assert ranged == {"undated": 1, "rows": 80, "without_sector": 40, "without_rate": 40}
+    counted = {k: v for k, v in ranged.items() if not k.startswith("null_")}
+    assert counted == {"read": 81, "undated": 1, "rows": 80, "without_sector": 40, "without_rate": 40}
+    assert ranged["null_sma10"] == 4 * 9 and ranged["null_close_price"] == 0
+    assert [r.symbol for r in spark.read.parquet(f"{raw}/out_rejected").collect()] == ["A"]
     for run in ("2025-01-18T08:00:00", "2025-01-19T00:00:00"):
         jobs.main(prices_args(raw, "--run-at", run, "--start-at", "2025-01-18", out="replayed"))
     one, other = spark.read.parquet(f"{raw}/out"), spark.read.parquet(f"{raw}/replayed")
@@ -47,6 +50,86 @@ def test_whole_history_windows(spark, raw):
     jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013", "--continuous"))
     seen = spark.read.parquet(f"{raw}/out").where("sma10 IS NOT NULL").count()
     assert seen == 2 * (40 - 9)
+    before = sorted(map(repr, spark.read.parquet(f"{raw}/out").collect()))
+    jobs.main(prices_args(raw, "--first-year", "2013", "--continuous"))
+    assert sorted(map(repr, spark.read.parquet(f"{raw}/out").collect())) == before
+
+
+def test_years_without_rows_are_emptied_when_replaced(spark, raw):
+    jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013"))
+    text = (raw / "prices.csv").read_text()
+    (raw / "prices.csv").write_text("".join(line for line in text.splitlines(True) if not line.startswith("2013")))
+    jobs.main(prices_args(raw, "--first-year", "2013"))
+    assert {r.run_year for r in spark.read.parquet(f"{raw}/out").select("run_year").distinct().collect()} == {2012}
+
+
+def test_dates_with_a_time_are_read_and_lost_ones_stop_the_job(spark, raw):
+    lines = ["date,symbol,open,close,low,high,volume"]
+    lines += [f"2012-01-{d:02d} 00:00:00,A,1,{d},1,1,1" for d in range(1, 11)]
+    lines += [f"2012-02-{d:02d}T23:30:00.000Z,A,1,{d},1,1,1" for d in range(1, 11)]
+    (raw / "prices.csv").write_text("\n".join(lines) + "\n")
+    got = jobs.main(prices_args(raw, "--first-year", "2012"))
+    assert (got["rows"], got["undated"]) == (20, 0)
+    (raw / "prices.csv").write_text("\n".join([*lines, *["03/04/2012,A,1,1,1,1,1"] * 3]) + "\n")
+    with pytest.raises(ValueError, match="3 of 23"):
+        jobs.main(prices_args(raw, "--first-year", "2012"))
+    (raw / "prices.csv").write_text("\n".join([*lines, "03/04/2012,A,1,1,1,1,1"]) + "\n")
+    got = jobs.main(prices_args(raw, "--first-year", "2012", "--date-format", "MM/dd/yyyy"))
+    assert (got["rows"], got["undated"]) == (21, 0)
+
+
+def test_rates_landed_year_by_year_keep_the_rows(spark, raw):
+    payload = '{"data": {"THB": {"value": 31.5}}}'
+    for year in (2012, 2013):
+        days = [date(year + m // 12, m % 12 + 1, 1) for m in range(13)]
+        spark.createDataFrame([(str(d), payload) for d in days], "request_date string, payload string").write.json(f"{raw}/pay{year}")
+        jobs.main(["fx", "--payloads", f"{raw}/pay{year}", "--out", f"{raw}/rates/{year}", "--first-year", str(year)])
+    args = prices_args(raw, "--first-year", "2012", "--last-year", "2013")
+    args[args.index("--fx") + 1] = f"{raw}/rates/*"
+    got = jobs.main(args)
+    assert (got["rows"], got["without_rate"]) == (80, 0)
+    (raw / "rates" / "2014").mkdir()
+    (raw / "rates" / "2014" / "more.csv").write_text(
+        "exchange_date,curency_base,usd_value,curency_target,exchange_rate\n2013-01-01,USD,1,EUR,0.9\n2013-01-01,USD,1,THB,30.0\n")
+    with pytest.raises(Exception, match="exchange rates differ in 2013-01"):
+        jobs.main(args)
+
+
+def test_the_price_job_reads_its_input_once(spark, raw, monkeypatch):
+    asked = []
+    scan = jobs.read
+    monkeypatch.setattr(jobs, "read", lambda *a: asked.append(a[2]) or scan(*a))
+    plans = []
+    save = jobs.save
+    monkeypatch.setattr(jobs, "save", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or save(df, *a))
+    jobs.main(prices_args(raw, "--first-year", "2012"))
+    assert sum(p.endswith("prices.csv") for p in asked) == 1 and plans[0].count("FileScan csv") == 3
+    assert "rangepartitioning" not in plans[0]
+
+
+def test_dated_folders_and_warehouse_appends(spark, raw, monkeypatch):
+    jobs.main(prices_args(raw, "--run-at", "2025-01-18T08:00:00", "--start-at", "2025-01-18", "--dated"))
+    assert spark.read.parquet(f"{raw}/out/published/prices/2025-01-18").count() == 40
+    sent = []
+    monkeypatch.setattr(tables, "append_to_warehouse", lambda df, source, **options: sent.append((df.count(), source, options)))
+    jobs.main(prices_args(raw, "--first-year", "2012", "--sink", "bigquery", "--sink-option", "table=a.b"))
+    assert sent == [(40, "bigquery", {"table": "a.b"})]
+
+
+def test_empty_and_sparse_documents_give_typed_tables(spark, raw):
+    (raw / "docs").mkdir()
+    (raw / "docs" / "a.json").write_text("")
+    args = prices_args(raw, "--source", "json", "--first-year", "2012", out="none")
+    args[2] = f"{raw}/docs"
+    assert jobs.main(args)["rows"] == 0
+    (raw / "docs" / "a.json").write_text(
+        '{"date": {"$date": "2012-01-03T00:00:00Z"}, "symbol": "A", "close": 1.5}\n'
+        '{"date": {"$date": 1325635200000}, "symbol": "A", "close": 2.5, "volume": 7.0}\n'
+        '{"date": {"$date": {"$numberLong": "1325721600000"}}, "symbol": "A"}\n')
+    assert jobs.main(args)["rows"] == 3
+    found = spark.read.parquet(f"{raw}/none").orderBy("date").collect()
+    assert [(r.date, r.close_price, r.volume) for r in found] == [
+        (date(2012, 1, 3), 1.5, None), (date(2012, 1, 4), 2.5, 7), (date(2012, 1, 5), None, None)]
 
 
 def test_missing_parameters_stop_before_any_work(raw):
@@ -58,8 +141,9 @@ def test_missing_parameters_stop_before_any_work(raw):
 def test_repeated_keys_stop_the_job_unless_allowed(spark, raw, monkeypatch):
     with open(raw / "prices.csv", "a") as f:
         f.write("2012-01-05,A,1,5,1,5,500\n")
-    with pytest.raises(ValueError, match="1 keys"):
+    with pytest.raises(ValueError, match="share"):
         jobs.main(prices_args(raw, "--first-year", "2012"))
+    assert not (raw / "out" / "_SUCCESS").exists()
     monkeypatch.setattr(jobs.prices, "BLOCK_ROWS", 15)
     got = jobs.main(prices_args(raw, "--first-year", "2012", "--allow-duplicates"))
     assert got["rows"] == 41
@@ -81,7 +165,9 @@ def test_fundamentals(spark, raw):
         "fundamentals", "--fundamentals", f"{raw}/fund.csv", "--securities", f"{raw}/securities.csv",
         "--out", f"{raw}/f", "--first-year", "2012", "--last-year", "2013",
     ])
-    assert got == {"rows": 2, "without_sector": 1}
+    assert {k: v for k, v in got.items() if not k.startswith("null_")} == {
+        "read": 2, "undated": 0, "rows": 2, "without_sector": 1}
+    assert got["null_long_term_debt"] == 1
     assert {(r.ticker_symbol_fund, r.run_year) for r in spark.read.parquet(f"{raw}/f").collect()} == {
         ("A", 2012), ("B", 2013)
     }
@@ -97,7 +183,7 @@ def test_fx_from_service_and_from_landed_payloads(spark, raw):
     asked = ["--first-year", "2012"]
     live = jobs.main(["fx", "--url", f"file://{raw}/{{date}}.json", "--out", f"{raw}/live", *asked])
     stored = jobs.main(["fx", "--payloads", f"{raw}/payloads", "--out", f"{raw}/stored", *asked])
-    assert live == stored == {"rows": 13}
+    assert live == stored == {"asked": 13, "received": 13, "unreadable": 0}
     one, other = (spark.read.csv(f"{raw}/{n}", header=True) for n in ("live", "stored"))
     assert one.exceptAll(other).count() == 0 and one.first().curency_target == "THB"
 
@@ -113,3 +199,25 @@ def test_json_and_parquet_sources(spark, raw):
         assert jobs.main(args)["rows"] == 11
     one, other = (spark.read.parquet(f"{raw}/from_{s}") for s in ("parquet", "json"))
     assert one.exceptAll(other).count() == 0
+
+
+def test_fundamentals_count_undated_rows_and_check_keys(spark, raw):
+    head = "Ticker Symbol,Period Ending,Total Revenue,Gross Profit,Total Liabilities,Long-Term Debt\n"
+    args = ["fundamentals", "--fundamentals", f"{raw}/fund.csv", "--securities", f"{raw}/securities.csv",
+            "--out", f"{raw}/f", "--first-year", "2012"]
+    (raw / "fund.csv").write_text(head + "A,2012-12-31,10,5,3,1\nB,12/31/2012,10,5,3,1\n")
+    with pytest.raises(ValueError, match="1 of 2"):
+        jobs.main(args)
+    assert jobs.main([*args, "--max-undated", "0.5"])["undated"] == 1
+    (raw / "fund.csv").write_text(head + "A,2012-12-31,10,5,3,1\n" * 2)
+    with pytest.raises(ValueError, match="Period Ending"):
+        jobs.main(args)
+
+
+def test_missing_and_unreadable_rates_stop_the_job_unless_allowed(spark, raw):
+    rows = [("2012-01-01", '{"message": "rate limit"}'), ("2012-02-01", '{"data": {"THB": {"value": 31.5}}}')]
+    spark.createDataFrame(rows, "request_date string, payload string").write.json(f"{raw}/payloads")
+    args = ["fx", "--payloads", f"{raw}/payloads", "--out", f"{raw}/rates", "--first-year", "2012"]
+    with pytest.raises(ValueError, match="rates are missing"):
+        jobs.main(args)
+    assert jobs.main([*args, "--allow-missing"]) == {"asked": 13, "received": 2, "unreadable": 1}

@@ -1,5 +1,7 @@
 from datetime import date, timedelta
 
+import pytest
+
 from barloom.plans.prices import price_metrics
 from barloom.schemas import RAW_FX, RAW_PRICES, RAW_SECURITIES
 from barloom.streaming.landing import publish_new_files
@@ -41,3 +43,39 @@ def test_late_files_recompute_their_years_only(spark, tmp_path):
 
     load()
     check(early.unionByName(late).unionByName(other))
+
+
+def test_corrections_replace_and_repeats_stop(spark, tmp_path):
+    securities = spark.createDataFrame([("A", "Energy", "Drilling")], RAW_SECURITIES)
+    fx = spark.createDataFrame([(date(2012, 1, 1), "USD", 1, "THB", 31.5)], RAW_FX)
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "published")
+
+    def load(df, **options):
+        df.write.mode("append").parquet(landing)
+        publish_new_files(
+            spark, landing, str(tmp_path / "history"), out, str(tmp_path / "progress"), securities, fx, **options
+        ).awaitTermination()
+
+    first, corrected = bars(spark, 2012, range(20)), bars(spark, 2012, range(20), close=7.0)
+    undated = spark.createDataFrame([(None, "A", 1.0, 1.0, 1.0, 1.0, 1)], RAW_PRICES)
+    load(first.unionByName(undated))
+    load(corrected)
+    whole = price_metrics(corrected, securities, fx)
+    got = spark.read.parquet(out)
+    assert got.count() == 20 and got.select(whole.columns).exceptAll(whole).count() == 0
+    with pytest.raises(Exception, match="share"):
+        load(first.union(first))
+
+
+def test_continuous_windows_follow_late_rows(spark, tmp_path):
+    securities, fx = spark.createDataFrame([], RAW_SECURITIES), spark.createDataFrame([], RAW_FX)
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "published")
+    parts = [bars(spark, 2013, range(20)), bars(spark, 2012, range(20))]
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        publish_new_files(
+            spark, landing, str(tmp_path / "history"), out, str(tmp_path / "progress"), securities, fx, continuous=True
+        ).awaitTermination()
+    whole = price_metrics(parts[0].union(parts[1]), securities, fx, continuous=True)
+    got = spark.read.parquet(out)
+    assert got.count() == 40 and got.select(whole.columns).exceptAll(whole).count() == 0
