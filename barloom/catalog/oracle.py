@@ -17,12 +17,15 @@ BLOCKS = {
                cast(sum(q) AS bigint) AS volume
         FROM trades GROUP BY date, symbol""",
     "bars": "SELECT *, cast(year(date) AS integer) AS run_year FROM prices",
+    "tied": """
+        SELECT date, symbol, v / 100::double AS open, v / 100::double AS close, v / 100::double AS low,
+               v / 100::double AS high, q AS volume, cast(year(date) AS integer) AS run_year
+        FROM trades""",
     "securities": """
-        SELECT cast(s_suppkey AS varchar) AS ticker_symbol, r_name AS gics_sector,
-               n_name AS gics_sub_industry
+        SELECT CASE WHEN s_acctbal >= 1000 THEN '' ELSE 'X' END || s_suppkey AS ticker_symbol,
+               r_name AS gics_sector, n_name AS gics_sub_industry
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-                      JOIN region ON n_regionkey = r_regionkey
-        WHERE s_acctbal >= 1000""",
+                      JOIN region ON n_regionkey = r_regionkey""",
     "quotes": """
         SELECT cast(date_trunc('month', o_orderdate) AS date) AS day,
                cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS double)
@@ -56,10 +59,10 @@ BLOCKS = {
 }
 
 
-def _moved(series):
+def _moved(series, bars="bars", order="date"):
     return f"""
-        SELECT *, close - lag(close) OVER (PARTITION BY {series} ORDER BY date) AS price_change
-        FROM bars"""
+        SELECT *, close - lag(close) OVER (PARTITION BY {series} ORDER BY {order}) AS price_change
+        FROM {bars}"""
 
 
 SPLIT = """
@@ -78,13 +81,13 @@ def _mean(value, rows):
     return f"list_avg(list({value}) FILTER ({value} IS NOT NULL) OVER w{rows})"
 
 
-def _measured(series, seen):
+def _measured(series, seen, order="date"):
     def guarded(value, needed, counted="close"):
         return f"CASE WHEN count({counted}) OVER w{needed} >= {needed} THEN {value} END"
 
     index = f"100 * {_mean('gain', 14)} / nullif({_mean('gain', 14)} + {_mean('loss', 14)}, 0)"
     frames = ", ".join(
-        f"w{n} AS (PARTITION BY {series} ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        f"w{n} AS (PARTITION BY {series} ORDER BY {order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
         for n in (10, 14, 50)
     )
     return f"""
@@ -119,12 +122,13 @@ def _with(blocks, select, **own):
     return f"WITH\n{clauses}\n{select}"
 
 
-def _windows(select, series=YEARLY, strict=False, lookups=False, **own):
+def _windows(select, series=YEARLY, strict=False, lookups=False, tied=False, **own):
+    order = "date, open, close, low, high, volume" if tied else "date"
     return _with(
-        BARS + (LOOKUPS if lookups else []), select,
-        moved=_moved(series),
+        (["trades", "tied"] if tied else BARS) + (LOOKUPS if lookups else []), select,
+        moved=_moved(series, "tied" if tied else "bars", order),
         split=STRICT_SPLIT if strict else SPLIT,
-        measured=_measured(series, "price_change" if strict else "close"),
+        measured=_measured(series, "price_change" if strict else "close", order),
         **own,
     )
 
@@ -164,6 +168,10 @@ ALL_FUNDAMENTALS = _with(FUND, "SELECT * FROM fundamentals")
 FUND_PUBLISHED = _with([*FUND, "securities", "fund_published"], "SELECT * FROM fund_published")
 ALL_FX = _with(["quotes", "spine", "fx"], "SELECT * FROM fx")
 
+RATES_JOINED = _with(["trades", "prices", "quotes", "spine", "fx"], f"""
+        SELECT symbol, date, cast(year(date) AS integer) AS p_year,
+               cast(month(date) AS integer) AS p_month, exchange_rate {RATED}""")
+
 ORACLE = {
     "price_metrics": ALL_METRICS,
     "price_metrics_strict": _metrics(strict=True),
@@ -171,6 +179,8 @@ ORACLE = {
     "price_metrics_as_published": _windows(_published("sma14", ""), lookups=True),
     "price_metrics_blocked": _metrics(series="symbol"),
     "price_metrics_backfill": ALL_METRICS,
+    "price_metrics_tied": _metrics(tied=True),
+    "price_metrics_tied_blocked": _metrics(tied=True),
     "fundamental_metrics": FUND_PUBLISHED,
     "fundamental_trend": _with([*FUND, "securities", "fund_published"], """
         SELECT gics_sector, cast(year(period_ending) AS integer) AS year,
@@ -191,6 +201,9 @@ ORACLE = {
     "scan_csv_fundamentals": ALL_FUNDAMENTALS,
     "scan_csv_inferred": _with(
         ["trades", "prices"], "SELECT * REPLACE (cast(symbol AS bigint) AS symbol) FROM prices"),
+    "scan_csv_mixed_headers": ALL_PRICES,
+    "scan_csv_timestamps": ALL_PRICES,
+    "docs_timestamps": ALL_PRICES,
     "docs_to_table": _with(
         ["trades", "prices", "securities"],
         f"SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM ({SECTORED})"),
@@ -205,6 +218,8 @@ ORACLE = {
     "append_load": ALL_METRICS,
     "idempotent_load": ALL_METRICS,
     "incremental_load": ALL_METRICS,
+    "incremental_corrections": ALL_METRICS,
+    "incremental_continuous": _metrics(series="symbol"),
     "project_prices": ALL_PRICES,
     "project_fundamentals": ALL_FUNDAMENTALS,
     "rename_columns_strict": _with(["trades", "prices"], """
@@ -228,9 +243,8 @@ ORACLE = {
     "enrich_prices_sector": _with(["trades", "prices", "securities"], SECTORED),
     "enrich_fundamentals_sector": _with([*FUND, "securities", "fund_published"], """
         SELECT ticker_symbol_fund AS ticker_symbol, * EXCLUDE (ticker_symbol_fund) FROM fund_published"""),
-    "fx_join_year_month": _with(["trades", "prices", "quotes", "spine", "fx"], f"""
-        SELECT symbol, date, cast(year(date) AS integer) AS p_year,
-               cast(month(date) AS integer) AS p_month, exchange_rate {RATED}"""),
+    "fx_join_year_month": RATES_JOINED,
+    "fx_join_years_landed_apart": RATES_JOINED,
     "close_thb": _with(["trades", "prices", "quotes", "spine", "fx"], f"""
         SELECT symbol, date, close, exchange_rate * close AS close_thb {RATED}"""),
     "fx_month_spine": _with(
@@ -264,7 +278,7 @@ ORACLE = {
         "fundamentals"),
     "schema_profile": _with(BARS, " UNION ALL ".join(
         f"SELECT cast({i} AS integer) AS position, '{c}' AS column_name, '{t}' AS data_type, "
-        f"count({c}) AS non_null FROM bars"
+        f"true AS nullable, count({c}) AS non_null FROM bars"
         for i, (c, t) in enumerate(BAR_TYPES.items(), 1))),
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS copies

@@ -42,15 +42,24 @@ def lookups(spark, folder):
     return testbed.securities(spark, folder), testbed.fx(spark, folder)
 
 
-def metrics(spark, folder, block_rows=None, **options) -> DataFrame:
-    """Bars are grouped by symbol and date, hence unique, so no series needs cutting."""
-    return prices.price_metrics(
-        testbed.prices(spark, folder), *lookups(spark, folder), block_rows=block_rows, **options
-    )
+def small(securities) -> bool:
+    """Whether the securities may be broadcast, measured as the jobs do."""
+    return joins.fits_broadcast(joins.sectors(securities))
+
+
+def metrics(spark, folder, raw=None, **options) -> DataFrame:
+    securities, rates = lookups(spark, folder)
+    bars = testbed.prices(spark, folder) if raw is None else raw
+    return prices.price_metrics(bars, securities, rates, broadcast=small(securities), **options)
 
 
 def published_fundamentals(spark, folder) -> DataFrame:
-    return fundamentals.fundamental_metrics(testbed.fundamentals(spark, folder), testbed.securities(spark, folder))
+    securities = testbed.securities(spark, folder)
+    return fundamentals.fundamental_metrics(testbed.fundamentals(spark, folder), securities, small(securities))
+
+
+def sectored(rows, securities, key) -> DataFrame:
+    return joins.attach_sector(rows, securities, key, small(securities))
 
 
 # Pipelines
@@ -80,10 +89,21 @@ def price_metrics_blocked(spark, folder):
     return metrics(spark, folder, continuous=True, block_rows=533)
 
 
+@query
+def price_metrics_tied(spark, folder):
+    """Several rows of one symbol and day, in the order of their values."""
+    return metrics(spark, folder, testbed.trades(spark, folder))
+
+
+@query
+def price_metrics_tied_blocked(spark, folder):
+    return metrics(spark, folder, testbed.trades(spark, folder), block_rows=53)
+
+
 @query
 def price_metrics_backfill(spark, folder):
     path = work_folder(spark)
-    tables.idempotent_load(metrics(spark, folder, by_year=True), path, clustered=True)
+    tables.idempotent_load(metrics(spark, folder, by_year=True, repeats="stop"), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 
@@ -99,7 +119,8 @@ def fundamental_trend(spark, folder):
 
 @query
 def price_trend(spark, folder):
-    return trends.price_trend(metrics(spark, folder))
+    rows = sectored(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol")
+    return trends.price_trend(columns.rename_columns(rows, PRICE_NAMES, strict=False))
 
 
 # Sources
@@ -141,10 +162,44 @@ def scan_csv_inferred(spark, folder):
     return inferred.withColumns({"symbol": F.col("symbol").cast("bigint"), "volume": F.col("volume").cast("bigint")})
 
 
+@query
+def scan_csv_mixed_headers(spark, folder):
+    """Two parts whose headers differ in order."""
+    path = work_folder(spark)
+    everything = testbed.prices(spark, folder)
+    turned = everything.select(F.lit("x").alias("note"), *reversed(everything.columns))
+    tables.write_csv(files.slice_range(everything, "date", end=SPLIT), f"{path}/one")
+    tables.write_csv(files.slice_range(turned, "date", start=SPLIT), f"{path}/two")
+    return files.scan_csv_parts(spark, f"{path}/*", RAW_PRICES)
+
+
+def _timed(spark, folder):
+    """Bars whose dates have a time part, in the spellings of files and of exported documents."""
+    day = F.date_format("date", "yyyy-MM-dd")
+    spelled = F.when(F.col("volume") % 2 == 0, F.concat(day, F.lit(" 00:00:00"))).otherwise(
+        F.concat(day, F.lit("T23:59:59.999Z")))
+    return testbed.prices(spark, folder).withColumn("date", spelled)
+
+
+@query
+def scan_csv_timestamps(spark, folder):
+    path = work_folder(spark)
+    tables.write_csv(_timed(spark, folder), path)
+    return files.scan_csv(spark, path, RAW_PRICES)
+
+
+@query
+def docs_timestamps(spark, folder):
+    path = work_folder(spark)
+    wrapped = F.struct(F.col("date").alias("$date"))
+    _timed(spark, folder).withColumn("date", wrapped).write.json(path)
+    return columns.conform(files.scan_documents(spark, path, files.text_schema(RAW_PRICES)), RAW_PRICES)
+
+
 @query
 def docs_to_table(spark, folder):
     path = work_folder(spark)
-    documents = joins.attach_sector(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol")
+    documents = sectored(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol")
     documents.write.json(path)
     return snake(files.scan_documents(spark, path))
 
@@ -180,10 +235,9 @@ def parquet_roundtrip(spark, folder):
 def append_load(spark, folder):
     path = work_folder(spark)
     everything = testbed.prices(spark, folder)
-    sector_and_rate = lookups(spark, folder)
     for start, end in ((None, SPLIT), (SPLIT, None)):
         part = files.slice_range(everything, "date", start, end)
-        tables.append_load(prices.price_metrics(part, *sector_and_rate, block_rows=None), path)
+        tables.append_load(metrics(spark, folder, part, by_year=True, repeats="stop"), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 
@@ -191,25 +245,47 @@ def append_load(spark, folder):
 def idempotent_load(spark, folder):
     path = work_folder(spark)
     everything = testbed.prices(spark, folder)
-    sector_and_rate = lookups(spark, folder)
     again = files.slice_range(everything, "date", start=SPLIT)
     for part in (everything, again):
-        tables.idempotent_load(prices.price_metrics(part, *sector_and_rate, block_rows=None), path)
+        tables.idempotent_load(metrics(spark, folder, part, by_year=True, repeats="stop"), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 
-@query
-def incremental_load(spark, folder):
+def _loaded(spark, folder, *batches, **options):
+    """The published table after landing the batches one by one."""
     path = work_folder(spark)
     landing, history, published = f"{path}/landing", f"{path}/history", f"{path}/published"
-    everything = testbed.prices(spark, folder)
-    sector_and_rate = lookups(spark, folder)
-    for start, end in ((None, SPLIT), (SPLIT, None)):
-        files.slice_range(everything, "date", start, end).write.mode("append").parquet(landing)
-        publish_new_files(spark, landing, history, published, f"{path}/progress", *sector_and_rate).awaitTermination()
+    securities, rates = lookups(spark, folder)
+    for batch in batches:
+        batch.write.mode("append").parquet(landing)
+        publish_new_files(
+            spark, landing, history, published, f"{path}/progress", securities, rates,
+            broadcast=small(securities), **options).awaitTermination()
     return files.scan_parquet(spark, published)
 
 
+def _halves(spark, folder):
+    everything = testbed.prices(spark, folder)
+    return [files.slice_range(everything, "date", *ends) for ends in ((None, SPLIT), (SPLIT, None))]
+
+
+@query
+def incremental_load(spark, folder):
+    return _loaded(spark, folder, *_halves(spark, folder))
+
+
+@query
+def incremental_corrections(spark, folder):
+    """The first half lands with wrong closes and is corrected by a later batch."""
+    early, late = _halves(spark, folder)
+    return _loaded(spark, folder, early.withColumn("close", F.col("close") + 1), late, early)
+
+
+@query
+def incremental_continuous(spark, folder):
+    return _loaded(spark, folder, *reversed(_halves(spark, folder)), continuous=True)
+
+
 # Columns
 
 @query
@@ -268,13 +344,12 @@ def year_month_keys(spark, folder):
 
 @query
 def enrich_prices_sector(spark, folder):
-    return snake(joins.attach_sector(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol"))
+    return snake(sectored(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol"))
 
 
 @query
 def enrich_fundamentals_sector(spark, folder):
-    rows = joins.attach_sector(testbed.fundamentals(spark, folder), testbed.securities(spark, folder), "Ticker Symbol")
-    return snake(rows)
+    return snake(sectored(testbed.fundamentals(spark, folder), testbed.securities(spark, folder), "Ticker Symbol"))
 
 
 @query
@@ -283,6 +358,15 @@ def fx_join_year_month(spark, folder):
     return rated.select("symbol", "date", "p_year", "p_month", "exchange_rate")
 
 
+@query
+def fx_join_years_landed_apart(spark, folder):
+    """Rates of each year in a folder of its own: every January but the first and last is there twice."""
+    path = work_folder(spark)
+    tables.write_csv(testbed.fx_by_year(spark, folder), path)
+    rated = joins.attach_rate(testbed.prices(spark, folder), files.scan_csv(spark, path, RAW_FX))
+    return rated.select("symbol", "date", "p_year", "p_month", "exchange_rate")
+
+
 @query
 def close_thb(spark, folder):
     rated = joins.attach_rate(testbed.prices(spark, folder), testbed.fx(spark, folder))

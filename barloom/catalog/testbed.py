@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 
 from barloom.plans.fx import fx_monthly
 from barloom.schemas import SECTOR, TICKER
-from barloom.sinks.tables import write_parquet
-from barloom.sources.files import scan_parquet
-from barloom.sources.workspace import work_folder
 
-VALUE_SPAN = 1 << 24
+#: More than any BIGINT: an order key and a trade value side by side in one DECIMAL.
+SIDE_BY_SIDE = 10 ** 19
 LISTING_BALANCE = 1000
 
 
@@ -32,18 +30,17 @@ def percent(name):
 def prices(spark, folder) -> DataFrame:
     """One bar per symbol and ship date; opened by the first order, closed by the last.
 
-    The order key and the trade value share one BIGINT, so that first and last come from
-    plain MIN and MAX: a hash aggregation with map-side combine. A value too large for
-    its share of the bits stops the job.
+    The order key and the trade value share one DECIMAL(38,0), which holds any two BIGINTs, so that
+    first and last come from plain MIN and MAX: a hash aggregation with map-side combine.
     """
     value = cents("l_extendedprice")
-    fits = value.between(0, VALUE_SPAN - 1)
+    both = F.lit(str(SIDE_BY_SIDE)).cast("decimal(38,0)")
+    sequence = F.col("l_orderkey").cast("decimal(19,0)").cast("decimal(38,0)") * both + value
     trades = table(spark, folder, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("date"),
         "l_suppkey",
         value.alias("value"),
-        F.when(fits, F.col("l_orderkey") * VALUE_SPAN + value)
-        .otherwise(F.raise_error(F.lit("trade value out of range"))).alias("sequence"),
+        sequence.cast("decimal(38,0)").alias("sequence"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     bars = trades.groupBy("l_suppkey", "date").agg(
@@ -53,25 +50,40 @@ def prices(spark, folder) -> DataFrame:
         F.max("value").alias("high"),
         F.sum("quantity").alias("volume"),
     )
+
+    def traded(name):
+        return ((F.col(name) % both).cast("bigint") / F.lit(100.0)).alias("open" if name == "first" else "close")
+
     return bars.select(
         "date",
         F.col("l_suppkey").cast("string").alias("symbol"),
-        (F.col("first") % VALUE_SPAN / F.lit(100.0)).alias("open"),
-        (F.col("last") % VALUE_SPAN / F.lit(100.0)).alias("close"),
+        traded("first"),
+        traded("last"),
         (F.col("low") / F.lit(100.0)).alias("low"),
         (F.col("high") / F.lit(100.0)).alias("high"),
         "volume",
     )
 
 
+def trades(spark, folder) -> DataFrame:
+    """Every order line as a bar of its own, so that many bars share symbol and date."""
+    value = (cents("l_extendedprice") / F.lit(100.0))
+    return table(spark, folder, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("date"), F.col("l_suppkey").cast("string").alias("symbol"),
+        *[value.alias(n) for n in ("open", "close", "low", "high")], F.col("l_quantity").cast("bigint").alias("volume"),
+    )
+
+
 def securities(spark, folder) -> DataFrame:
-    """Suppliers of some standing; the others make the sector join miss."""
+    """All suppliers; those of small standing under another ticker, so that the sector join misses."""
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    listed = table(spark, folder, "supplier").where(F.col("s_acctbal") >= LISTING_BALANCE)
-    return listed.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").cast("string").alias(TICKER),
+    key = F.col("s_suppkey").cast("string")
+    ticker = F.when(F.col("s_acctbal") >= LISTING_BALANCE, key).otherwise(F.concat(F.lit("X"), key))
+    suppliers = table(spark, folder, "supplier")
+    return suppliers.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        ticker.alias(TICKER),
         F.col("r_name").alias(SECTOR[0]),
         F.col("n_name").alias(SECTOR[1]),
     )
@@ -99,10 +111,16 @@ def fx_payloads(spark, folder) -> DataFrame:
 
 
 def fx(spark, folder) -> DataFrame:
-    """The monthly rates as a landed table, so that readers do not derive them again."""
-    path = work_folder(spark)
-    write_parquet(fx_monthly(fx_payloads(spark, folder), years(spark, folder)), path)
-    return scan_parquet(spark, path)
+    """The monthly rates."""
+    return fx_monthly(fx_payloads(spark, folder), years(spark, folder))
+
+
+def fx_by_year(spark, folder) -> DataFrame:
+    """The monthly rates landed year by year: both of two neighbouring years hold the January between."""
+    spine = F.explode(F.sequence(F.make_date("run_year", F.lit(1), F.lit(1)),
+                                 F.make_date(F.col("run_year") + 1, F.lit(1), F.lit(1)), F.expr("INTERVAL 1 MONTH")))
+    months = years(spark, folder).select(spine.alias("exchange_date"))
+    return months.join(fx(spark, folder), "exchange_date")
 
 
 def fundamentals(spark, folder) -> DataFrame:
