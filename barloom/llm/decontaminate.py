@@ -26,11 +26,19 @@ def words(text):
     return F.array_remove(F.split(lowered(text), SEPARATORS), "")
 
 
-def windows(found, size):
-    """Hash of each window of ``size`` consecutive words, by its start."""
-    starts = F.sequence(F.lit(1), F.size(found) - (size - 1))
-    none = F.array().cast("array<bigint>")
-    return F.when(F.size(found) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(found, i, size)))).otherwise(none)
+def hashes(found):
+    """Hash of each word."""
+    return F.transform(found, lambda w: F.xxhash64(w))
+
+
+def windows(hashed, size):
+    """Hash of each window of ``size`` consecutive words, by its start, from the hashes of the words.
+
+    Words are picked one by one, as taking a slice in a function copies the whole array each time.
+    """
+    starts = F.sequence(F.lit(0), F.size(hashed) - size)
+    one = F.transform(starts, lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(size)]))
+    return F.when(F.size(hashed) >= size, one).otherwise(F.array().cast("array<bigint>"))
 
 
 def test_windows(items: DataFrame, key="item_id", text="text", window=WINDOW) -> DataFrame:
@@ -40,11 +48,13 @@ def test_windows(items: DataFrame, key="item_id", text="text", window=WINDOW) ->
     """
     found = items.select(F.col(key).cast("string").alias("item"), words(F.col(text)).alias("found"))
     size = F.least(F.lit(window), F.size("found"))
-    starts = F.sequence(F.lit(1), F.size("found") - size + 1)
-    grams = found.where(F.size("found") > 0).select(
-        "item", size.alias("size"), F.explode(F.transform(starts, lambda i: F.slice("found", i, size))).alias("gram")
-    )
-    return grams.groupBy(F.xxhash64("gram").alias("hash"), "size", "gram").agg(F.collect_set("item").alias("items"))
+    starts = F.sequence(F.lit(0), F.size("found") - window)
+    full = F.transform(starts, lambda i: F.array(*[F.get("found", i + k) for k in range(window)]))
+    every = F.when(F.size("found") >= window, full).otherwise(F.array("found"))
+    grams = found.where(F.size("found") > 0).select("item", size.alias("size"), F.explode(every).alias("gram"))
+    # The hash of an array is that of its elements one after the other, as in ``windows``.
+    named = F.xxhash64(hashes("gram")).alias("hash")
+    return grams.groupBy(named, "size", "gram").agg(F.collect_set("item").alias("items"))
 
 
 def hits(df: DataFrame, items: DataFrame, key="doc_id", text="text", item_key="item_id", item_text="text",
@@ -64,12 +74,11 @@ def hits(df: DataFrame, items: DataFrame, key="doc_id", text="text", item_key="i
         grams = F.broadcast(grams)
     # At most ``window`` sizes exist; most often there is one.
     sizes = sorted(measure.sizes) or [window]
-    found = df.select(
-        F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("found")
-    )
+    found = df.select(F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("found"))
+    found = found.withColumn("hashed", hashes("found"))
     scanned = None
     for size in sizes:
-        part = found.select(key, "text_hash", "found", F.posexplode(windows(F.col("found"), size)).alias("start", "hash"))
+        part = found.select(key, "text_hash", "found", F.posexplode(windows("hashed", size)).alias("start", "hash"))
         part = part.withColumn("size", F.lit(size))
         scanned = part if scanned is None else scanned.unionByName(part)
     met = scanned.join(grams, ["hash", "size"])
@@ -86,13 +95,18 @@ def report(df: DataFrame, items: DataFrame, key="doc_id", text="text", **options
     """
     found = hits(df, items, key, text, **options)
     # Rows that share key and text repeat the same places: sets drop the repeats.
-    covered = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1))
     hit = F.struct(F.col(key).alias("key"), F.col("text_hash").alias("text"))
-    named = found.select(hit.alias("_hit"), "start", "size", "items").distinct()
-    counted = named.select("_hit", covered.alias("word")).distinct().groupBy("_hit").agg(F.count("*").alias("n_hit"))
-    listed = named.select("_hit", F.explode("items").alias("item")).groupBy("_hit").agg(
-        F.sort_array(F.collect_set("item")).alias("_items"))
-    per_text = counted.join(listed, "_hit")
+    per_text = found.groupBy(hit.alias("_hit")).agg(
+        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("_spans"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"),
+    )
+    covered = F.aggregate(
+        "_spans", F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")),
+        lambda done, s: F.struct(
+            F.greatest(done["end"], s["end"]).alias("end"),
+            (done["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(done["end"], s["start"]))).alias("n")),
+        lambda done: done["n"])
+    per_text = per_text.select("_hit", covered.alias("n_hit"), "_items")
     rows = df.select(
         F.col(key), F.size(words(F.col(text))).cast("bigint").alias("n_words"),
         F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text")).alias("_hit"),
