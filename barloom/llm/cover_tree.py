@@ -229,14 +229,15 @@ def links(classes: DataFrame, similarity=SIMILARITY, block_rows=BLOCK_ROWS, pair
 def _blocks(classes: DataFrame, block_rows):
     """The classes with unit vectors and their block, and each block's centre and radius.
 
-    Pivots are a bounded sample: per label and vector length, as many by hash as the blocks needed, at
-    most ``PIVOT_SAMPLE``. A class goes to its nearest pivot; a pivot with more than ``block_rows``
-    of them is cut by hash.
+    Pivots are a bounded sample: per label and vector length, by hash, as many as blocks are needed, but
+    about ``PIVOT_SAMPLE`` in all. A class goes to its nearest pivot, if its label has one; the
+    classes of a pivot, or of a label without, are cut by hash if they exceed ``block_rows``.
     """
     kinds = ["label", "size"]
     counted = classes.groupBy(*kinds).agg(F.count("*").alias("n"))
-    wanted = F.least(F.ceil(F.col("n") / block_rows), F.lit(PIVOT_SAMPLE))
-    rates = counted.select(*kinds, (wanted / F.col("n")).alias("rate"))
+    wanted = F.ceil(F.col("n") / block_rows)
+    share = min(1.0, PIVOT_SAMPLE / (counted.agg(F.sum(wanted)).first()[0] or 1))
+    rates = counted.select(*kinds, (wanted / F.col("n") * share).alias("rate"))
     chance = F.pmod(F.xxhash64("first", "vector"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     pivots = {}
     sample = classes.withColumn("chance", chance).join(F.broadcast(rates), kinds).where("chance < rate")
@@ -256,15 +257,15 @@ def _blocks(classes: DataFrame, block_rows):
                 part = table.filter(pa.array(sizes == size))
                 vectors = unit(_matrix(part["vector"].combine_chunks()))
                 pivot, apart = np.zeros(len(vectors), np.int32), np.full(len(vectors), 2.0)
-                labels = part["label"].to_pylist()
-                for label in set(labels):
-                    at = np.array([x == label for x in labels])
-                    net = shared.value.get((label, size))
+                coded = part["label"].combine_chunks().dictionary_encode()
+                codes, labels = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+                order = np.argsort(codes, kind="stable")
+                for at in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+                    net = shared.value.get((labels[codes[at[0]]], size))
                     if net is not None:
-                        products = vectors[at] @ net.T
-                        pivot[at] = products.argmax(axis=1)
-                    apart[at] = np.sqrt(np.maximum(0, 2 - 2 * np.einsum(
-                        "ij,ij->i", vectors[at], net[pivot[at]]))) if net is not None else 2.0
+                        pivot[at] = (vectors[at] @ net.T).argmax(axis=1)
+                        cosines = np.einsum("ij,ij->i", vectors[at], net[pivot[at]])
+                        apart[at] = np.sqrt(np.maximum(0, 2 - 2 * cosines))
                 flat = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, vectors.size + 1, size, dtype=np.int32)), pa.array(vectors.reshape(-1)))
                 yield from pa.table({
@@ -272,12 +273,9 @@ def _blocks(classes: DataFrame, block_rows):
                     "vector": flat, "pivot": pa.array(pivot), "apart": pa.array(apart)}).to_batches()
 
     placed = stored(classes.select("label", "size", "first", "copies", "vector").mapInArrow(assign, schema))
-    cells = placed.groupBy(*kinds, "pivot").agg(F.count("*").alias("n")).withColumn(
-        "cuts", F.ceil(F.col("n") / block_rows).cast("int")).drop("n")
-    # As many rows as blocks, which measure the same for any table: one per ``block_rows`` vectors.
-    cut = F.pmod(F.xxhash64("first"), F.col("cuts")).cast("int")
-    blocked = placed.join(cells, [*kinds, "pivot"]).withColumn("block", F.struct("pivot", cut.alias("cut")))
-    blocked = blocked.withColumn("block", F.col("block.pivot").cast("bigint") * (1 << 31) + F.col("block.cut"))
+    cells = placed.groupBy(*kinds, "pivot").agg(F.ceil(F.count("*") / block_rows).alias("cuts"))
+    cut = F.pmod(F.xxhash64("first"), F.col("cuts"))
+    blocked = placed.join(cells, [*kinds, "pivot"]).withColumn("block", F.col("pivot") * F.lit(1 << 31) + cut)
     centres = spark.createDataFrame(
         [(*k, i, c.tolist()) for k, net in nets.items() for i, c in enumerate(net)],
         f"label {named['label']}, size INT, pivot INT, centre ARRAY<DOUBLE>")
