@@ -3,10 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.storage import stored
+from barloom.llm.storage import lookup
 
 WINDOW = 10
-BROADCAST_BYTES = 64 << 20
 
 # --- Fixed values: what separates words, and the letters that are lower-cased. ---
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -26,19 +25,10 @@ def words(text):
     return F.array_remove(F.split(lowered(text), SEPARATORS), "")
 
 
-def hashes(found):
-    """Hash of each word."""
-    return F.transform(found, lambda w: F.xxhash64(w))
-
-
-def windows(hashed, size):
-    """Hash of each window of ``size`` consecutive words, by its start, from the hashes of the words.
-
-    Words are picked one by one, as taking a slice in a function copies the whole array each time.
-    """
-    starts = F.sequence(F.lit(0), F.size(hashed) - size)
-    one = F.transform(starts, lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(size)]))
-    return F.when(F.size(hashed) >= size, one).otherwise(F.array().cast("array<bigint>"))
+def window_hash(found, start, size):
+    """Hash of the window of ``size`` words at ``start``: that of their array. Written out word by word, for
+    Spark to compile with the scan; a function over the array is interpreted, at several times the cost."""
+    return F.xxhash64(*[F.get(found, start + k) for k in range(size)])
 
 
 def test_windows(items: DataFrame, key="item_id", text="text", window=WINDOW) -> DataFrame:
@@ -52,9 +42,7 @@ def test_windows(items: DataFrame, key="item_id", text="text", window=WINDOW) ->
     full = F.transform(starts, lambda i: F.array(*[F.get("found", i + k) for k in range(window)]))
     every = F.when(F.size("found") >= window, full).otherwise(F.array("found"))
     grams = found.where(F.size("found") > 0).select("item", size.alias("size"), F.explode(every).alias("gram"))
-    # The hash of an array is that of its elements one after the other, as in ``windows``.
-    named = F.xxhash64(hashes("gram")).alias("hash")
-    return grams.groupBy(named, "size", "gram").agg(F.collect_set("item").alias("items"))
+    return grams.groupBy(F.xxhash64("gram").alias("hash"), "size", "gram").agg(F.collect_set("item").alias("items"))
 
 
 def hits(df: DataFrame, items: DataFrame, key="doc_id", text="text", item_key="item_id", item_text="text",
@@ -65,24 +53,31 @@ def hits(df: DataFrame, items: DataFrame, key="doc_id", text="text", item_key="i
     Test windows are few against training windows: they are stored and broadcast if they measure up to
     64 MB, and joined by shuffle on their hash beyond that. Equal hashes are verified word by word.
     """
-    grams = stored(test_windows(items, item_key, item_text, window))
-    measure = grams.agg(
-        F.sum(F.octet_length(F.concat_ws(" ", "gram")) + F.octet_length(F.concat_ws(" ", "items")) + 64).alias("bytes"),
-        F.collect_set("size").alias("sizes"),
-    ).first()
-    if (measure.bytes or 0) <= BROADCAST_BYTES:
-        grams = F.broadcast(grams)
+    grams = lookup(test_windows(items, item_key, item_text, window))
     # At most ``window`` sizes exist; most often there is one.
-    sizes = sorted(measure.sizes) or [window]
+    sizes = sorted(grams.agg(F.collect_set("size")).first()[0]) or [window]
     found = df.select(F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), words(F.col(text)).alias("found"))
-    found = found.withColumn("hashed", hashes("found"))
-    scanned = None
-    for size in sizes:
-        part = found.select(key, "text_hash", "found", F.posexplode(windows("hashed", size)).alias("start", "hash"))
-        part = part.withColumn("size", F.lit(size))
-        scanned = part if scanned is None else scanned.unionByName(part)
-    met = scanned.join(grams, ["hash", "size"])
-    verified = met.where(F.expr("slice(found, start + 1, size) = gram"))
+    # Not a filter, which would be pushed below the words and split the text once more.
+    enough = F.size("found") >= sizes[0]
+    starts = F.when(enough, F.sequence(F.lit(0), F.size("found") - sizes[0]))
+    placed = found.select(key, "text_hash", "found", F.explode(starts).alias("start"))
+    if len(sizes) == 1:
+        hashed = placed.withColumns({"size": F.lit(sizes[0]), "hash": window_hash(F.col("found"), F.col("start"), sizes[0])})
+    else:
+        hashed = placed.select("*", F.inline(F.array(*[
+            F.struct(F.lit(s).alias("size"), F.when(F.col("start") + s <= F.size("found"), window_hash(
+                F.col("found"), F.col("start"), s)).alias("hash"))
+            for s in sizes
+        ])))
+    # From here on a row carries a window's words, not those of its text.
+    here = F.array(*[F.get("found", F.col("start") + k) for k in range(sizes[-1])])
+    probes = hashed.select(key, "text_hash", "start", "size", "hash", here.alias("here"))
+    grams = grams.select(F.col("hash").alias("gram_hash"), F.col("size").alias("gram_size"), "gram", "items")
+    met = probes.join(grams, (F.col("hash") == F.col("gram_hash")) & (F.col("size") == F.col("gram_size")))
+    # Each side holds a column of both tables: else the words would become a key of the join, to be
+    # hashed for every window and not for hits alone.
+    taken = F.struct(F.slice("here", F.lit(1), F.col("size")), F.col("gram_hash"))
+    verified = met.where(taken == F.struct(F.col("gram"), F.col("hash")))
     return verified.select(key, "text_hash", "start", "size", "items")
 
 
@@ -122,7 +117,7 @@ def report(df: DataFrame, items: DataFrame, key="doc_id", text="text", **options
 def drop_contaminated(df: DataFrame, items: DataFrame, key="doc_id", text="text", **options) -> DataFrame:
     """The rows of which no word lies in a test window, with all their columns."""
     found = hits(df, items, key, text, **options)
-    gone = found.select(F.col(key).alias("_key"), F.col("text_hash").alias("_text")).distinct()
+    gone = lookup(found.select(F.col(key).alias("_key"), F.col("text_hash").alias("_text")).distinct())
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(F.col(text)) == F.col("_text"))
     return df.join(gone, same, "left_anti")
 

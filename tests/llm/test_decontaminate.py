@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from barloom.llm import decontaminate
+from barloom.llm import decontaminate, storage
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -45,7 +45,7 @@ def tables(spark, docs):
 
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_report_matches_brute_force(tables, limit, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", limit)
     rows, items, df, benchmark = tables
     found = sorted(map(tuple, decontaminate.report(df, benchmark, window=4).collect()), key=str)
     assert found == plain(rows, items, 4)
