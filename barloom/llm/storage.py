@@ -8,10 +8,10 @@ from barloom.sources.workspace import work_folder
 BROADCAST_BYTES = 64 << 20
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options) -> DataFrame:
     """The rows written once as Parquet and read back, which cuts the lineage."""
     path = work_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

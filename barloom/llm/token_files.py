@@ -7,16 +7,17 @@ A file holds blocks of whole documents. Numbers are little-endian:
     then     keys (i64), key flags (u8, 0: the key is null), tokens per document (u32),
              control bytes, data bytes
 
-Four ranks share a control byte, two bits each, lowest first: bytes of the rank less one.
+Four ranks of a document share a control byte, two bits each, lowest first: bytes of the rank
+less one. A document's last control byte may have unused places, which have no data.
 """
 
-from itertools import chain
+import re
+from array import array
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,26 +29,38 @@ from barloom.sources.workspace import work_folder
 MAGIC = b"BTK1"
 FILE_TOKENS = 4 << 20
 BLOCK_TOKENS = 1 << 19
-MEMO_CHUNKS = 400_000
+MEMO_WORDS = 400_000
+SLICE_BYTES = 8 << 20
 #: Bytes of the four ranks of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit numbers."""
+def _places(counts: np.ndarray):
+    """Which places of the documents' control bytes hold a number, and control bytes per document."""
+    quads = -(-counts // 4)
+    within = np.arange(4 * quads.sum()) - np.repeat(4 * (np.cumsum(quads) - quads), 4 * quads)
+    return within < np.repeat(counts, 4 * quads), quads
+
+
+def pack(values: np.ndarray, counts: np.ndarray):
+    """Control bytes and data bytes of unsigned 32-bit numbers, ``counts`` of them per document, and
+    control and data bytes per document."""
     values = values.astype("<u4")
     extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    held = np.arange(4) <= extra[:, None]
-    data = values.view(np.uint8).reshape(-1, 4)[held]
-    padded = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    padded[:len(values)] = extra
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    held, quads = _places(counts)
+    padded = np.zeros(len(held), np.uint8)
+    padded[held] = extra
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), data.tobytes()
+    upto = np.concatenate(([0], np.cumsum(extra.astype(np.int64) + 1)))
+    ends = np.cumsum(counts)
+    return control, data, quads, upto[ends] - upto[ends - counts]
 
 
-def unpack(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
+def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers again: lengths by a table of the control bytes, values by gathers."""
-    sizes = LENGTHS[control].reshape(-1)[:count]
+    held, _ = _places(counts)
+    sizes = LENGTHS[control].reshape(-1)[held]
     starts = np.cumsum(sizes) - sizes
     padded = np.concatenate([data, np.zeros(3, np.uint8)])
     values = padded[starts].astype(np.uint32)
@@ -57,15 +70,13 @@ def unpack(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
     return values
 
 
-def block(keys: list, ids: list[bytes], ranks: np.ndarray) -> bytes:
-    """One block from documents' keys and ids (unsigned 32-bit numbers as bytes)."""
-    flat = np.frombuffer(b"".join(ids), "<u4")
-    control, data = pack(ranks[flat])
-    counts = np.array([len(i) // 4 for i in ids], "<u4")
-    head = np.array([len(keys), len(flat), len(control), len(data)], "<u4")
+def block(keys: list, counts: list[int], control: list[bytes], data: list[bytes]) -> bytes:
+    """One block of documents that are packed already."""
+    control, data = b"".join(control), b"".join(data)
+    head = np.array([len(keys), sum(counts), len(control), len(data)], "<u4")
     numbers = np.array([0 if k is None else k for k in keys], "<i8")
     flags = np.array([k is not None for k in keys], np.uint8)
-    return b"".join([MAGIC, head.tobytes(), numbers.tobytes(), flags.tobytes(), counts.tobytes(), control, data])
+    return b"".join([MAGIC, head.tobytes(), numbers.tobytes(), flags.tobytes(), np.array(counts, "<u4").tobytes(), control, data])
 
 
 def read_blocks(stream, tokens: np.ndarray):
@@ -73,61 +84,212 @@ def read_blocks(stream, tokens: np.ndarray):
     while mark := stream.read(4):
         if mark != MAGIC:
             raise ValueError("not a token file")
-        documents, count, controls, size = np.frombuffer(stream.read(16), "<u4").tolist()
+        documents, _, controls, size = np.frombuffer(stream.read(16), "<u4").tolist()
         numbers = np.frombuffer(stream.read(8 * documents), "<i8")
         flags = np.frombuffer(stream.read(documents), np.uint8)
-        counts = np.frombuffer(stream.read(4 * documents), "<u4")
+        counts = np.frombuffer(stream.read(4 * documents), "<u4").astype(np.int64)
         control = np.frombuffer(stream.read(controls), np.uint8)
         data = np.frombuffer(stream.read(size), np.uint8)
-        yield pa.array(numbers, mask=flags == 0), counts.astype(np.int64), tokens[unpack(control, data, count)]
+        yield pa.array(numbers, mask=flags == 0), counts, tokens[unpack(control, data, counts)]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write bytes with: printable ones as they are, others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Words(dict):
+    """A word of Latin letters in lower case to its ids as bytes, by the tokenizer's model alone."""
+
+    def __init__(self, model, limit):
+        self.model, self.limit, self.letters = model, limit, _byte_letters()
+
+    def __missing__(self, word: bytes):
+        if len(self) >= self.limit:
+            self.clear()
+        spelled = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
+        self[word] = ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
+
+
+class _Other(dict):
+    """Any other run to its ids, by the whole tokenizer."""
+
+    def __init__(self, library, limit):
+        self.library, self.limit = library, limit
+
+    def __missing__(self, run: bytes):
+        if len(self) >= self.limit:
+            self.clear()
+        self[run] = ids = array("I", self.library.encode(run.decode(), add_special_tokens=False).ids).tobytes()
+        return ids
 
 
 class Encoder:
-    """Ids of whole texts from a tokenizer file of the tokenizers library, and an end id.
+    """Ids of whole texts from a tokenizer file of the tokenizers library, with an end id after each.
 
-    The tokenizer splits at white space, so a space always ends a token, and each distinct run between
-    spaces is encoded once while it is remembered. Special tokens' strings are ordinary text.
+    The tokenizer splits at white space, so each distinct run between ASCII white space is encoded by
+    itself: Latin letters with nothing or ASCII marks after them by the tokenizer's model, which a bounded
+    number of words remembers, any other run by the whole tokenizer. Equal runs of some megabytes of text
+    are found together, by their bytes. Special tokens' strings are ordinary text.
     """
 
-    def __init__(self, path: str, end: int, memo=MEMO_CHUNKS):
+    #: What the tokenizer's rules surely split in two: Latin letters, and ASCII marks other than an apostrophe.
+    PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+    SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+    MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+    def __init__(self, path: str, end: int, memo=MEMO_WORDS):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.end = np.array([end], "<u4").tobytes()
-        self.known, self.limit = {}, memo
+        self.words, self.other = _Words(self.library.model, memo), _Other(self.library, memo // 8)
+        vocabulary = self.library.get_vocab_size(with_added_tokens=True)
+        self.width = np.uint16 if max(end + 1, vocabulary) <= 1 << 16 else np.uint32
+
+    def run(self, run: bytes) -> bytes:
+        """The ids of one run between white space."""
+        if run.isalpha():
+            return self.words[run.lower()]
+        plain = self.PLAIN.fullmatch(run)
+        if not plain:
+            return self.other[run]
+        word, marks = plain.groups()
+        word = word.lower() if word.isascii() else word.decode().lower().encode()
+        return self.words[word] + self.other[marks] if marks else self.words[word]
+
+    def __call__(self, texts: list[bytes | None], limit=SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and their number for each."""
+        counts = np.zeros(len(texts), np.int64)
+        found, pieces, owners, size = [], [], [], 0
+        for i, text in enumerate(texts):
+            for piece, last in self._cut(text or b"", limit):
+                pieces.append((piece, last))
+                owners.append(i)
+                size += len(piece) + 1
+                if size >= limit:
+                    self._add(pieces, owners, counts, found)
+                    pieces, owners, size = [], [], 0
+        self._add(pieces, owners, counts, found)
+        return np.concatenate([np.zeros(0, self.width), *found]), counts
+
+    @staticmethod
+    def _cut(text, limit):
+        """Parts of about ``limit`` bytes of a longer text, cut where white space is."""
+        while len(text) > limit and (space := re.compile(rb"[ \t-\r]").search(text, limit)):
+            yield text[:space.start()], False
+            text = text[space.end():]
+        yield text, True
+
+    def _add(self, pieces, owners, counts, found):
+        if not pieces:
+            return
+        data = b"\n".join(p for p, _ in pieces) + b"\n"
+        size = len(data)
+        raw = np.frombuffer(data + bytes(16), np.uint8)
+        edges = np.flatnonzero(np.diff(self.SPACE[raw[:size]], prepend=True))
+        starts, ends = edges[0::2], edges[1::2]
+        lengths = ends - starts
+        codes, runs = self._distinct(raw, data, starts, lengths)
+        # Each last piece is followed by the end id, which stands behind the distinct runs.
+        closed = np.cumsum([len(p) + 1 for p, _ in pieces]) - 1
+        before = np.searchsorted(starts, closed)
+        last = np.array([last for _, last in pieces])
+        order = np.insert(codes, before[last], len(runs))
+        ids = [*map(self.run, runs), self.end]
+        table = np.frombuffer(b"".join(ids), "<u4").astype(self.width)
+        widths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        offsets = np.cumsum(widths) - widths
+        taken = widths[order]
+        upto = np.cumsum(taken)
+        flat = table[np.arange(upto[-1] if len(upto) else 0) + np.repeat(offsets[order] - (upto - taken), taken)]
+        found.append(flat)
+        sums = np.concatenate(([0], upto))[before + np.cumsum(last)]
+        np.add.at(counts, owners, np.diff(sums, prepend=0))
+
+    def _distinct(self, raw, data, starts, lengths):
+        """A code for each run, and the run of each code: equal bytes, equal code.
+
+        Runs of up to 16 bytes are compared as two numbers each; longer ones, and the few whose
+        numbers share a hash with others, one by one.
+        """
+        wide = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        low = wide[starts] & self.MASKS[np.minimum(lengths, 8)]
+        high = wide[np.minimum(starts + 8, len(wide) - 1)] & self.MASKS[np.clip(lengths - 8, 0, 8)]
+        mixed = (low ^ (high * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed ^= (mixed >> np.uint64(32)) ^ lengths.astype(np.uint64)
+        codes = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(lengths <= 16)
+        _, first, same = np.unique(mixed[short], return_index=True, return_inverse=True)
+        model = short[first]
+        equal = (low[short] == low[model][same]) & (high[short] == high[model][same]) & (lengths[short] == lengths[model][same])
+        codes[short[equal]] = same[equal]
+        runs = [data[s:s + n] for s, n in zip(starts[model].tolist(), lengths[model].tolist())]
+        others = {}
+        for i in np.flatnonzero(codes < 0).tolist():
+            run = data[starts[i]:starts[i] + lengths[i]]
+            code = others.get(run)
+            if code is None:
+                code = others[run] = len(runs)
+                runs.append(run)
+            codes[i] = code
+        return codes, runs
+
+
+def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive pieces of an array, ``sizes`` bytes each, as binary values."""
+    edges = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(np.ascontiguousarray(flat).tobytes())])
+
+
+def tokenized(df: DataFrame, path: str, end: int, key="doc_id", text="text", memo=MEMO_WORDS) -> DataFrame:
+    """``(key, tie, n, ids)``, stored: every text's ids as numbers of two bytes, or four for vocabularies above 65,536.
+
+    ``tie`` is a hash of the text, which orders rows of one key. Texts are encoded once.
+    """
+    chosen = df.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("tie"),
+                       F.col(text).cast("string").cast("binary").alias("bytes"))
+
+    def run(batches):
+        encode = Encoder(path, end, memo)
+        for batch in batches:
+            for piece in cut(batch, SLICE_BYTES):
+                ids, counts = encode(piece.column(2).to_pylist())
+                values = _binary(ids, counts * ids.itemsize)
+                yield pa.RecordBatch.from_arrays([*piece.columns[:2], pa.array(counts), values], names=["key", "tie", "n", "ids"])
+
+    return stored(chosen.mapInArrow(run, "key BIGINT, tie BIGINT, n BIGINT, ids BINARY"), compression="zstd")
 
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        parts = [(t or b"").decode().split(" ") for t in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
-        fresh = list(set(chain.from_iterable(parts)).difference(self.known))
-        for chunk, coded in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[chunk] = np.array(coded.ids, "<u4").tobytes()
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, p)) + self.end for p in parts]
 
+def _numbers(column: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """The ids of a batch of binary values as one array."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    total = int(counts.sum())
+    width = (int(edges[-1]) - int(edges[0])) // max(1, total)
+    kind = np.dtype("<u4" if width == 4 else "<u2")
+    return np.frombuffer(column.buffers()[2], np.uint8)[edges[0]:edges[-1]].view(kind) if total else np.zeros(0, kind)
 
-def frequencies(df: DataFrame, path: str, end: int, text="text", memo=MEMO_CHUNKS) -> DataFrame:
-    """``(id, n)`` over all texts, end ids included; each task counts before anything is shuffled."""
-    chosen = df.select(F.col(text).cast("string").cast("binary"))
 
+def frequencies(coded: DataFrame) -> DataFrame:
+    """``(id, count)`` over all stored ids; each task counts before anything is shuffled."""
     def run(batches):
-        encode, counts = Encoder(path, end, memo), np.zeros(0, np.int64)
+        counts = np.zeros(0, np.int64)
         for batch in batches:
-            for piece in cut(batch):
-                ids = np.frombuffer(b"".join(encode(piece.column(0).to_pylist())), "<u4")
-                more = np.bincount(ids, minlength=len(counts))
-                more[:len(counts)] += counts
-                counts = more
+            more = np.bincount(_numbers(batch.column(1), batch.column(0).to_numpy()), minlength=len(counts))
+            more[:len(counts)] += counts
+            counts = more
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "count"])
 
-    return chosen.mapInArrow(run, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
+    return coded.select("n", "ids").mapInArrow(run, "id BIGINT, count BIGINT").groupBy("id").agg(F.sum("count").alias("count"))
 
 
 def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="text",
-          file_tokens=FILE_TOKENS, memo=MEMO_CHUNKS) -> tuple[DataFrame, list[int]]:
+          file_tokens=FILE_TOKENS, memo=MEMO_WORDS) -> tuple[DataFrame, list[int]]:
     """Write the ids of all texts to files in ``folder``, in ascending order of the keys.
 
     Returns the files and the ids by rank. The table of files, ``(part, file, documents, tokens,
@@ -136,39 +298,65 @@ def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="t
     Rows of equal keys go by the hash of their text; null keys come first; null texts are empty.
     ``folder`` has to be one that all executors reach, of a kind that Arrow can write to.
     """
-    rows = [tuple(r) for r in frequencies(df, path, end, text, memo).collect()]
+    spark = df.sparkSession
+    coded = tokenized(df, path, end, key, text, memo)
+    rows = [tuple(r) for r in frequencies(coded).collect()]
     by_rank = [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
     ranks = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     ranks[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     parts = max(1, -(-sum(n for _, n in rows) // file_tokens))
-    shared = df.sparkSession.sparkContext.broadcast(ranks)
-    chosen = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").cast("binary").alias("bytes"))
-    order = ["key", F.xxhash64("bytes")]
-    dealt = chosen.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Bounds between the files from the keys alone; a range partitioning would sample the packed rows.
+    shares = [i / parts for i in range(1, parts)]
+    bounds = coded.agg(F.percentile_approx("key", shares, 100 * parts)).first()[0] if shares else []
+    shared = spark.sparkContext.broadcast((ranks, np.unique(np.array(bounds or [], np.int64))))
+
+    def packed(batches):
+        ranks, bounds = shared.value
+        for batch in batches:
+            for piece in cut(batch, SLICE_BYTES):
+                counts = piece.column(2).to_numpy()
+                control, data, quads, sizes = pack(ranks[_numbers(piece.column(3), counts)], counts)
+                keys = piece.column(0)
+                part = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), side="left") + 1
+                part[keys.is_null().to_numpy(zero_copy_only=False)] = 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), *piece.columns[:3], _binary(control, quads), _binary(data, sizes)],
+                    names=["part", "key", "tie", "n", "control", "data"])
+
+    schema = "part BIGINT, key BIGINT, tie BIGINT, n BIGINT, control BINARY, data BINARY"
+    dealt = coded.mapInArrow(packed, schema).repartition(parts, "part").sortWithinPartitions("part", "key", "tie", "data")
 
     def run(batches):
-        encode, ranks = Encoder(path, end, memo), shared.value
         target, inner = fs.FileSystem.from_uri(folder)
         target.create_dir(inner, recursive=True)
-        name = f"{TaskContext.get().partitionId():08d}-{uuid4().hex}.tok"
-        documents = tokens = 0
-        with target.open_output_stream(f"{inner}/{name}") as out:
-            keys, ids, held = [], [], 0
-            for batch in batches:
-                for piece in cut(batch):
-                    for k, i in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist())):
-                        keys.append(k)
-                        ids.append(i)
-                        held += len(i) // 4
-                        if held >= BLOCK_TOKENS:
-                            out.write(block(keys, ids, ranks))
-                            documents, tokens = documents + len(keys), tokens + held
-                            keys, ids, held = [], [], 0
-            if keys:
-                out.write(block(keys, ids, ranks))
-                documents, tokens = documents + len(keys), tokens + held
-        columns = [[TaskContext.get().partitionId()], [f"{folder}/{name}"], [documents], [tokens]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "file", "documents", "tokens"])
+        out = part = name = None
+        documents = tokens = pending = 0
+        held = [], [], [], []
+
+        def closed():
+            if held[0]:
+                out.write(block(*held))
+            out.close()
+            columns = [[part], [f"{folder}/{name}"], [documents], [tokens]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "file", "documents", "tokens"])
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for own, *row in zip(*[columns[i] for i in (0, 1, 3, 4, 5)]):
+                if own != part:
+                    if out:
+                        yield closed()
+                    part, documents, tokens, pending, held = own, 0, 0, 0, ([], [], [], [])
+                    name = f"{part:08d}-{uuid4().hex}.tok"
+                    out = target.open_output_stream(f"{inner}/{name}")
+                for column, value in zip(held, row):
+                    column.append(value)
+                documents, tokens, pending = documents + 1, tokens + row[1], pending + row[1]
+                if pending >= BLOCK_TOKENS:
+                    out.write(block(*held))
+                    held, pending = ([], [], [], []), 0
+        if out:
+            yield closed()
 
     files = stored(dealt.mapInArrow(run, "part BIGINT, file STRING, documents BIGINT, tokens BIGINT"))
     # One row per file: few, whatever their total size.
@@ -189,13 +377,11 @@ def read(files: DataFrame, by_rank: list[int], key="doc_id") -> DataFrame:
                 with source.open_input_stream(inner) as stream:
                     for keys, counts, ids in read_blocks(stream, shared.value):
                         ends = np.cumsum(counts)
-                        raw = pa.py_buffer(ids.tobytes())
-                        edges = pa.array(np.concatenate(([0], ends * 4)).astype(np.int32))
-                        texts = pa.Array.from_buffers(pa.binary(), len(counts), [None, edges.buffers()[1], raw])
-                        yield pa.RecordBatch.from_arrays([keys, pa.array(start + ends - counts), texts], names=schema.names)
+                        yield pa.RecordBatch.from_arrays(
+                            [keys, pa.array(start + ends - counts), _binary(ids, 4 * counts)], names=schema.names)
                         start += int(ends[-1])
 
-    some = files.where("documents > 0").select("file", "start")
+    some = files.select("file", "start")
     return some.repartition(max(1, files.count())).mapInArrow(run, schema)
 
 
