@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.matches import places, replaced
+from barloom.llm.storage import lookup
 
 MARK = "[SECRET]"
 CHOICES = 64
@@ -130,7 +131,8 @@ def find(df: DataFrame, rules=RULES, key="doc_id", text="text") -> DataFrame:
     are verified on their candidates only, the others on every text. A null or empty text has
     no spans; rows with a null or repeated key are kept; an empty table gives an empty result.
     """
-    found = candidates(df, rules, key, text).withColumnRenamed("doc", "_doc")
+    # Candidates are few where secrets are; the texts are shuffled to them only if they are many.
+    found = lookup(candidates(df, rules, key, text).withColumnRenamed("doc", "_doc"))
     rows = df.select(F.struct("*").alias("row"), _doc(key, text), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     joined = rows.join(found, F.col("doc") == F.col("_doc"), "left")
 

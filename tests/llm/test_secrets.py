@@ -1,6 +1,8 @@
 import re
 
-from barloom.llm import secrets
+import pytest
+
+from barloom.llm import secrets, storage
 
 ROWS = [
     (1, 'password=abcdef1 x Token : "zzzzzz" secret=token: abcdefgh API_KEY=short apikey=longenough'),
@@ -33,7 +35,9 @@ def test_trigram_queries():
     assert secrets.trigram_query("x{3}[0-9]") is None
 
 
-def test_base_spans_match_brute_force(docs):
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_base_spans_match_brute_force(docs, limit, monkeypatch):
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", limit)
     found = secrets.find(docs(ROWS), secrets.BASE_RULES).collect()
     got = sorted(((r.row.doc_id, [tuple(s) for s in r.spans]) for r in found), key=str)
     assert got == sorted(((d, plain(t)) for d, t in ROWS), key=str)
