@@ -8,9 +8,10 @@ from barloom.llm import bpe, decontaminate, language, secrets, simhash
 from barloom.llm.queries import bpe_digests, table
 from barloom.llm.storage import stored
 
-#: Text that no learned language codes in fewer bits a byte than this is in none of them. Plain
-#: bytes take 8; text of a learned language takes about half of that or less.
-FOREIGN_BITS = 7.0
+#: Text that no learned language codes in fewer bits a byte than this is in none of them. Text of a
+#: learned language takes some 2 to 4 bits, and up to 8 where it is short and holds keys or
+#: numbers; a script that was never seen takes about 20, as each byte escapes all contexts.
+FOREIGN_BITS = 14.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
