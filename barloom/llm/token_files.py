@@ -224,8 +224,12 @@ class Encoder:
         mixed ^= (mixed >> np.uint64(32)) ^ lengths.astype(np.uint64)
         codes = np.full(len(starts), -1, np.int64)
         short = np.flatnonzero(lengths <= 16)
-        _, first, same = np.unique(mixed[short], return_index=True, return_inverse=True)
-        model = short[first]
+        order = np.argsort(mixed[short])
+        fresh = np.diff(mixed[short][order], prepend=np.uint64(0)) != 0
+        fresh[:1] = True
+        same = np.empty(len(short), np.int64)
+        same[order] = np.cumsum(fresh) - 1
+        model = short[order[fresh]]
         equal = (low[short] == low[model][same]) & (high[short] == high[model][same]) & (lengths[short] == lengths[model][same])
         codes[short[equal]] = same[equal]
         runs = [data[s:s + n] for s, n in zip(starts[model].tolist(), lengths[model].tolist())]
