@@ -210,7 +210,7 @@ def train(df: DataFrame, labels: DataFrame, key="doc_id", text="text", label="qu
             return [pa.array([shared.value.pooled(t, buckets).tolist() for t in texts.to_pylist()], pa.list_(pa.float64()))]
         return apply
 
-    found = map_texts(rows, "_text", ["_key", "_label"], fields, make).orderBy("_key").collect()
+    found = sorted(map_texts(rows, "_text", ["_key", "_label"], fields, make).collect(), key=lambda r: (str(r[0]), r[2]))
     if not found:
         return model
     held = np.array([xxhash.xxh32_intdigest(str(r[0])) % CALIBRATION == 0 for r in found])
