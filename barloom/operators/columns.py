@@ -106,7 +106,10 @@ def _text_date(raw, formats, zone):
     millis = F.when(wrapped.rlike("^-?[0-9]{1,15}$"), F.timestamp_millis(wrapped.try_cast("bigint")))
     instant = F.when(text.rlike(_ZONED), text.try_cast("timestamp"))
     plain = F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz").cast("date"))
-    return F.coalesce(*[F.try_to_date(raw, f) for f in formats], day_of(millis, zone), day_of(instant, zone), plain)
+    # Plain dates, the usual case, first: the patterns below are tried on other text only.
+    usual = F.when(F.length(raw) == 10, F.try_to_date(raw, DATE_FORMAT))
+    given = [F.try_to_date(raw, f) for f in formats]
+    return F.coalesce(*given, usual, day_of(millis, zone), day_of(instant, zone), plain)
 
 
 def as_date(df: DataFrame, name: str, formats=(DATE_FORMAT,)):
