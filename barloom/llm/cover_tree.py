@@ -14,6 +14,10 @@ PIVOT_SAMPLE = 4096
 PICKS = 128
 CELLS = 1 << 20
 SLACK = 1e-7
+#: Below this radius cosines in double precision no longer tell the members of a node apart.
+FINEST = 1e-7
+#: Pairs whose vectors are compared at once.
+COMPARED = 1 << 18
 
 
 class CoverTree:
@@ -21,7 +25,8 @@ class CoverTree:
 
     The members of a node are consecutive in ``order``. A node's children cover its members within half
     of its net radius, and lie that far apart; the first has the node's own point. ``radius`` is
-    the true distance from a node's point to its farthest member. Equal points share a leaf.
+    the true distance from a node's point to its farthest member. Points that are equal, or so close
+    that cosines do not part them, share a leaf.
     """
 
     def __init__(self, points: np.ndarray):
@@ -47,15 +52,17 @@ class CoverTree:
         # Breadth first, so that the children of a node are neighbours.
         while at < len(members):
             own, net, start = members[at], nets[at], self.start[at]
-            if self.radius[at] > 0:
+            if self.radius[at] > FINEST:
                 while net / 2 >= self.radius[at]:
                     net /= 2
                 children = self._net(own, points[own], net / 2)
-                self.first[at], self.count[at] = len(members), len(children)
-                for child in children:
-                    self.order[start:start + len(child)] = child
-                    node(child, start, net / 2)
-                    start += len(child)
+                # One child of a limit that halving no longer changes would be split for ever.
+                if len(children) > 1 or self._limit(net / 2) < 1:
+                    self.first[at], self.count[at] = len(members), len(children)
+                    for child in children:
+                        self.order[start:start + len(child)] = child
+                        node(child, start, net / 2)
+                        start += len(child)
             members[at] = None
             at += 1
         for name in ("point", "start", "end", "first", "count"):
@@ -63,9 +70,14 @@ class CoverTree:
         self.radius = np.array(self.radius)
 
     @staticmethod
-    def _net(own, points, radius):
+    def _limit(radius):
+        """The cosine of unit vectors that lie ``radius`` apart."""
+        return 1 - radius * radius / 2
+
+    @classmethod
+    def _net(cls, own, points, radius):
         """Parts of ``own``, each within ``radius`` of its first point, the first points farther apart."""
-        parts, free, limit = [], np.ones(len(own), bool), 1 - radius * radius / 2
+        parts, free, limit = [], np.ones(len(own), bool), cls._limit(radius)
         while free.any():
             picks = np.flatnonzero(free)[:PICKS]
             cosines = points @ points[picks].T
@@ -129,9 +141,11 @@ def linked(left: np.ndarray, right: np.ndarray | None, similarity: float):
             once = (p < q)
             p, q = p[once], q[once]
         i, j = tree.order[p], other.order[q]
-        near = np.einsum("ij,ij->i", tree.points[i], other.points[j]) >= similarity
-        if near.any():
-            yield i[near], j[near]
+        for at in range(0, len(i), COMPARED):
+            x, y = i[at:at + COMPARED], j[at:at + COMPARED]
+            near = np.einsum("ij,ij->i", tree.points[x], other.points[y]) >= similarity
+            if near.any():
+                yield x[near], y[near]
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:

@@ -73,3 +73,35 @@ def test_vectors(spark, block_rows):
     assert all(a < b for a, b in pairs) and (1107, 1108) not in pairs
     empty = df.limit(0)
     assert cover_tree.near_vectors(empty).count() == 0
+
+
+def nearly_equal(rng, size):
+    """Float32 vectors one unit apart in a component or in many, and float32 copies scaled by 3."""
+    base = rng.normal(size=(3, size)).astype(np.float32)
+    up = np.nextafter(base, np.float32(np.inf))
+    one = np.where(np.arange(size) == 1, up, base)
+    some = np.where(rng.random((3, size)) < 0.5, up, base)
+    return np.concatenate([base, one, up, some, base * np.float32(3), some * np.float32(3)]).astype(float)
+
+
+@pytest.mark.parametrize("size", [2, 8, 64, 1000])
+def test_vectors_that_are_almost_equal_end(size, monkeypatch):
+    monkeypatch.setattr(cover_tree, "COMPARED", 5)
+    # A tree that never ends would fill the memory; the nodes of one that ends are bounded.
+    net = cover_tree.CoverTree._net
+    monkeypatch.setattr(cover_tree.CoverTree, "_net", lambda *a, calls=iter(range(5000)): (next(calls), net(*a[1:]))[1])
+    rng = np.random.default_rng(12)
+    for finest in (cover_tree.FINEST, 0):
+        monkeypatch.setattr(cover_tree, "FINEST", finest)
+        points = cover_tree.unit(nearly_equal(rng, size))
+        found = [p for i, j in cover_tree.linked(points, None, 0.98) for p in zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist())]
+        i, j = np.nonzero(np.triu(points @ points.T >= 0.98, 1))
+        assert len(found) == len(set(found)) and set(found) == set(zip(i.tolist(), j.tolist()))
+
+
+def test_almost_equal_rows(spark):
+    points = nearly_equal(np.random.default_rng(5), 8).tolist()
+    rows = [(k, p, 1) for k, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cover_tree.near_vectors(df).collect()}
+    assert found == plain(rows)
