@@ -31,13 +31,19 @@ BASE_RULES = [
     Rule("hex", r"[0-9a-f]{24,}"),
 ]
 MORE_RULES = [
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
+    # To the END line over whatever stands between, encryption headers included. Where that is missing, over
+    # a body that starts with a run of base64, or that the text ends in; else the header alone. Only
+    # classes repeat without bound, so Java's stack does not grow with a body.
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
+         r"(?:(?:[^-]+-){0,8}[^-]*-----END [A-Z ]{0,32}PRIVATE KEY-----"
+         r"|[\s\\]*(?:n?(?:Proc-Type|DEK-Info):[^\r\n\\]*[\s\\]*){0,2}[A-Za-z0-9+/]{24,}[A-Za-z0-9+/=\s\\]*"
+         r"|[A-Za-z0-9+/=\s\\]*$|)"),
     Rule("hosting", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("payment", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("address", r"://[^\s:/@]{1,64}:[^\s/@]{3,128}@"),
+    Rule("address", r"://[^\s:/@]+:[^\s/@]{3,}@"),
 ]
 # --- End of fixed values. ---
 

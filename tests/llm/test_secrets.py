@@ -1,8 +1,10 @@
+import random
 import re
 
+import duckdb
 import pytest
 
-from barloom.llm import secrets, storage
+from barloom.llm import oracle, secrets, storage
 
 ROWS = [
     (1, 'password=abcdef1 x Token : "zzzzzz" secret=token: abcdefgh API_KEY=short apikey=longenough'),
@@ -62,3 +64,44 @@ def test_redaction(docs):
     assert by_id[3].text.startswith("é😀 [SECRET] dead") and by_id[3].n_chars == len(by_id[3].text)
     assert by_id[6].text.count("[SECRET]") == 3 and by_id[4].n_chars == -1
     assert secrets.redact(docs([])).count() == 0
+
+
+def keys():
+    """Texts with a private key or an address, and what has to be gone after redaction."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=64)) for _ in range(26)] + ["q0Zx/9=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: DES-EDE3-CBC,0123456789ABCDEF", ""]
+    user, password = "u" * 90, "t0k:en" * 60
+    return [
+        ("\n".join(["see", begin, *lines, end, "after it"]), lines, "after it"),
+        ("\r\n".join([begin, *headers, *lines, end, "after it"]), lines, "after it"),
+        (" ".join([begin, *lines, end, "after it"]), lines, "after it"),
+        ('"k": "' + "\\n".join([begin, *lines, end]) + '", "after it"', lines, '", "after it"'),
+        ("\n".join([begin, *lines]) + "\n\n. After it", lines, ". After it"),
+        ("\n".join([begin, *headers, *lines]) + "\n\n. After it", lines, ". After it"),
+        ("\n".join([begin, lines[0][:15]]), [lines[0][:15]], ""),
+        ("\n".join([begin, *lines * 8000, end, "after it"]), lines, "after it"),
+        ("\n".join([begin, *lines * 8000]), lines, ""),
+        (f"get https://{user}:{password}@host/after it", [user, password], "host/after it"),
+        (f"{begin} is what a key starts with, - really", [begin], " is what a key starts with, - really"),
+        ((begin + " x.\n") * 3000 + "after it", [begin], "after it"),
+    ]
+
+
+def test_no_part_of_a_key_is_left(docs):
+    rows = [(i, text) for i, (text, _, _) in enumerate(keys())]
+    cleaned = {r.doc_id: r.text for r in secrets.redact(docs(rows)).collect()}
+    for i, (_, gone, left) in enumerate(keys()):
+        assert not [g for g in gone if g in cleaned[i]] and "[SECRET]" in cleaned[i] and cleaned[i].endswith(left)
+
+
+def test_spans_match_sql(docs):
+    rows = [(i, text) for i, (text, _, _) in enumerate(keys())] + [(100 + i, t) for i, (_, t) in enumerate(ROWS)]
+    found = {r.row.doc_id: ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.spans) for r in secrets.find(docs(rows)).collect()}
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    columns = connection.execute(oracle.ORACLE["op8_secrets"])
+    names = [c[0] for c in columns.description]
+    assert found == {r[names.index("doc_id")]: r[names.index("spans")] for r in columns.fetchall()}
