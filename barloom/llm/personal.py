@@ -42,6 +42,13 @@ CONTEXT = {
     "card": r"(?i)(?:card|visa|payment|account)",
     "phone": r"(?i)(?:phone|\btel|call|mobile|fax)",
 }
+#: Forms of a phone number that stand for themselves: of North America, with the area's trunk zero in brackets,
+#: and with the international prefix. Digits that nothing parts are no evidence.
+PHONE_FORM = (
+    r"^(?:(?:\+?1[\x20./-]{0,2})?(?:\([2-9][0-9]{2}\)[\x20./-]{0,2}|[2-9][0-9]{2}[\x20./-])[2-9][0-9]{2}[\x20./-][0-9]{4}"
+    r"|\(0[1-9][0-9]{1,4}\)\x20?[1-9][0-9]{2,4}[\x20/-]?[0-9]{2,5}"
+    r"|00\x20?[1-9][0-9]{0,2}[\x20./-][\x20()./0-9-]+)$"
+)
 # --- End of fixed values. ---
 
 FEATURES = ["family", "digits", "checked", "separators", "left", "right", "named", "varied"]
@@ -89,27 +96,38 @@ def _side(char):
             .when(char.rlike("^[0-9]$"), 3).otherwise(4))
 
 
-def features(kind, text, place):
-    """Format and context of one candidate, as small integers in the order of ``FEATURES``."""
-    hit = F.regexp_replace(F.regexp_replace(place["hit"], r"\x20?[\[(]at[\])]\x20?", "@"), r"\x20?[\[(]dot[\])]\x20?", ".")
+def evident(kind, hit, left, right):
+    """True if a candidate passes its kind's format check, at/dot written out and separators left aside.
+
+    ``left`` and ``right`` are the classes of its neighbours: numbers must not be part of a longer
+    word. Context words do not count, and no base match is needed.
+    """
     number = digits_of(hit)
     if kind == "email":
-        checked = hit.rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
-    elif kind == "ip":
-        checked = (F.size(F.split(hit, r"\.")) == 4) & small_parts(hit)
+        return hit.rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
+    if kind == "ip":
+        fits = (F.size(F.split(hit, r"\.")) == 4) & small_parts(hit)
     elif kind == "card":
-        checked = F.length(number).between(16, 19) & luhn(hit)
+        fits = F.length(number).between(16, 19) & luhn(hit)
     else:
-        checked = F.length(number).between(10, 12) & (F.size(F.split(hit, r"\.")) < 4)
+        fits = F.length(number).between(8, 15) & (hit.startswith("+") | hit.rlike(PHONE_FORM))
+    return fits & ~left.isin(2, 3) & ~right.isin(2, 3)
+
+
+def features(kind, text, place):
+    """Format and context of one candidate, as small integers in the order of ``FEATURES``."""
+    hit = F.regexp_replace(F.regexp_replace(place["hit"], r"\x20?[\[(]at[\])]\x20?", "@"), r"\x20?[\[(]dot[\])]\x20?", ".")
+    number = digits_of(hit)
     before = F.substring(text, F.greatest(place["start"] - LEFT, F.lit(0)) + 1, F.least(place["start"], F.lit(LEFT)))
     after = F.substring(text, place["end"] + 1, RIGHT)
+    left, right = _side(F.substring(before, -1, 1)), _side(F.substring(after, 1, 1))
     return [
         F.lit(KINDS.index(kind)),
         F.least(F.length(number), F.lit(20)),
-        checked.cast("int"),
+        evident(kind, hit, left, right).cast("int"),
         F.least(F.length(F.regexp_replace(hit, r"[A-Za-z0-9]", "")), F.lit(6)),
-        _side(F.substring(before, -1, 1)),
-        _side(F.substring(after, 1, 1)),
+        left,
+        right,
         before.rlike(CONTEXT[kind]).cast("int"),
         F.least(F.size(F.array_distinct(F.split(number, ""))), F.lit(6)),
     ]
@@ -128,7 +146,7 @@ def _same(place, spans):
 
 
 def counted_features(df: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """Every candidate of the table, counted by fold, features and whether it is a base match.
+    """Every candidate of the table, counted by fold, features and whether it is evident or a base match.
 
     The features take few values, so the rows of this table are bounded by their combinations,
     at most some ten thousands, however many texts there are.
@@ -142,11 +160,12 @@ def counted_features(df: DataFrame, key="doc_id", text="text") -> DataFrame:
 
     def described(kind):
         return F.transform(f"wide_{kind}", lambda p: F.struct(
-            *named_features(kind, F.col("_text"), p), _same(p, F.col(f"base_{kind}")).cast("int").alias("positive")))
+            *named_features(kind, F.col("_text"), p), _same(p, F.col(f"base_{kind}")).cast("int").alias("base")))
 
     seen = [described(kind) for kind in KINDS]
     every = rows.select("fold", F.inline(F.concat(*seen)))
-    return every.groupBy("fold", *FEATURES).agg(F.count("*").alias("n"), F.sum("positive").alias("positives"))
+    positive = F.greatest("checked", "base")
+    return every.groupBy("fold", *FEATURES).agg(F.count("*").alias("n"), F.sum(positive).alias("positives"))
 
 
 @dataclass(frozen=True)
@@ -160,12 +179,12 @@ class Model:
 
 
 def train(df: DataFrame, key="doc_id", text="text", precision=PRECISION) -> Model | None:
-    """A model of all candidates of a table, with base matches as positives.
+    """A model of all candidates of a table; positives are the evident ones and base matches.
 
     Trees learn from all folds but one. That one calibrates the probabilities and gives each kind its
     threshold: the least probability above which at least ``precision`` of its candidates are
-    base matches. A kind without such a threshold, or a table without positives and negatives,
-    redacts base matches only.
+    positive. A kind without such a threshold, or a table without positives, redacts base
+    matches only.
     """
     rows = [
         (r.fold, tuple(r[f] for f in FEATURES), r.n, r.positives)
@@ -173,8 +192,7 @@ def train(df: DataFrame, key="doc_id", text="text", precision=PRECISION) -> Mode
     ]
     fit = [r[1:] for r in rows if r[0] != HELD_OUT]
     held = [r[1:] for r in rows if r[0] == HELD_OUT]
-    positives = sum(p for _, _, p in fit)
-    if not held or positives in (0, sum(n for _, n, _ in fit)):
+    if not held or not sum(p for _, _, p in fit):
         return None
     trees = Trees(fit)
     slope, offset = calibration(held, trees)

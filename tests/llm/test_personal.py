@@ -76,3 +76,28 @@ def test_the_model_adds_likely_spans_and_leaves_base_spans(docs):
     cleaned = {r.doc_id: r.text for r in personal.redact(docs(rows[:5]), model).collect()}
     assert all(("[PERSONAL]" in cleaned[d]) == bool(plain(t) or found[d].more) for d, t in rows[:5])
     assert personal.train(docs([])) is None and personal.train(docs([(1, "none")])) is None
+
+
+def test_the_model_adds_what_no_base_rule_finds(docs):
+    rng = random.Random(3)
+    planted = ["call (415) 555-2671 now", "write jane (at) host (dot) org now", "card 4111.1111.1111.1111 now", "at 415-555-2671 now"]
+    plain_words = ["part 4155552671 now", "look (at) this", "sum 4111.1111.1111.1112 now", "x415-555-2671", "on 2024-01-02 03:04", "v 1.2.3.400"]
+    rows = []
+    for i in range(1200):
+        area, rest = rng.randint(200, 999), rng.randint(1000, 9999)
+        rows.append((i, rng.choice([
+            f"call +1 ({area}) 555-{rest} now", f"call ({area}) 555-{rest} now", f"at {area}-555-{rest} now", f"part {area}555{rest} now",
+            f"write u{i}@host.org now", f"write u{i} (at) host (dot) org now", "look (at) this", f"on 20{i % 90 + 10}-01-{i % 28 + 1:02}",
+            "card 4111 1111 1111 1111 now", "card 4111.1111.1111.1111 now", f"sum 4111.1111.1111.{rest} now", f"v 1.2.3.{i}"])))
+    model = personal.train(docs(rows))
+    asked = [(i, t) for i, t in enumerate([*planted, *plain_words])]
+    found = {r.row.doc_id: r for r in personal.find(docs(asked), model).collect()}
+    more = [[t[s.start:s.end] for s in found[d].more] for d, t in asked]
+    assert more[:4] == [["(415) 555-2671"], ["jane (at) host (dot) org"], ["4111.1111.1111.1111"], ["415-555-2671"]]
+    assert more[4:] == [[]] * len(plain_words) and not any(found[d].base for d in range(4))
+
+
+def test_a_table_of_evident_candidates_alone(docs):
+    rows = [(i, f"call (415) 555-{1000 + i} now") for i in range(60)]
+    found = personal.find(docs(rows), personal.train(docs(rows))).collect()
+    assert all([(s.kind, s.start, s.end) for s in r.more] == [("phone", 5, 19)] and not r.base for r in found)
