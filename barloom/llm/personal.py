@@ -26,7 +26,7 @@ BASE = {
 #: What every text with a match fulfils, so that most texts need no extraction.
 PRESENT = {
     "email": r"[A-Za-z0-9]@[A-Za-z0-9-]|[._%+-]@[A-Za-z0-9-]",
-    "ip": r"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]",
+    "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
     "card": r"[0-9](?:[\x20-]?[0-9]){15}",
     "phone": r"\+[0-9][\x20().0-9-]",
 }

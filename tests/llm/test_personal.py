@@ -101,3 +101,9 @@ def test_a_table_of_evident_candidates_alone(docs):
     rows = [(i, f"call (415) 555-{1000 + i} now") for i in range(60)]
     found = personal.find(docs(rows), personal.train(docs(rows))).collect()
     assert all([(s.kind, s.start, s.end) for s in r.more] == [("phone", 5, 19)] and not r.base for r in found)
+
+
+def test_padded_middle_parts(docs):
+    rows = [(1, "host 10.0002.3.4"), (2, "host 10.2.00003.4 up"), (3, "0.0.0.0"), (4, "1.0256.1.1")]
+    found = {r.row.doc_id: [(s.kind, s.start, s.end) for s in r.base] for r in personal.find(docs(rows), None).collect()}
+    assert found == {d: plain(t) for d, t in rows} and [len(found[d]) for d in (1, 2, 3, 4)] == [1, 1, 1, 0]
