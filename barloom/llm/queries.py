@@ -117,7 +117,7 @@ def op1_quality(spark, folder):
 
 @query
 def op2_token_files(spark, folder):
-    found = token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    found = token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, special=True)
     return found.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
     )

@@ -133,7 +133,8 @@ class Encoder:
     The tokenizer splits at white space, so each distinct run between ASCII white space is encoded by
     itself: Latin letters with nothing or ASCII marks after them by the tokenizer's model, which a bounded
     number of words remembers, any other run by the whole tokenizer. Equal runs of some megabytes of text
-    are found together, by their bytes. Special tokens' strings are ordinary text.
+    are found together, by their bytes. Special tokens' strings are ordinary text, or with ``special``
+    those tokens, as the library has it by itself.
     """
 
     #: What the tokenizer's rules surely split in two: Latin letters, and ASCII marks other than an apostrophe.
@@ -141,11 +142,11 @@ class Encoder:
     SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
     MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
-    def __init__(self, path: str, end: int, memo=MEMO_WORDS):
+    def __init__(self, path: str, end: int, memo=MEMO_WORDS, special=False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
         self.end = np.array([end], "<u4").tobytes()
         self.words, self.other = _Words(self.library.model, memo), _Other(self.library, memo // 8)
         vocabulary = self.library.get_vocab_size(with_added_tokens=True)
@@ -250,7 +251,7 @@ def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(np.ascontiguousarray(flat).tobytes())])
 
 
-def tokenized(df: DataFrame, path: str, end: int, key="doc_id", text="text", memo=MEMO_WORDS) -> DataFrame:
+def tokenized(df: DataFrame, path: str, end: int, key="doc_id", text="text", memo=MEMO_WORDS, special=False) -> DataFrame:
     """``(key, tie, n, ids)``, stored: every text's ids as numbers of two bytes, or four for vocabularies above 65,536.
 
     ``tie`` is a hash of the text, which orders rows of one key. Texts are encoded once.
@@ -259,7 +260,7 @@ def tokenized(df: DataFrame, path: str, end: int, key="doc_id", text="text", mem
                        F.col(text).cast("string").cast("binary").alias("bytes"))
 
     def run(batches):
-        encode = Encoder(path, end, memo)
+        encode = Encoder(path, end, memo, special)
         for batch in batches:
             for piece in cut(batch, SLICE_BYTES):
                 ids, counts = encode(piece.column(2).to_pylist())
@@ -293,7 +294,7 @@ def frequencies(coded: DataFrame) -> DataFrame:
 
 
 def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="text",
-          file_tokens=FILE_TOKENS, memo=MEMO_WORDS) -> tuple[DataFrame, list[int]]:
+          file_tokens=FILE_TOKENS, memo=MEMO_WORDS, special=False) -> tuple[DataFrame, list[int]]:
     """Write the ids of all texts to files in ``folder``, in ascending order of the keys.
 
     Returns the files and the ids by rank. The table of files, ``(part, file, documents, tokens,
@@ -303,7 +304,7 @@ def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="t
     ``folder`` has to be one that all executors reach, of a kind that Arrow can write to.
     """
     spark = df.sparkSession
-    coded = tokenized(df, path, end, key, text, memo)
+    coded = tokenized(df, path, end, key, text, memo, special)
     rows = [tuple(r) for r in frequencies(coded).collect()]
     by_rank = [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
     ranks = np.zeros(max(by_rank, default=0) + 1, np.uint32)

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from barloom.llm import token_files
+from barloom.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -68,3 +69,28 @@ def test_ranks_and_stray_files(spark, docs, tmp_path):
     # What a task that was run again has left behind is not in the table of files.
     (tmp_path / "out" / "00000000-stray.tok").write_bytes(b"junk")
     assert token_files.read(files, by_rank).count() == 20
+
+
+UNTOUCHED = Tokenizer.from_file(PATH)
+SPECIAL = ["a <|endoftext|> b", "a<|endoftext|>b", "It's<|startoftext|><|endoftext|>!? <|ENDOFTEXT|>", "<|endoftext|", "<|endoftext|>",
+           "über,<|endoftext|>naïve\u0301 e\u0301<|startoftext|>\u0301", "x\u00a0<|endoftext|>\u00a0y " * 50, "", "The cat's hat"]
+
+
+def untouched(text):
+    return [*UNTOUCHED.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_special_tokens_match_the_untouched_library():
+    for limit in (3, 1 << 20):
+        ids, counts = token_files.Encoder(PATH, 2, special=True)([t.encode() for t in SPECIAL], limit)
+        expected = [untouched(t) for t in SPECIAL]
+        assert ids.tolist() == sum(expected, []) and counts.tolist() == [len(e) for e in expected]
+
+
+def test_the_query_matches_the_untouched_library(spark, docs, tmp_path):
+    docs(list(enumerate(SPECIAL))).write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for row in sorted(QUERIES["op2_token_files"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        ids = np.array(untouched(SPECIAL[row.doc_id]), "<u4")
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
