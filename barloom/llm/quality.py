@@ -187,10 +187,12 @@ def fit(model: Model, pooled: np.ndarray, labels: np.ndarray, held: np.ndarray)
 
 def train(df: DataFrame, labels: DataFrame, key="doc_id", text="text", label="quality",
           sample=SAMPLE_LABELS) -> Model:
-    """Word vectors from all texts of ``df``, and a network from about ``sample`` rows of ``labels``.
+    """Word vectors from all texts of ``df``, and a network from about ``sample`` labelled texts.
 
-    Labelled rows are taken by a hash of their key at a rate that follows from their number. Each key counts
-    once, with the smallest of its labels; labels other than 0 and 1 are left out.
+    Labels are taken by a hash of their key at a rate that follows from their number; each key has the
+    smallest of its labels, and labels other than 0 and 1 are left out. The different texts of those
+    keys are counted and taken by a hash of key and text in the same way, each once however
+    many rows hold it, so no key fills the driver.
     """
     model = word_vectors(df, text)
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_label IN (0, 1)")
@@ -199,7 +201,13 @@ def train(df: DataFrame, labels: DataFrame, key="doc_id", text="text", label="qu
     chance = F.pmod(F.xxhash64("_key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = known.where(chance < (sample / total if total else 0.0))
     # About ``sample`` rows of two numbers, whatever the size of the tables.
-    rows = df.join(F.broadcast(some), F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text"))
+    met = df.join(F.broadcast(some), F.col(key) == F.col("_key")).select(
+        "_key", "_label", F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    different = met.select("_key", "_hash").distinct().count()
+    chance = F.pmod(F.xxhash64("_key", "_hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = met.where(chance < (sample / different if different else 0.0))
+    # Copies meet in each task first, so a text of many rows is shuffled once a task and pooled once.
+    rows = chosen.groupBy("_key", "_label", "_hash").agg(F.first("_text").alias("_text"))
     fields = [T.StructField("pooled", T.ArrayType(T.DoubleType()))]
     shared = df.sparkSession.sparkContext.broadcast(model)
 

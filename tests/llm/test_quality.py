@@ -51,3 +51,16 @@ def test_held_out_labels(spark):
     rows = found.join(truth, "doc_id").where("held_out").select(F.col("score"), F.col("quality")).collect()
     good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
     assert np.mean([g > b for g in good for b in bad]) > 0.9
+
+
+def test_training_rows_are_bounded(spark, docs, monkeypatch):
+    good, bad = "the cat sat on the mat, and so on.", "BUY!! BUY!! NOW!!"
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id BIGINT, quality INT")
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a: (seen.append(len(a[2])), fit(*a))[1])
+    rows = [(i, (good if i % 2 else bad) + f" word{i}") for i in range(100)]
+    # Copies of one key count once.
+    quality.train(docs(rows + [rows[0]] * 3000), labels)
+    # Of a key with many texts, as many are taken as the sample allows.
+    quality.train(docs(rows + [(1, f"{good} other{i}") for i in range(3000)]), labels, sample=200)
+    assert seen[0] == 100 and 120 < seen[1] < 280
