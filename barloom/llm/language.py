@@ -171,16 +171,20 @@ class Model:
 
 def train(df: DataFrame, key="doc_id", text="text", lang="lang", documents=SAMPLE_DOCUMENTS,
           chars=SAMPLE_CHARS) -> Model:
-    """A model from about ``documents`` rows of each language with texts of up to ``chars`` characters.
+    """A model from about ``documents`` rows of each language, with ``chars`` characters of a text at most.
 
-    Rows are taken by a hash of their key and text, at a rate that follows from counting the
-    rows of each language, so neither the sample nor the model grows with the table.
+    Rows of any length are taken by a hash of their key and text, at a rate that follows from counting the
+    rows of each language; a longer text gives a piece from a hashed place. So neither the
+    sample nor the model grows with the table or its texts.
     """
-    fit = df.where(F.col(lang).isNotNull() & (F.length(text).between(1, chars)))
+    fit = df.where(F.col(lang).isNotNull() & (F.length(text) > 0))
     rates = fit.groupBy(F.col(lang).alias("_lang")).agg(F.least(F.lit(1.0), documents / F.count("*")).alias("_rate"))
     chance = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    places = F.greatest(F.length(text) - chars, F.lit(0)) + 1
+    place = F.pmod(F.xxhash64(F.col(text), F.col(key)), places).cast("int") + 1
+    piece = F.substring(F.col(text), place, F.lit(chars))
     rows = (
-        fit.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), chance.alias("_chance"))
+        fit.select(F.col(lang).alias("_lang"), piece.alias("_text"), chance.alias("_chance"))
         .join(F.broadcast(rates), "_lang").where("_chance < _rate").select("_lang", "_text").collect()
     )
     samples = {}

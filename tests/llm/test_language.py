@@ -80,3 +80,18 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     scored = found.join(truth, "doc_id").where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")))
     assert scored.first()[0] > 0.98
+
+
+def test_languages_of_long_texts_alone(docs, monkeypatch):
+    english, french = "the cat sat on the mat with the hat ", "le chat était là sur la table "
+    rows = [(i, english * 3 if i % 2 else f"{french * 900}{i}") for i in range(40)]
+    df = docs(rows).withColumn("lang", F.when(F.col("text").startswith("the"), "en").otherwise("fr"))
+    sampled = []
+    monkeypatch.setattr(language.Model, "_count", lambda own, texts, count=language.Model._count: (sampled.extend(texts), count(own, texts))[1])
+    model = language.train(df)
+    assert model.languages == ["en", "fr"]
+    long_ones = [t.decode() for t in sampled if len(t) > 10_000]
+    assert len(long_ones) == 20 and {len(t) for t in long_ones} == {language.SAMPLE_CHARS}
+    assert len({t[:40] for t in long_ones}) > 5 and sum(t in dict(rows)[0] + dict(rows)[2] for t in long_ones) > 10
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs([*rows[:2], (100, "la table"), (101, "the hat")]), model).collect()}
+    assert found == {0: "fr", 1: "en", 100: "fr", 101: "en"}
