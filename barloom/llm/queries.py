@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    bpe, cover_tree, decontaminate, language, licences, personal, quality, secrets, simhash, token_files,
+    bpe, cover_tree, decontaminate, language, licences, packing, personal, quality, secrets, simhash, token_files,
 )
 
 QUERIES = {}
@@ -141,3 +141,9 @@ def op6_licences(spark, folder):
         F.array_join(F.array_sort(base), ",").alias("base_labels"), F.array_join(F.array_sort(every), ",").alias("labels"),
         F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(covered, F.lit(0.0))).alias("score"),
     )
+
+
+@query
+def op11_packing(spark, folder):
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, special=True)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

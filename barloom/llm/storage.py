@@ -11,7 +11,7 @@ BROADCAST_BYTES = 64 << 20
 def stored(df: DataFrame, **options) -> DataFrame:
     """The rows written once as Parquet and read back, which cuts the lineage."""
     path = work_folder(df.sparkSession)
-    df.write.parquet(path, **options)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

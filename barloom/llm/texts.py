@@ -22,17 +22,22 @@ def cut(batch: pa.RecordBatch, limit=SLICE_BYTES):
             yield batch.slice(start, end - start)
 
 
+def small_batches(spark):
+    """Lower the session's rows per Arrow batch where it is above ``BATCH_ROWS``.
+
+    Spark's 10,000 rows are much for whole texts, which stand in memory on both sides of the exchange.
+    """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def map_texts(df: DataFrame, text: str, keep, fields, make) -> DataFrame:
     """The ``keep`` columns and new ``fields``, computed from whole texts in Python.
 
     ``make()`` runs once per task; what it returns gets an Arrow array of UTF-8 byte strings
     (null for a null text) and gives one Arrow array per field. ``keep`` passes unchanged.
-    Spark's 10,000 rows a batch are much for whole texts, which stand in memory on both sides of
-    the exchange; the session's setting is lowered to 1,000 where it is higher.
     """
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
-        conf.set(BATCH_SETTING, BATCH_ROWS)
+    small_batches(df.sparkSession)
     named = {f.name: f for f in df.schema.fields}
     schema = T.StructType([*[named[k] for k in keep], *fields])
     chosen = df.select(*[F.col(k) for k in keep], F.col(text).cast("string").cast("binary").alias("_bytes"))
