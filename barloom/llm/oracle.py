@@ -87,3 +87,28 @@ FROM d LEFT JOIN per_doc USING (doc_id)
 
 
 ORACLE["op8_secrets"] = _secrets()
+
+TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+ORACLE["op12_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {TERMS} AS w FROM documents),
+     whole AS (SELECT count(*) FILTER (len(w) > 0) AS documents, sum(len(w))::BIGINT AS total FROM d),
+     held AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY row, term),
+     weighed AS (
+         SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+         FROM held, whole GROUP BY term, documents),
+     asked AS (
+         SELECT DISTINCT item, item_id, term
+         FROM (SELECT row_number() OVER () AS item, item_id, unnest({TERMS}) AS term FROM benchmark)),
+     scored AS (
+         SELECT item, item_id, row, doc_id,
+                sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * documents) // total))))::BIGINT AS score
+         FROM asked JOIN held USING (term) JOIN weighed USING (term) JOIN d USING (row), whole
+         GROUP BY item, item_id, row, doc_id),
+     ranked AS (
+         SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    bpe, cover_tree, decontaminate, language, licences, packing, personal, quality, secrets, simhash, token_files,
+    bpe, cover_tree, decontaminate, language, licences, packing, personal, quality, search, secrets, simhash, token_files,
 )
 
 QUERIES = {}
@@ -147,3 +147,8 @@ def op6_licences(spark, folder):
 def op11_packing(spark, folder):
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, special=True)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op12_lexical_search(spark, folder):
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

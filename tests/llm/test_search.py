@@ -1,0 +1,94 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from barloom.llm import search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    return TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain(rows, items, top):
+    counts = [Counter(split(t)) for _, t in rows]
+    documents, total = sum(bool(c) for c in counts), sum(c.total() for c in counts)
+    df = Counter(t for c in counts for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for (key, _), c in zip(rows, counts):
+            if c:
+                m = 100 - 50 + 50 * c.total() * documents // total
+                score = sum(math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m))
+                            for t in set(split(text)) if c[t])
+                if score > 0:
+                    scored.append((-score, key is None, key))
+        out += [(item, rank, key, -score) for rank, (score, _, key) in enumerate(sorted(scored)[:top], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, docs):
+    rng = random.Random(4)
+    words = ["Ab", "cÉ", "d2", "e", "ñ", "É", "f_g", "zz", "h'i", *[f"w{i}" for i in range(60)]]
+    rows = [(i, " ".join(rng.choices(words, weights=[30] * 9 + [1] * 60, k=rng.randint(0, 50)))) for i in range(300)]
+    rows += [(300 + i, "ab w1 e") for i in range(90)]
+    rows += [(None, "ab w1 e"), (None, "zz"), (3, rows[4][1]), (500, None), (501, ""), (502, " .-_ "), (503, "w2 e " * 40_000), (504, "x" * 300_000)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(1, 12)))) for i in range(25)]
+    items += [(40, "AB W1 E"), (41, None), (42, ""), (43, "nowhere"), (None, "w2"), (7, "w3"), (8, "w3"), (44, "ab " * 5 + "e")]
+    asked = spark.createDataFrame([(*i, 7, "t") for i in items], "item_id INT, text STRING, rank INT, name STRING")
+    return rows, items, docs(rows, key="x", n="y", terms="z"), asked
+
+
+@pytest.mark.parametrize("postings, bytes_", [(1 << 20, 1 << 20), (500, 100)])
+def test_matches_brute_force(tables, monkeypatch, postings, bytes_):
+    monkeypatch.setattr(search, "SHARD_POSTINGS", postings)
+    rows, items, documents, asked = tables
+    for top in (50, 3):
+        found = search.search(documents.repartition(3), asked, top=top, query_bytes=bytes_)
+        assert found.columns == ["item_id", "rank", "doc_id", "score"]
+        assert sorted(map(tuple, found.collect()), key=str) == plain(rows, items, top)
+
+
+def test_empty_tables(spark, docs, tables):
+    assert search.search(docs([]), tables[3]).count() == 0
+    assert search.search(tables[2], tables[3].limit(0)).count() == 0
+    assert search.search(docs([(1, None), (2, "")]), tables[3]).count() == 0
+
+
+def test_terms_of_long_texts(monkeypatch):
+    monkeypatch.setattr(search, "PIECE_BYTES", 7)
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choices("aB1é -_", k=rng.randint(0, 60)))
+        assert [t.decode() for part in search.terms_of(text.encode()) for t in part] == split(text)
+
+
+def test_range_maxima():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 9, 200)
+    terms = np.concatenate([np.sort(rng.choice(30, n, replace=False)) for n in sizes])
+    shard = search.Shard(rng.integers(1, 90, 200), sizes, terms, rng.integers(1, 6, len(terms)), lambda n: 50 + n)
+    first, last = shard.lists(np.arange(30))
+    for a, b in zip(first, last):
+        for i in range(a, b):
+            for j in range(i + 1, b + 1):
+                assert shard.impact[shard.maxima(np.array([i]), np.array([j]))[0]] == shard.impact[i:j].max()
+
+
+def test_bounds_leave_most_documents_unscored():
+    """Documents of one shard that a query need not score."""
+    rng = np.random.default_rng(5)
+    sizes = np.full(20_000, 6)
+    terms = np.concatenate([np.sort(rng.choice(2000, 6, replace=False)) for _ in sizes])
+    shard = search.Shard(np.sort(rng.integers(6, 400, 20_000)), sizes, terms, rng.integers(1, 4, len(terms)), lambda n: 50 + n)
+    asked = np.arange(0, 1200, 40)
+    found = sum(len(d) for d, _ in shard.search(asked, np.full(len(asked), 1000), 1, 10))
+    holding = len(np.unique(shard.owner[np.isin(shard.places // shard.size, asked)]))
+    assert found < holding / 3
