@@ -112,3 +112,26 @@ WITH d AS (SELECT row_number() OVER () AS row, doc_id, {TERMS} AS w FROM documen
          SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
 SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 50
 """
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+         FROM embeddings
+         WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+     scored AS (
+         SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                list_inner_product(a.x, b.x)::BIGINT AS score
+         FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+     positive AS (
+         SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+         QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+     negative AS (
+         SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS place
+         FROM positive JOIN scored USING (anchor_id)
+         WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE place <= 10
+"""

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    bpe, cover_tree, decontaminate, language, licences, packing, personal, quality, search, secrets, simhash, token_files,
+    bpe, cover_tree, decontaminate, language, licences, mining, packing, personal, quality, search, secrets, simhash, token_files,
 )
 
 QUERIES = {}
@@ -152,3 +152,10 @@ def op11_packing(spark, folder):
 @query
 def op12_lexical_search(spark, folder):
     return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)

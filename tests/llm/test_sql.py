@@ -8,7 +8,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 13))
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert set(ORACLE) < set(QUERIES)
 
 
