@@ -168,6 +168,10 @@ ALL_FUNDAMENTALS = _with(FUND, "SELECT * FROM fundamentals")
 FUND_PUBLISHED = _with([*FUND, "securities", "fund_published"], "SELECT * FROM fund_published")
 ALL_FX = _with(["quotes", "spine", "fx"], "SELECT * FROM fx")
 
+PRICES_1998 = _with(
+    ["trades", "prices"], "SELECT * FROM prices WHERE date >= DATE '1998-01-01' AND date < DATE '1999-01-01'")
+FUNDAMENTALS_1998 = _with(
+    FUND, "SELECT * FROM fundamentals WHERE period_ending >= DATE '1998-01-01' AND period_ending < DATE '1999-01-01'")
 RATES_JOINED = _with(["trades", "prices", "quotes", "spine", "fx"], f"""
         SELECT symbol, date, cast(year(date) AS integer) AS p_year,
                cast(month(date) AS integer) AS p_month, exchange_rate {RATED}""")
@@ -207,19 +211,21 @@ ORACLE = {
     "docs_to_table": _with(
         ["trades", "prices", "securities"],
         f"SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM ({SECTORED})"),
-    "slice_prices_year": _with(
-        ["trades", "prices"],
-        "SELECT * FROM prices WHERE date >= DATE '1998-01-01' AND date < DATE '1999-01-01'"),
-    "slice_fundamentals_year": _with(
-        FUND,
-        "SELECT * FROM fundamentals WHERE period_ending >= DATE '1998-01-01' AND period_ending < DATE '1999-01-01'"),
+    "slice_prices_year": PRICES_1998,
+    "slice_prices_zoned": PRICES_1998,
+    "slice_fundamentals_year": FUNDAMENTALS_1998,
+    "slice_fundamentals_zoned": FUNDAMENTALS_1998,
     "csv_roundtrip": FUND_PUBLISHED,
     "parquet_roundtrip": FUND_PUBLISHED,
     "append_load": ALL_METRICS,
+    "refused_load": ALL_METRICS + "\n WHERE date >= DATE '1998-01-01'",
+    "repeated_append": ALL_METRICS,
+    "exactly_once_append": ALL_METRICS,
     "idempotent_load": ALL_METRICS,
     "incremental_load": ALL_METRICS,
     "incremental_corrections": ALL_METRICS,
     "incremental_continuous": _metrics(series="symbol"),
+    "incremental_continuous_corrections": _metrics(series="symbol"),
     "project_prices": ALL_PRICES,
     "project_fundamentals": ALL_FUNDAMENTALS,
     "rename_columns_strict": _with(["trades", "prices"], """

@@ -2,9 +2,11 @@
 
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom import jobs
 from barloom.catalog import testbed
 from barloom.functions import rolling
 from barloom.functions.calendar import month_spine, replay_calendar, year_month
@@ -13,8 +15,8 @@ from barloom.plans import fundamentals, fx, prices, trends
 from barloom.schemas import (
     FUNDAMENTAL_NAMES, PRICE_NAMES, RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES, SECTOR,
 )
-from barloom.sinks import tables
-from barloom.sources import files
+from barloom.sinks import commits, ledger, tables
+from barloom.sources import files, zones
 from barloom.sources.workspace import work_folder
 from barloom.streaming.landing import publish_new_files
 
@@ -214,6 +216,30 @@ def slice_fundamentals_year(spark, folder):
     return snake(files.slice_years(testbed.fundamentals(spark, folder), "Period Ending", 1998))
 
 
+def _landed_by_date(spark, rows, name, files_wanted=12):
+    """A folder of documents of which each file holds a range of dates, and a folder for their zone map."""
+    path = work_folder(spark)
+    dealt = rows.repartitionByRange(files_wanted, f"`{name}`")
+    dealt.withColumn(name, F.struct(F.date_format(f"`{name}`", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("$date"))).write.json(f"{path}/landed")
+    return f"{path}/landed", f"{path}/zones"
+
+
+@query
+def slice_prices_zoned(spark, folder):
+    """A year of landed documents, from the files that the zone map names."""
+    path, kept = _landed_by_date(spark, testbed.prices(spark, folder), "date")
+    zones.measure(spark, path, kept, RAW_PRICES, "date")
+    return zones.slice_documents(spark, path, kept, RAW_PRICES, "date", date(1998, 1, 1), date(1999, 1, 1))
+
+
+@query
+def slice_fundamentals_zoned(spark, folder):
+    path, kept = _landed_by_date(spark, testbed.fundamentals(spark, folder), "Period Ending")
+    zones.measure(spark, path, kept, RAW_FUNDAMENTALS, "Period Ending")
+    return snake(zones.slice_documents(
+        spark, path, kept, RAW_FUNDAMENTALS, "Period Ending", date(1998, 1, 1), date(1999, 1, 1)))
+
+
 # Sinks
 
 @query
@@ -251,6 +277,61 @@ def idempotent_load(spark, folder):
     return files.scan_parquet(spark, path)
 
 
+def _published_by_job(spark, folder, *runs):
+    """The price table after jobs over landed bars, one for each of (bars, arguments); refused ones change nothing."""
+    path = work_folder(spark)
+    securities, rates = lookups(spark, folder)
+    tables.write_csv(securities, f"{path}/securities")
+    tables.write_csv(rates, f"{path}/fx")
+    for at, (landed, arguments) in enumerate(runs):
+        tables.write_csv(landed, f"{path}/prices{at}")
+        args = jobs.parser().parse_args([
+            "prices", "--prices", f"{path}/prices{at}", "--securities", f"{path}/securities", "--fx", f"{path}/fx",
+            "--out", f"{path}/published", *arguments])
+        try:
+            args.run(spark, args)
+        except commits.Refused:
+            continue
+    return commits.scan(spark, f"{path}/published")
+
+
+YEARS = ["--first-year", str(SPLIT.year), "--last-year", "2100"]
+EARLIER = ["--first-year", "1900", "--last-year", str(SPLIT.year - 1)]
+
+
+@query
+def refused_load(spark, folder):
+    """The later years are published, then refused twice with every ninth date unreadable."""
+    _, late = _halves(spark, folder)
+    spoilt = late.withColumn("date", F.when(F.col("volume") % 9 == 0, F.lit("soon")).otherwise(F.col("date").cast("string")))
+    return _published_by_job(spark, folder, (late, YEARS), (spoilt, YEARS), (spoilt, [*YEARS, "--mode", "append"]))
+
+
+@query
+def repeated_append(spark, folder):
+    """Both halves are appended, the second by a run that is repeated."""
+    early, late = _halves(spark, folder)
+    first, second = ([*EARLIER, "--mode", "append", "--run-id", "one"], [*YEARS, "--mode", "append", "--run-id", "two"])
+    return _published_by_job(spark, folder, (early, first), (late, second), (late, second))
+
+
+@query
+def exactly_once_append(spark, folder):
+    """Both halves through the ledger: the second fails on the way, is repeated, and repeated once more."""
+    path = work_folder(spark)
+    early, late = (metrics(spark, folder, part) for part in _halves(spark, folder))
+    failing = F.when(F.col("run_year") > SPLIT.year, F.raise_error(F.lit("lost"))).otherwise(F.col("run_year"))
+    ledger.append_once(early, path, "early")
+    try:
+        ledger.append_once(late.withColumn("run_year", failing), path, "late")
+    except PySparkException as failure:
+        if "lost" not in str(failure):
+            raise
+    for _ in range(2):
+        ledger.append_once(late, path, "late")
+    return ledger.scan_ledger(spark, path)
+
+
 def _loaded(spark, folder, *batches, **options):
     """The published table after landing the batches one by one."""
     path = work_folder(spark)
@@ -286,6 +367,21 @@ def incremental_continuous(spark, folder):
     return _loaded(spark, folder, *reversed(_halves(spark, folder)), continuous=True)
 
 
+@query
+def incremental_continuous_corrections(spark, folder):
+    """Whole-history windows while a year lands late, another is corrected, and one lands in two parts."""
+    everything = testbed.prices(spark, folder)
+
+    def between(first, last):
+        return files.slice_range(everything, "date", date(first, 1, 1), date(last, 1, 1))
+
+    wrong = between(1900, 1998).withColumn("close", F.when(F.year("date") == 1996, F.col("close") + 1).otherwise(F.col("close")))
+    odd = F.col("volume") % 2 == 1
+    return _loaded(
+        spark, folder, wrong, between(1999, 2100).where(odd), between(1998, 1999), between(1996, 1997),
+        between(1999, 2100).where(~odd), continuous=True)
+
+
 # Columns
 
 @query

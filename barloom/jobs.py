@@ -22,8 +22,9 @@ from barloom.operators.quality import duplicate_keys, nulls_observed
 from barloom.plans import fundamentals, prices
 from barloom.plans.fx import fx_monthly
 from barloom.schemas import RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES
-from barloom.sinks import tables
-from barloom.sources import files
+from barloom.sinks import commits, tables
+from barloom.sources import files, zones
+from barloom.sources.workspace import work_folder
 
 
 def years_of(args) -> tuple[int, int]:
@@ -41,8 +42,12 @@ def years_of(args) -> tuple[int, int]:
     return args.first_year, last
 
 
-def read(spark: SparkSession, source, path, schema, formats=()) -> DataFrame:
-    """A raw table in its contract's columns and types, from any of its sources."""
+def read(spark: SparkSession, source, path, schema, formats=(), zoned=None, day=None, years=None) -> DataFrame:
+    """A raw table in its contract's columns and types, from any of its sources.
+
+    ``zoned`` names the zone map of landed documents: it is brought up to date, and only files with a ``day``
+    in the ``years``, up to their end if the first is None, or without a readable one are opened.
+    """
     if source == "csv":
         return files.scan_csv(spark, path, schema, formats=formats)
     if source == "parquet":
@@ -50,6 +55,11 @@ def read(spark: SparkSession, source, path, schema, formats=()) -> DataFrame:
     # Documents are read as text by the contract: no pass to infer types, absent fields are
     # NULL, and a slice without documents is an empty table.
     landed = files.text_schema(schema)
+    if source == "json" and zoned:
+        zones.measure(spark, path, zoned, schema, day, formats)
+        first, last = years
+        start = None if first is None else date(first, 1, 1)
+        return conform(zones.scan(spark, path, zoned, schema, start, date(last + 1, 1, 1), undated=True), schema, formats)
     if source == "json":
         return conform(files.scan_documents(spark, path, landed), schema, formats)
     return conform(files.scan_collection(spark, landed, collection=path), schema, formats)
@@ -63,18 +73,25 @@ def target(args, name) -> str:
     return tables.dataset_path(args.out, "published", name, run_date)
 
 
-def save(df: DataFrame, args, name, years):
-    """Store the rows; years asked for that have none left lose their old rows when replaced."""
+def done_before(spark, args, name) -> dict | None:
+    """The report of an append of the same ``--run-id`` that is committed already."""
+    if args.run_id is None or args.mode != "append" or args.sink != "parquet":
+        return None
+    return commits.committed(spark, target(args, name), args.run_id)
+
+
+def save(df: DataFrame, args, name) -> commits.Staged:
+    """Write the rows where no reader of the published table sees them."""
+    path = target(args, name) if args.sink == "parquet" else work_folder(df.sparkSession)
+    return commits.stage(df, path, clustered=True)
+
+
+def publish(spark, staged: commits.Staged, args, years, report) -> dict:
+    """Commit rows that passed their audit, with the report of the run. Replaced years without rows are emptied."""
     if args.sink != "parquet":
-        tables.append_to_warehouse(df, args.sink, **dict(o.split("=", 1) for o in args.sink_option))
-        return
-    path = target(args, name)
-    if args.mode == "append":
-        tables.append_load(df, path, clustered=True)
-        return
-    present = Observation("years")
-    tables.idempotent_load(df.observe(present, F.collect_set(tables.PARTITION).alias("years")), path, clustered=True)
-    tables.empty_partitions(df, path, set(years) - set(observed(present, years=[])["years"]))
+        tables.append_to_warehouse(staged.read(spark), args.sink, **dict(o.split("=", 1) for o in args.sink_option))
+        return report
+    return commits.commit(spark, staged, args.mode, years, args.run_id, report)
 
 
 def observed(observation: Observation, **empty) -> dict:
@@ -99,20 +116,32 @@ def range_of(name, first, last, history=False):
     return within if history else within & (day >= F.lit(date(first, 1, 1)))
 
 
-def checked(report, args, rejected: DataFrame, name) -> dict:
-    """Stop a job that lost more than the allowed share of its rows; keep the lost ones for a look."""
+def audit(report, staged: commits.Staged, args, rejected: DataFrame, name, recount):
+    """Refuse a run that lost rows on the way, or more than the allowed share of them to unreadable dates; the lost
+    ones are kept for a look.
+
+    What is observed on the way counts rows of repeated tasks twice if an executor is lost. Where it does not agree with
+    the stored rows, ``recount`` reads the input again.
+    """
+    if not report["rows"] == staged.total == report["read"] - report["undated"]:
+        report.update(recount(), rows=staged.total)
     if report["undated"]:
         # Only now is the input read again, for the rows that were left out.
         tables.write_parquet(rejected, f"{target(args, name).rstrip('/')}_rejected")
     if report["undated"] > args.max_undated * report["read"]:
-        raise ValueError(f"{report['undated']} of {report['read']} rows have no date that can be read")
-    return report
+        raise commits.Refused(f"{report['undated']} of {report['read']} rows have no date that can be read")
+    if staged.total != report["read"] - report["undated"]:
+        raise commits.Refused(f"{staged.total} rows stored of {report['read']} read, {report['undated']} of them undated")
 
 
 def run_prices(spark: SparkSession, args) -> dict:
-    """Read once, with keys checked inside the window stage; repeated keys fail before the commit."""
+    """Read once, with keys checked inside the window stage; a run that fails or is refused leaves the table as it was."""
     first, last = years_of(args)
-    raw = prices.with_run_year(read(spark, args.source, args.prices, RAW_PRICES, args.date_format))
+    if (before := done_before(spark, args, "prices")) is not None:
+        return before
+    within = (None if args.continuous else first, last)
+    raw = prices.with_run_year(read(
+        spark, args.source, args.prices, RAW_PRICES, args.date_format, args.zones, "date", within))
     securities = read(spark, args.lookup_source, args.securities, RAW_SECURITIES)
     fx = read(spark, args.lookup_source, args.fx, RAW_FX)
     require_unique(securities, ["Ticker symbol"])
@@ -120,8 +149,8 @@ def run_prices(spark: SparkSession, args) -> dict:
     asked, undated = range_of("date", first, last, args.continuous), F.col("date").isNull()
     arrived, seen = Observation("read"), Observation("prices")
     in_range = range_of("date", first, last)
-    taken = raw.where(asked | undated).observe(
-        arrived, F.count_if(in_range | undated).alias("read"), F.count_if(undated).alias("undated"))
+    counts = F.count_if(in_range | undated).alias("read"), F.count_if(undated).alias("undated")
+    taken = raw.where(asked | undated).observe(arrived, *counts)
     published = prices.price_metrics(
         taken.where(asked), securities, fx, strict=args.strict, continuous=args.continuous,
         literal=args.literal, by_year=True, broadcast=fits_broadcast(sectors(securities)),
@@ -129,24 +158,26 @@ def run_prices(spark: SparkSession, args) -> dict:
         block_rows=prices.BLOCK_ROWS if args.allow_duplicates else None,
     ).where(in_range)
     try:
-        save(published.observe(
+        staged = save(published.observe(
             seen, F.count("*").alias("rows"),
             F.count_if(F.col("gics_sector").isNull()).alias("without_sector"),
             F.count_if(F.col("close_price_thb").isNull()).alias("without_rate"), *nulls_observed(published),
-        ), args, "prices", range(first, last + 1))
+        ), args, "prices")
     except Exception as failure:
         if prices.REPEATED in str(failure):
             raise ValueError(f"{prices.REPEATED}; --allow-duplicates publishes them") from failure
         raise
     report = {**observed(arrived, read=0, undated=0), **observed(seen, rows=0)}
-    if report["rows"] != report["read"] - report["undated"]:
-        raise ValueError(f"{report['rows']} rows published for {report['read']} read")
-    return checked(report, args, raw.where(undated), "prices")
+    audit(report, staged, args, raw.where(undated), "prices", lambda: raw.agg(*counts).first().asDict())
+    return publish(spark, staged, args, range(first, last + 1), report)
 
 
 def run_fundamentals(spark: SparkSession, args) -> dict:
     first, last = years_of(args)
-    raw = read(spark, args.source, args.fundamentals, RAW_FUNDAMENTALS, args.date_format)
+    if (before := done_before(spark, args, "fundamentals")) is not None:
+        return before
+    raw = read(
+        spark, args.source, args.fundamentals, RAW_FUNDAMENTALS, args.date_format, args.zones, "Period Ending", (first, last))
     securities = read(spark, args.lookup_source, args.securities, RAW_SECURITIES)
     require_unique(securities, ["Ticker symbol"])
     asked, undated = range_of("Period Ending", first, last), F.col("`Period Ending`").isNull()
@@ -154,16 +185,17 @@ def run_fundamentals(spark: SparkSession, args) -> dict:
         require_unique(raw.where(asked), ["Ticker Symbol", "Period Ending"])
 
     arrived, seen = Observation("read"), Observation("fundamentals")
-    taken = raw.where(asked | undated).observe(
-        arrived, F.count("*").alias("read"), F.count_if(undated).alias("undated"))
+    counts = F.count_if(asked | undated).alias("read"), F.count_if(undated).alias("undated")
+    taken = raw.where(asked | undated).observe(arrived, *counts)
     small = fits_broadcast(sectors(securities))
     published = fundamentals.with_run_year(fundamentals.fundamental_metrics(taken.where(asked), securities, small))
-    save(tables.rebalanced(published.observe(
+    staged = save(tables.rebalanced(published.observe(
         seen, F.count("*").alias("rows"),
         F.count_if(F.col("gics_sector").isNull()).alias("without_sector"), *nulls_observed(published),
-    )), args, "fundamentals", range(first, last + 1))
+    )), args, "fundamentals")
     report = {**observed(arrived, read=0, undated=0), **observed(seen, rows=0)}
-    return checked(report, args, raw.where(undated), "fundamentals")
+    audit(report, staged, args, raw.where(undated), "fundamentals", lambda: raw.agg(*counts).first().asDict())
+    return publish(spark, staged, args, range(first, last + 1), report)
 
 
 def run_fx(spark: SparkSession, args) -> dict:
@@ -173,8 +205,17 @@ def run_fx(spark: SparkSession, args) -> dict:
     unless ``--allow-missing`` is given.
     """
     first, last = years_of(args)
+    asked = {"asked": 12 * (last - first + 1) + 1}
     years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("run_year"))
-    if args.url:
+    if args.url and args.landing:
+        from barloom.streaming.rates import land_rates, landed_payloads
+
+        landed = land_rates(
+            spark, args.url, date(first, 1, 1), date(last + 1, 1, 1), f"{args.landing}/answers", f"{args.landing}/progress",
+            parallel=str(args.parallel), pause=str(args.pause))
+        asked["requested"] = landed["asked"]
+        payloads = landed_payloads(spark, f"{args.landing}/answers").where("payload IS NOT NULL")
+    elif args.url:
         from barloom.sources.fx_api import FxHistory
 
         spark.dataSource.register(FxHistory)
@@ -188,7 +229,7 @@ def run_fx(spark: SparkSession, args) -> dict:
     rates = fx_monthly(payloads, years).observe(
         seen, F.count("*").alias("received"), F.count_if(F.col("exchange_rate").isNull()).alias("unreadable"))
     tables.write_csv(rates, args.out)
-    report = {"asked": 12 * (last - first + 1) + 1, **observed(seen, received=0, unreadable=0)}
+    report = {**asked, **observed(seen, received=0, unreadable=0)}
     if not args.allow_missing and (report["received"] < report["asked"] or report["unreadable"]):
         raise ValueError(f"rates are missing: {report}; the table in {args.out} is incomplete")
     return report
@@ -213,8 +254,10 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument(f"--{name}", required=True)
         one.add_argument("--securities", required=True)
         one.add_argument("--source", choices=["csv", "parquet", "json", "collection"], default="csv")
+        one.add_argument("--zones", help="folder of the zone map of landed documents, kept up to date and used to choose files")
         one.add_argument("--lookup-source", choices=["csv", "parquet", "json"], default="csv")
         one.add_argument("--mode", choices=["replace", "append"], default="replace")
+        one.add_argument("--run-id", help="names the run; an append of a name that is committed already adds nothing")
         one.add_argument("--dated", action="store_true", help="publish under the dataset and the day of the run")
         one.add_argument("--sink", default="parquet", help="a warehouse's Spark format, to which rows are appended")
         one.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
@@ -233,8 +276,9 @@ def parser() -> argparse.ArgumentParser:
     given = rates.add_mutually_exclusive_group(required=True)
     given.add_argument("--url")
     given.add_argument("--payloads")
+    rates.add_argument("--landing", help="folder of answers so far; only months without a rate there are asked for")
     rates.add_argument("--parallel", type=int, default=4)
-    rates.add_argument("--pause", type=float, default=2.0, help="seconds between the requests of one task")
+    rates.add_argument("--pause", type=float, default=2.0, help="seconds between requests, of all tasks together")
     rates.add_argument("--allow-missing", action="store_true")
     return top
 

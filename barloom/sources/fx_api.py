@@ -1,19 +1,21 @@
 """Spark data source for a REST service of historical exchange rates.
 
-One request per month start. ``parallel`` (4) input partitions ask at once, each one request after the
-other with ``pause`` seconds (0) between them, and a failed request is repeated up to
-``retries`` (2) times; a lost task simply asks again. The service address is an option with a
-``{date}`` placeholder:
+One request per month start. ``parallel`` (4) input partitions take turns, so that the service as a whole sees
+a request every ``pause`` seconds (0) at most, and a failed request is repeated up to ``retries`` (2) times; a
+lost task simply asks again. The service address is an option with a ``{date}`` placeholder:
 
     spark.dataSource.register(FxHistory)
     spark.read.format("fx_history").options(url=..., first="2012-01-01", last="2013-01-01").load()
+
+Read as a stream, only months after the last one that the checkpoint has seen are asked for, and those named by
+``again`` in a ``round`` that it has not seen. A month that fails to the end then gives a row without payload.
 """
 
 import time
 from datetime import date
 from urllib.request import urlopen
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
 def month_starts(first: date, last: date) -> list[date]:
@@ -23,9 +25,16 @@ def month_starts(first: date, last: date) -> list[date]:
 
 
 class Months(InputPartition):
-    def __init__(self, days: list[str]):
+    """Months that one task asks for: its turn among ``turns`` is ``turn``."""
+
+    def __init__(self, days: list[str], turn: int, turns: int):
         super().__init__(days)
-        self.days = days
+        self.days, self.turn, self.turns = days, turn, turns
+
+
+def dealt(days: list[str], parallel: int) -> list[Months]:
+    turns = min(parallel, len(days))
+    return [Months(days[i::turns], i, turns) for i in range(turns)]
 
 
 class FxHistory(DataSource):
@@ -39,8 +48,13 @@ class FxHistory(DataSource):
     def reader(self, schema):
         return FxHistoryReader(self.options)
 
+    def streamReader(self, schema):
+        return FxHistoryStream(self.options)
+
+
+class Service:
+    """The requests, at the service's pace."""
 
-class FxHistoryReader(DataSourceReader):
     def __init__(self, options):
         self.url = options["url"]
         self.timeout = float(options.get("timeout", "30"))
@@ -51,15 +65,18 @@ class FxHistoryReader(DataSourceReader):
             date.fromisoformat(options["first"]), date.fromisoformat(options["last"])
         )
 
-    def partitions(self):
-        days = [m.isoformat() for m in self.months]
-        return [Months(days[i::self.parallel]) for i in range(min(self.parallel, len(days)))]
-
-    def read(self, partition):
+    def answers(self, partition, lenient=False):
+        """``(day, payload)`` of a partition's months; a lenient one gives None where a request fails to the end."""
+        began = time.monotonic()
         for at, day in enumerate(partition.days):
-            if at:
-                time.sleep(self.pause)
-            yield day, self._ask(day)
+            due = began + self.pause * (partition.turn + at * partition.turns)
+            time.sleep(max(0.0, due - time.monotonic()))
+            try:
+                yield day, self._ask(day)
+            except OSError:
+                if not lenient:
+                    raise
+                yield day, None
 
     def _ask(self, day):
         for attempt in range(self.retries + 1):
@@ -70,3 +87,38 @@ class FxHistoryReader(DataSourceReader):
                 if attempt == self.retries:
                     raise
                 time.sleep(self.pause)
+
+
+class FxHistoryReader(DataSourceReader):
+    def __init__(self, options):
+        self.service = Service(options)
+
+    def partitions(self):
+        return dealt([m.isoformat() for m in self.service.months], self.service.parallel)
+
+    def read(self, partition):
+        yield from self.service.answers(partition)
+
+
+class FxHistoryStream(DataSourceStreamReader):
+    """Offsets name the last month asked for, and the round of months asked for again."""
+
+    def __init__(self, options):
+        self.service = Service(options)
+        self.again = [d for d in options.get("again", "").split(",") if d]
+        self.round = options.get("round", "")
+
+    def initialOffset(self):
+        return {"upto": "", "again": [], "round": ""}
+
+    def latestOffset(self):
+        upto = self.service.months[-1].isoformat() if self.service.months else ""
+        return {"upto": upto, "again": self.again, "round": self.round}
+
+    def partitions(self, start, end):
+        fresh = [m.isoformat() for m in self.service.months if start["upto"] < m.isoformat() <= end["upto"]]
+        again = [d for d in end["again"] if d not in fresh] if end["round"] != start["round"] else []
+        return dealt(sorted(again) + fresh, self.service.parallel)
+
+    def read(self, partition):
+        yield from self.service.answers(partition, lenient=True)

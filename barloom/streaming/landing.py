@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barloom.plans.prices import price_metrics, with_run_year
 from barloom.schemas import RAW_PRICES
 from barloom.sinks.tables import idempotent_load, rebalanced
+from barloom.streaming.carried import Tails, carry_on
 
 
 def _store(rows: DataFrame, batch_id, history):
@@ -24,9 +25,12 @@ def _stored(spark: SparkSession, history) -> DataFrame:
     return spark.read.schema(f"{fields}, run_year INT, batch BIGINT").parquet(history)
 
 
-def newest(history: DataFrame) -> DataFrame:
-    """For each symbol and date, the rows of the newest batch that has any: later batches correct."""
-    series = Window.partitionBy("symbol", "date")
+def newest(history: DataFrame, keys=()) -> DataFrame:
+    """For each symbol and date, the rows of the newest batch that has any: later batches correct.
+
+    ``keys`` follow from the date; naming those that the rows are dealt by saves an exchange.
+    """
+    series = Window.partitionBy(*keys, "symbol", "date")
     return history.withColumn("_newest", F.max("batch").over(series)).where("batch = _newest").drop("_newest")
 
 
@@ -36,8 +40,8 @@ def publish_new_files(spark: SparkSession, landing, history, published, checkpoi
     """Load every file not loaded before, then stop.
 
     Row windows need whole years, so each batch joins the stored history and the years it
-    touches are computed anew and replaced. With ``continuous`` windows, all years from the first one
-    touched are, from the whole history. A row for a symbol and date that is already stored replaces the
+    touches are computed anew and replaced. With ``continuous`` windows they start from stored tails, the rows that
+    windows look back on, and a later year follows only if its tail has changed. A row for a symbol and date that is already stored replaces the
     older one; rows that share both within a batch stop the load unless ``repeats`` is
     ``ordered``. Rows without a date stay in the history and are not published, as in the batch
     job. ``reader`` holds options of the file source.
@@ -55,11 +59,13 @@ def publish_new_files(spark: SparkSession, landing, history, published, checkpoi
         years = sorted(r[0] for r in landed.select("run_year").distinct().collect())
         if not years:
             return
-        dated = stored.where(F.col("run_year").isNotNull() if continuous else F.col("run_year").isin(years))
-        republished = price_metrics(
-            newest(dated), securities, fx, by_year=True, continuous=continuous, repeats=repeats, **metrics)
         if continuous:
-            republished = republished.where(F.col("run_year") >= years[0])
+            tails = Tails(session, f"{history.rstrip('/')}_tails")
+            carry_on(stored, tails, published, years, batch_id, securities, fx, newest, repeats=repeats, **metrics)
+            return
+        # One exchange for the choice of the newest rows and for the windows.
+        dated = stored.where(F.col("run_year").isin(years)).repartition("run_year", "symbol")
+        republished = price_metrics(newest(dated, ["run_year"]), securities, fx, by_year=True, repeats=repeats, **metrics)
         idempotent_load(republished, published, clustered=True)
 
     return (

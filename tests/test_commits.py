@@ -1,0 +1,93 @@
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.sinks import commits
+
+
+def rows(spark, *listed):
+    return spark.createDataFrame(listed, "name STRING, run_year INT")
+
+
+def read(spark, table):
+    return sorted(map(tuple, commits.scan(spark, table).collect()), key=str)
+
+
+def load(spark, table, mode, *listed, **options):
+    return commits.commit(spark, commits.stage(rows(spark, *listed), table), mode, **options)
+
+
+def test_readers_see_commits_and_nothing_else(spark, tmp_path):
+    table = str(tmp_path / "t")
+    staged = commits.stage(rows(spark, ("a", 2012), ("b", 2013), ("c", 2013)), table)
+    assert staged.total == 3 and staged.rows == {"2012": 1, "2013": 2}
+    assert sorted(map(tuple, staged.read(spark).collect())) == [("a", 2012), ("b", 2013), ("c", 2013)]
+    with pytest.raises(ValueError, match="nothing is committed"):
+        commits.scan(spark, table)
+    assert commits.commit(spark, staged, report={"note": "x"}) == {"rows": 3, "note": "x"}
+    commits.stage(rows(spark, ("never", 2012)), table)
+    assert read(spark, table) == [("a", 2012), ("b", 2013), ("c", 2013)]
+    # Whoever looks past the log finds no table, rather than rows that do not count.
+    with pytest.raises(Exception, match="schema"):
+        spark.read.parquet(table)
+
+
+def test_replace_append_and_emptied_partitions(spark, tmp_path):
+    table = str(tmp_path / "t")
+    load(spark, table, commits.REPLACE, ("a", 2012), ("b", 2013), ("n", None))
+    load(spark, table, commits.APPEND, ("c", 2013))
+    assert read(spark, table) == [("a", 2012), ("b", 2013), ("c", 2013), ("n", None)]
+    load(spark, table, commits.REPLACE, ("d", 2013))
+    assert read(spark, table) == [("a", 2012), ("d", 2013), ("n", None)]
+    load(spark, table, commits.REPLACE, ("e", 2014), parts=[2012, 2014])
+    assert read(spark, table) == [("d", 2013), ("e", 2014), ("n", None)]
+    load(spark, table, commits.REPLACE, parts=[2013, 2014])
+    load(spark, table, commits.REPLACE, ("m", None))
+    assert read(spark, table) == [("m", None)]
+    empty = str(tmp_path / "e")
+    load(spark, empty, commits.APPEND)
+    assert read(spark, empty) == [] and commits.scan(spark, empty).columns == ["name", "run_year"]
+    assert "run_year" in commits.scan(spark, table).where("run_year = 2013")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_run_counts_once(spark, tmp_path):
+    table = str(tmp_path / "t")
+    first = load(spark, table, commits.APPEND, ("a", 2012), id="one")
+    assert load(spark, table, commits.APPEND, ("a", 2012), ("b", 2012), id="one") == first
+    load(spark, table, commits.APPEND, ("c", 2012), id="two", report={"why": "late"})
+    assert read(spark, table) == [("a", 2012), ("c", 2012)]
+    assert commits.committed(spark, table, "two") == {"rows": 1, "why": "late"} and commits.committed(spark, table, "x") is None
+    found = commits.history(spark, table).orderBy("commit").collect()
+    assert [(r.commit, r.id, r.mode, r.part, r.rows) for r in found] == [(1, "one", "append", "2012", 1), (2, "two", "append", "2012", 1)]
+
+
+def test_commits_that_met_both_count(spark, tmp_path):
+    """Two runs that read the log before either committed: the order follows from the log alone."""
+    table = str(tmp_path / "t")
+    load(spark, table, commits.REPLACE, ("a", 2012))
+    one, two = (commits.stage(rows(spark, (n, 2013)), table) for n in "bc")
+    commits.commit(spark, one, commits.APPEND)
+    commits.commit(spark, two, commits.APPEND)
+    assert read(spark, table) == [("a", 2012), ("b", 2013), ("c", 2013)]
+
+
+def test_columns_may_be_added(spark, tmp_path):
+    table = str(tmp_path / "t")
+    load(spark, table, commits.REPLACE, ("a", 2012))
+    more = rows(spark, ("b", 2013)).select("name", F.lit(7).alias("_write_more"), "run_year")
+    commits.commit(spark, commits.stage(more, table), commits.APPEND)
+    assert read(spark, table) == [("a", None, 2012), ("b", 7, 2013)]
+
+
+def test_vacuum_keeps_what_counts(spark, tmp_path):
+    table = str(tmp_path / "t")
+    assert commits.vacuum(spark, table) == []
+    load(spark, table, commits.REPLACE, ("a", 2012), ("b", 2013))
+    load(spark, table, commits.REPLACE, ("c", 2012))
+    refused = commits.stage(rows(spark, ("d", 2012)), table)
+    assert commits.vacuum(spark, table) == []
+    gone = commits.vacuum(spark, table, timedelta(0))
+    assert gone == [refused.write] and read(spark, table) == [("b", 2013), ("c", 2012)]
+    load(spark, table, commits.REPLACE, ("e", 2013))
+    assert len(commits.vacuum(spark, table, timedelta(0))) == 1 and read(spark, table) == [("c", 2012), ("e", 2013)]

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 
 from barloom import jobs
-from barloom.sinks import tables
+from barloom.sinks import commits, tables
 
 SECURITIES = "Ticker symbol,Security,GICS Sector,GICS Sub Industry\nA,Acme,Energy,Drilling\n"
 FX = "exchange_date,curency_base,usd_value,curency_target,exchange_rate\n" + "".join(
@@ -38,21 +38,21 @@ def test_prices_by_range_and_replay(spark, raw):
     assert [r.symbol for r in spark.read.parquet(f"{raw}/out_rejected").collect()] == ["A"]
     for run in ("2025-01-18T08:00:00", "2025-01-19T00:00:00"):
         jobs.main(prices_args(raw, "--run-at", run, "--start-at", "2025-01-18", out="replayed"))
-    one, other = spark.read.parquet(f"{raw}/out"), spark.read.parquet(f"{raw}/replayed")
+    one, other = commits.scan(spark, f"{raw}/out"), commits.scan(spark, f"{raw}/replayed")
     assert one.exceptAll(other).count() == 0 and other.count() == 80
     again = jobs.main(prices_args(raw, "--first-year", "2012"))
-    assert again["rows"] == 40 and spark.read.parquet(f"{raw}/out").count() == 80
+    assert again["rows"] == 40 and commits.scan(spark, f"{raw}/out").count() == 80
     jobs.main(prices_args(raw, "--first-year", "2012", "--mode", "append"))
-    assert spark.read.parquet(f"{raw}/out").count() == 120
+    assert commits.scan(spark, f"{raw}/out").count() == 120
 
 
 def test_whole_history_windows(spark, raw):
     jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013", "--continuous"))
-    seen = spark.read.parquet(f"{raw}/out").where("sma10 IS NOT NULL").count()
+    seen = commits.scan(spark, f"{raw}/out").where("sma10 IS NOT NULL").count()
     assert seen == 2 * (40 - 9)
-    before = sorted(map(repr, spark.read.parquet(f"{raw}/out").collect()))
+    before = sorted(map(repr, commits.scan(spark, f"{raw}/out").collect()))
     jobs.main(prices_args(raw, "--first-year", "2013", "--continuous"))
-    assert sorted(map(repr, spark.read.parquet(f"{raw}/out").collect())) == before
+    assert sorted(map(repr, commits.scan(spark, f"{raw}/out").collect())) == before
 
 
 def test_years_without_rows_are_emptied_when_replaced(spark, raw):
@@ -60,7 +60,7 @@ def test_years_without_rows_are_emptied_when_replaced(spark, raw):
     text = (raw / "prices.csv").read_text()
     (raw / "prices.csv").write_text("".join(line for line in text.splitlines(True) if not line.startswith("2013")))
     jobs.main(prices_args(raw, "--first-year", "2013"))
-    assert {r.run_year for r in spark.read.parquet(f"{raw}/out").select("run_year").distinct().collect()} == {2012}
+    assert {r.run_year for r in commits.scan(spark, f"{raw}/out").select("run_year").distinct().collect()} == {2012}
 
 
 def test_dates_with_a_time_are_read_and_lost_ones_stop_the_job(spark, raw):
@@ -109,7 +109,7 @@ def test_the_price_job_reads_its_input_once(spark, raw, monkeypatch):
 
 def test_dated_folders_and_warehouse_appends(spark, raw, monkeypatch):
     jobs.main(prices_args(raw, "--run-at", "2025-01-18T08:00:00", "--start-at", "2025-01-18", "--dated"))
-    assert spark.read.parquet(f"{raw}/out/published/prices/2025-01-18").count() == 40
+    assert commits.scan(spark, f"{raw}/out/published/prices/2025-01-18").count() == 40
     sent = []
     monkeypatch.setattr(tables, "append_to_warehouse", lambda df, source, **options: sent.append((df.count(), source, options)))
     jobs.main(prices_args(raw, "--first-year", "2012", "--sink", "bigquery", "--sink-option", "table=a.b"))
@@ -127,7 +127,7 @@ def test_empty_and_sparse_documents_give_typed_tables(spark, raw):
         '{"date": {"$date": 1325635200000}, "symbol": "A", "close": 2.5, "volume": 7.0}\n'
         '{"date": {"$date": {"$numberLong": "1325721600000"}}, "symbol": "A"}\n')
     assert jobs.main(args)["rows"] == 3
-    found = spark.read.parquet(f"{raw}/none").orderBy("date").collect()
+    found = commits.scan(spark, f"{raw}/none").orderBy("date").collect()
     assert [(r.date, r.close_price, r.volume) for r in found] == [
         (date(2012, 1, 3), 1.5, None), (date(2012, 1, 4), 2.5, 7), (date(2012, 1, 5), None, None)]
 
@@ -143,7 +143,7 @@ def test_repeated_keys_stop_the_job_unless_allowed(spark, raw, monkeypatch):
         f.write("2012-01-05,A,1,5,1,5,500\n")
     with pytest.raises(ValueError, match="share"):
         jobs.main(prices_args(raw, "--first-year", "2012"))
-    assert not (raw / "out" / "_SUCCESS").exists()
+    assert not (raw / "out" / "_commits").exists()
     monkeypatch.setattr(jobs.prices, "BLOCK_ROWS", 15)
     got = jobs.main(prices_args(raw, "--first-year", "2012", "--allow-duplicates"))
     assert got["rows"] == 41
@@ -168,7 +168,7 @@ def test_fundamentals(spark, raw):
     assert {k: v for k, v in got.items() if not k.startswith("null_")} == {
         "read": 2, "undated": 0, "rows": 2, "without_sector": 1}
     assert got["null_long_term_debt"] == 1
-    assert {(r.ticker_symbol_fund, r.run_year) for r in spark.read.parquet(f"{raw}/f").collect()} == {
+    assert {(r.ticker_symbol_fund, r.run_year) for r in commits.scan(spark, f"{raw}/f").collect()} == {
         ("A", 2012), ("B", 2013)
     }
 
@@ -197,7 +197,7 @@ def test_json_and_parquet_sources(spark, raw):
         args = prices_args(raw, "--source", source, "--first-year", "2012", out=f"from_{source}")
         args[2] = f"{raw}/{path}"
         assert jobs.main(args)["rows"] == 11
-    one, other = (spark.read.parquet(f"{raw}/from_{s}") for s in ("parquet", "json"))
+    one, other = (commits.scan(spark, f"{raw}/from_{s}") for s in ("parquet", "json"))
     assert one.exceptAll(other).count() == 0
 
 
@@ -221,3 +221,53 @@ def test_missing_and_unreadable_rates_stop_the_job_unless_allowed(spark, raw):
     with pytest.raises(ValueError, match="rates are missing"):
         jobs.main(args)
     assert jobs.main([*args, "--allow-missing"]) == {"asked": 13, "received": 2, "unreadable": 1}
+
+
+def test_refused_runs_leave_the_table_as_it_was(spark, raw):
+    good = prices_args(raw, "--first-year", "2012", "--last-year", "2013")
+    jobs.main(good)
+    before = sorted(map(repr, commits.scan(spark, f"{raw}/out").collect()))
+    text = (raw / "prices.csv").read_text()
+    (raw / "prices.csv").write_text(text.replace("2013-01-1", "13.1.1"))
+    for mode in ("replace", "append"):
+        with pytest.raises(commits.Refused, match="20 of|21 of"):
+            jobs.main([*good, "--mode", mode])
+        assert sorted(map(repr, commits.scan(spark, f"{raw}/out").collect())) == before
+    assert spark.read.parquet(f"{raw}/out_rejected").count() == 21
+    assert commits.history(spark, f"{raw}/out").select("commit").distinct().count() == 1
+    (raw / "prices.csv").write_text(text + "2013-01-05,A,1,5,1,5,500\n")
+    with pytest.raises(ValueError, match="share"):
+        jobs.main(good)
+    assert sorted(map(repr, commits.scan(spark, f"{raw}/out").collect())) == before
+
+
+def test_a_repeated_append_of_one_run_adds_nothing(spark, raw):
+    args = prices_args(raw, "--first-year", "2012", "--mode", "append")
+    first = jobs.main([*args, "--run-id", "monday"])
+    again = jobs.main([*args, "--run-id", "monday"])
+    assert again == first and commits.scan(spark, f"{raw}/out").count() == first["rows"] == 40
+    jobs.main([*args, "--run-id", "tuesday"])
+    assert commits.scan(spark, f"{raw}/out").count() == 80
+    reports = commits.history(spark, f"{raw}/out").collect()
+    assert {r.id for r in reports} == {"monday", "tuesday"} and all('"undated": 1' in r.report for r in reports)
+
+
+def test_counts_of_repeated_tasks_are_taken_again(spark, raw, monkeypatch):
+    seen = jobs.observed
+
+    def twice(observation, **empty):
+        found = dict(seen(observation, **empty))
+        return {**found, "read": found["read"] + 40} if "read" in found else {**found, "rows": found["rows"] + 1}
+
+    monkeypatch.setattr(jobs, "observed", twice)
+    got = jobs.main(prices_args(raw, "--first-year", "2012", "--last-year", "2013"))
+    assert (got["read"], got["undated"], got["rows"]) == (81, 1, 80)
+
+
+def test_a_warehouse_gets_only_audited_rows(spark, raw, monkeypatch):
+    sent = []
+    monkeypatch.setattr(tables, "append_to_warehouse", lambda df, source, **options: sent.append(df.count()))
+    (raw / "prices.csv").write_text((raw / "prices.csv").read_text().replace("2012-01-0", "12.1.0"))
+    with pytest.raises(commits.Refused):
+        jobs.main(prices_args(raw, "--first-year", "2012", "--sink", "bigquery"))
+    assert not sent

@@ -1,0 +1,97 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.sinks import ledger
+
+
+def numbers(spark, first, end, parts=3):
+    return spark.range(first, end, 1, parts).select(F.col("id"), (F.col("id") / 2).alias("half"), F.concat(F.lit("n"), "id").alias("name"))
+
+
+def read(spark, path):
+    return sorted(r.id for r in ledger.scan_ledger(spark, path).collect())
+
+
+def test_each_run_counts_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="no run"):
+        ledger.scan_ledger(spark, path)
+    ledger.append_once(numbers(spark, 0, 10), path, "one")
+    ledger.append_once(numbers(spark, 10, 15), path, "two/è")
+    ledger.append_once(numbers(spark, 0, 10), path, "one")
+    assert read(spark, path) == list(range(15))
+    assert [(e["run"], e["rows"]) for e in ledger.entries(path)] == [("one", 10), ("two/è", 5)]
+    found = ledger.scan_ledger(spark, path)
+    assert found.exceptAll(numbers(spark, 0, 15)).count() == 0 and found.dtypes == numbers(spark, 0, 1).dtypes
+    # The repeated run's files are gone again.
+    assert len(os.listdir(tmp_path / "t" / "files")) == sum(len(e["files"]) for e in ledger.entries(path))
+
+
+def test_a_failed_run_adds_nothing_and_may_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ledger.append_once(numbers(spark, 0, 10), path, "one")
+    broken = numbers(spark, 10, 1010).withColumn("half", F.when(F.col("id") == 1000, F.raise_error(F.lit("broken"))).otherwise(F.col("half")))
+    with pytest.raises(Exception, match="broken"):
+        ledger.append_once(broken, path, "two")
+    assert read(spark, path) == list(range(10))
+    ledger.append_once(numbers(spark, 10, 1010), path, "two")
+    assert read(spark, path) == list(range(1010))
+
+
+def test_empty_runs_and_replacing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ledger.append_once(numbers(spark, 0, 0), path, "none")
+    assert read(spark, path) == [] and ledger.scan_ledger(spark, path).columns == ["id", "half", "name"]
+    with pytest.raises(Exception, match="appended to only"):
+        numbers(spark, 0, 5).write.format("ledger").mode("overwrite").options(path=path, run="x").save()
+
+
+def test_a_repeated_batch_of_a_stream_counts_once(spark, tmp_path):
+    landing, path, progress = (str(tmp_path / n) for n in ("in", "t", "p"))
+    schema = numbers(spark, 0, 1).schema
+
+    def load(checkpoint):
+        def add(batch, number):
+            ledger.append_once(batch, path, f"stream-{number}")
+        query = spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(add)
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    numbers(spark, 0, 10).write.parquet(landing)
+    load(progress)
+    # A stream that lost its progress repeats the batch under its number.
+    load(progress + "2")
+    assert read(spark, path) == list(range(10))
+
+
+RETRIED = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from barloom.sinks import ledger
+
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+
+def shaky(batches):
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+        raise RuntimeError("lost")
+
+rows = spark.range(0, 50_000, 1, 3)
+ledger.append_once(rows.mapInArrow(shaky, "id BIGINT"), sys.argv[1], "one")
+found = ledger.scan_ledger(spark, sys.argv[1])
+print("rows", found.count(), found.distinct().count())
+"""
+
+
+def test_a_task_that_fails_and_is_repeated_leaves_its_rows_once(tmp_path):
+    """In a process of its own, whose session repeats failed tasks."""
+    env = {**os.environ, "PYTHONPATH": str(Path(__file__).resolve().parent.parent)}
+    done = subprocess.run([sys.executable, "-c", RETRIED, str(tmp_path / "t")], env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 50000 50000" in done.stdout, done.stderr[-2000:]
