@@ -1,5 +1,7 @@
 """Run a function over the texts of a table, a few megabytes at a time."""
 
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,23 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
 
 
+class Memo(dict):
+    """What ``find`` gives for a key, remembered; the older half goes when it is full, which only costs time."""
+
+    def __init__(self, find, limit):
+        self.find, self.limit = find, limit
+
+    def __missing__(self, key):
+        self.make_room()
+        self[key] = found = self.find(key)
+        return found
+
+    def make_room(self):
+        if len(self) >= self.limit:
+            for old in list(islice(self, len(self) - self.limit // 2)):
+                del self[old]
+
+
 def cut(batch: pa.RecordBatch, limit=SLICE_BYTES):
     """Slices of a batch whose last column holds about ``limit`` bytes, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)

@@ -12,22 +12,25 @@ less one. A document's last control byte may have unused places, which have no d
 """
 
 import re
+import string
 from array import array
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.storage import stored
-from barloom.llm.texts import cut
+from barloom.llm.texts import Memo, cut
 from barloom.sources.workspace import work_folder
 
 MAGIC = b"BTK1"
 FILE_TOKENS = 4 << 20
+FILE_SAMPLE = 32
 BLOCK_TOKENS = 1 << 19
 MEMO_WORDS = 400_000
 SLICE_BYTES = 8 << 20
@@ -35,7 +38,7 @@ SLICE_BYTES = 8 << 20
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def _places(counts: np.ndarray):
+def _slots(counts: np.ndarray):
     """Which places of the documents' control bytes hold a number, and control bytes per document."""
     quads = -(-counts // 4)
     within = np.arange(4 * quads.sum()) - np.repeat(4 * (np.cumsum(quads) - quads), 4 * quads)
@@ -48,7 +51,7 @@ def pack(values: np.ndarray, counts: np.ndarray):
     values = values.astype("<u4")
     extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    held, quads = _places(counts)
+    held, quads = _slots(counts)
     padded = np.zeros(len(held), np.uint8)
     padded[held] = extra
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
@@ -59,7 +62,7 @@ def pack(values: np.ndarray, counts: np.ndarray):
 
 def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers again: lengths by a table of the control bytes, values by gathers."""
-    held, _ = _places(counts)
+    held, _ = _slots(counts)
     sizes = LENGTHS[control].reshape(-1)[held]
     starts = np.cumsum(sizes) - sizes
     padded = np.concatenate([data, np.zeros(3, np.uint8)])
@@ -100,46 +103,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Words(dict):
-    """A word of Latin letters in lower case to its ids as bytes, by the tokenizer's model alone."""
-
-    def __init__(self, model, limit):
-        self.model, self.limit, self.letters = model, limit, _byte_letters()
-
-    def __missing__(self, word: bytes):
-        if len(self) >= self.limit:
-            self.clear()
-        spelled = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
-        self[word] = ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        return ids
-
-
-class _Other(dict):
-    """Any other run to its ids, by the whole tokenizer."""
-
-    def __init__(self, library, limit):
-        self.library, self.limit = library, limit
-
-    def __missing__(self, run: bytes):
-        if len(self) >= self.limit:
-            self.clear()
-        self[run] = ids = array("I", self.library.encode(run.decode(), add_special_tokens=False).ids).tobytes()
-        return ids
-
-
 class Encoder:
     """Ids of whole texts from a tokenizer file of the tokenizers library, with an end id after each.
 
-    The tokenizer splits at white space, so each distinct run between ASCII white space is encoded by
-    itself: Latin letters with nothing or ASCII marks after them by the tokenizer's model, which a bounded
-    number of words remembers, any other run by the whole tokenizer. Equal runs of some megabytes of text
-    are found together, by their bytes. Special tokens' strings are ordinary text, or with ``special``
+    The tokenizer splits at white space, so each run between ASCII white space is encoded by itself: Latin letters
+    by the tokenizer's model, in lower case and apart from ASCII marks that follow them; any other run by the whole
+    tokenizer. Equal words and runs of some megabytes of text are found together, by their bytes, and a bounded number
+    of them is remembered. Special tokens' strings are ordinary text, or with ``special``
     those tokens, as the library has it by itself.
     """
 
-    #: What the tokenizer's rules surely split in two: Latin letters, and ASCII marks other than an apostrophe.
-    PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
-    SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+    #: What the tokenizer's rules surely split in two: Latin letters, and ASCII marks other than an apostrophe. Letters
+    #: beyond ASCII are two bytes, C3 and one of those after it. A byte's kinds are bits of one number.
+    SPACE, LETTER, CAPITAL, MARK, AFTER_C3, CAPITAL_AFTER_C3, C3 = (1 << k for k in range(7))
+    KINDS = sum(np.isin(np.arange(256), list(some)).astype(np.uint8) << np.uint8(k) for k, some in enumerate((
+        b" \t\n\v\f\r", string.ascii_letters.encode(), string.ascii_uppercase.encode(), set(string.punctuation.encode()) - set(b"'"),
+        set(range(0x80, 0xC0)) - {0x97, 0xB7}, set(range(0x80, 0x9F)) - {0x97}, [0xC3])))
     MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
     def __init__(self, path: str, end: int, memo=MEMO_WORDS, special=False):
@@ -148,20 +127,18 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = not special
         self.end = np.array([end], "<u4").tobytes()
-        self.words, self.other = _Words(self.library.model, memo), _Other(self.library, memo // 8)
+        self.letters, self.tokenize = _byte_letters(), self.library.model.tokenize
+        self.words, self.other = Memo(self._word, memo), Memo(self._other, memo // 8)
         vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.width = np.uint16 if max(end + 1, vocabulary) <= 1 << 16 else np.uint32
 
-    def run(self, run: bytes) -> bytes:
-        """The ids of one run between white space."""
-        if run.isalpha():
-            return self.words[run.lower()]
-        plain = self.PLAIN.fullmatch(run)
-        if not plain:
-            return self.other[run]
-        word, marks = plain.groups()
-        word = word.lower() if word.isascii() else word.decode().lower().encode()
-        return self.words[word] + self.other[marks] if marks else self.words[word]
+    def _word(self, word: bytes) -> bytes:
+        """The ids of Latin letters in lower case, by the model alone."""
+        spelled = word.decode() if word.isascii() else "".join(map(self.letters.__getitem__, word))
+        return array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+
+    def _other(self, run: bytes) -> bytes:
+        return array("I", self.library.encode(run.decode(), add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[bytes | None], limit=SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and their number for each."""
@@ -190,18 +167,14 @@ class Encoder:
         if not pieces:
             return
         data = b"\n".join(p for p, _ in pieces) + b"\n"
-        size = len(data)
         raw = np.frombuffer(data + bytes(16), np.uint8)
-        edges = np.flatnonzero(np.diff(self.SPACE[raw[:size]], prepend=True))
-        starts, ends = edges[0::2], edges[1::2]
-        lengths = ends - starts
-        codes, runs = self._distinct(raw, data, starts, lengths)
-        # Each last piece is followed by the end id, which stands behind the distinct runs.
+        starts, codes, ids = self._coded(raw, data)
+        # Each last piece is followed by the end id, which stands behind the others.
         closed = np.cumsum([len(p) + 1 for p, _ in pieces]) - 1
         before = np.searchsorted(starts, closed)
         last = np.array([last for _, last in pieces])
-        order = np.insert(codes, before[last], len(runs))
-        ids = [*map(self.run, runs), self.end]
+        order = np.insert(codes, before[last], len(ids))
+        ids.append(self.end)
         table = np.frombuffer(b"".join(ids), "<u4").astype(self.width)
         widths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         offsets = np.cumsum(widths) - widths
@@ -212,6 +185,37 @@ class Encoder:
         sums = np.concatenate(([0], upto))[before + np.cumsum(last)]
         np.add.at(counts, owners, np.diff(sums, prepend=0))
 
+    def _coded(self, raw, data):
+        """Where words, marks and other runs start in some text, a code for each, and the ids of each code."""
+        kinds = self.KINDS[raw[:len(data)]]
+        pairs = (kinds[:-1] & self.C3 != 0) & (kinds[1:] & self.AFTER_C3 != 0)
+        letter = kinds & self.LETTER != 0
+        letter[:-1] |= pairs
+        letter[1:] |= pairs
+        space = kinds & self.SPACE != 0
+        edges = np.flatnonzero(np.concatenate(([not space[0]], space[1:] != space[:-1])))
+        starts, ends = edges[0::2], edges[1::2]
+        letters, marks = np.zeros((2, len(data) + 1), np.int32)
+        np.cumsum(letter, out=letters[1:])
+        np.cumsum(kinds & self.MARK != 0, out=marks[1:])
+        count = (letters[ends] - letters[starts]).astype(np.int64)
+        plain = (count > 0) & (letters[starts + count] - letters[starts] == count) & (count + marks[ends] - marks[starts] == ends - starts)
+        word, marked = np.flatnonzero(plain), plain & (count < ends - starts)
+        rest = np.flatnonzero(~plain | marked)
+        small = raw.copy()
+        capital = kinds & self.CAPITAL != 0
+        capital[1:] |= pairs & (kinds[1:] & self.CAPITAL_AFTER_C3 != 0)
+        small[:len(data)] += capital.view(np.uint8) << np.uint8(5)
+        found, words = self._distinct(small, small.tobytes(), starts[word], count[word])
+        beyond = np.where(plain, count, 0)[rest]
+        other, runs = self._distinct(raw, data, starts[rest] + beyond, (ends - starts)[rest] - beyond)
+        # A word and the marks after it are neighbours in the order of the text.
+        at = np.cumsum(1 + marked) - 1
+        places, codes = np.empty(len(starts) + marked.sum(), np.int64), np.empty(len(starts) + marked.sum(), np.int64)
+        places[at[word] - marked[word]], codes[at[word] - marked[word]] = starts[word], found
+        places[at[rest]], codes[at[rest]] = starts[rest] + beyond, other + len(words)
+        return places, codes, [*map(self.words.__getitem__, words), *map(self.other.__getitem__, runs)]
+
     def _distinct(self, raw, data, starts, lengths):
         """A code for each run, and the run of each code: equal bytes, equal code.
 
@@ -245,6 +249,19 @@ class Encoder:
         return codes, runs
 
 
+#: The encoder that the tasks of a Python worker share, with what it remembers.
+_worker = {}
+
+
+def encoder(path: str, end: int, memo=MEMO_WORDS, special=False) -> Encoder:
+    """The encoder of this worker: that of the task before, if that had the same file and options."""
+    own = path, end, memo, special
+    if own not in _worker:
+        _worker.clear()
+        _worker[own] = Encoder(*own)
+    return _worker[own]
+
+
 def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """Consecutive pieces of an array, ``sizes`` bytes each, as binary values."""
     edges = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
@@ -252,22 +269,24 @@ def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def tokenized(df: DataFrame, path: str, end: int, key="doc_id", text="text", memo=MEMO_WORDS, special=False) -> DataFrame:
-    """``(key, tie, n, ids)``, stored: every text's ids as numbers of two bytes, or four for vocabularies above 65,536.
+    """``(key, tie, row, n, ids)``, stored: every text's ids as numbers of two bytes, or four for vocabularies above 65,536.
 
-    ``tie`` is a hash of the text, which orders rows of one key. Texts are encoded once.
+    ``tie``, a hash of the text, and ``row``, a number of its own, order rows of one key. Texts are encoded once.
     """
     chosen = df.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("tie"),
                        F.col(text).cast("string").cast("binary").alias("bytes"))
 
     def run(batches):
-        encode = Encoder(path, end, memo, special)
+        encode, row = encoder(path, end, memo, special), TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in cut(batch, SLICE_BYTES):
                 ids, counts = encode(piece.column(2).to_pylist())
-                values = _binary(ids, counts * ids.itemsize)
-                yield pa.RecordBatch.from_arrays([*piece.columns[:2], pa.array(counts), values], names=["key", "tie", "n", "ids"])
+                numbers = pa.array(np.arange(row, row + len(counts)))
+                row += len(counts)
+                columns = [*piece.columns[:2], numbers, pa.array(counts), _binary(ids, counts * ids.itemsize)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "tie", "row", "n", "ids"])
 
-    return stored(chosen.mapInArrow(run, "key BIGINT, tie BIGINT, n BIGINT, ids BINARY"), compression="zstd")
+    return stored(chosen.mapInArrow(run, "key BIGINT, tie BIGINT, row BIGINT, n BIGINT, ids BINARY"), compression="zstd")
 
 
 def _numbers(column: pa.Array, counts: np.ndarray) -> np.ndarray:
@@ -293,6 +312,51 @@ def frequencies(coded: DataFrame) -> DataFrame:
     return coded.select("n", "ids").mapInArrow(run, "id BIGINT, count BIGINT").groupBy("id").agg(F.sum("count").alias("count"))
 
 
+def _places(keys, ties, rows) -> np.ndarray:
+    """Rows' places in the order of the files, as byte strings that compare alike; rows without a key come first."""
+    held = ~keys.is_null().to_numpy(zero_copy_only=False)
+    signed = [keys.fill_null(0).to_numpy(), ties.fill_null(0).to_numpy(), rows.to_numpy()]
+    parts = [(np.asarray(v, np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8) for v in signed]
+    return np.ascontiguousarray(np.concatenate([held[:, None].astype(np.uint8), *parts], axis=1)).view("S25").reshape(-1)
+
+
+def _cuts(coded: DataFrame, total: int, file_tokens: int) -> np.ndarray:
+    """Places at which files end, so that each holds about ``file_tokens`` tokens of whole documents.
+
+    A sample of rows, about ``FILE_SAMPLE`` a file, cuts the order into narrow ranges; the tokens of each are summed over
+    all rows, and consecutive ranges go to a file while they fit. Rows of one key may be in several files.
+    """
+    files = -(-total // file_tokens)
+    if files < 2:
+        return np.zeros(0, "S25")
+    order = coded.select("key", "tie", "row", "n")
+    rate = min(1.0, FILE_SAMPLE * files / max(1, coded.count()))
+    chance = F.pmod(F.xxhash64("key", "row"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    some = order.where(chance < rate).select("key", "tie", "row").toArrow()
+    bounds = np.sort(_places(*(some[c].combine_chunks() for c in ("key", "tie", "row")))) if some.num_rows else np.zeros(0, "S25")
+    shared = coded.sparkSession.sparkContext.broadcast(bounds)
+
+    def run(batches):
+        sums = np.zeros(len(shared.value) + 1, np.int64)
+        for batch in batches:
+            at = np.searchsorted(shared.value, _places(*batch.columns[:3]), side="left")
+            sums += np.bincount(at, batch.column(3).to_numpy(), len(sums)).astype(np.int64)
+        seen = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["at", "tokens"])
+
+    summed = order.mapInArrow(run, "at BIGINT, tokens BIGINT").groupBy("at").agg(F.sum("tokens").alias("tokens"))
+    tokens = np.zeros(len(bounds) + 1, np.int64)
+    for at, n in summed.collect():
+        tokens[at] = n
+    ends, held = [], 0
+    for at, n in enumerate(tokens.tolist()):
+        if held and held + n > file_tokens:
+            ends.append(bounds[at - 1])
+            held = 0
+        held += n
+    return np.array(ends, "S25")
+
+
 def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="text",
           file_tokens=FILE_TOKENS, memo=MEMO_WORDS, special=False) -> tuple[DataFrame, list[int]]:
     """Write the ids of all texts to files in ``folder``, in ascending order of the keys.
@@ -300,8 +364,10 @@ def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="t
     Returns the files and the ids by rank. The table of files, ``(part, file, documents, tokens,
     start)``, is stored through Spark after the files: a task that ran twice leaves a file
     that is not in it and that nobody reads. The rank table is as long as the vocabulary in use.
-    Rows of equal keys go by the hash of their text; null keys come first; null texts are empty.
-    ``folder`` has to be one that all executors reach, of a kind that Arrow can write to.
+    Keys are whole numbers; other ones stop the job before anything is written. Rows of equal keys go by the hash of
+    their text, and may be in several files; null keys come first; null texts are empty. A file holds about
+    ``file_tokens`` tokens, or one longer document. ``folder`` has to be one that all executors reach, of a kind that
+    Arrow can write to.
     """
     spark = df.sparkSession
     coded = tokenized(df, path, end, key, text, memo, special)
@@ -309,27 +375,24 @@ def write(df: DataFrame, folder: str, path: str, end: int, key="doc_id", text="t
     by_rank = [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
     ranks = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     ranks[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
-    parts = max(1, -(-sum(n for _, n in rows) // file_tokens))
-    # Bounds between the files from the keys alone; a range partitioning would sample the packed rows.
-    shares = [i / parts for i in range(1, parts)]
-    bounds = coded.agg(F.percentile_approx("key", shares, 100 * parts)).first()[0] if shares else []
-    shared = spark.sparkContext.broadcast((ranks, np.unique(np.array(bounds or [], np.int64))))
+    cuts = _cuts(coded, sum(n for _, n in rows), file_tokens)
+    shared = spark.sparkContext.broadcast((ranks, cuts))
 
     def packed(batches):
-        ranks, bounds = shared.value
+        ranks, cuts = shared.value
         for batch in batches:
             for piece in cut(batch, SLICE_BYTES):
-                counts = piece.column(2).to_numpy()
-                control, data, quads, sizes = pack(ranks[_numbers(piece.column(3), counts)], counts)
-                keys = piece.column(0)
-                part = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), side="left") + 1
-                part[keys.is_null().to_numpy(zero_copy_only=False)] = 0
+                counts = piece.column(3).to_numpy()
+                control, data, quads, sizes = pack(ranks[_numbers(piece.column(4), counts)], counts)
+                part = np.searchsorted(cuts, _places(*piece.columns[:3]), side="left")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), *piece.columns[:3], _binary(control, quads), _binary(data, sizes)],
-                    names=["part", "key", "tie", "n", "control", "data"])
+                    [pa.array(part), *piece.columns[:4], _binary(control, quads), _binary(data, sizes)],
+                    names=["part", "key", "tie", "row", "n", "control", "data"])
 
-    schema = "part BIGINT, key BIGINT, tie BIGINT, n BIGINT, control BINARY, data BINARY"
-    dealt = coded.mapInArrow(packed, schema).repartition(parts, "part").sortWithinPartitions("part", "key", "tie", "data")
+    schema = "part BIGINT, key BIGINT, tie BIGINT, row BIGINT, n BIGINT, control BINARY, data BINARY"
+    # A file is a task of its own.
+    dealt = coded.mapInArrow(packed, schema).repartitionById(len(cuts) + 1, F.col("part").cast("int"))
+    dealt = dealt.sortWithinPartitions("part", "key", "tie", "row").drop("row")
 
     def run(batches):
         target, inner = fs.FileSystem.from_uri(folder)

@@ -94,3 +94,19 @@ def test_the_query_matches_the_untouched_library(spark, docs, tmp_path):
         ids = np.array(untouched(SPECIAL[row.doc_id]), "<u4")
         assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_files_hold_what_was_asked_whatever_the_keys(spark, docs):
+    rng = random.Random(9)
+    rows = [(7 if i % 3 == 0 else None if i % 50 == 1 else i, " ".join(rng.choices(["cat", "hat", "über"], k=int(rng.paretovariate(1) * 8) % 1500)))
+            for i in range(3000)]
+    rows += [(7, "the same text")] * 500 + [(9, "word " * 30_000)]
+    files, by_rank = token_files.write(docs(rows), f"file://{token_files.work_folder(spark)}", PATH, 2, file_tokens=20_000)
+    listed = files.orderBy("part").collect()
+    sizes = [r.tokens for r in listed]
+    assert sum(sizes) == sum(len(whole(t)) for _, t in rows) and len({r.part for r in listed}) == len(listed)
+    # One document is longer than a file; no other file is above what was asked by more than a document.
+    assert sorted(sizes)[-2] <= 22_000 and sum(n < 10_000 for n in sizes) <= 3
+    found = sorted(token_files.read(files, by_rank).collect(), key=lambda r: r.start)
+    keys = [r.doc_id for r in found]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0)) and len(keys) == len(rows)
