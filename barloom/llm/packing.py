@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from barloom.llm.storage import stored
 from barloom.llm.texts import cut, small_batches
-from barloom.llm.token_files import Encoder
+from barloom.llm.token_files import encoder
 
 CAPACITY = 4096
 BATCH_BYTES = 4 << 20
@@ -118,7 +118,7 @@ def pack(df: DataFrame, path: str, end: int, key="doc_id", text="text", capacity
     ])
 
     def run(batches):
-        encode = Encoder(path, end, special=special)
+        encode = encoder(path, end, special=special)
         bins = Bins(capacity, TaskContext.get().partitionId() << 32)
         kind = None
 
