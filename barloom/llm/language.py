@@ -1,22 +1,27 @@
 """Language identification by prediction by partial matching over bytes."""
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.storage import lookup, stored
 from barloom.llm.texts import map_texts
 
 ORDER = 4
 SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARS = 20_000
+#: Rows learned from in all, shared out where there are many languages.
+SAMPLE_TOTAL = 4_000
 UNKNOWN = "und"
 START = b"\n" * ORDER
 PIECE = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: bytes) -> bool:
+    """True if a character is of one of Unicode's categories of letters; number signs such as Ⅷ, ½ or ① are none."""
+    return any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
 class Index:
@@ -170,22 +175,27 @@ class Model:
 
 
 def train(df: DataFrame, key="doc_id", text="text", lang="lang", documents=SAMPLE_DOCUMENTS,
-          chars=SAMPLE_CHARS) -> Model:
+          chars=SAMPLE_CHARS, total=SAMPLE_TOTAL) -> Model:
     """A model from about ``documents`` rows of each language, with ``chars`` characters of a text at most.
 
+    Where there are more than ``total / documents`` languages, each gets its share of ``total`` rows; so neither
+    many languages nor junk in their column fill the driver.
+
     Rows of any length are taken by a hash of their key and text, at a rate that follows from counting the
     rows of each language; a longer text gives a piece from a hashed place. So neither the
     sample nor the model grows with the table or its texts.
     """
     fit = df.where(F.col(lang).isNotNull() & (F.length(text) > 0))
-    rates = fit.groupBy(F.col(lang).alias("_lang")).agg(F.least(F.lit(1.0), documents / F.count("*")).alias("_rate"))
+    counted = stored(fit.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n")))
+    share = min(documents, total / max(1, counted.count()))
+    rates = lookup(counted.select("_lang", F.least(F.lit(1.0), share / F.col("_n")).alias("_rate")))
     chance = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     places = F.greatest(F.length(text) - chars, F.lit(0)) + 1
     place = F.pmod(F.xxhash64(F.col(text), F.col(key)), places).cast("int") + 1
     piece = F.substring(F.col(text), place, F.lit(chars))
     rows = (
         fit.select(F.col(lang).alias("_lang"), piece.alias("_text"), chance.alias("_chance"))
-        .join(F.broadcast(rates), "_lang").where("_chance < _rate").select("_lang", "_text").collect()
+        .join(rates, "_lang").where("_chance < _rate").select("_lang", "_text").collect()
     )
     samples = {}
     for name, written in sorted(map(tuple, rows)):
@@ -210,7 +220,7 @@ def identify(df: DataFrame, model: Model, key="doc_id", text="text") -> DataFram
 
         def apply(texts):
             plain = texts.to_pylist()
-            usable = [bool(t and known.languages and LETTER.search(t.decode("utf-8", "replace"))) for t in plain]
+            usable = [bool(t and known.languages) and has_letter(t) for t in plain]
             some = [t for t, u in zip(plain, usable) if u]
             bits = known.code_lengths(some)
             names, scores, rates = [UNKNOWN] * len(plain), np.zeros(len(plain)), [None] * len(plain)

@@ -95,3 +95,18 @@ def test_languages_of_long_texts_alone(docs, monkeypatch):
     assert len({t[:40] for t in long_ones}) > 5 and sum(t in dict(rows)[0] + dict(rows)[2] for t in long_ones) > 10
     found = {r.doc_id: r.lang_pred for r in language.identify(docs([*rows[:2], (100, "la table"), (101, "the hat")]), model).collect()}
     assert found == {0: "fr", 1: "en", 100: "fr", 101: "en"}
+
+
+def test_number_signs_are_no_letters(docs, spark):
+    model = language.train(docs([(i, "plain words of one language") for i in range(9)]))
+    rows = [(1, "½ ² Ⅷ ①"), (2, "12 !"), (3, "½ a"), (4, "ǅ ʰ ª"), (5, "漢")]
+    found = {r.doc_id: r for r in language.identify(docs(rows), model).collect()}
+    assert [found[d].lang_pred == "und" for d in range(1, 6)] == [True, True, False, False, False]
+    assert found[1].score == 0 and found[1].bits_per_byte is None
+
+
+def test_many_languages_share_the_sample(spark):
+    df = spark.createDataFrame([(i, f"some text {i}", f"l{i % 50:02}") for i in range(2000)], "doc_id INT, text STRING, lang STRING")
+    model = language.train(df, documents=40, total=200)
+    assert len(model.languages) >= 45
+    assert len(language.train(df, documents=40, total=10**6).languages) == 50
