@@ -12,6 +12,7 @@ from barloom.llm.texts import map_texts
 
 MATCH_WORDS = 3
 COVERAGE = 0.75
+TEMPLATE_BYTES = 4 << 20
 
 # --- Fixed values: phrases, and notices by label. ---
 PHRASES = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved")]
@@ -128,6 +129,9 @@ class Scanner:
         self.sizes, self.phrases = [len(s) for s in sequences], len(phrases)
         self.automaton = Automaton([[self.codes[w] for w in s] for s in sequences])
         self.match_words, self.coverage = match_words, coverage
+        # The fewest words that make a phrase, or a match with a template.
+        least = [min(match_words, s) for s in self.sizes[self.phrases:]]
+        self.shortest, self.least = min([*self.sizes[:self.phrases], *least], default=1), min(least, default=match_words)
         # By state: the phrases that end its strings, its own or those of its suffixes, and places in templates.
         self.whole = [[] for _ in self.automaton.next]
         for n in range(self.phrases):
@@ -144,7 +148,7 @@ class Scanner:
         edges = np.flatnonzero(np.diff(np.concatenate(([0], codes > 0, [0])).astype(np.int8)))
         places, blocks = [], []
         for first, end in edges.reshape(-1, 2).tolist():
-            if end - first < 2:
+            if end - first < self.shortest:
                 continue
             before = None
             for at, (state, length) in enumerate(self.automaton.statistics(codes[first:end].tolist()), first):
@@ -155,7 +159,7 @@ class Scanner:
                     blocks.append(before)
                 before = at, state, length
             blocks.append(before)
-        return len(found), places, self._chains([b for b in blocks if b[2] >= self.match_words])
+        return len(found), places, self._chains([b for b in blocks if b[2] >= self.least])
 
     def _chains(self, blocks):
         """Spans of templates that chained matches cover to the asked share.
@@ -166,7 +170,8 @@ class Scanner:
         by_template = {}
         for at, state, length in blocks:
             for n, place in self.inner[state]:
-                by_template.setdefault(n, []).append((at, place, length))
+                if length >= min(self.match_words, self.sizes[n]):
+                    by_template.setdefault(n, []).append((at, place, length))
         spans = []
         for n, items in by_template.items():
             size, best = self.sizes[n], []
@@ -195,6 +200,19 @@ class Scanner:
         return sorted(spans)
 
 
+def read_sequences(df: DataFrame, label="label", text="text", most=TEMPLATE_BYTES) -> list[tuple[str, str]]:
+    """Phrases or templates for a ``Scanner`` from a table, each distinct (label, text) once, in their order.
+
+    They are part of the automaton, which every task holds: a table of over ``most`` bytes of text is refused.
+    Rows without a label or without a word are left out.
+    """
+    rows = df.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text")).dropna().distinct()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"{size} bytes of licence texts; at most {most} are held in memory")
+    return [(r.label, r.text) for r in rows.orderBy("label", "text").collect() if words(r.text.encode())]
+
+
 def scan(df: DataFrame, key="doc_id", text="text", scanner: Scanner | None = None) -> DataFrame:
     """``(key, n_words, places, spans)``, one row per input row.
 

@@ -69,3 +69,73 @@ def test_documents(docs):
         (d or 0, len(split(t)), plain_places(t)) for d, t in rows)
     assert {s.label for r in found if r.doc_id == 1 for s in r.spans} == {"cc-by-nc"}
     assert licences.scan(docs([])).count() == 0
+
+
+def test_one_word_phrases_and_templates():
+    scanner = licences.Scanner([("x", "gpl")], [("y", "unlicense")])
+    count, places, spans = scanner.scan(b"this is gpl code, unlicense")
+    assert (count, places) == (5, [(2, 0)]) and [(f, e, scanner.labels[n]) for f, e, n, _ in spans] == [(4, 4, "y")]
+    assert licences.Scanner([], []).scan(b"a b") == (2, [], [])
+
+
+def plain_chains(text, templates, least, coverage):
+    """Best chains of maximal matches for each template, by trying all chains."""
+    found, out = split(text), []
+    for label, template in templates:
+        own, blocks = split(template), []
+        for at in range(len(found)):
+            for place in range(len(own)):
+                n = 0
+                while n <= min(at, place) and found[at - n] == own[place - n]:
+                    n += 1
+                longest = max((m for m in range(1, at + 2) for p in range(len(own)) if found[at - m + 1:at + 1] == own[max(0, p - m + 1):p + 1] and p >= m - 1), default=0)
+                follows = at + 1 < len(found) and any(found[at - longest + 1:at + 2] == own[p - longest:p + 1] for p in range(longest, len(own)))
+                if n == longest >= min(least, len(own)) and not follows:
+                    blocks.append((at, place, n))
+        best = {}
+        for b in sorted(blocks):
+            best[b] = (b[2], b[0] - b[2] + 1)
+            for a in best:
+                if a < b and a is not b:
+                    fresh = min(b[2], b[0] - a[0], b[1] - a[1])
+                    covered, first = best[a]
+                    if fresh > 0 and first >= b[0] - 2 * len(own) and covered + fresh > best[b][0]:
+                        best[b] = covered + fresh, first
+        out += [(label, c) for b, (c, f) in best.items() if c >= coverage * len(own)]
+    return {label: max(c for n, c in out if n == label) for label, _ in out}
+
+
+def test_chains_match_brute_force():
+    rng = random.Random(6)
+    words = "a b c d e f g h".split()
+    for trial in range(150):
+        templates = [(f"t{k}", " ".join(rng.choices(words, k=rng.randint(4, 9)))) for k in range(1)]
+        pieces = []
+        for _ in range(rng.randint(1, 4)):
+            own = templates[0][1].split()
+            i = rng.randint(0, len(own) - 1)
+            pieces.append(" ".join(own[i:i + rng.randint(1, 8)]))
+            pieces.append(" ".join(rng.choices([*words, "x", "y"], k=rng.randint(0, 2))))
+        text = " ".join(pieces)
+        scanner = licences.Scanner([], templates, 2, 0.6)
+        _, _, spans = scanner.scan(text.encode())
+        expected = plain_chains(text, templates, 2, 0.6)
+        got = {}
+        for f, e, n, share in spans:
+            got[scanner.labels[n]] = max(got.get(scanner.labels[n], 0), share)
+        assert set(got) == set(expected), (text, templates)
+        for label, covered in expected.items():
+            assert abs(got[label] - min(1.0, covered / len(split(dict(templates)[label])))) < 1e-9, (text, templates)
+
+
+def test_sequences_from_a_table(spark):
+    rows = [("mit", "Released under the MIT License"), ("gpl", "gpl"), (None, "x"), ("none", " .. "), ("gpl", "gpl"), ("z", None)]
+    df = spark.createDataFrame(rows, "label STRING, text STRING")
+    assert licences.read_sequences(df) == [("gpl", "gpl"), ("mit", "Released under the MIT License")]
+    scanner = licences.Scanner([("own", "my words")], licences.read_sequences(df))
+    assert [scanner.labels[n] for *_, n, _ in scanner.scan(b"released under the MIT license; gpl")[2]] == ["mit", "gpl"]
+    try:
+        licences.read_sequences(df, most=10)
+        raise AssertionError
+    except ValueError as failure:
+        assert "at most 10" in str(failure)
