@@ -118,19 +118,30 @@ def drop_contaminated(df: DataFrame, items: DataFrame, key="doc_id", text="text"
     """The rows of which no word lies in a test window, with all their columns."""
     found = hits(df, items, key, text, **options)
     gone = lookup(found.select(F.col(key).alias("_key"), F.col("text_hash").alias("_text")).distinct())
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(F.col(text)) == F.col("_text"))
-    return df.join(gone, same, "left_anti")
+    rows = df.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("hash") == F.col("_text"))
+    return rows.join(gone, same, "left_anti").select("row.*")
 
 
 def remove_spans(df: DataFrame, items: DataFrame, key="doc_id", text="text", **options) -> DataFrame:
     """``(key, words)``: the normalised words of every text without those in a test window."""
     found = hits(df, items, key, text, **options)
-    covered = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1))
     hit = F.struct(F.col(key).alias("key"), F.col("text_hash").alias("text"))
-    places = found.select(hit.alias("_hit"), covered.alias("place")).groupBy("_hit").agg(F.collect_set("place").alias("_gone"))
+    spans = found.groupBy(hit.alias("_hit")).agg(
+        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("_spans"))
     rows = df.select(
         F.col(key), words(F.col(text)).alias("_words"),
         F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text")).alias("_hit"),
-    ).join(places, "_hit", "left")
-    kept = F.filter("_words", lambda w, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i))
-    return rows.select(key, kept.alias("words"))
+    ).join(spans, "_hit", "left")
+
+    def gap(done, s):
+        """The words between the spans so far and the next one, if it does not touch them."""
+        one = F.struct(done["end"].alias("start"), s["start"].alias("end"))
+        gaps = F.when(s["start"] > done["end"], F.concat(done["gaps"], F.array(one))).otherwise(done["gaps"])
+        return F.struct(F.greatest(done["end"], s["end"]).alias("end"), gaps.alias("gaps"))
+
+    first = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps"))
+    gaps = F.aggregate("_spans", first, gap, lambda done: F.concat(done["gaps"], F.array(
+        F.struct(done["end"].alias("start"), F.size("_words").alias("end")))))
+    kept = F.flatten(F.transform(gaps, lambda g: F.slice("_words", g["start"] + 1, g["end"] - g["start"])))
+    return rows.select(key, F.when(F.col("_spans").isNull(), F.col("_words")).otherwise(kept).alias("words"))

@@ -201,8 +201,8 @@ def train(df: DataFrame, labels: DataFrame, key="doc_id", text="text", label="qu
     chance = F.pmod(F.xxhash64("_key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = known.where(chance < (sample / total if total else 0.0))
     # About ``sample`` rows of two numbers, whatever the size of the tables.
-    met = df.join(F.broadcast(some), F.col(key) == F.col("_key")).select(
-        "_key", "_label", F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    whole = df.select(F.col(key).alias("_own"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    met = whole.join(F.broadcast(some), F.col("_own") == F.col("_key")).drop("_own")
     different = met.select("_key", "_hash").distinct().count()
     chance = F.pmod(F.xxhash64("_key", "_hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = met.where(chance < (sample / different if different else 0.0))
