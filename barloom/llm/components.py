@@ -14,7 +14,7 @@ def _oriented(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+    roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")))
     larger = edges.select(F.col("b").alias("node"), F.col("a").alias("far"))
     tied = larger.join(roots, "node").select(F.col("far").alias("a"), F.least("node", "low").alias("b"))
     return tied.where("a <> b").distinct()
@@ -22,7 +22,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Tie a node and its smaller neighbours to the smallest of them."""
-    roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+    roots = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")))
     smaller = edges.select(F.col("a").alias("node"), F.col("b").alias("near"))
     tied = smaller.join(roots, "node").select(F.col("near").alias("a"), F.col("low").alias("b"))
     own = roots.select(F.col("node").alias("a"), F.col("low").alias("b"))
@@ -38,8 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Nodes are of any ordered type; edges need no order, repeats and loops are allowed, edges
     with a null end are ignored. Each round is stored, so a lost executor repeats one round
-    at most; minima are combined before they are shuffled, and the joins with a hub are plain
-    shuffle joins, whose skewed partitions adaptive execution splits.
+    at most. Minima are combined before they are shuffled, and stored: the joins with them are then plain shuffle
+    joins of two scans, in which adaptive execution splits a hub's rows over several tasks.
     """
     current = stored(_oriented(edges.select("a", "b").dropna()))
     before = _signature(current)

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.components import components
-from barloom.llm.storage import stored
+from barloom.llm.storage import lookup, stored
 
 SIMILARITY = 0.98
 BLOCK_ROWS = 2048
 PIVOT_SAMPLE = 4096
+#: Blocks of a label that one task compares with all its blocks.
+SHARE_BLOCKS = 256
 PICKS = 128
 CELLS = 1 << 20
 SLACK = 1e-7
@@ -204,8 +206,14 @@ def links(classes: DataFrame, similarity=SIMILARITY, block_rows=BLOCK_ROWS, pair
     reach = float(np.sqrt(max(0.0, 2 - 2 * similarity))) + SLACK
     left, right = (blocks.select(*[F.col(c).alias(f"{c}_{s}") for c in blocks.columns]) for s in "lr")
     apart = F.sqrt(F.aggregate(F.zip_with("centre_l", "centre_r", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
-    meeting = left.join(right, (F.col("label_l") == F.col("label_r")) & (F.col("size_l") == F.col("size_r"))
-                        & (F.col("block_l") <= F.col("block_r")))
+    # The blocks of a label are dealt over shares, each of which all its blocks visit: no label fills a task.
+    shares = stored(blocks.groupBy("label", "size").agg(F.ceil(F.count("*") / SHARE_BLOCKS).cast("int").alias("shares")))
+    visits = left.join(shares.select(F.col("label").alias("label_l"), F.col("size").alias("size_l"), "shares"), ["label_l", "size_l"])
+    visits = visits.withColumn("share_l", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    hosts = right.join(shares.select(F.col("label").alias("label_r"), F.col("size").alias("size_r"), "shares"), ["label_r", "size_r"])
+    hosts = hosts.withColumn("share_r", F.pmod(F.xxhash64("block_r"), F.col("shares")).cast("int")).drop("shares")
+    meeting = visits.join(hosts, (F.col("label_l") == F.col("label_r")) & (F.col("size_l") == F.col("size_r"))
+                          & (F.col("share_l") == F.col("share_r")) & (F.col("block_l") <= F.col("block_r")))
     meeting = meeting.where((F.col("block_l") == F.col("block_r")) | (apart <= F.col("radius_l") + F.col("radius_r") + reach))
     near = meeting.select(F.col("label_l").alias("label"), F.col("size_l").alias("size"),
                           F.col("block_l").alias("i"), F.col("block_r").alias("j"))
@@ -254,7 +262,7 @@ def _blocks(classes: DataFrame, block_rows):
     rates = counted.select(*kinds, (wanted / F.col("n") * share).alias("rate"))
     chance = F.pmod(F.xxhash64("first", "vector"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     pivots = {}
-    sample = classes.withColumn("chance", chance).join(F.broadcast(rates), kinds).where("chance < rate")
+    sample = classes.withColumn("chance", chance).join(lookup(rates), kinds).where("chance < rate")
     for row in sample.select(*kinds, "vector").orderBy(*kinds, "first").collect():
         pivots.setdefault((row.label, row.size), []).append(row.vector)
     nets = {k: unit(np.array(v, float)) for k, v in pivots.items()}

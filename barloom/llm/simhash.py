@@ -237,7 +237,8 @@ def near_duplicates(df: DataFrame, key="doc_id", text="text", words=SHINGLE_WORD
         owners.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
         .withColumn("_group", F.coalesce("component", "fingerprint"))
     )
-    lowest = grouped.groupBy("_group").agg(F.min("_first").alias("component_id"))
+    # Stored, so that the join of a large group is one that adaptive execution can split.
+    lowest = stored(grouped.groupBy("_group").agg(F.min("_first").alias("component_id")))
     named = stored(grouped.join(lowest, "_group").select("fingerprint", "component_id"))
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
 
