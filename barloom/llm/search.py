@@ -304,7 +304,10 @@ def _search_block(df, texts, key, text, top) -> DataFrame:
         known = [t for t in map(vocabulary.__getitem__, own) if weights.get(t)]
         return np.array(known, np.int64), np.array([weights[t] for t in known], np.int64)
 
-    rows = _candidates(coded, key, [weighted(own) for own in terms], norm, top)
+    # Tasks of a shard each, whatever the size of the files they come from.
+    shards = -(-sum(r["count"] for r in counted) // SHARD_POSTINGS)
+    dealt = coded.repartition(shards) if shards > coded.rdd.getNumPartitions() else coded
+    rows = _candidates(dealt, key, [weighted(own) for own in terms], norm, top)
     # Twice, so that no task gets what all others found for a query.
     first = _best(rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))), ["query", "salt"], top)
     best = _best(first.drop("rank", "salt"), ["query"], top)
