@@ -24,7 +24,7 @@ BLOCK_ROWS = 1024
 BLOCK_BYTES = 1 << 20
 #: Anchors that meet the same blocks together, blocks that one task reads for them, and zone maps compared at once.
 GROUP_ANCHORS = 4096
-TASK_BLOCKS = 64
+TASK_BLOCKS = 16
 ZONE_BYTES = 32 << 20
 CHUNK = 256
 CURVE_BITS = 2
