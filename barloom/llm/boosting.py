@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 ROUNDS, RATE, RIDGE = 40, 0.3, 1.0
@@ -11,41 +12,45 @@ class Trees:
     """Logistic loss. A tree is a number or (feature, limit, low, high): low where value <= limit."""
 
     def __init__(self, rows, rounds=ROUNDS, rate=RATE):
-        """``rows``: (features, count, positives) with integer features, one per distinct row."""
-        total = sum(n for _, n, _ in rows)
-        positive = sum(p for _, _, p in rows)
-        self.base = math.log((positive + 1) / (total - positive + 1))
+        """``rows``: (features, count, positives) with small integer features from 0, one per distinct row."""
+        values = np.array([f for f, _, _ in rows], np.int64)
+        counts, positives = (np.array([r[i] for r in rows], float) for i in (1, 2))
+        self.base = math.log((positives.sum() + 1) / (counts.sum() - positives.sum() + 1))
         self.trees = []
-        margins = [self.base] * len(rows)
+        margins = np.full(len(rows), self.base)
         for _ in range(rounds):
-            slopes = []
-            for (_, n, p), m in zip(rows, margins):
-                q = 1 / (1 + math.exp(-m))
-                slopes.append((n * q - p, n * q * (1 - q)))
-            tree = self._grow(rows, slopes, range(len(rows)), 2, rate)
+            chance = 1 / (1 + np.exp(-margins))
+            tree, steps = self._grow(values, counts * chance - positives, counts * chance * (1 - chance), 2, rate)
             self.trees.append(tree)
-            margins = [m + self._leaf(tree, r[0]) for m, r in zip(margins, rows)]
+            margins += steps
 
-    def _grow(self, rows, slopes, at, depth, rate):
-        g, h = (sum(slopes[i][k] for i in at) for k in (0, 1))
-        best = (1e-9, None)
-        for feature in range(len(rows[0][0])) if depth and rows else []:
-            sums = {}
-            for i in at:
-                a, b = sums.get(rows[i][0][feature], (0.0, 0.0))
-                sums[rows[i][0][feature]] = a + slopes[i][0], b + slopes[i][1]
-            left_g = left_h = 0.0
-            for limit in sorted(sums)[:-1]:
-                left_g, left_h = left_g + sums[limit][0], left_h + sums[limit][1]
-                gain = (left_g ** 2 / (left_h + RIDGE) + (g - left_g) ** 2 / (h - left_h + RIDGE)
-                        - g ** 2 / (h + RIDGE))
-                best = max(best, (gain, (feature, limit)), key=lambda b: b[0])
-        if best[1] is None:
-            return -rate * g / (h + RIDGE)
-        feature, limit = best[1]
-        low = [i for i in at if rows[i][0][feature] <= limit]
-        high = [i for i in at if rows[i][0][feature] > limit]
-        return feature, limit, *(self._grow(rows, slopes, side, depth - 1, rate) for side in (low, high))
+    def _grow(self, values, slopes, curves, depth, rate):
+        """A tree for the rows, and what it adds to the margin of each."""
+        g, h = slopes.sum(), curves.sum()
+        best, found = 1e-9, None
+        for feature in range(values.shape[1]) if depth and len(values) else []:
+            own = values[:, feature]
+            present = np.flatnonzero(np.bincount(own))[:-1]
+            left_g, left_h = (np.cumsum(np.bincount(own, w))[present] for w in (slopes, curves))
+            gains = left_g ** 2 / (left_h + RIDGE) + (g - left_g) ** 2 / (h - left_h + RIDGE) - g ** 2 / (h + RIDGE)
+            if len(gains) and gains.max() > best:
+                best, found = float(gains.max()), (feature, int(present[gains.argmax()]))
+        if found is None:
+            leaf = float(-rate * g / (h + RIDGE))
+            return leaf, np.full(len(values), leaf)
+        low = values[:, found[0]] <= found[1]
+        steps, sides = np.empty(len(values)), []
+        for side in (low, ~low):
+            tree, steps[side] = self._grow(values[side], slopes[side], curves[side], depth - 1, rate)
+            sides.append(tree)
+        return (*found, *sides), steps
+
+    def used(self) -> set[int]:
+        """The features that any tree looks at."""
+        def inner(tree):
+            return {tree[0]} | inner(tree[2]) | inner(tree[3]) if isinstance(tree, tuple) else set()
+
+        return set().union(*map(inner, self.trees))
 
     @staticmethod
     def _leaf(tree, features):

@@ -51,7 +51,12 @@ PHONE_FORM = (
 )
 # --- End of fixed values. ---
 
-FEATURES = ["family", "digits", "checked", "separators", "left", "right", "named", "varied"]
+FEATURES = ["family", "digits", "separators", "first", "last", "left", "right", "named", "varied", "repeated"]
+#: The features by view, and the upper ends of the classes of those that count something.
+VIEWS = {"format": ["digits", "separators", "varied"], "grouping": ["first", "last"], "neighbours": ["left", "right"],
+         "context": ["named", "repeated"]}
+CLASSES = {"digits": [0, 7, 9, 10, 11, 12, 15, 19], "separators": [0, 1, 2, 3, 4], "first": [1, 2, 3, 4], "last": [1, 2, 3, 4],
+           "varied": [2, 5], "repeated": [1, 4]}
 
 
 def digits_of(hit):
@@ -87,54 +92,70 @@ def base_places(text, kind):
 
 
 def generated(text, kind):
-    return places(text, GENERATORS[kind], 0, text.rlike(GENERATORS[kind]))
+    """Candidates of a kind. Numbers that are part of a longer word are none."""
+    found = places(text, GENERATORS[kind], 0, text.rlike(GENERATORS[kind]))
+    if kind == "email":
+        return found
+    inner = r"^[\p{L}0-9]$"
+    return F.filter(found, lambda p: ~((p["start"] > 0) & F.substring(text, p["start"], 1).rlike(inner))
+                    & ~F.substring(text, p["end"] + 1, 1).rlike(inner))
 
 
 def _side(char):
-    """Class of a neighbouring character: 0 none, 1 space, 2 letter, 3 digit, 4 other."""
-    return (F.when(char == "", 0).when(char.rlike(r"^\s$"), 1).when(char.rlike(r"^\p{L}$"), 2)
-            .when(char.rlike("^[0-9]$"), 3).otherwise(4))
+    """Class of a neighbouring character: 0 none or space, 1 a mark of prose, 2 other."""
+    return F.when((char == "") | char.rlike(r"^\s$"), 0).when(char.rlike(r"""^[.,;:!?()"']$"""), 1).otherwise(2)
 
 
-def evident(kind, hit, left, right):
+def evident(kind, hit):
     """True if a candidate passes its kind's format check, at/dot written out and separators left aside.
 
-    ``left`` and ``right`` are the classes of its neighbours: numbers must not be part of a longer
-    word. Context words do not count, and no base match is needed.
+    What stands around it does not count, and no base match is needed. This labels candidates for training; the
+    model does not see it.
     """
     number = digits_of(hit)
     if kind == "email":
         return hit.rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
     if kind == "ip":
-        fits = (F.size(F.split(hit, r"\.")) == 4) & small_parts(hit)
-    elif kind == "card":
-        fits = F.length(number).between(16, 19) & luhn(hit)
-    else:
-        fits = F.length(number).between(8, 15) & (hit.startswith("+") | hit.rlike(PHONE_FORM))
-    return fits & ~left.isin(2, 3) & ~right.isin(2, 3)
+        return (F.size(F.split(hit, r"\.")) == 4) & small_parts(hit)
+    if kind == "card":
+        return F.length(number).between(16, 19) & luhn(hit)
+    return F.length(number).between(8, 15) & (hit.startswith("+") | hit.rlike(PHONE_FORM))
+
+
+def _classed(name, count):
+    """The class of a count by ``CLASSES``, from 0."""
+    ends = CLASSES[name]
+    classed = F.lit(len(ends))
+    for at in range(len(ends) - 1, -1, -1):
+        classed = F.when(count <= ends[at], at).otherwise(classed)
+    return classed
+
 
+def described(kind, text, place, candidates):
+    """Format and context of one candidate as small integers by the names of ``FEATURES``, and ``evident``.
 
-def features(kind, text, place):
-    """Format and context of one candidate, as small integers in the order of ``FEATURES``."""
+    ``candidates`` counts those of the kind in the text. Checksums, top-level domains and the forms of numbers are
+    evidence for the label alone and no feature.
+    """
     hit = F.regexp_replace(F.regexp_replace(place["hit"], r"\x20?[\[(]at[\])]\x20?", "@"), r"\x20?[\[(]dot[\])]\x20?", ".")
     number = digits_of(hit)
+    groups = F.filter(F.split(hit, r"[^\p{L}0-9]+"), lambda g: g != "")
     before = F.substring(text, F.greatest(place["start"] - LEFT, F.lit(0)) + 1, F.least(place["start"], F.lit(LEFT)))
     after = F.substring(text, place["end"] + 1, RIGHT)
     left, right = _side(F.substring(before, -1, 1)), _side(F.substring(after, 1, 1))
-    return [
-        F.lit(KINDS.index(kind)),
-        F.least(F.length(number), F.lit(20)),
-        evident(kind, hit, left, right).cast("int"),
-        F.least(F.length(F.regexp_replace(hit, r"[A-Za-z0-9]", "")), F.lit(6)),
-        left,
-        right,
-        before.rlike(CONTEXT[kind]).cast("int"),
-        F.least(F.size(F.array_distinct(F.split(number, ""))), F.lit(6)),
-    ]
-
-
-def named_features(kind, text, place):
-    return [f.cast("int").alias(n) for n, f in zip(FEATURES, features(kind, text, place))]
+    values = {
+        "family": F.lit(KINDS.index(kind)),
+        "digits": _classed("digits", F.length(number)),
+        "separators": _classed("separators", F.length(F.regexp_replace(hit, r"[\p{L}0-9]", ""))),
+        "first": _classed("first", F.coalesce(F.length(F.get(groups, F.lit(0))), F.lit(0))),
+        "last": _classed("last", F.coalesce(F.length(F.get(groups, F.size(groups) - 1)), F.lit(0))),
+        "left": left,
+        "right": right,
+        "named": before.rlike(CONTEXT[kind]).cast("int"),
+        "varied": _classed("varied", F.size(F.array_distinct(F.split(number, "")))),
+        "repeated": _classed("repeated", candidates),
+    }
+    return [*[values[n].cast("int").alias(n) for n in FEATURES], evident(kind, hit).cast("int").alias("evident")]
 
 
 def _overlaps(place, spans):
@@ -146,26 +167,27 @@ def _same(place, spans):
 
 
 def counted_features(df: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """Every candidate of the table, counted by fold, features and whether it is evident or a base match.
+    """Every candidate of the table, counted by features and by whether its text is held out, with the evident
+    ones and base matches among them.
 
-    The features take few values, so the rows of this table are bounded by their combinations,
-    at most some ten thousands, however many texts there are.
+    The features take few values, so the rows of this table are bounded by their combinations, at most a few
+    hundred thousands and in practice some thousands, however many texts there are.
     """
     own = F.coalesce(F.col(text), F.lit(""))
     fold = F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
-    rows = df.select(fold.alias("fold"), own.alias("_text"))
+    rows = df.select((fold == HELD_OUT).alias("held"), own.alias("_text"))
     # The base matches first, as columns of their own, so that none is looked for again per candidate.
     rows = rows.select("*", *[base_places(F.col("_text"), k).alias(f"base_{k}") for k in KINDS],
                        *[generated(F.col("_text"), k).alias(f"wide_{k}") for k in KINDS])
 
-    def described(kind):
-        return F.transform(f"wide_{kind}", lambda p: F.struct(
-            *named_features(kind, F.col("_text"), p), _same(p, F.col(f"base_{kind}")).cast("int").alias("base")))
+    def seen(kind):
+        wide = F.col(f"wide_{kind}")
+        return F.transform(wide, lambda p: F.struct(
+            *described(kind, F.col("_text"), p, F.size(wide)), _same(p, F.col(f"base_{kind}")).cast("int").alias("base")))
 
-    seen = [described(kind) for kind in KINDS]
-    every = rows.select("fold", F.inline(F.concat(*seen)))
-    positive = F.greatest("checked", "base")
-    return every.groupBy("fold", *FEATURES).agg(F.count("*").alias("n"), F.sum(positive).alias("positives"))
+    every = rows.select("held", F.inline(F.concat(*map(seen, KINDS))))
+    positive = F.greatest("evident", "base")
+    return every.groupBy("held", *FEATURES).agg(F.count("*").alias("n"), F.sum(positive).alias("positives"))
 
 
 @dataclass(frozen=True)
@@ -181,17 +203,19 @@ class Model:
 def train(df: DataFrame, key="doc_id", text="text", precision=PRECISION) -> Model | None:
     """A model of all candidates of a table; positives are the evident ones and base matches.
 
-    Trees learn from all folds but one. That one calibrates the probabilities and gives each kind its
+    The label rests on checksums, top-level domains and the forms of numbers; the trees see separators, grouping,
+    neighbours, context words and repetition. So a candidate is taken for standing like those that pass their check,
+    whether it passes or not, and one that passes by chance where most do not is left. Trees learn from all folds but one. That one calibrates the probabilities and gives each kind its
     threshold: the least probability above which at least ``precision`` of its candidates are
     positive. A kind without such a threshold, or a table without positives, redacts base
     matches only.
     """
     rows = [
-        (r.fold, tuple(r[f] for f in FEATURES), r.n, r.positives)
-        for r in counted_features(df, key, text).orderBy("fold", *FEATURES).collect()
+        (r.held, tuple(r[f] for f in FEATURES), r.n, r.positives)
+        for r in counted_features(df, key, text).orderBy("held", *FEATURES).collect()
     ]
-    fit = [r[1:] for r in rows if r[0] != HELD_OUT]
-    held = [r[1:] for r in rows if r[0] == HELD_OUT]
+    fit = [r[1:] for r in rows if not r[0]]
+    held = [r[1:] for r in rows if r[0]]
     if not held or not sum(p for _, _, p in fit):
         return None
     trees = Trees(fit)
@@ -217,6 +241,7 @@ def find(df: DataFrame, model: Model | None, key="doc_id", text="text") -> DataF
     """
     rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     rows = rows.select("*", *[base_places(F.col("_text"), k).alias(f"base_{k}") for k in KINDS])
+    scored_kinds = [(at, kind) for at, kind in enumerate(KINDS) if model and kind in model.limits]
 
     def span(place, at, chance):
         return F.struct(F.lit(at).alias("rank"), place["start"].alias("start"), place["end"].alias("end"),
@@ -226,21 +251,23 @@ def find(df: DataFrame, model: Model | None, key="doc_id", text="text") -> DataF
         return F.transform(f"base_{kind}", lambda p: span(p, at, F.lit(1.0)))
 
     def added(at, kind):
-        free = F.filter(generated(F.col("_text"), kind), lambda p: ~_overlaps(p, F.col("base")))
-        described = F.transform(free, lambda p: F.struct(
-            p["start"].alias("start"), p["end"].alias("end"), *named_features(kind, F.col("_text"), p)))
+        wide = F.col(f"wide_{kind}")
+        free = F.filter(wide, lambda p: ~_overlaps(p, F.col("base")))
+        shown = F.transform(free, lambda p: F.struct(
+            p["start"].alias("start"), p["end"].alias("end"), *described(kind, F.col("_text"), p, F.size(wide))[:-1]))
 
         def scored(p):
             margin = model.trees.expression([p[n] for n in FEATURES])
             return span(p, at, 1 / (1 + F.exp(-(F.lit(model.slope) * margin + F.lit(model.offset)))))
 
         least = 1 / (1 + math.exp(-(model.slope * model.limits[kind] + model.offset))) - 1e-9
-        return F.filter(F.transform(described, scored), lambda s: s["probability"] >= least)
+        return F.filter(F.transform(shown, scored), lambda s: s["probability"] >= least)
 
-    taken = rows.select("row", "_text", F.concat(*[certain(*k) for k in enumerate(KINDS)]).alias("base"))
-    more = [added(at, kind) for at, kind in enumerate(KINDS) if model and kind in model.limits]
+    taken = rows.select("row", "_text", F.concat(*[certain(*k) for k in enumerate(KINDS)]).alias("base"),
+                        *[generated(F.col("_text"), kind).alias(f"wide_{kind}") for _, kind in scored_kinds])
     none = F.slice("base", 1, 0)
-    return taken.select("row", F.array_sort("base").alias("base"), F.array_sort(F.concat(none, *more)).alias("more"))
+    return taken.select("row", F.array_sort("base").alias("base"),
+                        F.array_sort(F.concat(none, *[added(*k) for k in scored_kinds])).alias("more"))
 
 
 def redact(df: DataFrame, model: Model | None, key="doc_id", text="text", mark=MARK) -> DataFrame:

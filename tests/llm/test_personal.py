@@ -107,3 +107,71 @@ def test_padded_middle_parts(docs):
     rows = [(1, "host 10.0002.3.4"), (2, "host 10.2.00003.4 up"), (3, "0.0.0.0"), (4, "1.0256.1.1")]
     found = {r.row.doc_id: [(s.kind, s.start, s.end) for s in r.base] for r in personal.find(docs(rows), None).collect()}
     assert found == {d: plain(t) for d, t in rows} and [len(found[d]) for d in (1, 2, 3, 4)] == [1, 1, 1, 0]
+
+
+def test_the_model_learns_from_format_and_context_and_not_from_the_check(docs):
+    """Cards among order numbers of the same form, a tenth of which pass the checksum by chance."""
+    rng = random.Random(12)
+
+    def luhn_end(digits):
+        return next(d for d in "0123456789" if passes("card", digits + d))
+
+    rows, planted = [], {}
+    for i in range(1500):
+        body = "".join(rng.choices("0123456789", k=15))
+        number = body + (luhn_end(body) if i % 3 == 0 else rng.choice("0123456789"))
+        shown = ".".join(number[k:k + 4] for k in range(0, 16, 4))
+        word = rng.choice(["card", "visa", "payment"]) if i % 3 == 0 else rng.choice(["order", "part", "batch"])
+        rows.append((i, f"{word} {shown} here"))
+        if i % 3 == 0:
+            planted[i] = shown
+    rows += [(2000 + i, f"call ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} now") for i in range(200)]
+    rows += [(3000 + i, f"write u{i} (at) host (dot) org and host 10.1.2.{i % 256}") for i in range(200)]
+    model = personal.train(docs(rows))
+    assert len(model.trees.used()) >= 3 and "evident" not in personal.FEATURES
+    found = {r.row.doc_id: [t[s.start:s.end] for s in r.more if s.kind == "card"] for r, t in
+             ((r, r.row.text) for r in personal.find(docs(rows), model).collect())}
+    hits = sum(found[i] == [n] for i, n in planted.items())
+    wrong = sum(bool(found[i]) for i, _ in rows if i < 2000 and i not in planted)
+    # The check alone would take a tenth of the order numbers.
+    by_check = sum(passes("card", re.sub(r"\D", "", t)) for i, t in rows if i < 2000 and i not in planted)
+    assert hits >= 0.97 * len(planted) and wrong <= 0.02 * (1000 + len(planted)) and by_check > 50
+
+
+def test_every_view_counts(docs):
+    """Leaving one view of the features out changes some margins."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(1500):
+        area, rest = rng.randint(200, 999), rng.randint(1000, 9999)
+        rows.append((i, rng.choice([
+            f"call ({area}) 555-{rest} now", f"at {area}-555-{rest} now", f"part {area}555{rest} now", f"x{area}-555-{rest} now",
+            f"ref {area}-55-{rest}1 now", f"write u{i}@host.org now", "look (at) this", f"sum 4111.1111.1111.{rest} now",
+            "card 4111.1111.1111.1111 now", f"card =4111.1111.1111.{rest}= now", f"v 1.2.3.{i} and 1.2.3.4 and 2.3.4.{i}",
+            f"ip 10.0.0.{i % 256} up", f"id {rng.randint(10**15, 10**16)}"])))
+    counted = [(tuple(r[f] for f in personal.FEATURES), r.n, r.positives) for r in personal.counted_features(docs(rows)).collect()]
+    whole = Trees(counted)
+    for names in personal.VIEWS.values():
+        without = Trees([(tuple(0 if n in names else v for n, v in zip(personal.FEATURES, f)), n, p) for f, n, p in counted])
+        margins = [(whole.margin(f), without.margin(tuple(0 if n in names else v for n, v in zip(personal.FEATURES, f)))) for f, _, _ in counted]
+        assert max(abs(a - b) for a, b in margins) > 0.1, names
+
+
+def test_added_spans_match_a_plain_scorer(docs):
+    """Candidates found by Python's regular expressions and scored tree by tree."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["call", "ref", "card", "x"]) + rng.choice([" ", "", "-"]) + "".join(rng.choices("0123456789", k=3)) + rng.choice("-. /")
+             + "".join(rng.choices("23456789", k=3)) + rng.choice("-. ") + "".join(rng.choices("0123456789", k=4)) + " end") for i in range(700)]
+    model = personal.train(docs(rows), precision=0.7)
+    assert "phone" in model.limits
+    described = {}
+    frame = docs(rows).selectExpr("doc_id", "text")
+    from pyspark.sql import functions as F
+    wide = frame.select("doc_id", "text", personal.generated(F.col("text"), "phone").alias("wide"))
+    for r in wide.select("doc_id", F.inline(F.transform("wide", lambda p: F.struct(
+            p["start"].alias("start"), p["end"].alias("end"), *personal.described("phone", F.col("text"), p, F.size("wide")))))).collect():
+        described[r.doc_id, r.start, r.end] = tuple(r[f] for f in personal.FEATURES)
+    expected = sorted((d, s, e) for (d, s, e), f in described.items() if model.trees.margin(f) >= model.limits["phone"] - 1e-9
+                      and not any(s < b and a < e for k, a, b in plain(dict(rows)[d])))
+    got = sorted((r.row.doc_id, s.start, s.end) for r in personal.find(docs(rows), model).collect() for s in r.more if s.kind == "phone")
+    assert got == expected and got
