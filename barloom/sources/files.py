@@ -1,6 +1,8 @@
 """Readers for landed files and the document store."""
 
+import csv
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,21 +37,47 @@ def scan_csv(spark: SparkSession, path, schema: T.StructType, infer=False, forma
     return conform(reader.schema(_landed(raw.columns, schema)).csv(path), schema, formats, zone)
 
 
-def scan_csv_parts(spark: SparkSession, path, schema: T.StructType, formats=(), zone="UTC", **options) -> DataFrame:
+def first_lines(spark: SparkSession, path) -> DataFrame:
+    """``(file, line)``: the first line with text of every file that has one, by one job over the raw lines."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    # Lines of a file's first block are in one task and numbered in their order.
+    led = lines.where((F.col("block") == 0) & (F.trim("value") != ""))
+    return led.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+
+
+def csv_headers(spark: SparkSession, path, sep=",", quote='"') -> dict[tuple, list[str]]:
+    """The files of each header, as one row per file: lists that Spark's own file index holds too."""
+    found = {}
+    for r in sorted(first_lines(spark, path).collect()):
+        names = tuple(next(csv.reader([r.line.removeprefix("\ufeff")], delimiter=sep, quotechar=quote)))
+        found.setdefault(names, []).append(unquote(r.file))
+    return found
+
+
+def header_report(spark: SparkSession, path, schema: T.StructType, **options) -> DataFrame:
+    """``(columns, files, missing, further)``: each header with the contract's columns it lacks and those beyond it."""
+    wanted = {n.lower(): n for n in schema.names}
+    rows = [
+        (list(names), len(files), [n for low, n in wanted.items() if low not in {c.lower() for c in names}],
+         [c for c in names if c.lower() not in wanted])
+        for names, files in sorted(csv_headers(spark, path, **options).items())
+    ]
+    return spark.createDataFrame(rows, "columns ARRAY<STRING>, files INT, missing ARRAY<STRING>, further ARRAY<STRING>")
+
+
+def scan_csv_parts(spark: SparkSession, path, schema: T.StructType, formats=(), zone="UTC", sep=",", quote='"',
+                   **options) -> DataFrame:
     """Read CSV files whose headers differ in order or in further columns.
 
-    The header of every file is read first, one line each; files of one header are read together and
-    all are joined by column name. A missing column of the schema is an error.
+    The headers of all files are found first, by one job however many files there are; files of one header are read
+    together and all are joined by column name. A missing column of the schema is an error.
     """
-    reader = spark.read.options(header=True, enforceSchema=False, **options)
-    headers = {}
-    for file in reader.text(path).inputFiles():
-        columns = tuple(reader.csv(file).columns)
-        if columns:
-            headers.setdefault(columns, []).append(file)
+    reader = spark.read.options(header=True, enforceSchema=False, sep=sep, quote=quote, **options)
     parts = [
         conform(reader.schema(_landed(columns, schema)).csv(found), schema, formats, zone)
-        for columns, found in sorted(headers.items())
+        for columns, found in sorted(csv_headers(spark, path, sep, quote).items())
     ]
     if not parts:
         return spark.createDataFrame([], schema)

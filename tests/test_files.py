@@ -136,3 +136,34 @@ def test_rate_service_asks_once_per_month(spark, fx_files):
 def test_documents_with_timestamps_slice_by_date(spark):
     df = spark.createDataFrame([(datetime(2012, 12, 31, 23, 59),), (datetime(2013, 1, 1),)], "date timestamp_ntz")
     assert files.slice_years(df, "date", 2012).count() == 1
+
+
+def test_headers_of_many_files_take_the_jobs_of_few(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    heads = ["date,symbol,open,close,low,high,volume", "symbol,date,close,open,low,high,volume,\"no,te\"", "﻿date;symbol"]
+    for i in range(40):
+        swapped = i % 2
+        row = "A,2012-01-03,2,1,3,4,5,x" if swapped else "2012-01-03,A,1,2,3,4,5"
+        write(folder / f"{i} é.csv", f"\n\n{heads[swapped]}\n{row}\n" if i % 3 else f"{heads[swapped]}\n{row}\n")
+    write(folder / "blank.csv", "\n \n")
+
+    def jobs(path):
+        group = str(path)
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            df = files.scan_csv_parts(spark, str(path), RAW_PRICES)
+            return df, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    many, count = jobs(folder)
+    few, least = jobs(folder / "[0-3] *.csv")
+    assert {tuple(r) for r in many.collect()} == {(date(2012, 1, 3), "A", 1.0, 2.0, 3.0, 4.0, 5)} and many.count() == 40
+    assert few.count() == 4 and count <= least + 4
+    report = files.header_report(spark, str(folder), RAW_PRICES).orderBy("columns").collect()
+    assert [(r.files, r.missing, r.further) for r in report] == [(20, [], []), (20, [], ["no,te"])]
+    write(folder / "short.csv", "date,symbol\n2012-01-03,A\n")
+    assert files.header_report(spark, str(folder), RAW_PRICES).where("size(missing) = 5").first().files == 1
+    with pytest.raises(ValueError, match="open"):
+        files.scan_csv_parts(spark, str(folder), RAW_PRICES)
