@@ -24,6 +24,36 @@ def rolling_mean(value, rows, keys, order, min_periods=None) -> Column:
     return F.when(F.count(value).over(frame) >= needed, F.avg(value).over(frame))
 
 
+def running(value, keys, order, scale=4):
+    """Exact sum and number of the values up to the current row, as decimals of ``scale`` places.
+
+    A frame's sum is the difference of two of them, whatever its length; see ``framed``.
+    """
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exact = value.cast(f"decimal(28,{scale})")
+    return F.coalesce(F.sum(exact).over(upto), F.lit(0).cast(f"decimal(38,{scale})")), F.count(exact).over(upto)
+
+
+def framed(total, count, rows, keys, order):
+    """Sum and number of the values in the last ``rows`` rows, from columns of running ones."""
+    series = Window.partitionBy(*keys).orderBy(*order)
+
+    def inside(name):
+        return F.col(name) - F.coalesce(F.lag(name, rows).over(series), F.lit(0))
+
+    return inside(total), inside(count)
+
+
+def exact_mean(total, count, rows, keys, order, min_periods=None) -> Column:
+    """Mean of the last ``rows`` rows from columns of running sums; NULL until ``min_periods`` of them are non-null.
+
+    The sum is exact, so neither the order of summation nor earlier rows leave a trace in the last digits.
+    """
+    needed = rows if min_periods is None else min_periods
+    sums, number = framed(total, count, rows, keys, order)
+    return F.when(number >= needed, sums.cast("double") / number.cast("double"))
+
+
 def price_change(value, keys, order) -> Column:
     """Difference to the previous row; NULL on the first row."""
     previous = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))

@@ -1,6 +1,6 @@
 """Left joins that add sector and exchange rate to every row of the big side."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,35 @@ def monthly_rates(fx: DataFrame, date="exchange_date", rate="exchange_rate", tar
         .when(F.col("low").isNotNull(), F.raise_error(named)).alias("exchange_rate"))
 
 
+def quoted_rates(fx: DataFrame, date="exchange_date", rate="exchange_rate", target="curency_target") -> DataFrame:
+    """``(rate_date, exchange_rate)``: the target currency's rate of each day it is quoted for; differing ones stop the job."""
+    if target.lower() in [c.lower() for c in fx.columns]:
+        named = column(fx, target)
+        fx = fx.where(named.isNull() | (named == TARGET_CURRENCY))
+    quoted = fx.select(column(fx, date).cast("date").alias("rate_date"), column(fx, rate).alias("rate")).dropna()
+    spread = quoted.groupBy("rate_date").agg(F.min("rate").alias("low"), F.max("rate").alias("high"))
+    message = F.format_string("exchange rates differ on %s", F.col("rate_date").cast("string"))
+    return spread.select("rate_date", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.raise_error(message)).alias("exchange_rate"))
+
+
+def attach_rate_asof(df: DataFrame, fx: DataFrame, date="date", max_days=None) -> DataFrame:
+    """Add the rate last quoted up to the row's date, else NULL; ``max_days`` limits its age. Every row stays one row.
+
+    The days of both sides are united and one window carries the last rate over them. Days are few, at most 366 a
+    year however many rows there are, so that table is ordered by one task and broadcast.
+    """
+    own = column(df, date).cast("date")
+    asked = df.select(own.alias("_day")).distinct().where("_day IS NOT NULL")
+    rates = quoted_rates(fx).select(F.col("rate_date").alias("_day"), "exchange_rate", F.col("rate_date").alias("rate_date"))
+    both = asked.join(rates, "_day", "full")
+    upto = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = both.select("_day", F.struct(
+        F.last("rate_date", ignorenulls=True).over(upto).alias("day"), F.last("exchange_rate", ignorenulls=True).over(upto).alias("rate")).alias("_last"))
+    fresh = F.lit(True) if max_days is None else F.date_diff("_day", F.col("_last.day")) <= max_days
+    carried = last.select("_day", F.when(fresh, F.col("_last.rate")).alias("exchange_rate"))
+    return df.join(F.broadcast(carried), own == F.col("_day"), "left").drop("_day")
+
+
 def attach_rate(df: DataFrame, fx: DataFrame, date="date") -> DataFrame:
     """Add the rate quoted for the row's month, else NULL. Every row stays, and stays one row."""
     rates = F.broadcast(monthly_rates(fx))
