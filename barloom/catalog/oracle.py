@@ -100,6 +100,23 @@ def _measured(series, seen, order="date"):
         FROM split WINDOW {frames}"""
 
 
+def _measured_exact(series):
+    """Means of whole sums in decimals, which no order of summation changes."""
+    def mean(value, rows):
+        return f"cast(sum(cast({value} AS decimal(28, 4))) OVER w{rows} AS double) / count({value}) OVER w{rows}"
+
+    def guarded(value, needed):
+        return f"CASE WHEN count(close) OVER w{needed} >= {needed} THEN {value} END"
+
+    index = f"100 * ({mean('gain', 14)}) / nullif({mean('gain', 14)} + {mean('loss', 14)}, 0)"
+    frames = ", ".join(
+        f"w{n} AS (PARTITION BY {series} ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (10, 14, 50))
+    return f"""
+        SELECT *, {guarded(mean('close', 10), 10)} AS sma10, {guarded(mean('close', 14), 14)} AS sma14,
+               {guarded(mean('close', 50), 50)} AS sma50, {guarded(index, 14)} AS rsi
+        FROM split WINDOW {frames}"""
+
+
 def _published(rsi="rsi", extra="sma14, "):
     return f"""
         SELECT date, symbol, open AS open_price, close AS close_price, low AS low_price,
@@ -176,12 +193,28 @@ RATES_JOINED = _with(["trades", "prices", "quotes", "spine", "fx"], f"""
         SELECT symbol, date, cast(year(date) AS integer) AS p_year,
                cast(month(date) AS integer) AS p_month, exchange_rate {RATED}""")
 
+ASOF = _with(["trades", "prices", "quotes", "spine", "fx"], """
+        SELECT symbol, date, close, {rate}
+        FROM prices ASOF LEFT JOIN thinned ON date >= exchange_date""", thinned="""
+        SELECT * FROM fx WHERE exchange_date NOT IN (DATE '1997-03-01', DATE '1998-07-01')""")
+PRICE_TREND = _with(["trades", "prices", "securities"], """
+        SELECT gics_sector, cast(date_trunc('month', date) AS date) AS month,
+               cast(sum(cast(close AS decimal(28, 4))) AS double) / count(close) AS avg_close,
+               cast(sum(volume) AS double) / count(volume) AS avg_volume,
+               count(*) AS bars
+        FROM prices LEFT JOIN securities ON symbol = ticker_symbol GROUP BY 1, 2""")
+SECTORED_NULLS = _profile(
+    ["trades", "prices", "securities"],
+    [*PRICE_COLUMNS.split(", "), "gics_sector", "gics_sub_industry"], "sectored", sectored=SECTORED)
+
 ORACLE = {
     "price_metrics": ALL_METRICS,
     "price_metrics_strict": _metrics(strict=True),
     "price_metrics_continuous": _metrics(series="symbol"),
     "price_metrics_as_published": _windows(_published("sma14", ""), lookups=True),
     "price_metrics_blocked": _metrics(series="symbol"),
+    "price_metrics_exact": _with(
+        BARS + LOOKUPS, _published(), moved=_moved("symbol"), split=SPLIT, measured=_measured_exact("symbol")),
     "price_metrics_backfill": ALL_METRICS,
     "price_metrics_tied": _metrics(tied=True),
     "price_metrics_tied_blocked": _metrics(tied=True),
@@ -193,12 +226,8 @@ ORACLE = {
                cast(sum(cast(gross_profit AS decimal(28, 4))) AS double)
                    / cast(sum(cast(total_revenue AS decimal(28, 4))) AS double) AS gross_margin
         FROM fund_published GROUP BY 1, 2"""),
-    "price_trend": _with(["trades", "prices", "securities"], """
-        SELECT gics_sector, cast(date_trunc('month', date) AS date) AS month,
-               cast(sum(cast(close AS decimal(28, 4))) AS double) / count(close) AS avg_close,
-               cast(sum(volume) AS double) / count(volume) AS avg_volume,
-               count(*) AS bars
-        FROM prices LEFT JOIN securities ON symbol = ticker_symbol GROUP BY 1, 2"""),
+    "price_trend": PRICE_TREND,
+    "price_trend_kept": PRICE_TREND,
     "scan_csv_prices": ALL_PRICES,
     "scan_csv_securities": _with(["securities"], "SELECT * FROM securities"),
     "scan_csv_fx": ALL_FX,
@@ -251,6 +280,8 @@ ORACLE = {
         SELECT ticker_symbol_fund AS ticker_symbol, * EXCLUDE (ticker_symbol_fund) FROM fund_published"""),
     "fx_join_year_month": RATES_JOINED,
     "fx_join_years_landed_apart": RATES_JOINED,
+    "fx_join_asof": ASOF.format(rate="exchange_rate"),
+    "fx_join_asof_fresh": ASOF.format(rate="CASE WHEN date - exchange_date <= 45 THEN exchange_rate END AS exchange_rate"),
     "close_thb": _with(["trades", "prices", "quotes", "spine", "fx"], f"""
         SELECT symbol, date, close, exchange_rate * close AS close_thb {RATED}"""),
     "fx_month_spine": _with(
@@ -275,9 +306,8 @@ ORACLE = {
     "avg_gain_loss14": _windows("SELECT symbol, date, avg_gain, avg_loss FROM measured"),
     "rsi14": _windows("SELECT symbol, date, rsi FROM measured"),
     "rsi14_strict": _windows("SELECT symbol, date, rsi FROM measured", strict=True),
-    "null_profile_prices": _profile(
-        ["trades", "prices", "securities"],
-        [*PRICE_COLUMNS.split(", "), "gics_sector", "gics_sub_industry"], "sectored", sectored=SECTORED),
+    "null_profile_prices": SECTORED_NULLS,
+    "null_profile_kept": SECTORED_NULLS,
     "null_profile_fundamentals": _profile(
         FUND,
         ["ticker_symbol", "period_ending", "total_revenue", "gross_profit", "total_liabilities", "long_term_debt"],
@@ -289,6 +319,9 @@ ORACLE = {
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS copies
         FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+    "duplicate_keys_sketched": """
+        SELECT l_orderkey, l_suppkey, count(*) AS copies
+        FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "preview_prices": ALL_METRICS + "\n ORDER BY symbol, date LIMIT 100",
     "preview_fundamentals": FUND_PUBLISHED + "\n ORDER BY ticker_symbol_fund, period_ending LIMIT 20",
 }

@@ -10,7 +10,7 @@ from barloom import jobs
 from barloom.catalog import testbed
 from barloom.functions import rolling
 from barloom.functions.calendar import month_spine, replay_calendar, year_month
-from barloom.operators import columns, joins, quality
+from barloom.operators import columns, duplicates, joins, profile, quality
 from barloom.plans import fundamentals, fx, prices, trends
 from barloom.schemas import (
     FUNDAMENTAL_NAMES, PRICE_NAMES, RAW_FUNDAMENTALS, RAW_FX, RAW_PRICES, RAW_SECURITIES, SECTOR,
@@ -49,8 +49,16 @@ def small(securities) -> bool:
     return joins.fits_broadcast(joins.sectors(securities))
 
 
-def metrics(spark, folder, raw=None, **options) -> DataFrame:
-    securities, rates = lookups(spark, folder)
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once, for queries that read them several times."""
+    path = work_folder(df.sparkSession)
+    tables.write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def metrics(spark, folder, raw=None, rates=None, **options) -> DataFrame:
+    securities, derived = lookups(spark, folder)
+    rates = derived if rates is None else rates
     bars = testbed.prices(spark, folder) if raw is None else raw
     return prices.price_metrics(bars, securities, rates, broadcast=small(securities), **options)
 
@@ -86,6 +94,12 @@ def price_metrics_as_published(spark, folder):
     return metrics(spark, folder, literal=True)
 
 
+@query
+def price_metrics_exact(spark, folder):
+    """All means from exact running sums, over the whole history."""
+    return metrics(spark, folder, continuous=True, exact=True)
+
+
 @query
 def price_metrics_blocked(spark, folder):
     return metrics(spark, folder, continuous=True, block_rows=533)
@@ -125,6 +139,19 @@ def price_trend(spark, folder):
     return trends.price_trend(columns.rename_columns(rows, PRICE_NAMES, strict=False))
 
 
+@query
+def price_trend_kept(spark, folder):
+    """The trend from stored sums: the first years are kept with wrong volumes, then the others, then the first again."""
+    path = work_folder(spark)
+    rows = sectored(testbed.prices(spark, folder), testbed.securities(spark, folder), "symbol")
+    published = columns.rename_columns(rows, PRICE_NAMES, strict=False).withColumn("run_year", F.year("date"))
+    wrong = published.withColumn("volume", F.col("volume") + 1)
+    trends.keep_price_trend(wrong, path, range(1990, SPLIT.year))
+    trends.keep_price_trend(published, path, range(SPLIT.year, 2010))
+    trends.keep_price_trend(published, path, range(1990, SPLIT.year))
+    return trends.kept_price_trend(spark, path)
+
+
 # Sources
 
 @query
@@ -260,20 +287,20 @@ def parquet_roundtrip(spark, folder):
 @query
 def append_load(spark, folder):
     path = work_folder(spark)
-    everything = testbed.prices(spark, folder)
+    everything, rates = stored(testbed.prices(spark, folder)), stored(testbed.fx(spark, folder))
     for start, end in ((None, SPLIT), (SPLIT, None)):
         part = files.slice_range(everything, "date", start, end)
-        tables.append_load(metrics(spark, folder, part, by_year=True, repeats="stop"), path, clustered=True)
+        tables.append_load(metrics(spark, folder, part, rates, by_year=True, repeats="stop"), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 
 @query
 def idempotent_load(spark, folder):
     path = work_folder(spark)
-    everything = testbed.prices(spark, folder)
+    everything, rates = stored(testbed.prices(spark, folder)), stored(testbed.fx(spark, folder))
     again = files.slice_range(everything, "date", start=SPLIT)
     for part in (everything, again):
-        tables.idempotent_load(metrics(spark, folder, part, by_year=True, repeats="stop"), path, clustered=True)
+        tables.idempotent_load(metrics(spark, folder, part, rates, by_year=True, repeats="stop"), path, clustered=True)
     return files.scan_parquet(spark, path)
 
 
@@ -469,6 +496,25 @@ def close_thb(spark, folder):
     return rated.select("symbol", "date", "close", (F.col("exchange_rate") * F.col("close")).alias("close_thb"))
 
 
+def _thinned(rates):
+    """The monthly rates without two of the months."""
+    return rates.where(~F.col("exchange_date").isin(date(1997, 3, 1), date(1998, 7, 1)))
+
+
+@query
+def fx_join_asof(spark, folder):
+    """The rate last quoted up to a bar's day, two months being missing."""
+    rated = joins.attach_rate_asof(testbed.prices(spark, folder), _thinned(testbed.fx(spark, folder)))
+    return rated.select("symbol", "date", "close", "exchange_rate")
+
+
+@query
+def fx_join_asof_fresh(spark, folder):
+    """The same with rates of up to 45 days."""
+    rated = joins.attach_rate_asof(testbed.prices(spark, folder), _thinned(testbed.fx(spark, folder)), max_days=45)
+    return rated.select("symbol", "date", "close", "exchange_rate")
+
+
 # Exchange rates and calendar
 
 @query
@@ -566,6 +612,18 @@ def null_profile_prices(spark, folder):
     return quality.null_profile(enrich_prices_sector(spark, folder))
 
 
+@query
+def null_profile_kept(spark, folder):
+    """Exact counts of all years from profiles kept by year, one of which is replaced."""
+    path = work_folder(spark)
+    rows = enrich_prices_sector(spark, folder).withColumn("run_year", F.year("date"))
+    spoilt = rows.withColumn("gics_sector", F.lit(None).cast("string"))
+    profile.keep_profile(spoilt, path, range(1990, 2010))
+    profile.keep_profile(rows, path, [y for y in range(1990, 2010) if y != SPLIT.year])
+    profile.keep_profile(rows, path, [SPLIT.year])
+    return profile.merged_profile(spark, path).select("column_name", "non_null", "nulls")
+
+
 @query
 def null_profile_fundamentals(spark, folder):
     return quality.null_profile(project_fundamentals(spark, folder))
@@ -581,6 +639,12 @@ def duplicate_keys(spark, folder):
     return quality.duplicate_keys(testbed.table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def duplicate_keys_sketched(spark, folder):
+    """Orders with several lines of one supplier, found by sketches of the keys."""
+    return duplicates.repeated_keys(testbed.table(spark, folder, "lineitem"), ["l_orderkey", "l_suppkey"])
+
+
 @query
 def preview_prices(spark, folder):
     return quality.preview(metrics(spark, folder), ["symbol", "date"], 100)
