@@ -1,7 +1,9 @@
 """Byte-level BPE: whole pre-tokens by a minimal perfect hash, the rest by merging linked bytes."""
 
 import base64
-import heapq
+import re
+from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -11,11 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.texts import map_texts
+from barloom.llm.texts import Memo, map_texts
 
-MEMO_TOKENS = 300_000
+MEMO_TOKENS = 500_000
 MIX = 0x9E3779B97F4A7C15
 FULL = (1 << 64) - 1
+#: Pre-tokens of whole texts that are looked up together.
+HELD_PIECES = 100_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -67,15 +71,20 @@ class MinimalPerfectHash:
             if len(keyed) == 1:
                 slot = next(free)
                 seeds[b], self.order[slot] = -1 - slot, keyed[0]
-        self.seeds = seeds
+        self.seeds, self.order = np.array(seeds, np.int64), np.array(self.order, np.int64)
 
     def candidate(self, key: bytes) -> int:
         """The index of the key, if it is one of the keys; else of any other or -1."""
-        if not self.size:
-            return -1
-        hashed = xxhash.xxh64_intdigest(key)
-        seed = self.seeds[hashed % self.size]
-        return self.order[-1 - seed if seed < 0 else _slot(hashed, seed, self.size)]
+        return int(self.candidates([key])[0]) if self.size else -1
+
+    def candidates(self, keys: list[bytes]) -> np.ndarray:
+        """For each key its index, if it is one of the keys; else any other."""
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
+        seeds = self.seeds[hashed % np.uint64(self.size)]
+        mixed = hashed ^ seeds.astype(np.uint64) * np.uint64(MIX)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(MIX)
+        slots = ((mixed >> np.uint64(32)) % np.uint64(self.size)).astype(np.int64)
+        return self.order[np.where(seeds < 0, -1 - seeds, slots)]
 
 
 class Vocabulary:
@@ -88,42 +97,48 @@ class Vocabulary:
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        found = self.whole.candidate(piece)
-        if found >= 0 and self.tokens[found] == piece:
-            return [found]
-        return self.merge(piece)
+        return self.encode_all([piece])[0]
+
+    def encode_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens: whole ones by the perfect hash, the others merged."""
+        if not pieces or not self.tokens:
+            return [self.merge(p) for p in pieces]
+        tokens, merge = self.tokens, self.merge
+        found = self.whole.candidates(pieces).tolist()
+        return [[i] if tokens[i] == p else merge(p) for i, p in zip(found, pieces)]
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge neighbours by rank, the leftmost first among equals.
 
-        A part is known by its first byte; ``after`` and ``before`` link parts. A heap entry is
-        stale if its part is gone or either of the two parts has grown since.
+        A part is known by its first byte; ``after`` and ``before`` link parts. A heap entry ends where its two parts
+        did: it is stale if the part after its first one no longer ends there. What follows the last part, and a
+        part that is gone, end nowhere.
         """
-        size, ranks = len(piece), self.ranks
-        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        alive = [True] * size
+        size, ranks, rank_of = len(piece), self.ranks, self.ranks.get
         heap = []
         for i in range(size - 1):
-            rank = ranks.get(piece[i:i + 2])
+            rank = rank_of(piece[i:i + 2])
             if rank is not None:
                 heap.append((rank, i, i + 2))
-        heapq.heapify(heap)
+        heapify(heap)
+        gone = size + 1
+        after, before = [*range(1, size + 1), -1, -1], list(range(-1, size))
         while heap:
-            _, i, end = heapq.heappop(heap)
-            middle = after[i] if alive[i] else size
-            if middle >= size or after[middle] != end:
+            _, i, end = heappop(heap)
+            middle = after[i]
+            if after[middle] != end:
                 continue
-            alive[middle] = False
-            after[i] = end
+            after[middle], after[i], before[end] = gone, end, i
             if end < size:
-                before[end] = i
-                rank = ranks.get(piece[i:after[end]])
+                last = after[end]
+                rank = rank_of(piece[i:last])
                 if rank is not None:
-                    heapq.heappush(heap, (rank, i, after[end]))
-            if (left := before[i]) >= 0:
-                rank = ranks.get(piece[left:end])
+                    heappush(heap, (rank, i, last))
+            left = before[i]
+            if left >= 0:
+                rank = rank_of(piece[left:end])
                 if rank is not None:
-                    heapq.heappush(heap, (rank, left, end))
+                    heappush(heap, (rank, left, end))
         parts, i = [], 0
         while i < size:
             parts.append(ranks[piece[i:after[i]]])
@@ -131,18 +146,53 @@ class Vocabulary:
         return parts
 
 
-class _Memo(dict):
-    """Pre-token to its ids as little-endian bytes; emptied when full, which only costs time."""
+def ascii_pattern(pattern: str) -> bytes | None:
+    """The same pattern for ASCII bytes, for Python's own quicker engine; None if it has properties other than L and N."""
+    for name, plain in ((r"\p{L}", "A-Za-z"), (r"\p{N}", "0-9")):
+        # A property by itself becomes a class, one within a class the ranges alone.
+        pattern = re.sub(r"(\[[^\]]*\])|" + re.escape(name), lambda m: m[1].replace(name, plain) if m[1] else f"[{plain}]", pattern)
+    return None if r"\p" in pattern else pattern.encode()
+
+
+class _Pieces(Memo):
+    """Pre-tokens to their ids as little-endian bytes, new ones looked up together."""
 
     def __init__(self, vocabulary, limit):
-        self.vocabulary, self.limit = vocabulary, limit
+        super().__init__(None, limit)
+        self.vocabulary = vocabulary
+
+    def coded(self, pieces: list[str | bytes]) -> list[bytes]:
+        """The ids of each pre-token; what is not remembered is looked up together."""
+        held = list(map(self.get, pieces))
+        missing = [i for i, h in enumerate(held) if h is None]
+        if missing:
+            new = list({pieces[i] for i in missing})
+            ids = self.vocabulary.encode_all([p if type(p) is bytes else p.encode() for p in new])
+            self.make_room()
+            self.update(zip(new, [array("i", i).tobytes() for i in ids]))
+            for i in missing:
+                held[i] = self[pieces[i]]
+        return held
+
+
+#: The memo of the last vocabulary and pattern, which the tasks of a Python worker share.
+_worker = {}
+
+
+def _memo(shared, pattern, limit):
+    own = id(shared.value), pattern, limit
+    if own not in _worker:
+        _worker.clear()
+        plain = ascii_pattern(pattern)
+        _worker[own] = _splitter(regex.compile(pattern), plain and re.compile(plain)), _Pieces(shared.value, limit), shared
+    return _worker[own][:2]
+
 
-    def __missing__(self, token):
-        ids = np.array(self.vocabulary.encode(token.encode()), "<i4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        self[token] = ids
-        return ids
+def _splitter(pieces, plain):
+    """The pre-tokens of a text, as bytes if it is ASCII and otherwise as text."""
+    def split(text: bytes):
+        return plain.findall(text) if plain and text.isascii() else pieces.findall(text.decode())
+    return split
 
 
 def _arrays(buffers: list[bytes]) -> pa.Array:
@@ -160,13 +210,24 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, key="doc_id", text=
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(tokens))
 
     def make():
-        pieces, known = regex.compile(pattern), _Memo(shared.value, memo)
+        split, known = _memo(shared, pattern, memo)
 
         def apply(texts):
-            return [_arrays([
-                b"".join(map(known.__getitem__, pieces.findall(t.decode()))) if t else b""
-                for t in texts.to_pylist()
-            ])]
+            buffers, pieces, edges = [], [], [0]
+
+            def flush():
+                held = known.coded(pieces)
+                buffers.extend(b"".join(held[a:b]) for a, b in zip(edges, edges[1:]))
+                pieces.clear()
+                edges[:] = [0]
+
+            for text in texts.to_pylist():
+                pieces.extend(split(text) if text else ())
+                edges.append(len(pieces))
+                if len(pieces) >= HELD_PIECES:
+                    flush()
+            flush()
+            return [_arrays(buffers)]
         return apply
 
     return map_texts(df, text, [key], [T.StructField("ids", T.ArrayType(T.IntegerType()))], make)

@@ -36,11 +36,10 @@ def op10_bpe(spark, folder):
 def bpe_digests(coded: DataFrame, tokens, *keep) -> DataFrame:
     """Number and checksum of the ids of each document, and checksum of the bytes decoded from them."""
     listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
-    decoded = bpe.decode(coded, tokens, ["doc_id", "ids"])
-    return decoded.select(
-        "doc_id", *keep, F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    counted = coded.withColumns({
+        "n_tokens": F.size("ids").cast("bigint"), "ids_sha256": F.sha2(listed.cast("binary"), 256)})
+    decoded = bpe.decode(counted, tokens, ["doc_id", *keep, "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", *keep, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def fold(key, folds):

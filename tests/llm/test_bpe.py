@@ -21,6 +21,7 @@ def test_the_hash_is_perfect_and_minimal():
     assert slots == list(range(len(TOKENS)))
     assert sorted(VOCABULARY.whole.order) == list(range(len(TOKENS)))
     assert VOCABULARY.whole.candidate(b"not a token at all") in range(len(TOKENS))
+    assert VOCABULARY.whole.candidates(TOKENS).tolist() == slots
 
 
 @settings(max_examples=300, deadline=None)
@@ -29,6 +30,8 @@ def test_pieces_match_the_library(text):
     import regex
     ids = [i for p in regex.findall(public_tokenizers.PATTERN, text) for i in VOCABULARY.encode(p.encode())]
     assert ids == OTHER.encode_ordinary(text)
+    together = VOCABULARY.encode_all([p.encode() for p in regex.findall(public_tokenizers.PATTERN, text)])
+    assert [i for part in together for i in part] == ids
 
 
 def test_runs_and_long_pieces_match_the_library():
@@ -50,3 +53,13 @@ def test_documents(spark, docs, memo):
         expected.append((d, len(ids), listed, hashlib.sha256((t or "").encode()).hexdigest()))
     assert found == sorted(expected, key=str)
     assert bpe_digests(bpe.encode(docs([]), TOKENS, public_tokenizers.PATTERN), TOKENS).count() == 0
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=60))
+def test_ascii_texts_split_alike(text):
+    import re
+    import regex
+    plain = re.compile(bpe.ascii_pattern(public_tokenizers.PATTERN))
+    assert [p.decode() for p in plain.findall(text.encode())] == regex.findall(public_tokenizers.PATTERN, text)
+    assert bpe.ascii_pattern(r"\p{Lu}+") is None and bpe.ascii_pattern(r" ?\p{L}+|[^\s\p{L}\p{N}]") == rb" ?[A-Za-z]+|[^\sA-Za-z0-9]"
