@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, language, secrets, simhash
 from barloom.llm.queries import bpe_digests, table
-from barloom.llm.storage import stored
+from barloom.llm.storage import lookup, stored
 
 #: Text that no learned language codes in fewer bits a byte than this is in none of them. Text of a
 #: learned language takes some 2 to 4 bits, and up to 8 where it is short and holds keys or
@@ -31,9 +31,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("*").alias("row"))
     whole = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"), key.alias("key"))
-    found = simhash.near_duplicates(whole, key="key")
-    first = found.where("key = component_id").select("key").distinct()
-    return whole.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    found = stored(simhash.near_duplicates(whole, key="key").select("key", (F.col("key") == F.col("component_id")).alias("first")))
+    # Whole rows stay where they are as long as the keys that go, and those held twice, are few.
+    gone = lookup(found.where("NOT first").select("key").distinct())
+    twice = lookup(found.where("first").groupBy("key").count().where("count > 1").select("key"))
+    kept = whole.join(gone, "key", "left_anti")
+    once = kept.join(twice, "key", "left_anti")
+    again = kept.join(twice, "key", "left_semi").dropDuplicates(["key"])
+    return once.union(again).select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
