@@ -1,0 +1,43 @@
+import random
+
+import pytest
+
+from barloom.llm import components
+from barloom.llm.storage import stored
+from test_simhash import plain_components
+
+LOW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def low(spark):
+    before = {k: spark.conf.get(k, None) for k in LOW}
+    for k, v in LOW.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hub_is_split_over_tasks(low):
+    edges = low.range(1, 100_000, 1, 16).selectExpr("id AS a", "0L AS b")
+    star = components._large_star(stored(edges.repartition(16)))
+    assert star.count() == 99_999
+    plan = star._jdf.queryExecution().executedPlan()
+    star.collect()
+    assert "skew=true" in star._jdf.queryExecution().executedPlan().toString(), plan.toString()
+    assert components.components(edges).where("component <> 0").count() == 0
+
+
+def test_random_edges_match_a_plain_walk(spark):
+    rng = random.Random(3)
+    for size in (5, 40, 200):
+        pairs = [(rng.randrange(size), rng.randrange(size)) for _ in range(size)] + [(None, 1), (2, None)]
+        found = dict(map(tuple, components.components(spark.createDataFrame(pairs, "a INT, b INT")).collect()))
+        real = [(a, b) for a, b in pairs if None not in (a, b) and a != b]
+        nodes = {n for p in real for n in p}
+        assert found == plain_components(nodes, real)

@@ -64,3 +64,34 @@ def test_training_rows_are_bounded(spark, docs, monkeypatch):
     # Of a key with many texts, as many are taken as the sample allows.
     quality.train(docs(rows + [(1, f"{good} other{i}") for i in range(3000)]), labels, sample=200)
     assert seen[0] == 100 and 120 < seen[1] < 280
+
+
+def test_pooled_features_match_a_plain_version():
+    random = np.random.default_rng(4)
+    model = quality.Model(random.normal(size=(quality.BUCKETS, quality.DIMENSIONS)), random.random(quality.BUCKETS))
+    buckets = quality._Buckets()
+    for text in ["a b a c", "One, two!! two two 22 _ é", "x", "", None, " \n "]:
+        words = [buckets[w] for w in quality.TOKEN.findall(text or "")]
+        got = model.pooled(text and text.encode(), buckets)
+        if not words:
+            assert not got.any() and len(got) == 2 * quality.DIMENSIONS + 6
+            continue
+        n = len(words)
+        mean = sum(model.vectors[w] for w in words) / n
+        spread = np.sqrt(np.maximum(0, sum(model.vectors[w] ** 2 for w in words) / n - mean ** 2))
+        rest = [np.sqrt((mean ** 2).sum()), np.log(1 + n), len(set(words)) / n, sum((words.count(w) / n) ** 2 for w in set(words)),
+                sum(a == b for a, b in zip(words, words[1:])) / max(1, n - 1), sum(model.shares[w] for w in words) / n]
+        assert np.allclose(got, [*mean, *spread, *rest])
+
+
+def test_scores_match_a_plain_network():
+    random = np.random.default_rng(5)
+    width = 2 * quality.DIMENSIONS + 6
+    weights = [random.normal(size=(width, 3)), random.normal(size=3), random.normal(size=3), random.normal()]
+    model = quality.Model(np.zeros((1, 1)), np.zeros(1), weights, random.normal(size=width), random.random(width) + 0.5, 1.7)
+    rows = random.normal(size=(20, width))
+    for row, score in zip(rows, model.scores(rows)):
+        x = [(v - c) / s for v, c, s in zip(row, model.centre, model.spread)]
+        hidden = [max(0.0, sum(a * w for a, w in zip(x, weights[0][:, k])) + weights[1][k]) for k in range(3)]
+        margin = sum(h * w for h, w in zip(hidden, weights[2])) + weights[3]
+        assert abs(score - 1 / (1 + np.exp(-margin / 1.7))) < 1e-9
