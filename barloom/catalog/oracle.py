@@ -248,6 +248,7 @@ ORACLE = {
     "parquet_roundtrip": FUND_PUBLISHED,
     "append_load": ALL_METRICS,
     "refused_load": ALL_METRICS + "\n WHERE date >= DATE '1998-01-01'",
+    "dated_load": ALL_METRICS + "\n WHERE date >= DATE '1998-01-01' AND date < DATE '1999-01-01'",
     "repeated_append": ALL_METRICS,
     "exactly_once_append": ALL_METRICS,
     "idempotent_load": ALL_METRICS,

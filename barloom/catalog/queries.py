@@ -304,8 +304,11 @@ def idempotent_load(spark, folder):
     return files.scan_parquet(spark, path)
 
 
-def _published_by_job(spark, folder, *runs):
-    """The price table after jobs over landed bars, one for each of (bars, arguments); refused ones change nothing."""
+def _published_by_job(spark, folder, *runs, below=""):
+    """The price table after jobs over landed bars, one for each of (bars, arguments); refused ones change nothing.
+
+    ``below`` is where under ``--out`` the table is published.
+    """
     path = work_folder(spark)
     securities, rates = lookups(spark, folder)
     tables.write_csv(securities, f"{path}/securities")
@@ -319,7 +322,7 @@ def _published_by_job(spark, folder, *runs):
             args.run(spark, args)
         except commits.Refused:
             continue
-    return commits.scan(spark, f"{path}/published")
+    return commits.scan(spark, f"{path}/published{below}")
 
 
 YEARS = ["--first-year", str(SPLIT.year), "--last-year", "2100"]
@@ -334,6 +337,15 @@ def refused_load(spark, folder):
     return _published_by_job(spark, folder, (late, YEARS), (spoilt, YEARS), (spoilt, [*YEARS, "--mode", "append"]))
 
 
+@query
+def dated_load(spark, folder):
+    """One year published under its dataset and the day of the run."""
+    day = date(2025, 1, 18)
+    asked = ["--first-year", str(SPLIT.year), "--dated", "--run-at", day.isoformat()]
+    below = tables.dataset_path("", "published", "prices", day)
+    return _published_by_job(spark, folder, (testbed.prices(spark, folder), asked), below=below)
+
+
 @query
 def repeated_append(spark, folder):
     """Both halves are appended, the second by a run that is repeated."""

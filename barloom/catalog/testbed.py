@@ -20,10 +20,7 @@ def table(spark: SparkSession, folder, name) -> DataFrame:
 
 
 def cents(name):
-    return F.floor(F.col(name) * 100 + 0.5)
-
-
-def percent(name):
+    """Hundredths, of money or of a share, as a whole number."""
     return F.floor(F.col(name) * 100 + 0.5)
 
 
@@ -125,7 +122,7 @@ def fx_by_year(spark, folder) -> DataFrame:
 
 def fundamentals(spark, folder) -> DataFrame:
     """One row per symbol and year, with amounts summed in 1/10,000 units."""
-    ext, disc, tax = cents("l_extendedprice"), percent("l_discount"), percent("l_tax")
+    ext, disc, tax = cents("l_extendedprice"), cents("l_discount"), cents("l_tax")
     cost = F.col("l_quantity").cast("bigint") * cents("p_retailprice") * 60
     lines = table(spark, folder, "lineitem").join(
         table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")

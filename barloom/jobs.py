@@ -48,6 +48,8 @@ def read(spark: SparkSession, source, path, schema, formats=(), zoned=None, day=
     ``zoned`` names the zone map of landed documents: it is brought up to date, and only files with a ``day``
     in the ``years``, up to their end if the first is None, or without a readable one are opened.
     """
+    if zoned and source != "json":
+        raise ValueError("--zones is for landed documents, --source json")
     if source == "csv":
         return files.scan_csv(spark, path, schema, formats=formats)
     if source == "parquet":

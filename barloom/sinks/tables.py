@@ -41,13 +41,6 @@ def idempotent_load(df: DataFrame, path, by=PARTITION, clustered=False):
     rows.write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def empty_partitions(df: DataFrame, path, values, by=PARTITION):
-    """Leave no rows under the given partitions of a stored table; others stay as they are."""
-    stored = {r[0] for r in df.sparkSession.read.schema(df.schema).parquet(path).select(by).distinct().collect()}
-    for value in sorted(stored & set(values)):
-        df.drop(by).limit(0).write.mode("overwrite").parquet(f"{path}/{by}={value}")
-
-
 def append_to_warehouse(df: DataFrame, source, **options):
     """Append through a warehouse's Spark connector, such as ``bigquery`` or ``jdbc``."""
     df.write.format(source).options(**options).mode("append").save()

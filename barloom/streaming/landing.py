@@ -40,8 +40,8 @@ def publish_new_files(spark: SparkSession, landing, history, published, checkpoi
     """Load every file not loaded before, then stop.
 
     Row windows need whole years, so each batch joins the stored history and the years it
-    touches are computed anew and replaced. With ``continuous`` windows they start from stored tails, the rows that
-    windows look back on, and a later year follows only if its tail has changed. A row for a symbol and date that is already stored replaces the
+    touches are computed anew and replaced. With ``continuous`` windows they start from tails stored beside the history
+    (``<history>_tails``), the rows that windows look back on, and a later year follows only if its tail has changed. A row for a symbol and date that is already stored replaces the
     older one; rows that share both within a batch stop the load unless ``repeats`` is
     ``ordered``. Rows without a date stay in the history and are not published, as in the batch
     job. ``reader`` holds options of the file source.
