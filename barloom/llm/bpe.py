@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.texts import Memo, map_texts
+from barloom.llm.texts import Memo, kept, map_texts
 
-MEMO_TOKENS = 500_000
+MEMO_TOKENS = 250_000
 MIX = 0x9E3779B97F4A7C15
 FULL = (1 << 64) - 1
 #: Pre-tokens of whole texts that are looked up together.
@@ -175,17 +175,13 @@ class _Pieces(Memo):
         return held
 
 
-#: The memo of the last vocabulary and pattern, which the tasks of a Python worker share.
-_worker = {}
-
-
 def _memo(shared, pattern, limit):
-    own = id(shared.value), pattern, limit
-    if own not in _worker:
-        _worker.clear()
+    """The splitter and memo of a vocabulary that the tasks of a worker share."""
+    def build():
         plain = ascii_pattern(pattern)
-        _worker[own] = _splitter(regex.compile(pattern), plain and re.compile(plain)), _Pieces(shared.value, limit), shared
-    return _worker[own][:2]
+        return _splitter(regex.compile(pattern), plain and re.compile(plain)), _Pieces(shared.value, limit), shared
+
+    return kept((id(shared.value), pattern, limit), build)[:2]
 
 
 def _splitter(pieces, plain):
@@ -230,7 +226,7 @@ def encode(df: DataFrame, tokens: list[bytes], pattern: str, key="doc_id", text=
             return [_arrays(buffers)]
         return apply
 
-    return map_texts(df, text, [key], [T.StructField("ids", T.ArrayType(T.IntegerType()))], make)
+    return map_texts(df, text, [key], [T.StructField("ids", T.ArrayType(T.IntegerType()))], make, shares=True)
 
 
 def decode(df: DataFrame, tokens: list[bytes], keep, ids="ids") -> DataFrame:

@@ -31,6 +31,20 @@ class Memo(dict):
                 del self[old]
 
 
+_kept = {}
+
+
+def kept(key, build):
+    """What the tasks of one Python worker share: the thing kept last, if it has this key, else a new one.
+
+    Workers live on between stages, so only one thing is kept, and tasks of ``map_texts`` that share nothing let it go.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
 def cut(batch: pa.RecordBatch, limit=SLICE_BYTES):
     """Slices of a batch whose last column holds about ``limit`` bytes, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
@@ -50,11 +64,12 @@ def small_batches(spark):
         spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
-def map_texts(df: DataFrame, text: str, keep, fields, make) -> DataFrame:
+def map_texts(df: DataFrame, text: str, keep, fields, make, shares=False) -> DataFrame:
     """The ``keep`` columns and new ``fields``, computed from whole texts in Python.
 
     ``make()`` runs once per task; what it returns gets an Arrow array of UTF-8 byte strings
-    (null for a null text) and gives one Arrow array per field. ``keep`` passes unchanged.
+    (null for a null text) and gives one Arrow array per field. ``keep`` passes unchanged. ``shares``
+    tells that ``make`` uses what the worker has kept.
     """
     small_batches(df.sparkSession)
     named = {f.name: f for f in df.schema.fields}
@@ -63,6 +78,8 @@ def map_texts(df: DataFrame, text: str, keep, fields, make) -> DataFrame:
     names = schema.names
 
     def run(batches):
+        if not shares:
+            _kept.clear()
         apply = make()
         for batch in batches:
             for piece in cut(batch):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.storage import stored
-from barloom.llm.texts import Memo, cut
+from barloom.llm.texts import Memo, cut, kept
 from barloom.sources.workspace import work_folder
 
 MAGIC = b"BTK1"
@@ -249,17 +249,10 @@ class Encoder:
         return codes, runs
 
 
-#: The encoder that the tasks of a Python worker share, with what it remembers.
-_worker = {}
-
-
 def encoder(path: str, end: int, memo=MEMO_WORDS, special=False) -> Encoder:
-    """The encoder of this worker: that of the task before, if that had the same file and options."""
+    """The encoder that the tasks of a worker share, with what it remembers."""
     own = path, end, memo, special
-    if own not in _worker:
-        _worker.clear()
-        _worker[own] = Encoder(*own)
-    return _worker[own]
+    return kept(own, lambda: Encoder(*own))
 
 
 def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
