@@ -244,6 +244,7 @@ def decode(df: DataFrame, tokens: list[bytes], keep, ids="ids") -> DataFrame:
                 for i, j in zip(edges[:-1].tolist(), edges[1:].tolist())
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=schema.names)
+        pa.default_memory_pool().release_unused()
 
     chosen = [f.name for f in schema.fields[:-1]]
     return df.select(*chosen, F.coalesce(F.col(ids), F.array().cast("array<int>"))).mapInArrow(run, schema)

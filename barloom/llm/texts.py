@@ -85,5 +85,7 @@ def map_texts(df: DataFrame, text: str, keep, fields, make, shares=False) -> Dat
             for piece in cut(batch):
                 columns = piece.columns
                 yield pa.RecordBatch.from_arrays([*columns[:-1], *apply(columns[-1])], names=names)
+        # The worker lives on, and Arrow keeps what it once had.
+        pa.default_memory_pool().release_unused()
 
     return chosen.mapInArrow(run, schema)
