@@ -54,7 +54,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, ids, n_tokens, ids_sha256, decoded_sha256)`` of every document's text."""
     tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe_digests(bpe.encode(docs, tokens, public_tokenizers.PATTERN), tokens, "ids")
+    # Stored in between, so that a task needs one Python worker at a time and not two.
+    coded = stored(bpe.encode(docs, tokens, public_tokenizers.PATTERN), compression="zstd")
+    return bpe_digests(coded, tokens, "ids")
 
 
 STAGES = [
