@@ -1,0 +1,10 @@
+import pytest
+
+from barloom.catalog.oracle import ORACLE
+from barloom.catalog.queries import QUERIES
+from test_entry import entry_without
+
+
+@pytest.mark.parametrize("name", ["xxhash", "regex", "public_tokenizers"])
+def test_the_other_queries_stay_without_a_package(name):
+    assert entry_without(name) == [len(QUERIES), len(ORACLE), 1]
