@@ -20,9 +20,14 @@ print(len(entry.queries()), len(entry.oracle_sql()), len(own))
 """
 
 
-@pytest.mark.parametrize("name, warned", [
-    ("xxhash", 1), ("regex", 1), ("public_tokenizers", 1), ("corpus_pipeline", 0), ("barloom.llm", 0), ("barloom.llm.queries", 0)])
-def test_the_other_queries_stay(name, warned):
+def entry_without(name):
+    """Numbers of queries, of SQL counterparts and of warnings if a module cannot be imported."""
     done = subprocess.run(
         [sys.executable, "-c", CODE.format(name=name)], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, timeout=120)
-    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE)), str(warned)], done.stderr[-1500:]
+    assert done.returncode == 0, done.stderr[-1500:]
+    return [int(n) for n in done.stdout.split()]
+
+
+@pytest.mark.parametrize("name", ["corpus_pipeline", "barloom.llm"])
+def test_the_other_queries_stay(name):
+    assert entry_without(name) == [len(QUERIES), len(ORACLE), 0]
