@@ -16,7 +16,7 @@ SAMPLE_CHARS = 20_000
 SAMPLE_TOTAL = 4_000
 UNKNOWN = "und"
 START = b"\n" * ORDER
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def has_letter(text: bytes) -> bool:
