@@ -376,6 +376,7 @@ def _loaded(spark, folder, *batches, **options):
     path = work_folder(spark)
     landing, history, published = f"{path}/landing", f"{path}/history", f"{path}/published"
     securities, rates = lookups(spark, folder)
+    rates = stored(rates)
     for batch in batches:
         batch.write.mode("append").parquet(landing)
         publish_new_files(
@@ -409,7 +410,7 @@ def incremental_continuous(spark, folder):
 @query
 def incremental_continuous_corrections(spark, folder):
     """Whole-history windows while a year lands late, another is corrected, and one lands in two parts."""
-    everything = testbed.prices(spark, folder)
+    everything = stored(testbed.prices(spark, folder))
 
     def between(first, last):
         return files.slice_range(everything, "date", date(first, 1, 1), date(last, 1, 1))

@@ -31,6 +31,7 @@ class Tails:
 
     def __init__(self, spark: SparkSession, folder):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.done = None, []
 
     def _all(self) -> DataFrame:
         schema = T.StructType([*ROW.fields, T.StructField("tail_year", T.IntegerType()), T.StructField("batch", T.LongType())])
@@ -50,7 +51,16 @@ class Tails:
         return self._all().where((F.col("tail_year") == latest) & (F.col("batch") == newest)).select(*ROW.names)
 
     def store(self, rows: DataFrame, years, batch):
-        """Keep the tails after each of the ``years``, which are all years of the rows but those of the tail before."""
+        """Keep the tails after each of the ``years``, which are all years of the rows but those of the tail before.
+
+        Years that lead on from those of the last call are computed from the tail that it stored, and theirs not again.
+        """
+        before, known = self.done
+        self.done = batch, list(years)
+        if before == batch and known and known == years[:len(known)] and len(known) < len(years):
+            years = years[len(known):]
+            rows = rows.where(F.col("run_year").isin(years)).select(*ROW.names)
+            rows = rows.unionByName(self.before(years[0], batch)).repartition("symbol")
         ahead = F.lead("run_year", LOOKBACK).over(Window.partitionBy("symbol").orderBy(*ORDER))
         after = F.array(*[F.lit(y + 1) for y in years])
         placed = rows.withColumn("_ahead", ahead)
@@ -87,7 +97,7 @@ def carry_on(history: DataFrame, tails: Tails, published, touched, batch, securi
         context = tails.before(years[0], batch).withColumn("batch", F.lit(-1).cast("bigint"))
         while True:
             own = history.where(F.col("run_year").isin(years)).select(*named)
-            rows = newest(own.unionByName(context).repartition("symbol"))
+            rows = newest(own.unionByName(context).repartition("symbol"), ["run_year"])
             tails.store(rows, years, batch)
             later = following(years[-1])
             if later is None or _signature(tails.before(later, batch)) == _signature(tails.before(later, batch - 1)):
