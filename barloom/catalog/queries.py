@@ -313,10 +313,14 @@ def _published_by_job(spark, folder, *runs, below=""):
     securities, rates = lookups(spark, folder)
     tables.write_csv(securities, f"{path}/securities")
     tables.write_csv(rates, f"{path}/fx")
-    for at, (landed, arguments) in enumerate(runs):
-        tables.write_csv(landed, f"{path}/prices{at}")
+    landed = {}
+    for bars, arguments in runs:
+        # Bars that several runs read land once.
+        if id(bars) not in landed:
+            landed[id(bars)] = f"{path}/prices{len(landed)}"
+            tables.write_csv(bars, landed[id(bars)])
         args = jobs.parser().parse_args([
-            "prices", "--prices", f"{path}/prices{at}", "--securities", f"{path}/securities", "--fx", f"{path}/fx",
+            "prices", "--prices", landed[id(bars)], "--securities", f"{path}/securities", "--fx", f"{path}/fx",
             "--out", f"{path}/published", *arguments])
         try:
             args.run(spark, args)
@@ -332,7 +336,7 @@ EARLIER = ["--first-year", "1900", "--last-year", str(SPLIT.year - 1)]
 @query
 def refused_load(spark, folder):
     """The later years are published, then refused twice with every ninth date unreadable."""
-    _, late = _halves(spark, folder)
+    late = stored(_halves(spark, folder)[1])
     spoilt = late.withColumn("date", F.when(F.col("volume") % 9 == 0, F.lit("soon")).otherwise(F.col("date").cast("string")))
     return _published_by_job(spark, folder, (late, YEARS), (spoilt, YEARS), (spoilt, [*YEARS, "--mode", "append"]))
 

@@ -49,3 +49,13 @@ def test_tails_that_lead_on_are_not_computed_again(spark, tmp_path, monkeypatch)
     assert [sorted({r.tail_year for r in df.select("tail_year").collect()}) for df in written] == [[2013], [2014]]
     last = {(r.date) for r in tails.before(2014, 0).collect()}
     assert last == {date(2013, 1, 1) + timedelta(days=d) for d in range(60 - carried.LOOKBACK, 60)}
+
+
+def test_bars_that_several_runs_read_land_once(spark, lookups, tmp_path, monkeypatch):
+    landed, write = [], tables.write_csv
+    monkeypatch.setattr(queries, "lookups", lambda *_: lookups)
+    monkeypatch.setattr(queries, "work_folder", lambda *_: str(tmp_path / "work"))
+    monkeypatch.setattr(tables, "write_csv", lambda df, path: landed.append(path) or write(df, path))
+    rows, asked = bars(spark), ["--first-year", "2012", "--mode", "append", "--run-id", "one"]
+    assert queries._published_by_job(spark, "", (rows, asked), (rows, asked)).count() == 5
+    assert len(landed) == 3
