@@ -363,6 +363,8 @@ def exactly_once_append(spark, folder):
     """Both halves through the ledger: the second fails on the way, is repeated, and repeated once more."""
     path = work_folder(spark)
     early, late = (metrics(spark, folder, part) for part in _halves(spark, folder))
+    # Read by the run that fails and by its repetition.
+    late = stored(late)
     failing = F.when(F.col("run_year") > SPLIT.year, F.raise_error(F.lit("lost"))).otherwise(F.col("run_year"))
     ledger.append_once(early, path, "early")
     try:

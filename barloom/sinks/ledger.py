@@ -97,7 +97,10 @@ class LedgerWriter(DataSourceArrowWriter):
 
 
 def append_once(df: DataFrame, path, run: str):
-    """Add the rows under the name of a run, unless that name is in the ledger."""
+    """Add the rows under the name of a run, unless that name is in the ledger: then they are not even computed."""
+    target, folder = fs.FileSystem.from_uri(path)
+    if _exists(target, f"{folder.rstrip('/')}/{_entry(run)}"):
+        return
     df.sparkSession.dataSource.register(Ledger)
     df.write.format("ledger").mode("append").options(path=path, run=run).save()
 

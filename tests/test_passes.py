@@ -59,3 +59,10 @@ def test_bars_that_several_runs_read_land_once(spark, lookups, tmp_path, monkeyp
     rows, asked = bars(spark), ["--first-year", "2012", "--mode", "append", "--run-id", "one"]
     assert queries._published_by_job(spark, "", (rows, asked), (rows, asked)).count() == 5
     assert len(landed) == 3
+
+
+def test_a_run_in_the_ledger_is_not_computed_again(spark, tmp_path):
+    rows = spark.range(3)
+    ledger.append_once(rows, str(tmp_path / "t"), "one")
+    ledger.append_once(rows.select(F.raise_error(F.lit("computed")).cast("bigint").alias("id")), str(tmp_path / "t"), "one")
+    assert ledger.scan_ledger(spark, str(tmp_path / "t")).count() == 3
