@@ -405,6 +405,7 @@ def incremental_load(spark, folder):
 def incremental_corrections(spark, folder):
     """The first half lands with wrong closes and is corrected by a later batch."""
     early, late = _halves(spark, folder)
+    early = stored(early)
     return _loaded(spark, folder, early.withColumn("close", F.col("close") + 1), late, early)
 
 

@@ -39,6 +39,16 @@ def test_bars_of_keys_and_values_of_any_size(spark, monkeypatch):
         "4": (9e6, 1.0, 1.0, 9e6), "5": (None, None, None, None)}
 
 
+@pytest.mark.parametrize("name", ["incremental_corrections", "incremental_continuous_corrections"])
+def test_bars_that_land_several_times_are_computed_once(spark, monkeypatch, name):
+    kept = []
+    monkeypatch.setattr(queries.testbed, "prices", lambda *_: bars(spark))
+    monkeypatch.setattr(queries, "stored", lambda df: kept.append(df) or df)
+    monkeypatch.setattr(queries, "_loaded", lambda *_, **options: None)
+    queries.QUERIES[name](spark, "")
+    assert len(kept) == 1
+
+
 def test_tails_that_lead_on_are_not_computed_again(spark, tmp_path, monkeypatch):
     written = []
     monkeypatch.setattr(carried, "rebalanced", lambda df, by: written.append(df) or df)
