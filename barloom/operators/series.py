@@ -18,34 +18,37 @@ def in_blocks(df: DataFrame, keys, order, lookback, block_rows) -> DataFrame:
     the order of a plain window over all of them. Adds ``_block``, ``_pos`` (row number in the
     series) and ``_own``. Evaluate windows over ``keys + ["_block"]`` ordered by ``_pos``, then
     keep the rows with ``_own``. Equal rows are counted, not shuffled one by one, until their
-    block is known. Days are numbered by their sums. A day is cut at some of its own rows, one in
-    about ``block_rows`` by a hash, so the number of its cells follows from its size. A task
-    holds one block, one cell, or the days of one series.
+    block is known. A day is cut at some of its own rows, one in about ``block_rows`` by a hash, so the
+    number of its cells follows from its size. Rows are numbered inside their cell, and cells by their sizes. A
+    task holds one block, one cell, or the cells of one series without their rows.
     """
     date, ties = order[0], [*order[1:], *[c for c in df.columns if c not in [*keys, *order]]]
     before = (Window.unboundedPreceding, -1)
     none_before = F.lit(0).cast("bigint")
+    # A struct key compares NULL parts as equal, so series with a NULL key are joined too. Its parts are not
+    # carried beside it, and every branch needs all columns, so that the branches share one exchange of the rows.
+    day = [*keys, date]
+    rest, tie = [c for c in df.columns if c not in day], F.struct(*ties)
 
-    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    # A struct key compares NULL parts as equal, so series with a NULL key are joined too.
-    rows = rows.withColumns({"_day": F.struct(*keys, date), "_tie": F.struct(*ties)})
-    picked = F.pmod(F.xxhash64(*df.columns), F.lit(block_rows)) == 0
-    cuts = rows.where(picked).groupBy("_day").agg(F.sort_array(F.collect_list("_tie")).alias("_cuts"))
-    cell = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_tie"))), F.lit(0))
-    rows = rows.join(cuts, "_day", "left").withColumn("_cell", F.when(F.col("_cuts").isNull(), 0).otherwise(cell)).drop("_cuts")
+    def whole(key):
+        return [F.col(f"{key}.{c}").alias(c) if c in day else F.col(c) for c in df.columns]
 
-    in_day = Window.partitionBy("_day").orderBy("_cell").rowsBetween(*before)
-    cells = rows.groupBy("_day", "_cell").agg(F.sum("_copies").alias("_size"))
-    series = Window.partitionBy(*[f"_day.{k}" for k in keys]).orderBy(f"_day.{date}").rowsBetween(*before)
-    days = cells.groupBy("_day").agg(F.sum("_size").alias("_size"))
-    days = days.select("_day", F.coalesce(F.sum("_size").over(series), none_before).alias("_day_start"))
-    starts = cells.select("_day", "_cell", F.coalesce(F.sum("_size").over(in_day), none_before).alias("_cell_start"))
-    starts = starts.join(days, "_day").select("_day", "_cell", (F.col("_day_start") + F.col("_cell_start")).alias("_start"))
+    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    rows = rows.select(F.struct(*day).alias("_day"), *rest, "_copies")
+    picked = F.pmod(F.xxhash64(*whole("_day")), F.lit(block_rows)) == 0
+    cuts = rows.where(picked).groupBy("_day").agg(F.sort_array(F.collect_list(tie)).alias("_cuts"))
+    cell = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= tie)))
+    unit = F.struct(*[F.col(f"_day.{c}").alias(c) for c in day], cell.alias("_cell"))
+    rows = rows.join(cuts, "_day", "left").select(unit.alias("_unit"), *rest, "_copies")
 
-    inside = F.sum("_copies").over(Window.partitionBy("_day", "_cell").orderBy(*ties).rowsBetween(*before))
+    in_cell = Window.partitionBy("_unit").orderBy(*ties).rowsBetween(*before)
+    numbered = rows.withColumn("_inside", F.coalesce(F.sum("_copies").over(in_cell), none_before))
+    cells = numbered.groupBy("_unit").agg(F.max(F.col("_inside") + F.col("_copies")).alias("_size"))
+    series = Window.partitionBy(*[f"_unit.{k}" for k in keys]).orderBy(f"_unit.{date}", "_unit._cell").rowsBetween(*before)
+    starts = cells.select("_unit", F.coalesce(F.sum("_size").over(series), none_before).alias("_start"))
     placed = (
-        rows.join(starts, ["_day", "_cell"])
-        .withColumn("_first", F.col("_start") + F.coalesce(inside, none_before))
+        numbered.join(starts, "_unit")
+        .withColumn("_first", F.col("_start") + F.col("_inside"))
         .withColumn("_last", F.col("_first") + F.col("_copies") - 1)
     )
 
@@ -56,7 +59,7 @@ def in_blocks(df: DataFrame, keys, order, lookback, block_rows) -> DataFrame:
         F.least(F.col("_last"), block_start + block_rows - 1),
     )
     return (
-        placed.withColumn("_block", F.explode(blocks))
+        placed.select(*whole("_unit"), "_first", "_last", F.explode(blocks).alias("_block"))
         .repartition(*keys, "_block")
         .withColumn("_pos", F.explode(positions))
         .withColumn("_own", F.col("_pos") >= block_start)

@@ -76,3 +76,9 @@ def test_a_run_in_the_ledger_is_not_computed_again(spark, tmp_path):
     ledger.append_once(rows, str(tmp_path / "t"), "one")
     ledger.append_once(rows.select(F.raise_error(F.lit("computed")).cast("bigint").alias("id")), str(tmp_path / "t"), "one")
     assert ledger.scan_ledger(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_blocks_read_and_deal_the_rows_less_often(spark):
+    text = in_blocks(bars(spark), ["symbol"], ["date"], 9, 5)._jdf.queryExecution().executedPlan().toString()
+    # Before branches are joined to one: two for the rows, and each once more for its cuts.
+    assert text.count("Scan ExistingRDD") <= 4 and text.count("Exchange hashpartitioning") <= 13
