@@ -113,10 +113,13 @@ def price_metrics(prices: DataFrame, securities: DataFrame, fx: DataFrame, *,
         pieces = add_indicators(blocks, [*keys, "_block"], ["_pos"], strict).where("_own")
         measured = pieces.drop("_block", "_pos", "_own")
 
+    if by_year and broadcast:
+        # The lookups come after the exchange, which then carries the rows' own columns only.
+        measured = rebalanced(measured)
     enriched = attach_rate(attach_sector(measured, securities, "symbol", broadcast=broadcast), fx)
     enriched = enriched.withColumn("close_thb", F.col("exchange_rate") * F.col("close"))
     if literal:
         enriched = enriched.withColumn("rsi", F.col("sma14"))
     extra = ["run_year"] if literal else ["sma14", "run_year"]
     published = enriched.select(*[F.col(old).alias(new) for old, new in PRICE_NAMES.items()], *extra)
-    return rebalanced(published) if by_year else published
+    return rebalanced(published) if by_year and not broadcast else published

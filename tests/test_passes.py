@@ -82,3 +82,8 @@ def test_blocks_read_and_deal_the_rows_less_often(spark):
     text = in_blocks(bars(spark), ["symbol"], ["date"], 9, 5)._jdf.queryExecution().executedPlan().toString()
     # Before branches are joined to one: two for the rows, and each once more for its cuts.
     assert text.count("Scan ExistingRDD") <= 4 and text.count("Exchange hashpartitioning") <= 13
+
+
+def test_lookups_are_attached_after_the_exchange_by_year(spark, lookups):
+    text = prices.price_metrics(bars(spark), *lookups, by_year=True, broadcast=True)._jdf.queryExecution().executedPlan().toString()
+    assert text.rindex("BroadcastHashJoin") < text.index("REBALANCE_PARTITIONS_BY_COL")
