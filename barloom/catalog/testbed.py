@@ -30,8 +30,8 @@ def prices(spark, folder) -> DataFrame:
     """One bar per symbol and ship date; opened by the first order, closed by the last.
 
     The order key and the trade value share one number, so that first and last come from plain MIN and MAX: a
-    hash aggregation with map-side combine. That is a BIGINT where both are small enough for it, which takes a third of
-    the time, else a DECIMAL(38,0), which holds any two BIGINTs.
+    hash aggregation with map-side combine. That is a BIGINT where both are small enough for it,
+    else a DECIMAL(38,0), which holds any two BIGINTs.
     """
     value, key = cents("l_extendedprice"), F.col("l_orderkey").cast("bigint")
     both = F.lit(str(SIDE_BY_SIDE)).cast("decimal(38,0)")
